@@ -196,17 +196,17 @@ left join event_features using (split_id, entity_id)"""
 
 _RANKED_COLUMNS = list(MODEL_IDS)
 PARTS["baseline_long"] = " union all ".join(
-    f"select split_id, entity_id, '{i}' as model_id, cast({c} as double) as value from matrix "
-    f"join splits using (split_id) where role = 'test'" for c, i in MODEL_IDS.items())
+    f"select repeat, role, split_id, entity_id, '{i}' as model_id, cast({c} as double) as value from matrix "
+    f"join splits using (split_id)" for c, i in MODEL_IDS.items())
 PARTS["baseline_ranked"] = """
-select *, row_number() over (partition by split_id, model_id order by value desc, entity_id) as rank,
-       count(*) over (partition by split_id, model_id) as group_rows from baseline_long"""
+select *, row_number() over (partition by repeat, role, model_id order by value desc, entity_id, split_id) as rank,
+       count(*) over (partition by repeat, role, model_id) as group_rows from baseline_long"""
 _AT = [("50", "50"), ("0.1", "floor(group_rows * 0.1::double)"), ("1.0", "group_rows")]
 PARTS["baseline_predictions"] = f"""
-select split_id, entity_id, model_id, rank, group_rows,
+select repeat, split_id, entity_id, model_id, rank, group_rows,
   round(case when group_rows = 1 then 0.0 else (group_rows - rank)::double / (group_rows - 1) end, 9) as probability,
   {', '.join(f'cast(rank <= {n} as integer) as "prediction_at_{k}"' for k, n in _AT)}
-from baseline_ranked"""
+from baseline_ranked where role = 'test'"""
 
 
 def _metric_columns(at: list[tuple[str, str]]) -> list[tuple[str, str]]:
@@ -224,15 +224,16 @@ def _metric_columns(at: list[tuple[str, str]]) -> list[tuple[str, str]]:
 
 _EXP_METRICS = _metric_columns(_AT)
 PARTS["experiment_metrics"] = f"""
-select split_id, model_id, cast(count(*) as bigint) as num_labeled_rows,
+select repeat, role, model_id, cast(count(*) as bigint) as num_labeled_rows,
   {', '.join(f'round_even({e}, 4) as "{n}"' for n, e in _EXP_METRICS)}
-from baseline_ranked join label_rows using (split_id, entity_id) group by split_id, model_id"""
+from baseline_ranked join label_rows using (split_id, entity_id) group by repeat, role, model_id"""
 _KWARGS = "case model_id " + " ".join(
     f"""when '{i}' then '{{"column": "{c}"}}'""" for c, i in MODEL_IDS.items()) + " end"
 PARTS["experiment_results"] = f"""
-select model_id, 'RankBaseline' as model_class, {_KWARGS} as model_kwargs, split_id, repeat, role,
+select model_id, 'RankBaseline' as model_class, {_KWARGS} as model_kwargs, m.repeat, m.role,
        label_start as split_date, num_labeled_rows, {', '.join(f'"{n}"' for n, _ in _EXP_METRICS)}
-from experiment_metrics join splits using (split_id)"""
+from experiment_metrics m join splits s on s.repeat = m.repeat and s.role = 'test'"""
+PARTS["test_results"] = "select * from experiment_results where role = 'test'"
 
 # documents
 PARTS["docs"] = """
@@ -447,7 +448,7 @@ from doc_metrics""")
 # ---------------------------------------------------------------- analysis
 
 check("results_over_time", " union all ".join(
-    f"select model_id, model_class, split_date, '{m}' as metric, {m} as value from experiment_results"
+    f"select model_id, model_class, split_date, '{m}' as metric, {m} as value from test_results"
     for m in ("precision_score_at_50", "num_labeled_samples_at_50")))
 
 
@@ -461,7 +462,7 @@ select '{metric}' as metric, '{criterion}' as criterion, cast(position as intege
        round(value, 6) as value
 from (select *, row_number() over (order by value desc, model_id) as position from (
   select model_id, case when {reduce(support)} < {least} then -1.0 else {reduce(metric)} end as value
-  from experiment_results group by model_id))
+  from test_results group by model_id))
 where position <= {n}"""
 
 
@@ -510,7 +511,7 @@ _FIRST = min(MODEL_IDS.values())
 check("base_rate_series", f"""
 select split_date, round("precision_score_at_1.0", 6) as base_rate,
        round(50.0::double / num_labeled_rows * "precision_score_at_1.0", 6) as scaled_rate
-from experiment_results where model_id = '{_FIRST}'""")
+from test_results where model_id = '{_FIRST}'""")
 
 _DISPLAY = {
     "events_sum_penalty_amount": "Fine Amount (Aggregated Since 2000)",

@@ -14,7 +14,7 @@ from riskrank.operators.cleaning import clean_entities, clean_reports, link_geog
 from riskrank.operators.cohorts import build_cohort, query_per_split, select_labels
 from riskrank.operators.disparity import crosstab, fairness_disparity, importance_matrix, top_features
 from riskrank.operators.features import (
-    Block, assemble_features, compile_features, days_since_features, feature_block, latest_record_asof,
+    assemble_features, compile_features, days_since_features, feature_block, latest_record_asof,
     static_features, window_features,
 )
 from riskrank.operators.geography import geo_demographics
@@ -113,7 +113,7 @@ def asof_timestamps(spark: SparkSession, sf: str) -> DataFrame:
     acts = events.where("event_type in ('purchase', 'error')").select("user_id", "ts", "event_id", "event_type")
     return asof_latest_version(
         acts, views, event_key="user_id", event_ts="ts", version_key="viewer", version_ts="seen_at",
-        event_order=[F.col("event_id").asc()], version_order=[F.col("view_id").desc()], slice_by="day")
+        event_order=[F.col("event_id").asc()], version_order=[F.col("view_id").desc()], spread=True)
 
 
 @query
@@ -300,9 +300,8 @@ def impute_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _matrix(spark: SparkSession, sf: str) -> DataFrame:
     splits, tables = temporal_splits(v.TEMPORAL), v.semantic_tables(spark, sf)
-    blocks: list[Block] = [feature_block(tables, splits, c)
-                           for c in (v.STATIC_BLOCK, v.PANEL_BLOCK, v.EVENT_BLOCK)]
-    return assemble_features(build_cohort(tables["events"], splits), blocks, splits=len(splits))
+    blocks = [feature_block(tables, splits, c) for c in (v.STATIC_BLOCK, v.PANEL_BLOCK, v.EVENT_BLOCK)]
+    return assemble_features(build_cohort(tables["events"], splits), blocks, splits)
 
 
 @query
@@ -423,19 +422,19 @@ def _experiment(spark: SparkSession, sf: str):
 
 @query
 def results_over_time_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return results_over_time(_experiment(spark, sf).results, ["precision_score_at_50", "num_labeled_samples_at_50"])
+    return results_over_time(_experiment(spark, sf).results.where("role = 'test'"), ["precision_score_at_50", "num_labeled_samples_at_50"])
 
 
 @query
 def select_best_models_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(select_best_models(_experiment(spark, sf).results, "precision_score_at_50", "average", 2,
+    return _rounded(select_best_models(_experiment(spark, sf).results.where("role = 'test'"), "precision_score_at_50", "average", 2,
                                        min_support=20))
 
 
 @query
 def select_best_models_multi_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(select_best_models_multi(
-        _experiment(spark, sf).results, ["precision_score_at_50", "recall_score_at_0.1"],
+        _experiment(spark, sf).results.where("role = 'test'"), ["precision_score_at_50", "recall_score_at_0.1"],
         ["min", "average", "last"], 2, min_support=14))
 
 
@@ -475,7 +474,7 @@ def pr_curve_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def base_rate_series_rows(spark: SparkSession, sf: str) -> DataFrame:
-    results = _experiment(spark, sf).results
+    results = _experiment(spark, sf).results.where("role = 'test'")
     rate = base_rate_series(results, "precision_score_at_1.0")
     scaled = base_rate_series(results, "precision_score_at_1.0", metric="num_labeled_samples_at_50")
     return _rounded(rate.join(scaled.withColumnRenamed("base_rate", "scaled_rate"), "split_date"))

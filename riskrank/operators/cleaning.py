@@ -67,6 +67,6 @@ def clean_reports(
     to the versions); by default the versions only serve as a membership test.
     """
     keys = entities.select(F.col(entity_key).alias("_entity"))
-    joined = reports.join(keys, F.col(report_key) == F.col("_entity"),
-                          "inner" if fan_out else "left_semi")
+    same = F.col(report_key) == F.col("_entity")
+    joined = reports.join(keys, same) if fan_out else reports.join(keys.distinct(), same, "left_semi")
     return joined.select(*columns).withColumns({c: F.lower(c) for c in lower})

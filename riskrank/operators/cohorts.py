@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrank.functions.dates import date_cell
+from riskrank.functions.dates import date_cell, next_day
 from riskrank.operators.splits import (
     Span, TimeSplit, distinct_spans, known_cuts, span_cuts, to_split_rows, visible_rows,
 )
@@ -53,8 +53,7 @@ def select_labels(
     """
     spans = distinct_spans(splits, "label")
     if half_open:
-        from datetime import timedelta
-        spans = [Span(s.start + timedelta(days=1), s.end, s.split_ids) for s in spans]
+        spans = [Span(next_day(s.start), s.end, s.split_ids) for s in spans]
     cells = (visible_rows(labels, spans, event_date, knowledge_date)
              .groupBy(entity,
                       date_cell(F.col(event_date), span_cuts(spans)).alias("_day"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskrank.functions.expressions import named, ratio
 from riskrank.presets import CROSSTAB_EPSILON, FEATURE_NAMES
+from riskrank.session import join_large
 
 
 def crosstab(
@@ -27,8 +28,8 @@ def crosstab(
     the mean and sample deviation over all rows.  All features are aggregated side
     by side in one pass; only the small result is turned to rows.
     """
-    joined = features.select(*keys, *feature_columns).join(
-        flags.select(*dict.fromkeys([*keys, *group]), named(flag).alias("_flag")), list(keys))
+    joined = join_large(features.select(*keys, *feature_columns),
+                        flags.select(*dict.fromkeys([*keys, *group]), named(flag).alias("_flag")), keys, "inner")
     flagged = F.col("_flag") == 1
     aggregates = []
     for c in feature_columns:
@@ -76,9 +77,9 @@ def fairness_disparity(
     member = F.when(negative, 0).when(positive, 1)
     grouped = (features.select(*keys, feature).withColumn("_member", member)
                .where("_member is not null").drop(feature))
-    joined = (flags.select(*dict.fromkeys([*keys, *group]), named(flag).alias("_flag"))
-              .join(grouped, list(keys))
-              .join(labels.where("label is not null").select(*keys, "label"), list(keys)))
+    known = join_large(grouped, labels.where("label is not null").select(*keys, "label"), keys, "inner")
+    joined = join_large(flags.select(*dict.fromkeys([*keys, *group]), named(flag).alias("_flag")),
+                        known, keys, "inner")
 
     def rate(g: int) -> Column:
         mine = F.col("_member") == g

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from riskrank.operators.imputation import fill_columns, fill_statistics, parse_s
 from riskrank.operators.splits import (
     Span, TimeSplit, distinct_spans, known_cuts, span_cuts, to_split_rows, visible_rows,
 )
-from riskrank.session import broadcast_if_small, cut_lineage
+from riskrank.session import broadcast_if_small, cut_lineage, join_large
 
 # metrics that combine from per-cell sums, counts and extremes
 _COMBINED = ("sum", "count", "avg", "mean", "min", "max", "datediff")
@@ -34,11 +34,15 @@ class Feature:
 
 @dataclass
 class Block:
-    """Feature columns ready to join to a cohort, with the fill of each."""
+    """Feature columns ready to join to a cohort, with the fill of each.
+
+    The frame has one row per entity, or with `spans` one per (entity, `_span`):
+    splits that share a feature window share its rows.
+    """
 
     frame: DataFrame
-    keys: tuple[str, ...]
-    fills: dict[str, str | None] = field(default_factory=dict)
+    fills: dict[str, str | None]
+    spans: list[Span] | None = None
 
 
 def compile_features(config: Mapping) -> list[Feature]:
@@ -95,6 +99,11 @@ def window_features(
     from sums, counts and extremes are evaluated on the rows themselves.
     """
     spans = distinct_spans(splits, "feature")
+    return to_split_rows(_window_rows(events, spans, features, entity, event_date, knowledge_date), spans)
+
+
+def _window_rows(events, spans, features, entity, event_date, knowledge_date) -> DataFrame:
+    """(entity, _span, features): as above, before spans are unfolded to splits."""
     windows = list(dict.fromkeys(f.window for f in features if f.window != "all"))
     combined = [f for f in features if f.metric in _COMBINED]
     direct = [f for f in features if f.metric not in _COMBINED]
@@ -105,9 +114,8 @@ def window_features(
         parts.append(_combined_features(seen, spans, windows, combined, entity, event_date, knowledge_date))
     if direct:
         parts.append(_direct_features(seen, spans, windows, direct, entity, event_date, knowledge_date))
-    result = parts[0] if len(parts) == 1 else parts[0].join(parts[1], [entity, "_span"])
-    result = result.select(entity, "_span", *[f.name for f in features])
-    return to_split_rows(result, spans)
+    result = parts[0] if len(parts) == 1 else join_large(parts[0], parts[1], [entity, "_span"], "inner")
+    return result.select(entity, "_span", *[f.name for f in features])
 
 
 def _inside(feature: Feature, windows: Sequence[str], event: str, value: Column) -> Column:
@@ -189,6 +197,10 @@ def latest_record_asof(
     at the latest date are decided by `tiebreak`, then by their remaining columns.
     """
     spans = distinct_spans(splits, "feature")
+    return to_split_rows(_latest_rows(df, spans, date_col, entity, tiebreak), spans)
+
+
+def _latest_rows(df, spans, date_col, entity, tiebreak=()) -> DataFrame:
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in (entity, date_col)]
     order = [F.col(date_col).desc(), *tiebreak, *rest]
     cell = date_cell(F.col(date_col), span_cuts(spans))
@@ -198,7 +210,7 @@ def latest_record_asof(
              for i, s in enumerate(spans)]
     spread = (latest.repartition(entity)
               .withColumn("_span", F.explode(F.array(*marks))).where("_span is not null"))
-    return to_split_rows(first_per_group(spread, [entity, "_span"], order), spans)
+    return first_per_group(spread, [entity, "_span"], order)
 
 
 def static_features(
@@ -227,54 +239,53 @@ def feature_block(
     """Features of one table as its config entry asks for them."""
     df = tables[config["from_table"].replace("{prefix}_", "").split(".")[-1]]
     kind = config["table_type"]
+    spans = distinct_spans(splits, "feature")
     if kind == "event":
         features = compile_features(config)
-        frame = window_features(df, splits, features, entity=entity,
-                                event_date=config["event_date_column_name"],
-                                knowledge_date=config["knowledge_date_column_name"])
-        return Block(frame, ("split_id", entity), {f.name: f.fill for f in features})
+        frame = _window_rows(df, spans, features, entity, config["event_date_column_name"],
+                             config["knowledge_date_column_name"])
+        return Block(frame, {f.name: f.fill for f in features}, spans)
     if kind != "entity":
         raise ValueError(f"unknown table_type {kind!r}")
     dated = config.get("event_date_column_name")
     names = [c for c in df.columns if c not in (entity, dated)
              and ("columns" not in config or c in config["columns"])]
+    fills = {c: config["imputation"] for c in names}
     if dated:
-        frame = latest_record_asof(df.select(entity, dated, *names), splits, date_col=dated,
-                                   entity=entity).drop(dated)
-        keys = ("split_id", entity)
-    else:
-        frame, keys = static_features(df, entity=entity, columns=names), (entity,)
-    return Block(frame, keys, {c: config["imputation"] for c in names})
+        return Block(_latest_rows(df.select(entity, dated, *names), spans, dated, entity).drop(dated), fills, spans)
+    return Block(static_features(df, entity=entity, columns=names), fills)
 
 
 def assemble_features(
     cohort: DataFrame,
     blocks: Sequence[Block],
+    splits: Sequence[TimeSplit],
     *,
-    splits: int,
     entity: str = "entity_id",
 ) -> DataFrame:
     """Left join every block to the cohort and impute, one row per cohort row.
 
     Column statistics are taken per split over the cohort.  A block needs only
     itself for them, so the wide join is not evaluated twice; a computed block
-    with such fills is checkpointed and read by both.  `splits` bounds the size of
-    the statistics table.
+    with such fills is written once and read by both.
     """
-    out, statistics, fills = cohort, None, {}
+    spans = distinct_spans(splits, "feature")
+    span_of = {i: n for n, s in enumerate(spans) for i in s.split_ids}
+    span = F.get(F.array(*[F.lit(span_of.get(i)) for i in range(max(span_of) + 1)]), F.col("split_id"))
+    placed = cohort.withColumn("_span", span)
+    out, statistics, fills = placed, None, {}
     for block in blocks:
-        frame = block.frame
+        frame, keys = block.frame, [entity, "_span"] if block.spans else [entity]
         fills.update(block.fills)
-        measured = {c: f for c, f in block.fills.items()
-                    if f and parse_strategy(f).statistic}
+        measured = {c: f for c, f in block.fills.items() if f and parse_strategy(f).statistic}
         if measured:
-            if "split_id" in block.keys:
+            if block.spans:
                 frame = cut_lineage(frame)
-            own = cohort.join(frame.select(*block.keys, *measured), list(block.keys), "left")
+            own = join_large(placed, frame.select(*keys, *measured), keys)
             found = fill_statistics(own, measured, ["split_id"])
             statistics = found if statistics is None else statistics.join(found, "split_id")
-        out = out.join(frame, list(block.keys), "left")
+        out = join_large(out, frame, keys)
     if statistics is not None:
-        width = 16 * len(statistics.columns)
-        out = out.join(broadcast_if_small(statistics, splits, width), "split_id", "left")
+        statistics = broadcast_if_small(statistics, len(splits), 16 * len(statistics.columns))
+        out = out.join(statistics, "split_id", "left")
     return out.select(*cohort.columns, *fill_columns(fills))

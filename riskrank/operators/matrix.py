@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskrank.session import join_large
+
 
 def training_matrix(
     features: DataFrame,
@@ -16,7 +18,7 @@ def training_matrix(
     discard: Sequence[str] = (),
 ) -> DataFrame:
     """Features with the label of the same split and entity; unlabeled rows keep NULL."""
-    return features.join(labels.select(*keys, "label"), list(keys), "left").drop(*discard)
+    return join_large(features, labels.select(*keys, "label"), keys).drop(*discard)
 
 
 def labeled(matrix: DataFrame, label: str = "label") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskrank.functions.expressions import named, ratio_or_zero
 from riskrank.operators.ranking import cutoff
+from riskrank.session import join_large
 
 # a metric maps (flagged, label) columns of one labeled row to an aggregate
 Metric = Callable[[Column, Column], Column]
@@ -63,7 +64,7 @@ def metrics_at_k(
     A metric whose denominator is 0 is 0, and a group without labels keeps its row.
     """
     if labels is not None:
-        ranked = ranked.join(labels.select(*keys, "label"), list(keys), "left")
+        ranked = join_large(ranked, labels.select(*keys, "label"), keys)
     known = F.coalesce(F.col("label").isin(0, 1), F.lit(False))
     label = F.when(known, F.col("label"))
     columns = []

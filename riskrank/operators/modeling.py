@@ -233,9 +233,9 @@ def score_models(
 
 def score_baselines(
     models: Sequence[Model], features: DataFrame, *, entity: str = "entity_id",
-    group: Sequence[str] = ("split_id",),
+    group: Sequence[str] = ("split_id",), carry: Sequence[str] = (), tiebreak: Sequence[str] = (),
 ) -> DataFrame | None:
-    """(group, entity, model_id, probability, rank, group_rows) of the rank baselines.
+    """(group, entity, carry, model_id, probability, rank, group_rows) of the rank baselines.
 
     All baselines are ranked in one pass: their columns are unfolded to rows with a
     sort value that is highest at the top of the ranking.
@@ -249,9 +249,9 @@ def score_baselines(
         if m.kwargs.get("sort", "desc") == "asc":
             value = F.coalesce(-value, F.lit(float("-inf")))
         entries.append(F.struct(F.lit(m.model_id).alias("model_id"), value.alias("_value")))
-    long = features.select(*group, entity, F.explode(F.array(*entries)).alias("_m")).select(
-        *group, entity, "_m.*")
-    return rank_baseline(long, "_value", entity=entity, group=[*group, "model_id"]).drop(
+    kept = [*group, entity, *carry]
+    long = features.select(*kept, F.explode(F.array(*entries)).alias("_m")).select(*kept, "_m.*")
+    return rank_baseline(long, "_value", entity=entity, group=[*group, "model_id"], tiebreak=tiebreak).drop(
         "_value", "prediction")
 
 

@@ -13,6 +13,18 @@ from riskrank.session import cut_lineage
 _ROW_BITS = 33  # monotonically_increasing_id: partition id above, row position below
 
 
+def place_rows(df: DataFrame, order: Sequence[Column], partitions: int | None = None) -> DataFrame:
+    """Rows in global order, with `_row` (increasing) and `_part` (the range they fell in).
+
+    Range partitioning spreads any group over as many ranges as it fills, ties
+    included when `order` is total.  The placed rows are written once, because
+    range bounds are sampled and every later step must see the same ones.
+    """
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    placed = ranged.sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id())
+    return cut_lineage(placed).withColumn("_part", F.shiftright("_row", _ROW_BITS))
+
+
 def rank_rows(
     df: DataFrame,
     order: Sequence[Column],
@@ -24,19 +36,12 @@ def rank_rows(
 ) -> DataFrame:
     """Position (from 1) of every row inside its group, exact for any group size.
 
-    Rows are range-partitioned and sorted by (group, order), so one large group
-    spreads over many tasks.  A row's rank is its position in its partition plus
-    the number of earlier rows of its group in lower partitions; those counts form
-    a table of about (partitions + groups) rows.  The sorted rows are checkpointed
-    once, because range bounds are sampled and must not change between the counts
-    and the ranks.  `order` must be total, else ties break arbitrarily.
+    Rows are placed in (group, order), so one large group spreads over many tasks.
+    A row's rank is its position in its range plus the number of rows of its group
+    in lower ranges; those counts form a table of about (ranges + groups) rows.
+    `order` must be total, else ties break arbitrarily.
     """
-    keys = [F.col(g).asc() for g in group] + list(order)
-    ranged = (df.repartitionByRange(partitions, *keys) if partitions
-              else df.repartitionByRange(*keys))
-    placed = cut_lineage(
-        ranged.sortWithinPartitions(*keys).withColumn("_row", F.monotonically_increasing_id())
-    ).withColumn("_part", F.shiftright("_row", _ROW_BITS))
+    placed = place_rows(df, [F.col(g).asc() for g in group] + list(order), partitions)
 
     names = {g: f"_g{i}" for i, g in enumerate(group)}
     runs = placed.groupBy("_part", *[F.col(g).alias(n) for g, n in names.items()]).agg(
@@ -73,6 +78,7 @@ def rank_baseline(
     sort: str = "desc",
     entity: str = "entity_id",
     group: Sequence[str] = (),
+    tiebreak: Sequence[str] = (),
     partitions: int | None = None,
 ) -> DataFrame:
     """Score in [0, 1] evenly spaced over the order of one column.
@@ -85,8 +91,8 @@ def rank_baseline(
     if sort not in ("asc", "desc"):
         raise ValueError(f"sort must be 'asc' or 'desc', not {sort!r}")
     by = F.col(column).desc_nulls_first() if sort == "desc" else F.col(column).asc_nulls_last()
-    ranked = rank_rows(df, [by, F.col(entity).asc()], group=group,
-                       count="group_rows", partitions=partitions)
+    order = [by, *[F.col(c).asc() for c in (entity, *tiebreak)]]
+    ranked = rank_rows(df, order, group=group, count="group_rows", partitions=partitions)
     rows = F.col("group_rows")
     score = F.when(rows == 1, F.lit(0.0)).otherwise(
         (rows - F.col("rank")).cast("double") / (rows - 1))
@@ -100,11 +106,15 @@ def rank_scores(
     entity: str = "entity_id",
     group: Sequence[str] = ("split_id", "model_id"),
     score: str = "probability",
+    tiebreak: Sequence[str] = (),
     partitions: int | None = None,
 ) -> DataFrame:
-    """Add `rank` (1 = highest score, smaller entity wins ties) and `group_rows`."""
-    return rank_rows(scores, [F.col(score).desc(), F.col(entity).asc()], group=group,
-                     count="group_rows", partitions=partitions)
+    """Add `rank` (1 = highest score, smaller entity wins ties) and `group_rows`.
+
+    `tiebreak` names further columns where an entity occurs more than once in a group.
+    """
+    order = [F.col(score).desc(), *[F.col(c).asc() for c in (entity, *tiebreak)]]
+    return rank_rows(scores, order, group=group, count="group_rows", partitions=partitions)
 
 
 def cutoff(k: int | float, rows: Column) -> Column:

@@ -50,7 +50,8 @@ def run_analysis(
     labels = experiment.labels.where(latest)
     flags = experiment.predictions.where(latest)
     flag = f"prediction_at_{metric.rsplit('_at_', 1)[-1]}"
-    picked = experiment.results.where(latest).join(chosen, "model_id", "left_semi")
+    last_results = results.where(F.col("repeat") == last.repeat).withColumn("split_id", F.lit(last.split_id))
+    picked = last_results.join(chosen, "model_id", "left_semi")
     curve_names = [c for c in experiment.metric_columns if not c.startswith("num_labeled_samples")]
     latest_importances = experiment.importances.where(F.col("repeat") == last.repeat).join(
         chosen, "model_id", "left_semi")
@@ -72,7 +73,7 @@ def run_analysis(
             tables[f"disparity_{name}"] = fairness_disparity(
                 flags, features, labels, flag=flag, feature=group_feature,
                 positive=rich, negative=~rich, metric=name,
-            ).join(experiment.results.where(latest).select("model_id", "model_class", named(metric).alias(metric)),
+            ).join(last_results.select("model_id", "model_class", named(metric).alias(metric)),
                 "model_id")
     if output is not None:
         for name, df in tables.items():

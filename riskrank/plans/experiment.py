@@ -20,20 +20,21 @@ from riskrank.operators.modeling import (
 )
 from riskrank.operators.ranking import rank_scores, top_k_flags
 from riskrank.operators.splits import TimeSplit, splits_frame, temporal_splits
-from riskrank.session import cut_lineage
+from riskrank.session import broadcast_if_small, cut_lineage
 from riskrank.sources.sinks import write_table
 
-FEATURE_KEYS = ("split_id", "entity_id")
+# a ranking pools all rows of one role of one repeat
+EVALUATION = ("repeat", "role")
+ROW = ("split_id", "entity_id")
 
 
 @dataclass
 class Experiment:
-    """What an experiment leaves behind; every table has `experiment_id`."""
+    """What an experiment leaves behind; the written tables have `experiment_id`."""
 
     experiment_id: str
     splits: list[TimeSplit]
-    features: DataFrame
-    labels: DataFrame
+    matrix: DataFrame
     models: DataFrame
     predictions: DataFrame
     results: DataFrame
@@ -41,15 +42,24 @@ class Experiment:
     feature_columns: list[str]
     metric_columns: list[str]
 
+    @property
+    def features(self) -> DataFrame:
+        return self.matrix.drop("label")
 
-def build_matrices(
+    @property
+    def labels(self) -> DataFrame:
+        return self.matrix.select(*ROW, "label").where("label is not null")
+
+
+def build_matrix(
     spark: SparkSession, cfg: Mapping, tables: Mapping[str, DataFrame], *, prefix: str = "",
     cohort_as_of: str = "test_label_end",
-) -> tuple[list[TimeSplit], DataFrame, DataFrame]:
-    """Splits, feature matrix and labels of every train and test split, lazily.
+) -> tuple[list[TimeSplit], DataFrame]:
+    """Splits, and features with labels of every train and test split, lazily.
 
     Without their own `query` in the config, cohort and labels use the one-pass
-    operators on the `events` and `labels` tables.
+    operators on the `events` and `labels` tables.  Labels are joined here, while
+    both sides are still partitioned by entity, and travel with the rows from now on.
     """
     splits = temporal_splits(cfg["temporal_config"], cohort_as_of)
     cohort_query = cfg.get("cohort_config", {}).get("query")
@@ -61,23 +71,12 @@ def build_matrices(
                               {"start_date": "label_start", "end_date": "label_end"}, constants)
               if label_query else select_labels(tables["labels"], splits))
     blocks = [feature_block(tables, splits, c) for c in cfg["feature_config"]]
-    return splits, assemble_features(cohort, blocks, splits=len(splits)), labels
+    return splits, training_matrix(assemble_features(cohort, blocks, splits), labels)
 
 
-def score_repeat(
-    models: Sequence[Model], features: DataFrame, feature_columns: Sequence[str],
-) -> DataFrame:
-    """(split_id, entity_id, model_id, probability, rank, group_rows) of all models."""
-    parts = []
-    if any(m.fitted is not None for m in models):
-        parts.append(rank_scores(score_models(models, features, feature_columns)))
-    baselines = score_baselines(models, features)
-    if baselines is not None:
-        parts.append(baselines)
-    if not parts:
-        raise ValueError("no model of this repeat could be fitted")
-    columns = [*FEATURE_KEYS, "model_id", "probability", "rank", "group_rows"]
-    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+def _roles(spark: SparkSession, splits: Sequence[TimeSplit], evaluate_on: Sequence[str]) -> DataFrame:
+    plan = splits_frame(spark, splits).select("split_id", *EVALUATION)
+    return broadcast_if_small(plan.where(F.col("role").isin(*evaluate_on)), len(splits), 64)
 
 
 def run_experiment(
@@ -87,21 +86,22 @@ def run_experiment(
     *,
     experiment_id: str | None = None,
     output: str | None = None,
-    evaluate_on: Sequence[str] = ("test",),
+    evaluate_on: Sequence[str] = ("train", "test"),
     parallelism: int = 4,
     prefix: str = "",
     cohort_as_of: str = "test_label_end",
 ) -> Experiment:
     """Run an experiment config over the semantic tables.
 
-    All splits are built in one plan and materialised once; each repeat then fits
-    its grid on its training splits and ranks the splits named in `evaluate_on`.
-    With `output` the tables are written there (features, labels, predictions by
-    split), replacing the same experiment's partitions; without it they are
-    checkpointed.  Predictions keep unlabeled rows; metrics use labeled rows only.
+    The matrix of all splits is built in one plan and written once; each repeat fits
+    its grid on its training splits; then all repeats are scored, ranked and measured
+    together.  A repeat's training splits are pooled into one ranking, its test split
+    is another.  Predictions of the test splits keep unlabeled rows; metrics use
+    labeled rows only.  With `output` the tables are written there by experiment and
+    split, replacing the same experiment's partitions; without it they go to the
+    shared folder.
     """
     experiment_id = experiment_id or f"{cfg['version']}_{cfg['experiment_name']}"
-    splits, features, labels = build_matrices(spark, cfg, tables, prefix=prefix, cohort_as_of=cohort_as_of)
 
     def keep(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
         df = df.withColumn("experiment_id", F.lit(experiment_id))
@@ -111,34 +111,55 @@ def run_experiment(
                               partition_by=["experiment_id", *by])
         return written.where(F.col("experiment_id") == experiment_id)
 
-    feature_columns = [c for c in features.columns if c not in FEATURE_KEYS]
-    features = keep(features, "features", ["split_id"])
-    labels = keep(labels, "labels", ["split_id"])
+    splits, matrix = build_matrix(spark, cfg, tables, prefix=prefix, cohort_as_of=cohort_as_of)
+    feature_columns = [c for c in matrix.columns if c not in (*ROW, "label")]
+    matrix = keep(matrix, "matrix", ["split_id"])
     ks, metrics = cfg["eval_config"]["k"], cfg["eval_config"]["metrics"]
     names = metric_names(metrics, ks)
-    plan = splits_frame(spark, splits).select("split_id", "repeat", "role", F.col("label_start").alias("split_date"))
 
-    ranked, infos, importances = [], [], []
     grid = expand_grid(cfg["model_config"])
+    scored, infos, importances, usable = [], [], [], []
     for repeat in sorted({s.repeat for s in splits}):
-        train_ids = [s.split_id for s in splits if s.repeat == repeat and s.role == "train"]
-        score_ids = [s.split_id for s in splits if s.repeat == repeat and s.role in evaluate_on]
-        train = training_matrix(features.where(F.col("split_id").isin(train_ids)), labels,
-                                discard=["experiment_id"])
-        models = fit_grid(train, feature_columns, grid, parallelism=parallelism)
+        ids = {role: [s.split_id for s in splits if s.repeat == repeat and s.role == role]
+               for role in ("train", "test")}
+        models = fit_grid(matrix.where(F.col("split_id").isin(ids["train"])), feature_columns, grid,
+                          parallelism=parallelism)
         if output is not None:
             save_models(models, f"{output}/models/experiment_id={experiment_id}/repeat={repeat}")
         infos.append(model_table(spark, models).withColumn("repeat", F.lit(repeat)))
         importances.append(feature_importance(models, feature_columns, spark).withColumn("repeat", F.lit(repeat)))
-        ranked.append(score_repeat(models, features.where(F.col("split_id").isin(score_ids)), feature_columns))
+        usable.append({m.model_id for m in models if m.fit_status == "ok" and m.is_baseline})
+        if any(m.fitted is not None for m in models):
+            wanted = [i for role in evaluate_on for i in ids[role]]
+            scored.append(score_models(models, matrix.where(F.col("split_id").isin(wanted)), feature_columns,
+                                       keys=(*ROW, "label")))
+
+    roles, group = _roles(spark, splits, evaluate_on), [*EVALUATION, "model_id"]
+    ranked = []
+    if scored:
+        # written before ranking, which reads its input twice: once to sample ranges
+        scores = cut_lineage(reduce(DataFrame.unionByName, scored))
+        ranked.append(rank_scores(scores.join(roles, "split_id"), group=group, tiebreak=["split_id"]))
+    baselines = [Model(m.model_id, m.model_class, m.kwargs, fit_status="ok")
+                 for m in grid if any(m.model_id in u for u in usable)]
+    if baselines:
+        ranked.append(score_baselines(baselines, matrix.join(roles, "split_id"), group=EVALUATION,
+                                      carry=["split_id", "label"], tiebreak=["split_id"]))
+    if not ranked:
+        raise ValueError("no model could be fitted")
+    columns = [*EVALUATION, *ROW, "model_id", "probability", "rank", "group_rows", "label"]
+    ranking = reduce(DataFrame.unionByName, [r.select(*columns) for r in ranked])
 
-    predictions = keep(top_k_flags(reduce(DataFrame.unionByName, ranked), ks), "predictions", ["split_id"])
     models = reduce(DataFrame.unionByName, infos).withColumn("experiment_id", F.lit(experiment_id))
-    wide = metrics_at_k(predictions, labels, metrics, ks).join(F.broadcast(plan), "split_id")
-    results = (results_table(wide, models.where("fit_status = 'ok'")
+    dates = {s.repeat: s.label_start for s in splits if s.role == "test"}
+    date_of = F.create_map(*[x for r, d in dates.items() for x in (F.lit(r), F.lit(d))])
+    results = (results_table(metrics_at_k(ranking, None, metrics, ks, group=group),
+                             models.where("fit_status = 'ok'")
                              .select("model_id", "model_class", "model_kwargs").distinct(), names)
-               .select("model_id", "model_class", "model_kwargs", "split_id", "repeat", "role", "split_date",
+               .withColumn("split_date", date_of[F.col("repeat")])
+               .select("model_id", "model_class", "model_kwargs", *EVALUATION, "split_date",
                        "num_labeled_rows", *[named(n) for n in names]))
-    return Experiment(experiment_id, splits, features, labels, models, predictions,
+    predictions = top_k_flags(ranking.where("role = 'test'").drop("label", "role"), ks)
+    return Experiment(experiment_id, splits, matrix, models, keep(predictions, "predictions", ["split_id"]),
                       keep(results, "results"), reduce(DataFrame.unionByName, importances),
                       feature_columns, names)

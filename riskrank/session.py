@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # entity-partitioned sides stay put in joins on (entity, split): an entity has at
+    # most one row per split there, so no partition can grow hot
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
@@ -48,9 +52,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` reliably; later stages and lost executors reread it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` once to the shared folder and read it from there.
+
+    Later stages and executors that replace lost ones reread the files, so values
+    that need not repeat exactly (sampled range bounds, row positions) stay fixed.
+    Columnar files let each reader fetch only its columns.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def join_large(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join two sides that both grow with the entities: always sort-merge.
+
+    Size estimates do not see the fan-out over splits, so without the hint Catalyst
+    could broadcast a side many times larger than it believes.
+    """
+    return left.join(right.hint("merge"), list(keys), how)
 
 
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:

@@ -14,10 +14,14 @@ def write_table(
 
     `replace` drops what is there, `fail` refuses an existing table, and
     `replace_partitions` replaces only the partitions present in `df`.  A target
-    with a slash is a path, otherwise a catalog table.
+    with a slash is a path, otherwise a catalog table.  Rows of a partitioned table
+    are rebalanced first, so each partition becomes files of a sensible size
+    whatever its share of the rows, instead of one file per task and partition.
     """
     spark = df.sparkSession
     spark_mode = {"replace": "overwrite", "fail": "errorifexists", "replace_partitions": "overwrite"}[mode]
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format("parquet").mode(spark_mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
