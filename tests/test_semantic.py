@@ -1,0 +1,153 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskrank import presets
+from riskrank.operators.cleaning import clean_entities, clean_reports, link_geography, load_demographics
+from riskrank.operators.geography import geo_demographics
+from riskrank.operators.panel import categorize_codes, complete_grid, densify, pivot_wide, reporting_panel
+from riskrank.operators.rollups import rollup_events, rollup_labels
+from riskrank.sources.readers import load_zip_density, read_query, read_table
+from riskrank.sources.sinks import ensure_layers, write_csv, write_table
+from riskrank.sources.catalog import table_columns, table_names
+from tests.helpers import d, plan_of, rows
+
+
+def test_demographics(spark):
+    blocks = spark.createDataFrame([("001", "t1", 10), ("003", "t2", 20)], "county string, tract string, B01003_001E int")
+    more = spark.createDataFrame([("t3", "001", 30)], "tract string, county string, B01003_001E int")
+    income = spark.createDataFrame([("001", 1.0, None, 3.0, 4.0, 8.0), ("009", 1.0, 1.0, 1.0, 1.0, 1.0)],
+                                   "county string, " + ", ".join(f"{c} double" for c in presets.INCOME_QUINTILES))
+    got = load_demographics([blocks, more], income, presets.CENSUS_NAMES, income_columns=presets.INCOME_QUINTILES)
+    assert rows(got, "county", "tract", "total_pop", "mean_county_income") == [
+        ("001", "t1", 10, 4.0), ("001", "t3", 30, 4.0), ("003", "t2", 20, None)]
+
+
+def test_income_all_missing(spark):
+    blocks = spark.createDataFrame([("001",)], "county string")
+    income = spark.createDataFrame([("001", None, None)], "county string, a double, b double")
+    assert rows(load_demographics(blocks, income, {}, income_columns=["a", "b"])) == [("001", None)]
+
+
+def test_zip_density(spark, tmp_path):
+    path = tmp_path / "density.csv"
+    path.write_text("Zip/ZCTA,2010 Population,Land,Density\n501,12,1.5,8.0\n10001,21102,0.62,33959.1\n123456,1,,2\n")
+    assert rows(load_zip_density(spark, str(path))) == [
+        ("00501", 12, 1.5, 8.0), ("10001", 21102, 0.62, 33959.1), ("123456", 1, None, 2.0)]
+
+
+def test_link_geography(spark):
+    blocks = spark.createDataFrame([("t1", "c1", 1), ("t2", "c1", 2), ("t1", "c2", 3)], "tract string, county string, n int")
+    link = spark.createDataFrame([("t1", "c1", "z1"), ("t1", "c1", "z2"), ("t9", "c1", "z3")], "tract string, county string, zip string")
+    assert rows(link_geography(blocks, link), "n", "zip") == [(1, "z1"), (1, "z2")]
+
+
+def test_clean_entities_and_reports(spark):
+    raw = spark.createDataFrame([("e1", "NY", "a", 1), ("e1", "NY", "b", 2), ("e2", "NJ", "c", 3)],
+                                "id string, region string, very_long string, extra int")
+    entities = clean_entities(raw, region_column="region", region="NY", columns=["id", "very_long"], rename={"very_long": "short"})
+    assert rows(entities) == [("e1", "a"), ("e1", "b")]
+    reports = spark.createDataFrame([("e1", "MIXED Case"), ("e2", "X"), (None, "Y")], "handler string, note string")
+    args = dict(report_key="handler", entity_key="id", columns=["handler", "note"], lower=["note"])
+    assert rows(clean_reports(reports, entities, **args)) == [("e1", "mixed case")]
+    assert rows(clean_reports(reports, entities, fan_out=True, **args)) == [("e1", "mixed case")] * 2
+
+
+def test_rollups(spark):
+    schema = "k string, v date, started date, fixed date, enforced date, found string, complaint string, amount double"
+    inspections = spark.createDataFrame([
+        ("a", d("2020-01-01"), d("2020-02-01"), d("2020-03-01"), None, "N", "N", None),
+        ("a", d("2020-01-01"), d("2020-02-05"), None, d("2020-02-20"), "Y", "N", 0.0),
+        ("a", d("2021-01-01"), d("2021-02-05"), None, None, "N", "Y", 12.5),
+        ("b", d("2020-01-01"), d("2020-02-01"), None, None, None, None, None)], schema)
+    ids = spark.createDataFrame([("a", 1), ("b", 2)], "id_number string, id long")
+    events = spark.createDataFrame([("a", d("2020-01-01"), 1), ("a", d("2021-01-01"), 2), ("b", d("2020-01-01"), 3)],
+                                   "k string, v date, id long")
+    shared = dict(key="k", version="v", event_date="started", known_dates=["started", "fixed", "enforced"], amount="amount")
+    got = rollup_events(inspections, ids, events, **shared, violation=F.col("found") == "Y", complaint=F.col("complaint") == "Y")
+    assert rows(got) == [
+        (1, 1, d("2020-02-05"), d("2020-03-01"), 1, 0, 0.0),
+        (1, 2, d("2021-02-05"), d("2021-02-05"), 0, 1, 12.5),
+        (2, 3, d("2020-02-01"), d("2020-02-01"), 0, 0, 0.0)]
+    assert rows(rollup_labels(inspections, ids, events, **shared), "event_id", "label") == [(1, 0), (2, 1), (3, 0)]
+
+
+def test_code_categories(spark):
+    codes = ["D001", "D002", "TCOR Only", "F1_5", "D999", "F999", "K001", "P999", "U123", "XYZ", "", None, "d001"]
+    df = spark.createDataFrame([(c,) for c in codes], "code string")
+    got = categorize_codes(df, "code", exact=presets.CODE_CATEGORIES, prefixes=presets.CODE_PREFIXES, default=presets.CODE_DEFAULT)
+    assert [r["category"] for r in got.collect()] == [
+        "d001", "d002", "tcor_only", "f1_5", "other_d", "other_f", "other_k", "other_p", "other_u", "others", "others",
+        "others", "others"]
+    assert len(presets.PANEL_CATEGORIES) == 30 and len(presets.CODE_CATEGORIES) == 24
+
+
+def test_densify_and_pivot(spark):
+    df = spark.createDataFrame([("a", 2001, "x", 5.0), ("a", 2003, "y", -2.0), ("b", 2001, "y", None)],
+                               "k string, year int, code string, tons double")
+    dense = densify(df, "k", {"year": None, "code": None}, "tons")
+    assert rows(dense) == [
+        ("a", 2001, "x", 5.0), ("a", 2001, "y", 0.0), ("a", 2003, "x", 0.0), ("a", 2003, "y", 0.0),
+        ("b", 2001, "x", 0.0), ("b", 2001, "y", 0.0), ("b", 2003, "x", 0.0), ("b", 2003, "y", 0.0)]
+    assert "CartesianProduct" not in plan_of(dense) and "NestedLoop" not in plan_of(dense)
+    wide = pivot_wide(df, ["k", "year"], "code", "tons", ["y", "x", "never"])
+    assert wide.columns == ["k", "year", "y", "x", "never"]
+    assert rows(wide) == [("a", 2001, None, 5.0, None), ("a", 2003, -2.0, None, None), ("b", 2001, None, None, None)]
+    assert rows(complete_grid(df, "k", {"year": [1, 2]})) == [("a", 1), ("a", 2), ("b", 1), ("b", 2)]
+
+
+def test_reporting_panel(spark):
+    reports = spark.createDataFrame([
+        ("a", "2001", "D001", 2.0), ("a", "2001", "D001", 3.0), ("a", "2003", None, 4.0), ("b", "2001", "D777", -1.0),
+        ("c", "2001", "D001", 9.0)], "h string, cycle string, code string, tons double")
+    ids = spark.createDataFrame([("a", 1), ("b", 2)], "id_number string, id long")
+    got = reporting_panel(reports, ids, key="h", cycle="cycle", code="code", tons="tons", exact={"D001": "d001"},
+                          prefixes={"D": "other_d"}, default="others", categories=["d001", "other_d", "others"])
+    assert rows(got) == [
+        (1, d("2001-12-31"), 5.0, 0.0, 0.0), (1, d("2003-12-31"), 0.0, 0.0, 4.0),
+        (2, d("2001-12-31"), 0.0, 0.0, 0.0), (2, d("2003-12-31"), 0.0, 0.0, 0.0)]
+
+
+def test_geography(spark):
+    facilities = spark.createDataFrame([("f1", "z1"), ("f1", "z1"), ("f2", "z2"), ("f3", "z9"), ("f4", None), ("fx", "z1")],
+                                       "id_number string, zip_code string")
+    blocks = spark.createDataFrame([("36", "c1", "t1", 10), ("36", "c1", "t2", 20), ("36", "c2", "t3", 5)],
+                                   "state string, county string, tract string, population int")
+    link = spark.createDataFrame([("36", "c1", "t1", "z1"), ("36", "c2", "t3", "z1"), ("36", "c1", "t2", "z2"),
+                                  ("36", "c7", "t7", "z2")], "state string, county string, tract string, zip string")
+    density = spark.createDataFrame([("z1", 1.5, 2.5), ("z1", 1.5, 2.5)], "zip string, zip_area_sq_miles double, zip_density_sq_miles double")
+    income = spark.createDataFrame([("36", "c1", 100.0), ("36", "c1", 100.0)], "state string, county string, mean_county_income double")
+    ids = spark.createDataFrame([(f"f{i}", i) for i in range(1, 5)], "id_number string, id long")
+    got = geo_demographics(facilities, blocks, link, density, income, ids)
+    assert got.columns == ["entity_id", "zip", "zip_population", "county", "county_population", "zip_area_sq_miles",
+                           "zip_density_sq_miles", "mean_county_income"]
+    assert rows(got) == [
+        (1, "z1", 15, "c1", 30, 1.5, 2.5, 100.0), (1, "z1", 15, "c2", 5, 1.5, 2.5, 100.0),
+        (2, "z2", 20, "c1", 30, None, None, 100.0), (2, "z2", 20, None, None, None, None, 100.0),
+        (3, None, None, None, None, None, None, None), (4, None, None, None, None, None, None, None)]
+
+
+def test_tables_on_disk(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, p string")
+    path = str(tmp_path / "t")
+    write_table(df, path, mode="fail", partition_by=["p"])
+    with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
+        write_table(df, path, mode="fail")
+    again = write_table(df.where("p = 'a'").selectExpr("x + 10 as x", "p"), path, mode="replace_partitions", partition_by=["p"])
+    assert rows(again) == [(2, "b"), (11, "a")]
+    assert rows(write_table(df.limit(1), path, mode="replace")) == [(1, "a")]
+    write_csv(df, str(tmp_path / "c"))
+    assert spark.read.csv(str(tmp_path / "c"), header=True).count() == 2
+
+
+def test_catalog(spark):
+    ensure_layers(spark, ["results"])
+    df = spark.createDataFrame([(1, "a")], "x int, p string")
+    for name in ("m_v1_test_results", "m_v1_train_results", "other_test_results"):
+        write_table(df, f"results.{name}", mode="replace")
+    assert table_names(spark, "results", "m_v1", "test_results") == ["m_v1_test_results"]
+    assert table_columns(spark, "results.m_v1_test_results") == ["x", "p"]
+    assert rows(read_table(spark, "results.m_v1_test_results", ["p"])) == [("a",)]
+    assert rows(read_query(spark, "select x from results.{prefix}_test_results where p = :p",
+                           replace={"prefix": "m_v1"}, p="a")) == [(1,)]
