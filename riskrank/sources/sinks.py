@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskrank.functions.expressions import named
+
 
 def write_table(
     df: DataFrame, target: str, *, mode: str = "replace", partition_by: Sequence[str] = (),
@@ -29,7 +31,7 @@ def write_table(
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if "/" in target:
         writer.save(target)
-        return spark.read.parquet(target)
+        return spark.read.schema(df.schema).parquet(target).select(*[named(c) for c in df.columns])
     writer.saveAsTable(target)
     return spark.table(target)
 
