@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from riskrank.functions.dates import date_cell, next_day
 from riskrank.operators.splits import (
-    Span, TimeSplit, distinct_spans, known_cuts, span_cuts, to_split_rows, visible_rows,
+    Span, TimeSplit, distinct_spans, known_cuts, span_cuts, spread_over_spans, to_split_rows,
+    visible_rows,
 )
 
 
@@ -59,12 +60,9 @@ def select_labels(
                       date_cell(F.col(event_date), span_cuts(spans)).alias("_day"),
                       date_cell(F.col(knowledge_date), known_cuts(spans)).alias("_known"))
              .agg(F.max(label).alias("_label")))
-    marks = [F.when(F.col("_day").between(F.lit(s.start), F.lit(s.end))
-                    & (F.col("_known") <= F.lit(s.end)), F.lit(i)) for i, s in enumerate(spans)]
-    spread = (cells.repartition(entity)
-              .withColumn("_span", F.explode(F.array(*marks))).where("_span is not null")
-              .groupBy(entity, "_span").agg(F.max("_label").alias("label")))
-    return to_split_rows(spread, spans)
+    largest = (spread_over_spans(cells.repartition(entity), spans, "_day", "_known")
+               .groupBy(entity, "_span").agg(F.max("_label").alias("label")))
+    return to_split_rows(largest, spans)
 
 
 def query_per_split(

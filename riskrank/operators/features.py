@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from riskrank.functions.expressions import ratio
 from riskrank.operators.asof import first_per_group
 from riskrank.operators.imputation import fill_columns, fill_statistics, parse_strategy
 from riskrank.operators.splits import (
-    Span, TimeSplit, distinct_spans, known_cuts, span_cuts, to_split_rows, visible_rows,
+    Span, TimeSplit, distinct_spans, known_cuts, span_cuts, spread_over_spans, to_split_rows, visible_rows,
 )
 from riskrank.session import broadcast_if_small, cut_lineage, join_large
 
@@ -62,18 +63,9 @@ def compile_features(config: Mapping) -> list[Feature]:
     return features
 
 
-def _marks(
-    spans: Sequence[Span], windows: Sequence[str], event: Column, known: Column | None
-) -> Column:
-    """Per span that sees the row, a struct of span index, its end and window openings."""
-    marks = []
-    for i, s in enumerate(spans):
-        inside = event.between(F.lit(s.start), F.lit(s.end))
-        if known is not None:
-            inside &= known <= F.lit(s.end)
-        opens = [F.lit(shift(s.end, -parse_interval(w))).alias(f"w{j}") for j, w in enumerate(windows)]
-        marks.append(F.when(inside, F.struct(F.lit(i).alias("span"), F.lit(s.end).alias("end"), *opens)))
-    return F.array(*marks)
+def _of_span(days: Sequence[date]) -> Column:
+    """The span's entry in a list of days, one per span."""
+    return F.get(F.array(*[F.lit(x) for x in days]), F.col("_span"))
 
 
 def window_features(
@@ -104,66 +96,61 @@ def window_features(
 
 def _window_rows(events, spans, features, entity, event_date, knowledge_date) -> DataFrame:
     """(entity, _span, features): as above, before spans are unfolded to splits."""
-    windows = list(dict.fromkeys(f.window for f in features if f.window != "all"))
     combined = [f for f in features if f.metric in _COMBINED]
     direct = [f for f in features if f.metric not in _COMBINED]
     seen = visible_rows(events, spans, event_date, knowledge_date)
 
     parts = []
     if combined:
-        parts.append(_combined_features(seen, spans, windows, combined, entity, event_date, knowledge_date))
+        parts.append(_combined_features(seen, spans, combined, entity, event_date, knowledge_date))
     if direct:
-        parts.append(_direct_features(seen, spans, windows, direct, entity, event_date, knowledge_date))
+        parts.append(_direct_features(seen, spans, direct, entity, event_date, knowledge_date))
     result = parts[0] if len(parts) == 1 else join_large(parts[0], parts[1], [entity, "_span"], "inner")
     return result.select(entity, "_span", *[f.name for f in features])
 
 
-def _inside(feature: Feature, windows: Sequence[str], event: str, value: Column) -> Column:
+def _inside(feature: Feature, spans: Sequence[Span], event: str, value: Column) -> Column:
     if feature.window == "all" or feature.metric == "datediff":
         return value
-    return F.when(F.col(event) > F.col(f"_w.w{windows.index(feature.window)}"), value)
+    opening = _of_span([shift(s.end, -parse_interval(feature.window)) for s in spans])
+    return F.when(F.col(event) > opening, value)
 
 
-def _combined_features(seen, spans, windows, features, entity, event_date, knowledge_date):
+def _combined_features(seen, spans, features, entity, event_date, knowledge_date):
     needs: dict[str, tuple[str, str]] = {}
     for f in features:
         for kind in {"avg": ("sum", "count"), "mean": ("sum", "count"), "datediff": ("max",)}.get(f.metric, (f.metric,)):
             needs[f"_{kind}_{f.column}"] = (kind, f.column)
     partials = [getattr(F, kind)(column).alias(name) for name, (kind, column) in needs.items()]
-    openings = [next_day(shift(s.end, -parse_interval(w))) for s in spans for w in windows]
+    openings = [next_day(shift(s.end, -parse_interval(f.window)))
+                for s in spans for f in features if f.window != "all"]
     cells = seen.groupBy(
         entity,
         date_cell(F.col(event_date), span_cuts(spans, openings)).alias("_day"),
         date_cell(F.col(knowledge_date), known_cuts(spans)).alias("_known"),
     ).agg(*partials)
 
-    def final(f: Feature) -> Column:
-        def total(kind: str, how) -> Column:
-            return how(_inside(f, windows, "_day", F.col(f"_{kind}_{f.column}")))
+    # the day after an opening starts a cell, so a cell lies wholly inside or outside a window
+    def total(f: Feature, kind: str, how) -> Column:
+        return how(_inside(f, spans, "_day", F.col(f"_{kind}_{f.column}")))
 
+    def final(f: Feature) -> Column:
         if f.metric in ("avg", "mean"):
-            return ratio(total("sum", F.sum), total("count", F.sum))
+            return ratio(total(f, "sum", F.sum), total(f, "count", F.sum))
         if f.metric == "count":
-            return F.coalesce(total("count", F.sum), F.lit(0).cast("bigint"))
+            return F.coalesce(total(f, "count", F.sum), F.lit(0).cast("bigint"))
         if f.metric == "datediff":
-            return F.datediff(F.col("_end"), total("max", F.max).cast("date"))
-        return total(f.metric, {"sum": F.sum, "min": F.min, "max": F.max}[f.metric])
-
-    # an opening day starts a cell, so "cell day > opening - 1" equals "event date > window start"
-    return (cells.repartition(entity)
-            .withColumn("_w", F.explode(_marks(spans, windows, F.col("_day"), F.col("_known"))))
-            .where("_w is not null")
-            .groupBy(entity, F.col("_w.span").alias("_span"), F.col("_w.end").alias("_end"))
-            .agg(*[final(f).alias(f.name) for f in features])
-            .drop("_end"))
-
-
-def _direct_features(seen, spans, windows, features, entity, event_date, knowledge_date):
-    spread = (seen.withColumn("_w", F.explode(_marks(spans, windows, F.col(event_date), F.col(knowledge_date))))
-              .where("_w is not null"))
-    finals = [F.call_function(f.metric, _inside(f, windows, event_date, F.col(f.column))).alias(f.name)
+            return F.datediff(_of_span([s.end for s in spans]), total(f, "max", F.max).cast("date"))
+        return total(f, f.metric, {"sum": F.sum, "min": F.min, "max": F.max}[f.metric])
+
+    return (spread_over_spans(cells.repartition(entity), spans, "_day", "_known")
+            .groupBy(entity, "_span").agg(*[final(f).alias(f.name) for f in features]))
+
+
+def _direct_features(seen, spans, features, entity, event_date, knowledge_date):
+    finals = [F.call_function(f.metric, _inside(f, spans, event_date, F.col(f.column))).alias(f.name)
               for f in features]
-    return spread.groupBy(entity, F.col("_w.span").alias("_span")).agg(*finals)
+    return spread_over_spans(seen, spans, event_date, knowledge_date).groupBy(entity, "_span").agg(*finals)
 
 
 def days_since_features(
@@ -206,10 +193,7 @@ def _latest_rows(df, spans, date_col, entity, tiebreak=()) -> DataFrame:
     cell = date_cell(F.col(date_col), span_cuts(spans))
     latest = first_per_group(visible_rows(df, spans, date_col, None).withColumn("_cell", cell),
                              [entity, "_cell"], order).drop("_cell")
-    marks = [F.when(F.col(date_col).between(F.lit(s.start), F.lit(s.end)), F.lit(i))
-             for i, s in enumerate(spans)]
-    spread = (latest.repartition(entity)
-              .withColumn("_span", F.explode(F.array(*marks))).where("_span is not null"))
+    spread = spread_over_spans(latest.repartition(entity), spans, date_col, None)
     return first_per_group(spread, [entity, "_span"], order)
 
 

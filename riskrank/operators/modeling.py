@@ -155,7 +155,7 @@ def fit_grid(
              .transform(rows.withColumn("label", F.col(label).cast("double"))).select("features", "label"))
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        count = rows.count()
+        count = rows.count() if any(not m.is_baseline for m in models) else 0
         task = inheritable_thread_target(matrix.sparkSession)(
             lambda m: _fit_one(Model(m.model_id, m.model_class, dict(m.kwargs)), train, count))
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

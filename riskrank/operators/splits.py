@@ -119,14 +119,20 @@ def fan_out(
     """
     spans = distinct_spans(splits, window)
     seen = visible_rows(df, spans, event_date, knowledge_date)
+    return to_split_rows(spread_over_spans(seen, spans, event_date, knowledge_date), spans)
+
+
+def spread_over_spans(
+    df: DataFrame, spans: Sequence[Span], event: str, known: str | None
+) -> DataFrame:
+    """One copy of a row per span that sees it, with the span's index as `_span`."""
     marks = []
     for i, s in enumerate(spans):
-        inside = F.col(event_date).between(F.lit(s.start), F.lit(s.end))
-        if knowledge_date:
-            inside &= F.col(knowledge_date) <= F.lit(s.end)
+        inside = F.col(event).between(F.lit(s.start), F.lit(s.end))
+        if known:
+            inside &= F.col(known) <= F.lit(s.end)
         marks.append(F.when(inside, F.lit(i)))
-    spread = seen.withColumn("_span", F.explode(F.array(*marks))).where("_span is not null")
-    return to_split_rows(spread, spans)
+    return df.withColumn("_span", F.explode(F.array(*marks))).where("_span is not null")
 
 
 def visible_rows(

@@ -57,6 +57,7 @@ class Domain:
 def clean_layer(raw: Mapping[str, DataFrame], domain: Domain = Domain()) -> Tables:
     """Entity versions, inspections matched to versions, reports, ids and linked census blocks.
 
+    `inspections` has all columns and stays lazy; `inspected` is its written core.
     `raw` has entities, evaluations, reports, and optionally demographics and link.
     """
     d = domain
@@ -73,13 +74,15 @@ def clean_layer(raw: Mapping[str, DataFrame], domain: Domain = Domain()) -> Tabl
     )
     if d.evaluation_key != d.entity_key:
         inspections = inspections.drop(d.evaluation_key)
-    # read by both rollups and the event ids
-    inspections = cut_lineage(inspections)
+    # the few columns that both rollups and the event ids read
+    inspected = cut_lineage(inspections.select(*dict.fromkeys([
+        d.entity_key, d.version_date, d.evaluation_date, *d.known_dates, d.violation_flag,
+        d.complaint_flag, d.amount])))
     reports = clean_reports(raw["reports"], versions, report_key=d.report_key,
                             entity_key=d.entity_key, columns=d.report_columns, lower=d.report_lower)
     entity_ids = assign_surrogate_ids(versions.withColumnRenamed(d.entity_key, "id_number"), ["id_number"])
-    event_ids = assign_surrogate_ids(inspections, [d.entity_key, d.version_date])
-    out = {"versions": versions, "inspections": inspections, "reports": reports,
+    event_ids = assign_surrogate_ids(inspected, [d.entity_key, d.version_date])
+    out = {"versions": versions, "inspections": inspections, "inspected": inspected, "reports": reports,
            "entity_ids": entity_ids, "event_ids": event_ids}
     if "demographics" in raw:
         out["acs"] = link_geography(raw["demographics"], raw["link"])
@@ -91,7 +94,7 @@ def semantic_layer(cleaned: Tables, raw: Mapping[str, DataFrame], domain: Domain
     d = domain
     shared = dict(key=d.entity_key, version=d.version_date, event_date=d.evaluation_date,
                   known_dates=list(d.known_dates), amount=d.amount)
-    ids = (cleaned["inspections"], cleaned["entity_ids"], cleaned["event_ids"])
+    ids = (cleaned["inspected"], cleaned["entity_ids"], cleaned["event_ids"])
     out = {
         "events": rollup_events(*ids, **shared, violation=F.col(d.violation_flag) == d.yes,
                                 complaint=F.col(d.complaint_flag) == d.yes),
