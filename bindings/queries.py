@@ -300,7 +300,7 @@ def impute_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _matrix(spark: SparkSession, sf: str) -> DataFrame:
     splits, tables = temporal_splits(v.TEMPORAL), v.semantic_tables(spark, sf)
-    blocks = [feature_block(tables, splits, c) for c in (v.STATIC_BLOCK, v.PANEL_BLOCK, v.EVENT_BLOCK)]
+    blocks = [feature_block(spark, tables, splits, c) for c in (v.STATIC_BLOCK, v.PANEL_BLOCK, v.EVENT_BLOCK)]
     return assemble_features(build_cohort(tables["events"], splits), blocks, splits)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskrank.functions.dates import date_cell, next_day, parse_interval, shift
@@ -216,12 +216,18 @@ def static_features(
     return first_per_group(picked, [entity], [F.col(c).asc_nulls_last() for c in names])
 
 
+def source_table(spark: SparkSession, tables: Mapping[str, DataFrame], name: str, prefix: str = "") -> DataFrame:
+    """A configured table: a given frame by its bare name, else from the catalog."""
+    bare = name.split(".")[-1].replace("{prefix}_", "")
+    return tables[bare] if bare in tables else spark.table(name.replace("{prefix}", prefix))
+
+
 def feature_block(
-    tables: Mapping[str, DataFrame], splits: Sequence[TimeSplit], config: Mapping,
-    entity: str = "entity_id",
+    spark: SparkSession, tables: Mapping[str, DataFrame], splits: Sequence[TimeSplit], config: Mapping,
+    *, entity: str = "entity_id", prefix: str = "",
 ) -> Block:
     """Features of one table as its config entry asks for them."""
-    df = tables[config["from_table"].replace("{prefix}_", "").split(".")[-1]]
+    df = source_table(spark, tables, config["from_table"], prefix)
     kind = config["table_type"]
     spans = distinct_spans(splits, "feature")
     if kind == "event":

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskrank.functions.expressions import code_category
+from riskrank.session import cut_lineage, join_large
 
 
 def categorize_codes(
@@ -50,11 +51,13 @@ def densify(
 ) -> DataFrame:
     """All combinations of base and dimensions; absent or non-positive values become 0.
 
-    `df` holds at most one row per combination.
+    `df` holds at most one row per combination; it is written once, since the grid
+    and the values both come from it.
     """
     keys = [base, *dims]
+    df = cut_lineage(df.select(*keys, value))
     grid = complete_grid(df, base, dims)
-    filled = grid.join(df.select(*keys, value), keys, "left")
+    filled = join_large(grid, df, keys)
     return filled.withColumn(value, positive_or_zero(F.col(value)))
 
 
@@ -86,14 +89,15 @@ def reporting_panel(
     """Tons per category for every entity in every report year, dated 31 December.
 
     Summed straight into the wide form; only (entity, year) is then completed, so
-    the long entity x year x category grid never exists.
+    the long entity x year x category grid never exists.  The sums are written once:
+    the entities, the years and the values are all read from them, not from the reports.
     """
     coded = categorize_codes(reports, code, exact=exact, prefixes=prefixes, default=default)
     coded = coded.withColumn(cycle, F.col(cycle).cast("int")).where(F.col(cycle).isNotNull())
-    wide = pivot_wide(coded, [key, cycle], "category", tons, categories)
-    grid = complete_grid(coded, key, {cycle: None})
+    wide = cut_lineage(pivot_wide(coded, [key, cycle], "category", tons, categories))
+    grid = complete_grid(wide, key, {cycle: None})
     ids = entity_ids.select(F.col("id_number").alias(key), F.col("id").alias("entity_id"))
-    return grid.join(wide, [key, cycle], "left").join(ids, key).select(
+    return join_large(grid, wide, [key, cycle]).join(ids, key).select(
         "entity_id",
         F.make_date(F.col(cycle), F.lit(12), F.lit(31)).alias("event_date"),
         *[positive_or_zero(F.col(c)).alias(c) for c in categories],

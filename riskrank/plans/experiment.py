@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskrank.functions.expressions import named
 from riskrank.operators.cohorts import build_cohort, query_per_split, select_labels
-from riskrank.operators.features import assemble_features, feature_block
+from riskrank.operators.features import assemble_features, feature_block, source_table
 from riskrank.operators.matrix import training_matrix
 from riskrank.operators.metrics import metric_names, metrics_at_k, results_table
 from riskrank.operators.modeling import (
@@ -21,7 +21,7 @@ from riskrank.operators.modeling import (
 from riskrank.operators.ranking import rank_scores, top_k_flags
 from riskrank.operators.splits import TimeSplit, splits_frame, temporal_splits
 from riskrank.session import broadcast_if_small, cut_lineage
-from riskrank.sources.sinks import write_table
+from riskrank.sources.sinks import write_csv, write_table
 
 # a ranking pools all rows of one role of one repeat
 EVALUATION = ("repeat", "role")
@@ -57,8 +57,9 @@ def build_matrix(
 ) -> tuple[list[TimeSplit], DataFrame]:
     """Splits, and features with labels of every train and test split, lazily.
 
-    Without their own `query` in the config, cohort and labels use the one-pass
-    operators on the `events` and `labels` tables.  Labels are joined here, while
+    Tables are the given frames, or else catalog tables under `prefix`.  Without
+    their own `query` in the config, cohort and labels use the one-pass operators on
+    the events and labels tables.  Labels are joined here, while
     both sides are still partitioned by entity, and travel with the rows from now on.
     """
     splits = temporal_splits(cfg["temporal_config"], cohort_as_of)
@@ -66,11 +67,11 @@ def build_matrix(
     label_query = cfg.get("label_config", {}).get("query")
     constants = {"prefix": prefix}
     cohort = (query_per_split(spark, cohort_query, splits, {"as_of_date": "as_of"}, constants)
-              if cohort_query else build_cohort(tables["events"], splits))
+              if cohort_query else build_cohort(source_table(spark, tables, "semantic.{prefix}_events", prefix), splits))
     labels = (query_per_split(spark, label_query, splits,
                               {"start_date": "label_start", "end_date": "label_end"}, constants)
-              if label_query else select_labels(tables["labels"], splits))
-    blocks = [feature_block(tables, splits, c) for c in cfg["feature_config"]]
+              if label_query else select_labels(source_table(spark, tables, "semantic.{prefix}_labels", prefix), splits))
+    blocks = [feature_block(spark, tables, splits, c, prefix=prefix) for c in cfg["feature_config"]]
     return splits, training_matrix(assemble_features(cohort, blocks, splits), labels)
 
 
@@ -159,7 +160,10 @@ def run_experiment(
                .withColumn("split_date", date_of[F.col("repeat")])
                .select("model_id", "model_class", "model_kwargs", *EVALUATION, "split_date",
                        "num_labeled_rows", *[named(n) for n in names]))
+    results = keep(results, "results")
+    if output is not None:
+        write_csv(results, f"{output}/results_csv/{experiment_id}")
     predictions = top_k_flags(ranking.where("role = 'test'").drop("label", "role"), ks)
     return Experiment(experiment_id, splits, matrix, models, keep(predictions, "predictions", ["split_id"]),
-                      keep(results, "results"), reduce(DataFrame.unionByName, importances),
+                      results, reduce(DataFrame.unionByName, importances),
                       feature_columns, names)

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from riskrank import presets
 from riskrank.operators.asof import asof_latest_version
-from riskrank.operators.cleaning import clean_entities, clean_reports, link_geography
+from riskrank.operators.cleaning import clean_entities, clean_reports, link_geography, load_demographics
 from riskrank.operators.geography import geo_demographics
 from riskrank.operators.panel import reporting_panel
 from riskrank.operators.ranking import assign_surrogate_ids
 from riskrank.operators.rollups import rollup_events, rollup_labels
 from riskrank.session import cut_lineage
-from riskrank.sources.readers import read_query
+from riskrank.sources.readers import load_zip_density, read_query
 
 Tables = dict[str, DataFrame]
 Step = Callable[[SparkSession, Tables], Tables] | tuple[str, str]
@@ -54,6 +54,23 @@ class Domain:
     population: str = "B01003_001E"
 
 
+def load_sources(
+    spark: SparkSession, block_groups: str | Sequence[str], county_income: str, density: str, *,
+    census_names: Mapping[str, str] = presets.CENSUS_NAMES,
+    income_columns: Sequence[str] = tuple(presets.INCOME_QUINTILES),
+) -> Tables:
+    """Demographics and density from landed CSV files; all county files are one read."""
+    places = ["state", "county", "tract", "block group"]
+    schema = ", ".join([f"`{c}` string" for c in places] + [f"`{c}` double" for c in census_names])
+    income = ", ".join(["county string"] + [f"`{c}` double" for c in income_columns])
+    return {
+        "demographics": load_demographics(
+            spark.read.csv(block_groups, schema=schema, header=True),
+            spark.read.csv(county_income, schema=income, header=True), census_names, income_columns=income_columns),
+        "density": load_zip_density(spark, density),
+    }
+
+
 def clean_layer(raw: Mapping[str, DataFrame], domain: Domain = Domain()) -> Tables:
     """Entity versions, inspections matched to versions, reports, ids and linked census blocks.
 

@@ -63,6 +63,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this session wrote to the shared folder, once its results are no longer read."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def join_large(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join two sides that both grow with the entities: always sort-merge.
 

@@ -222,7 +222,7 @@ def test_assembled_matrix_keeps_the_cohort_and_imputes(spark):
          "event_date_column_name": "event_date"},
         CONFIG]
     cohort = build_cohort(events, SPLITS)
-    matrix = assemble_features(cohort, [feature_block(tables, SPLITS, c) for c in configs], SPLITS)
+    matrix = assemble_features(cohort, [feature_block(spark, tables, SPLITS, c) for c in configs], SPLITS)
     assert rows(matrix, "split_id", "entity_id") == rows(cohort, "split_id", "entity_id")
     assert matrix.columns[:5] == ["split_id", "entity_id", "size", "tons", "tons_impute_flag"]
     assert "ev_sum_v_impute_flag" in matrix.columns and "ev_count_v_impute_flag" not in matrix.columns
@@ -256,7 +256,7 @@ def test_union_splits_and_frame(spark):
 
 def test_unknown_table_type(spark):
     with pytest.raises(ValueError):
-        feature_block({"x": spark.range(1)}, SPLITS, {"prefix": "x", "from_table": "x", "table_type": "other"})
+        feature_block(spark, {"x": spark.range(1)}, SPLITS, {"prefix": "x", "from_table": "x", "table_type": "other"})
 
 
 def test_block_defaults():
