@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 
-from bindings.views import CATEGORIES, CODE_PREFIXES, CODES, EXPERIMENT
+from bindings.views import CATEGORIES, CODE_PREFIXES, CODES, EXPERIMENT, GRID
 from riskrank.operators.modeling import expand_grid
 
 ORACLE: dict[str, str] = {}
@@ -357,6 +358,14 @@ left join (select county, cast(sum(population) as bigint) as county_population f
 
 # ---------------------------------------------------------------- splits, cohorts, features, labels
 
+check("temporal_splits", """
+select s.split_id, repeat, role, cast(case when role = 'test' then 0 else (split_id % 3) end as integer) as split,
+  feature_start, feature_end, label_start, label_end, as_of,
+  (select count(*) from entity_events where event_date between feature_start and feature_end
+     and knowledge_date <= feature_end) as feature_events,
+  (select count(*) from entity_events where event_date between label_start and label_end
+     and knowledge_date <= label_end) as label_events
+from splits s""")
 check("fan_out", "select split_id, entity_id, event_id, event_date from visible")
 check("build_cohort", "select * from cohort")
 check("cohort_at_feature_end", """
@@ -421,7 +430,7 @@ from matrix join label_rows using (split_id, entity_id)""")
 
 # ---------------------------------------------------------------- ranking and metrics
 
-check("rank_baseline_desc", """
+check("rank_baseline", """
 select entity_id, n_chars, rank, round((n - rank)::double / (n - 1), 9) as probability,
        (n - rank)::double / (n - 1) > 0.5 as prediction
 from (select *, row_number() over (order by n_chars desc, entity_id) as rank, count(*) over () as n from docs)""")
@@ -431,6 +440,16 @@ select entity_id, n_words, rank, round((n - rank)::double / (n - 1), 9) as proba
 from (select *, row_number() over (order by n_words, entity_id) as rank, count(*) over () as n from docs)""")
 check("top_k_flags", "select * from doc_flags")
 
+_GRID = expand_grid(GRID)
+_BUILDABLE = [m for m in _GRID if m.kind != "Classifier"]
+check("fit_grid", " union all ".join(
+    f"select '{m.model_id}' as model_id, '{m.model_class}' as model_class, "
+    f"'{json.dumps(m.kwargs, sort_keys=True)}' as model_kwargs, {str(m in _BUILDABLE).lower()} as fitted "
+    f"from documents having count(*) > 0" for m in _GRID))
+check("score_models", " union all ".join(
+    f"select '{m.model_id}' as model_id, count(*) as scored, count(distinct doc_id) as entities, "
+    f"0::bigint as invalid from documents" for m in _BUILDABLE if not m.is_baseline))
+
 
 def _unpivot(names: list[str], source: str, ids: str) -> str:
     return " union all ".join(
@@ -497,7 +516,7 @@ def _rate(metric: str, group: int, flag: str) -> str:
 
 
 for _m in ("fdr", "tpr"):
-    check(f"fairness_disparity_{_m}", f"""
+    check("fairness_disparity" if _m == "fdr" else "fairness_disparity_tpr", f"""
 select split_id, model_id, round(r1, 6) as {_m}_group1, round(r0, 6) as {_m}_group0, round(r1 / nullif(r0, 0), 6) as {_m}
 from (select split_id, model_id, {_rate(_m, 1, 'prediction_at_0.1')} as r1, {_rate(_m, 0, 'prediction_at_0.1')} as r0
   from (select *, case when n_lines >= 20 then 1 else 0 end as member
@@ -537,7 +556,7 @@ from {_COLUMNS_SQL} where exists (select 1 from experiment_results)""")
 
 # ---------------------------------------------------------------- pipelines
 
-check("run_preprocessing_events", _rollup("_f", "found_violation, citizen_complaint, penalty_amount"))
+check("run_preprocessing", _rollup("_f", "found_violation, citizen_complaint, penalty_amount"))
 check("run_preprocessing_labels", _rollup("_f", "label"))
 check("run_preprocessing_reporting", _panel(_CUSTOMER_REPORTS, "entity_ids_f"))
 check("run_steps_user_sql", """
@@ -546,10 +565,10 @@ group by o_custkey having sum(o_totalprice) > 100000""")
 check("write_read_table", """
 select o_orderkey, case when o_orderstatus = 'F' then -o_totalprice else o_totalprice end as o_totalprice, o_orderstatus
 from orders""")
-check("run_experiment_results", "select * from experiment_results")
+check("run_experiment", "select * from experiment_results")
 check("run_experiment_predictions", "select * from baseline_predictions")
 _LAST = "split_id = 8"
-check("run_analysis_tables", " union all ".join([
+check("run_analysis", " union all ".join([
     *[_crosstab(f, "baseline_predictions join matrix using (split_id, entity_id)", "prediction_at_50", _LAST)
       for f in ("events_sum_penalty_amount", "c_acctbal")],
     f"""select split_id, model_id, 'tpr' as feature, round(r1, 6), round(r0, 6), round(r1 / nullif(r0, 0), 6)

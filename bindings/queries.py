@@ -29,7 +29,7 @@ from riskrank.operators.selection import (
     base_rate_series, baseline_models, pr_curve, results_over_time, select_best_models,
     select_best_models_multi,
 )
-from riskrank.operators.splits import fan_out, temporal_splits, union_splits
+from riskrank.operators.splits import fan_out, splits_frame, temporal_splits, union_splits
 from riskrank.plans.analysis import run_analysis
 from riskrank.plans.experiment import run_experiment
 from riskrank.plans.preprocessing import run_preprocessing, run_steps
@@ -215,6 +215,16 @@ def geo_demographics_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- splits, cohorts, features, labels
 
+@query
+def temporal_splits_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The split plan with the number of events in each feature and label window."""
+    splits = temporal_splits(v.TEMPORAL)
+    events = v.entity_events(spark, sf).select("event_id", "event_date", "knowledge_date")
+    counts = [fan_out(events, splits, knowledge_date="knowledge_date", window=w).groupBy("split_id").agg(
+        F.count(F.lit(1)).alias(f"{w}_events")) for w in ("feature", "label")]
+    return splits_frame(spark, splits).join(counts[0], "split_id", "left").join(counts[1], "split_id", "left")
+
+
 @query
 def fan_out_rows(spark: SparkSession, sf: str) -> DataFrame:
     splits = temporal_splits(v.TEMPORAL)
@@ -325,40 +335,40 @@ def training_matrix_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- modeling
 
-GRID = {
-    "LogisticRegression": {"penalty": ["l1", "l2", "elasticnet", "none"], "C": [0.1], "l1_ratio": [0.5],
-                           "max_iter": [50]},
-    "tree.DecisionTreeClassifier": {"max_depth": [1, None], "min_samples_split": [10]},
-    "ensemble.RandomForestClassifier": {"n_estimators": [10], "max_depth": [2], "max_features": ["auto"]},
-    "ensemble.GradientBoostingClassifier": {"n_estimators": [5], "learning_rate": [0.1], "subsample": [1],
-                                            "max_depth": [2], "max_features": [None]},
-    "RankBaseline": {"column": ["n_chars"], "sort": ["desc", "asc"]},
-    "unknown.Classifier": {"depth": [1]},
-}
-
-
 def _document_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return training_matrix(v.documents(spark, sf), v.document_labels(spark, sf))
 
 
 def _fitted(spark: SparkSession, sf: str, *kinds: str):
-    grid = {name: options for name, options in GRID.items() if not kinds or name.rsplit(".", 1)[-1] in kinds}
+    grid = {name: options for name, options in v.GRID.items() if not kinds or name.rsplit(".", 1)[-1] in kinds}
     return fit_grid(_document_matrix(spark, sf), v.DOCUMENT_FEATURES, expand_grid(grid))
 
 
 @query
-def fit_grid_status(spark: SparkSession, sf: str) -> DataFrame:
-    return model_table(spark, _fitted(spark, sf))
+def fit_grid_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every grid point and whether it could be fitted."""
+    return model_table(spark, _fitted(spark, sf)).select(
+        "model_id", "model_class", "model_kwargs", (F.col("fit_status") == "ok").alias("fitted"))
+
+
+@query
+def score_models_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Per model: rows scored, entities among them, and scores that are no probability."""
+    scores = score_models(_fitted(spark, sf), v.documents(spark, sf), v.DOCUMENT_FEATURES)
+    valid = F.col("probability").between(0, 1)
+    return scores.groupBy("model_id").agg(
+        F.count(F.lit(1)).alias("scored"), F.countDistinct("entity_id").alias("entities"),
+        F.sum(F.when(valid, 0).otherwise(1)).alias("invalid"))
 
 
 @query
-def logistic_model_scores(spark: SparkSession, sf: str) -> DataFrame:
+def logistic_model_rows(spark: SparkSession, sf: str) -> DataFrame:
     models = _fitted(spark, sf, "LogisticRegression")
     return score_models(models, v.documents(spark, sf), v.DOCUMENT_FEATURES)
 
 
 @query
-def tree_model_scores(spark: SparkSession, sf: str) -> DataFrame:
+def tree_model_rows(spark: SparkSession, sf: str) -> DataFrame:
     models = _fitted(spark, sf, "DecisionTreeClassifier", "RandomForestClassifier", "GradientBoostingClassifier")
     return score_models(models, v.documents(spark, sf), v.DOCUMENT_FEATURES)
 
@@ -369,7 +379,7 @@ def feature_importance_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def rank_baseline_desc(spark: SparkSession, sf: str) -> DataFrame:
+def rank_baseline_rows(spark: SparkSession, sf: str) -> DataFrame:
     ranked = rank_baseline(v.documents(spark, sf), "n_chars", sort="desc")
     return _rounded(ranked.select("entity_id", "n_chars", "rank", "probability", "prediction"), 9)
 
@@ -457,7 +467,7 @@ def _disparity(spark: SparkSession, sf: str, metric: str) -> DataFrame:
 
 
 @query
-def fairness_disparity_fdr(spark: SparkSession, sf: str) -> DataFrame:
+def fairness_disparity_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _disparity(spark, sf, "fdr")
 
 
@@ -496,7 +506,7 @@ def importance_matrix_rows(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- pipelines
 
 @query
-def run_preprocessing_events(spark: SparkSession, sf: str) -> DataFrame:
+def run_preprocessing_rows(spark: SparkSession, sf: str) -> DataFrame:
     return run_preprocessing(v.raw_tables(spark, sf), v.DOMAIN)["events"]
 
 
@@ -533,7 +543,7 @@ def write_read_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def run_experiment_results(spark: SparkSession, sf: str) -> DataFrame:
+def run_experiment_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _experiment(spark, sf).results.drop("experiment_id")
 
 
@@ -552,8 +562,8 @@ def run_experiment_models(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def run_analysis_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Row counts and a checksum of each analysis table of the baseline experiment."""
+def run_analysis_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Cross-tabs and disparity from the analysis of the baseline experiment."""
     tables = run_analysis(_experiment(spark, sf), metric="precision_score_at_50", n_models=2,
                           group_feature="c_acctbal", group_threshold=5000, min_support=20)
     crosstabs = tables["crosstab"].where("feature in ('events_sum_penalty_amount', 'c_acctbal')")

@@ -28,6 +28,7 @@ def run_analysis(
     group_threshold: float = 75000,
     base_rate: str | float = "precision_score_at_1.0",
     include_baselines: bool = True,
+    importances_of: str = "first",
     min_support: float = MIN_SUPPORT,
     display: Mapping[str, str] | None = None,
     output: str | None = None,
@@ -36,7 +37,8 @@ def run_analysis(
 
     Curves, cross-tabs and disparity are taken from the latest test split; the
     cross-tabs and curves of the best models and, unless told otherwise, of the
-    baselines.  With `output` every table is also exported as CSV.
+    baselines.  Feature importances are of the models of the `first` repeat, or of
+    the `last`.  With `output` every table is also exported as CSV.
     """
     support = f"num_labeled_samples_at_{metric.rsplit('_', 1)[-1]}"
     results = experiment.results.where(F.col("role") == "test")
@@ -53,7 +55,8 @@ def run_analysis(
     last_results = results.where(F.col("repeat") == last.repeat).withColumn("split_id", F.lit(last.split_id))
     picked = last_results.join(chosen, "model_id", "left_semi")
     curve_names = [c for c in experiment.metric_columns if not c.startswith("num_labeled_samples")]
-    latest_importances = experiment.importances.where(F.col("repeat") == last.repeat).join(
+    shown = last.repeat if importances_of == "last" else min(s.repeat for s in experiment.splits)
+    importances = experiment.importances.where(F.col("repeat") == shown).drop("repeat").join(
         chosen, "model_id", "left_semi")
 
     tables = {
@@ -63,7 +66,7 @@ def run_analysis(
             results.join(best.select("model_id"), "model_id", "left_semi"), [metric, support]),
         "base_rate": base_rate_series(results, base_rate, metric=metric),
         "pr_curve": pr_curve(metrics_long(picked, ["split_id", "model_id"], curve_names), "float"),
-        "top_features": top_features(latest_importances, n_features, display),
+        "top_features": top_features(importances, n_features, display),
         "crosstab": crosstab(features, flags.join(chosen, "model_id", "left_semi"),
                              experiment.feature_columns, flag=flag),
     }
