@@ -15,6 +15,7 @@ from riskrank.operators.selection import (
 )
 from riskrank.plans.experiment import Experiment
 from riskrank.presets import MIN_SUPPORT
+from riskrank.session import broadcast_if_small
 from riskrank.sources.sinks import write_csv
 
 
@@ -46,6 +47,7 @@ def run_analysis(
     chosen = best.select("model_id")
     if include_baselines:
         chosen = chosen.union(baseline_models(results)).distinct()
+    chosen = broadcast_if_small(chosen, experiment.grid_size, 64)
     last = max((s for s in experiment.splits if s.role == "test"), key=lambda s: s.label_start)
     latest = F.col("split_id") == last.split_id
     features = experiment.features.where(latest)

@@ -41,6 +41,7 @@ class Experiment:
     importances: DataFrame
     feature_columns: list[str]
     metric_columns: list[str]
+    grid_size: int
 
     @property
     def features(self) -> DataFrame:
@@ -58,19 +59,27 @@ def build_matrix(
     """Splits, and features with labels of every train and test split, lazily.
 
     Tables are the given frames, or else catalog tables under `prefix`.  Without
-    their own `query` in the config, cohort and labels use the one-pass operators on
-    the events and labels tables.  Labels are joined here, while
+    their own `query` in the config (SQL text, or a function of session and splits),
+    cohort and labels use the one-pass operators on the events and labels tables.  Labels are joined here, while
     both sides are still partitioned by entity, and travel with the rows from now on.
     """
     splits = temporal_splits(cfg["temporal_config"], cohort_as_of)
     cohort_query = cfg.get("cohort_config", {}).get("query")
     label_query = cfg.get("label_config", {}).get("query")
     constants = {"prefix": prefix}
-    cohort = (query_per_split(spark, cohort_query, splits, {"as_of_date": "as_of"}, constants)
-              if cohort_query else build_cohort(source_table(spark, tables, "semantic.{prefix}_events", prefix), splits))
-    labels = (query_per_split(spark, label_query, splits,
-                              {"start_date": "label_start", "end_date": "label_end"}, constants)
-              if label_query else select_labels(source_table(spark, tables, "semantic.{prefix}_labels", prefix), splits))
+    if callable(cohort_query):
+        cohort = cohort_query(spark, splits)
+    elif cohort_query:
+        cohort = query_per_split(spark, cohort_query, splits, {"as_of_date": "as_of"}, constants)
+    else:
+        cohort = build_cohort(source_table(spark, tables, "semantic.{prefix}_events", prefix), splits)
+    if callable(label_query):
+        labels = label_query(spark, splits)
+    elif label_query:
+        labels = query_per_split(spark, label_query, splits,
+                                 {"start_date": "label_start", "end_date": "label_end"}, constants)
+    else:
+        labels = select_labels(source_table(spark, tables, "semantic.{prefix}_labels", prefix), splits)
     blocks = [feature_block(spark, tables, splits, c, prefix=prefix) for c in cfg["feature_config"]]
     return splits, training_matrix(assemble_features(cohort, blocks, splits), labels)
 
@@ -166,4 +175,4 @@ def run_experiment(
     predictions = top_k_flags(ranking.where("role = 'test'").drop("label", "role"), ks)
     return Experiment(experiment_id, splits, matrix, models, keep(predictions, "predictions", ["split_id"]),
                       results, reduce(DataFrame.unionByName, importances),
-                      feature_columns, names)
+                      feature_columns, names, len(grid))

@@ -32,7 +32,12 @@ def write_table(
     if "/" in target:
         writer.save(target)
         return spark.read.schema(df.schema).parquet(target).select(*[named(c) for c in df.columns])
-    writer.saveAsTable(target)
+    if mode == "replace_partitions" and spark.catalog.tableExists(target):
+        # insertInto matches by position and needs the table's own layout
+        by_position = df.select(*[named(c) for c in spark.table(target).columns])
+        by_position.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(target)
+    else:
+        writer.saveAsTable(target)
     return spark.table(target)
 
 

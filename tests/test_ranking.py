@@ -24,6 +24,21 @@ def test_rank_equals_plain_window_with_hot_group_and_ties(spark, partitions):
     assert rows(got, "g", "id", "rank", "n") == rows(want, "g", "id", "rank", "n")
 
 
+def test_rank_survives_adaptive_coalescing(spark):
+    """Adjacent small ranges are merged at run time; the order must hold across them."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "40KB")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        df = spark.range(20000).select((F.xxhash64("id") % 5).alias("g"), F.xxhash64("id").alias("v"), "id")
+        got = rank_rows(df, [F.col("v").asc(), F.col("id").asc()], group=["g"], count="n")
+        by = Window.partitionBy("g").orderBy("v", "id")
+        wrong = got.withColumn("want", F.row_number().over(by)).where("rank <> want")
+        assert got.count() == 20000 and wrong.isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 def test_null_groups_and_empty_input(spark):
     df = spark.createDataFrame([(None, 2), (None, 1), ("x", 1)], "g string, v int")
     got = rank_rows(df, [F.col("v").asc()], group=["g"], partitions=3)

@@ -137,6 +137,10 @@ def test_tables_on_disk(spark, tmp_path):
     again = write_table(df.where("p = 'a'").selectExpr("x + 10 as x", "p"), path, mode="replace_partitions", partition_by=["p"])
     assert rows(again) == [(2, "b"), (11, "a")]
     assert rows(write_table(df.limit(1), path, mode="replace")) == [(1, "a")]
+    ensure_layers(spark, ["layer"])
+    write_table(df, "layer.t", mode="replace_partitions", partition_by=["p"])
+    inserted = write_table(df.where("p = 'b'").selectExpr("p", "x * 100 as x"), "layer.t", mode="replace_partitions", partition_by=["p"])
+    assert rows(inserted, "x", "p") == [(1, "a"), (200, "b")]
     write_csv(df, str(tmp_path / "c"))
     assert spark.read.csv(str(tmp_path / "c"), header=True).count() == 2
 
