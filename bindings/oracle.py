@@ -121,7 +121,7 @@ select user_id as entity_id, event_id, cast(ts as date) as event_date,
                                when 'purchase' then 3 else 4 end as knowledge_date,
        case when event_type = 'error' then 1 else 0 end as found_violation,
        case when event_type = 'signup' then 1 else 0 end as citizen_complaint,
-       case when event_type = 'purchase' then value else 0.0 end as penalty_amount
+       cast(case when event_type = 'purchase' then value else 0 end as decimal(12, 2)) as penalty_amount
 from events"""
 PARTS["entity_labels"] = """
 select entity_id, event_date, knowledge_date, case when penalty_amount > 50 then 1 else 0 end as label
@@ -159,8 +159,8 @@ select split_id, entity_id,
   avg({_within(14, 'found_violation')}) as events_avg_found_violation_14_days,
   cast(sum(citizen_complaint) as bigint) as events_sum_citizen_complaint,
   cast(sum({_within(7, 'citizen_complaint')}) as bigint) as events_sum_citizen_complaint_7_days,
-  sum(penalty_amount) as events_sum_penalty_amount,
-  sum({_within(7, 'penalty_amount')}) as events_sum_penalty_amount_7_days,
+  cast(sum(penalty_amount) as double) as events_sum_penalty_amount,
+  cast(sum({_within(7, 'penalty_amount')}) as double) as events_sum_penalty_amount_7_days,
   cast(min(feature_end - event_date) as integer) as events_days_since_event_date
 from visible group by split_id, entity_id"""
 
@@ -390,11 +390,9 @@ select split_id, entity_id,
   count(found_violation) as ev_count_found_violation,
   count({_within(7, 'found_violation')}) as ev_count_found_violation_7_days,
   count({_within(14, 'found_violation')}) as ev_count_found_violation_14_days,
-  round(sum(penalty_amount), 6) as ev_sum_penalty_amount,
-  round(sum({_within(7, 'penalty_amount')}), 6) as ev_sum_penalty_amount_1_week,
-  min(penalty_amount) as ev_min_penalty_amount, min({_within(7, 'penalty_amount')}) as ev_min_penalty_amount_1_week,
-  max(penalty_amount) as ev_max_penalty_amount, max({_within(7, 'penalty_amount')}) as ev_max_penalty_amount_1_week,
-  round(stddev_samp(penalty_amount), 6) as ev_stddev_penalty_amount,
+  {', '.join(f"cast({how}({_within(7, 'penalty_amount') if w else 'penalty_amount'}) as double) "
+             f"as ev_{how}_penalty_amount{w}" for how in ('sum', 'min', 'max') for w in ('', '_1_week'))},
+  round(stddev_samp(penalty_amount::double), 6) as ev_stddev_penalty_amount,
   cast(min(feature_end - event_date) as integer) as ev_days_since_event_date
 from visible group by split_id, entity_id""")
 check("days_since_features", """

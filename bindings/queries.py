@@ -46,8 +46,9 @@ def query(fn):
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Floating-point columns rounded, so that summation order cannot show."""
-    return df.select(*[F.round(named(c), digits).alias(c) if t == "double" else named(c) for c, t in df.dtypes])
+    """Floating-point columns rounded, so that summation order cannot show; decimals as doubles."""
+    return df.select(*[F.round(named(c).cast("double"), digits).alias(c) if t.startswith(("double", "decimal"))
+                       else named(c) for c, t in df.dtypes])
 
 
 # ---------------------------------------------------------------- ingest and clean
