@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from riskrank import presets
 from riskrank.operators.cohorts import build_cohort
+from riskrank.operators.metrics import metric_names
+from riskrank.operators.modeling import expand_grid
+from riskrank.plans import configs
 from riskrank.plans.analysis import all_importances, run_analysis
-from riskrank.plans.experiment import run_experiment
+from riskrank.plans.experiment import build_matrix, run_experiment
 from riskrank.plans.preprocessing import load_sources, run_preprocessing, run_steps
 from riskrank.sources.sinks import write_table
 from tests.helpers import d, rows
@@ -214,3 +217,19 @@ def test_user_steps_see_earlier_tables(spark):
          ("{prefix}_answer", "select n + 1 as n from {prefix}_count")],
         {"numbers": spark.range(10).toDF("id")}, prefix="v1", least=6)
     assert rows(made["v1_answer"]) == [(4,)]
+
+
+def test_standard_configs(spark, semantic):
+    assert len(expand_grid(configs.full_grid()["model_config"])) == 3 + 24 + 112 + 224 + 288
+    assert len(expand_grid(configs.smoke_run()["model_config"])) == 4
+    assert len(expand_grid(configs.interpretable()["model_config"])) == 1
+    evaluation = configs.full_grid()["eval_config"]
+    assert len(metric_names(evaluation["metrics"], evaluation["k"])) == 72
+    splits, matrix = build_matrix(spark, configs.full_grid(), semantic)
+    assert len(splits) == 55
+    assert len(matrix.columns) == 2 + 4 + 30 + 12 * 2 + 4 + 2 + 1
+    _, plain = build_matrix(spark, configs.interpretable(), semantic)
+    assert [c for c in plain.columns if c.startswith("events_")] == [
+        f"events_{n}{flag}" for n in ("sum_found_violation", "sum_citizen_complaint", "sum_penalty_amount", "days_since_event_date")
+        for flag in ("", "_impute_flag")]
+    assert matrix.count() > 0
