@@ -44,7 +44,8 @@ def asof_latest_version(
     and hand the last version of a key from one range to the next.
 
     `event_order` / `version_order` decide among rows that share a key and a time.
-    Events before the first version, and NULL keys or times, have no match.
+    Events before the first version, and NULL keys or times, have no match.  A column
+    that both sides have is the version's.
     """
     events = events.where(F.col(event_key).isNotNull() & F.col(event_ts).isNotNull())
     versions = versions.where(F.col(version_key).isNotNull() & F.col(version_ts).isNotNull())

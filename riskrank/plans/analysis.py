@@ -36,6 +36,7 @@ def run_analysis(
 ) -> dict[str, DataFrame]:
     """Series over time, best models, precision/recall curves, top features, cross-tabs, disparity.
 
+    The experiment may have just run or be loaded from its tables.
     Curves, cross-tabs and disparity are taken from the latest test split; the
     cross-tabs and curves of the best models and, unless told otherwise, of the
     baselines.  Feature importances are of the models of the `first` repeat, or of
@@ -58,7 +59,7 @@ def run_analysis(
     picked = last_results.join(chosen, "model_id", "left_semi")
     curve_names = [c for c in experiment.metric_columns if not c.startswith("num_labeled_samples")]
     shown = last.repeat if importances_of == "last" else min(s.repeat for s in experiment.splits)
-    importances = experiment.importances.where(F.col("repeat") == shown).drop("repeat").join(
+    importances = experiment.importances.where(F.col("repeat") == shown).select("model_id", "feature", "importance").join(
         chosen, "model_id", "left_semi")
 
     tables = {

@@ -60,8 +60,9 @@ def build_matrix(
 
     Tables are the given frames, or else catalog tables under `prefix`.  Without
     their own `query` in the config (SQL text, or a function of session and splits),
-    cohort and labels use the one-pass operators on the events and labels tables.  Labels are joined here, while
-    both sides are still partitioned by entity, and travel with the rows from now on.
+    cohort and labels use the one-pass operators on the events and labels tables.
+    Labels are joined here, while both sides are still partitioned by entity, and
+    travel with the rows from now on.
     """
     splits = temporal_splits(cfg["temporal_config"], cohort_as_of)
     cohort_query = cfg.get("cohort_config", {}).get("query")
@@ -160,7 +161,10 @@ def run_experiment(
     columns = [*EVALUATION, *ROW, "model_id", "probability", "rank", "group_rows", "label"]
     ranking = reduce(DataFrame.unionByName, [r.select(*columns) for r in ranked])
 
-    models = reduce(DataFrame.unionByName, infos).withColumn("experiment_id", F.lit(experiment_id))
+    models, found = reduce(DataFrame.unionByName, infos), reduce(DataFrame.unionByName, importances)
+    if output is not None:
+        keep(splits_frame(spark, splits), "splits")
+        models, found = keep(models, "model_info"), keep(found, "importances")
     dates = {s.repeat: s.label_start for s in splits if s.role == "test"}
     date_of = F.create_map(*[x for r, d in dates.items() for x in (F.lit(r), F.lit(d))])
     results = (results_table(metrics_at_k(ranking, None, metrics, ks, group=group),
@@ -174,5 +178,20 @@ def run_experiment(
         write_csv(results, f"{output}/results_csv/{experiment_id}")
     predictions = top_k_flags(ranking.where("role = 'test'").drop("label", "role"), ks)
     return Experiment(experiment_id, splits, matrix, models, keep(predictions, "predictions", ["split_id"]),
-                      results, reduce(DataFrame.unionByName, importances),
-                      feature_columns, names, len(grid))
+                      results, found, feature_columns, names, len(grid))
+
+
+def load_experiment(spark: SparkSession, output: str, experiment_id: str) -> Experiment:
+    """A finished experiment from its written tables, for analysis without fitting again."""
+    def table(name: str) -> DataFrame:
+        df = spark.read.parquet(f"{output}/{name}/experiment_id={experiment_id}")
+        return df.withColumn("experiment_id", F.lit(experiment_id))
+
+    matrix, results, models = table("matrix"), table("results"), table("model_info")
+    fields = list(TimeSplit.__dataclass_fields__)
+    # the split plan and the grid are config-sized
+    splits = [TimeSplit(*r) for r in table("splits").select(*fields).orderBy("split_id").collect()]
+    return Experiment(
+        experiment_id, splits, matrix, models, table("predictions"), results, table("importances"),
+        [c for c in matrix.columns if c not in (*ROW, "label", "experiment_id")],
+        [c for c in results.columns if "_at_" in c], models.select("model_id").distinct().count())

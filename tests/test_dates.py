@@ -4,6 +4,9 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from dateutil.relativedelta import relativedelta
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from riskrank.functions.dates import Interval, date_cell, parse_date, parse_interval, shift
@@ -33,6 +36,17 @@ def test_shift_clamps_at_month_end():
     assert parse_date("2024-05-06") == date(2024, 5, 6)
 
 
+@given(st.dates(date(1950, 1, 1), date(2100, 1, 1)), st.integers(-60, 60), st.integers(-400, 400))
+def test_shift_is_calendar_arithmetic(day, months, days):
+    assert shift(day, Interval(months, days)) == day + relativedelta(months=months, days=days)
+
+
+@given(st.integers(0, 99), st.integers(0, 99), st.integers(0, 999))
+def test_intervals_read_back(years, months, days):
+    text = f"{years} years {months} months {days} days"
+    assert parse_interval(text) == Interval(12 * years + months, days)
+
+
 CFG = {"feature_start_time": "2001-01-01", "feature_duration": "10 years", "label_duration": "1 year",
        "feature_aod_interval": "1 year", "train_repeat_interval": "1 year", "num_train_repeat": 5}
 

@@ -13,7 +13,7 @@ from riskrank.operators.metrics import metric_names
 from riskrank.operators.modeling import expand_grid
 from riskrank.plans import configs
 from riskrank.plans.analysis import all_importances, run_analysis
-from riskrank.plans.experiment import build_matrix, run_experiment
+from riskrank.plans.experiment import build_matrix, load_experiment, run_experiment
 from riskrank.plans.preprocessing import load_sources, run_preprocessing, run_steps
 from riskrank.sources.sinks import write_table
 from tests.helpers import d, rows
@@ -97,8 +97,13 @@ def semantic(spark):
 
 
 @pytest.fixture(scope="module")
-def experiment(spark, semantic, tmp_path_factory):
-    return run_experiment(spark, CFG, semantic, output=str(tmp_path_factory.mktemp("out")))
+def output(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("out"))
+
+
+@pytest.fixture(scope="module")
+def experiment(spark, semantic, output):
+    return run_experiment(spark, CFG, semantic, output=output)
 
 
 def test_semantic_layer(semantic):
@@ -150,6 +155,17 @@ def test_written_and_unwritten_runs_agree(spark, semantic, experiment):
     assert rows(lazy.results.where(base), *picked) == rows(experiment.results.where(base), *picked)
 
 
+def test_loaded_experiment_is_analysed_alike(spark, experiment, output):
+    loaded = load_experiment(spark, output, experiment.experiment_id)
+    assert loaded.splits == experiment.splits and loaded.feature_columns == experiment.feature_columns
+    assert loaded.metric_columns == experiment.metric_columns and loaded.grid_size == 4
+    args = dict(metric="precision_score_at_10", n_models=2, min_support=0)
+    one, other = run_analysis(experiment, **args), run_analysis(loaded, **args)
+    for name, df in one.items():
+        picked = [F.round(f"`{c}`", 9) if t == "double" else F.col(c) for c, t in df.dtypes]
+        assert rows(df, *picked) == rows(other[name], *picked), name
+
+
 def test_analysis(experiment, tmp_path):
     tables = run_analysis(experiment, metric="precision_score_at_10", n_models=2, min_support=0,
                           group_threshold=75000, output=str(tmp_path))
