@@ -154,7 +154,8 @@ _ROLLUP = dict(key="entity_key", version="received", event_date="started",
 
 
 def _rollup_inputs(spark: SparkSession, sf: str):
-    inspections = cut_lineage(_matched(spark, sf))
+    inspections = cut_lineage(_matched(spark, sf).select(
+        "entity_key", "received", "started", "determined", "found", "complaint", "amount"))
     return (inspections, _entity_ids(spark, sf),
             assign_surrogate_ids(inspections, ["entity_key", "received"]))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskrank.functions.dates import date_cell, next_day
 from riskrank.operators.splits import (
-    Span, TimeSplit, distinct_spans, known_cuts, span_cuts, spread_over_spans, to_split_rows,
+    Span, TimeSplit, distinct_spans, known_cuts, require_dates, span_cuts, spread_over_spans, to_split_rows,
     visible_rows,
 )
 
@@ -29,6 +29,7 @@ def build_cohort(
     as_of: dict = {}
     for s in splits:
         as_of.setdefault(s.as_of, []).append(s.split_id)
+    # a cohort looks back without limit: only the ends of these spans matter
     spans = [Span(day, day, tuple(ids)) for day, ids in sorted(as_of.items())]
     first = (events.where(F.col(event_date) <= F.lit(spans[-1].end)).groupBy(entity)
              .agg(F.min(event_date).alias("_first")))
@@ -52,6 +53,7 @@ def select_labels(
     The window includes both ends, so the day it shares with the feature window
     counts twice; `half_open=True` leaves its first day to the features.
     """
+    require_dates(labels, event_date, knowledge_date)
     spans = distinct_spans(splits, "label")
     if half_open:
         spans = [Span(next_day(s.start), s.end, s.split_ids) for s in spans]

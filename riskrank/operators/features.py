@@ -14,7 +14,8 @@ from riskrank.functions.expressions import ratio
 from riskrank.operators.asof import first_per_group
 from riskrank.operators.imputation import fill_columns, fill_statistics, parse_strategy
 from riskrank.operators.splits import (
-    Span, TimeSplit, distinct_spans, known_cuts, span_cuts, spread_over_spans, to_split_rows, visible_rows,
+    Span, TimeSplit, distinct_spans, known_cuts, require_dates, span_cuts, spread_over_spans, to_split_rows,
+    visible_rows,
 )
 from riskrank.session import broadcast_if_small, cut_lineage, join_large
 
@@ -96,6 +97,7 @@ def window_features(
 
 def _window_rows(events, spans, features, entity, event_date, knowledge_date) -> DataFrame:
     """(entity, _span, features): as above, before spans are unfolded to splits."""
+    require_dates(events, event_date, knowledge_date)
     combined = [f for f in features if f.metric in _COMBINED]
     direct = [f for f in features if f.metric not in _COMBINED]
     seen = visible_rows(events, spans, event_date, knowledge_date)
@@ -188,6 +190,7 @@ def latest_record_asof(
 
 
 def _latest_rows(df, spans, date_col, entity, tiebreak=()) -> DataFrame:
+    require_dates(df, date_col)
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in (entity, date_col)]
     order = [F.col(date_col).desc(), *tiebreak, *rest]
     cell = date_cell(F.col(date_col), span_cuts(spans))

@@ -146,6 +146,14 @@ def visible_rows(
     return seen
 
 
+def require_dates(df: DataFrame, *columns: str) -> None:
+    """Date cells are whole days, so the columns they are made from must be dates."""
+    for c in columns:
+        kind = df.schema[c].dataType.simpleString()
+        if kind != "date":
+            raise TypeError(f"column {c!r} is a {kind}, expected a date: cast it first")
+
+
 def span_cuts(spans: Sequence[Span], extra: Sequence[date] = ()) -> list[date]:
     """Days on which the answer to any span's event-date test can change."""
     return sorted({s.start for s in spans} | {next_day(s.end) for s in spans} | set(extra))

@@ -20,7 +20,7 @@ from riskrank.operators.modeling import (
 )
 from riskrank.operators.ranking import rank_scores, top_k_flags
 from riskrank.operators.splits import TimeSplit, splits_frame, temporal_splits
-from riskrank.session import broadcast_if_small, cut_lineage
+from riskrank.session import broadcast_if_small, cut_lineage, entity_partitioning
 from riskrank.sources.sinks import write_csv, write_table
 
 # a ranking pools all rows of one role of one repeat
@@ -124,7 +124,8 @@ def run_experiment(
 
     splits, matrix = build_matrix(spark, cfg, tables, prefix=prefix, cohort_as_of=cohort_as_of)
     feature_columns = [c for c in matrix.columns if c not in (*ROW, "label")]
-    matrix = keep(matrix, "matrix", ["split_id"])
+    with entity_partitioning(spark):
+        matrix = keep(matrix, "matrix", ["split_id"])
     ks, metrics = cfg["eval_config"]["k"], cfg["eval_config"]["metrics"]
     names = metric_names(metrics, ks)
 

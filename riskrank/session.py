@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,6 @@ from pyspark.sql import functions as F
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # entity-partitioned sides stay put in joins on (entity, split): an entity has at
-    # most one row per split there, so no partition can grow hot
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
@@ -69,6 +67,24 @@ def release_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def entity_partitioning(spark: SparkSession):
+    """Let joins on (entity, split) reuse a partitioning by entity, for the actions inside.
+
+    Cohorts, feature blocks and labels end up partitioned by entity, with at most one
+    row per entity and split, so no partition can grow hot and the joins need no
+    further shuffle.  The setting is put back, because elsewhere it could favour a
+    partitioning by a skewed subset of the join keys.
+    """
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def join_large(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join two sides that both grow with the entities: always sort-merge.
 

@@ -254,6 +254,12 @@ def test_union_splits_and_frame(spark):
     assert splits_frame(spark, SPLITS).count() == len(SPLITS)
 
 
+def test_timestamps_are_refused(spark):
+    df = spark.createDataFrame(_events(3), SCHEMA).withColumn("event_date", F.col("event_date").cast("timestamp"))
+    with pytest.raises(TypeError, match="expected a date"):
+        window_features(df, SPLITS, compile_features(CONFIG))
+
+
 def test_unknown_table_type(spark):
     with pytest.raises(ValueError):
         feature_block(spark, {"x": spark.range(1)}, SPLITS, {"prefix": "x", "from_table": "x", "table_type": "other"})

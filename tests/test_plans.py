@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from riskrank.session import entity_partitioning
 from tests.helpers import plan_of
 
 SF = "/root/testdata/sf0.001"
@@ -14,7 +15,13 @@ GATHERED = {"entity_ids", "event_ids", "rollup_events", "rollup_labels", "report
             "run_preprocessing_reporting"}
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if not n.startswith(("run_experiment", "run_analysis"))])
+# these fit models or run whole experiments; their parts are covered by the other queries
+HEAVY = {"fit_grid", "score_models", "logistic_model", "tree_model", "feature_importance", "results_over_time",
+         "select_best_models", "select_best_models_multi", "baseline_models", "base_rate_series", "top_features",
+         "importance_matrix", "run_experiment", "run_experiment_predictions", "run_experiment_models", "run_analysis"}
+
+
+@pytest.mark.parametrize("name", [n for n in contract.queries() if n not in HEAVY])
 def test_plan(spark, name):
     plan = plan_of(contract.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
@@ -36,3 +43,12 @@ def test_scans_read_only_needed_columns(spark, name, columns):
 def test_split_dates_filter_the_scan(spark):
     plan = plan_of(contract.queries()["window_features"](spark, SF))
     assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in plan and "LessThan(ts,2024-01-27T00:00)" in plan
+
+
+def test_matrix_joins_reuse_the_partitioning_by_entity(spark):
+    matrix = contract.queries()["training_matrix"]
+    with entity_partitioning(spark):
+        kept = plan_of(matrix(spark, SF)).count("Exchange hashpartitioning(split_id")
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    shuffled = plan_of(matrix(spark, SF)).count("Exchange hashpartitioning(split_id")
+    assert kept == 1 and shuffled > 1  # the one left is the statistics per split
