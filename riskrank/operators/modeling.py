@@ -120,11 +120,13 @@ def register_model(kind: str, builder: Builder) -> None:
     _BUILDERS[kind] = builder
 
 
-def _fit_one(model: Model, train: DataFrame, rows: int) -> Model:
+def _fit_one(model: Model, train: DataFrame, rows: int, feature_columns: Sequence[str]) -> Model:
     try:
         if model.is_baseline:
-            if model.kwargs.get("sort", "desc") not in ("asc", "desc") or "column" not in model.kwargs:
-                raise ValueError("a rank baseline needs a column and sort 'asc' or 'desc'")
+            if model.kwargs.get("sort", "desc") not in ("asc", "desc"):
+                raise ValueError("sort must be 'asc' or 'desc'")
+            if model.kwargs.get("column") not in feature_columns:
+                raise ValueError(f"no feature column {model.kwargs.get('column')!r}")
         else:
             stages = _BUILDERS[model.kind](rows, **model.kwargs)
             model.spark_params = {p.name: v for p, v in stages[-1].extractParamMap().items()
@@ -157,7 +159,7 @@ def fit_grid(
     try:
         count = rows.count() if any(not m.is_baseline for m in models) else 0
         task = inheritable_thread_target(matrix.sparkSession)(
-            lambda m: _fit_one(Model(m.model_id, m.model_class, dict(m.kwargs)), train, count))
+            lambda m: _fit_one(Model(m.model_id, m.model_class, dict(m.kwargs)), train, count, feature_columns))
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             return list(pool.map(task, models))
     finally:
@@ -224,10 +226,7 @@ def score_models(
             for i, m in enumerate(chunk)]))
         passes.append(wide.select(*keys, scored.alias("_s")).select(*keys, "_s.*"))
     if not passes:
-        kinds = {f.name: f.dataType for f in features.schema}
-        return features.select(*keys).limit(0).select(
-            *[F.col(k).cast(kinds[k]) for k in keys], F.lit("").alias("model_id"),
-            F.lit(0.0).alias("probability"))
+        return features.select(*keys, F.lit("").alias("model_id"), F.lit(0.0).alias("probability")).limit(0)
     return reduce(DataFrame.unionByName, passes)
 
 

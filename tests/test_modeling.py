@@ -98,6 +98,13 @@ def test_missing_features_fail_the_fit_but_not_the_grid(spark, matrix):
     assert score_models(models, matrix, ["a", "b"]).count() == 0
 
 
+def test_baseline_on_an_unknown_column_is_reported(matrix):
+    grid = {"RankBaseline": {"column": ["a", "nowhere"], "sort": ["asc", "up"]}}
+    models = fit_grid(matrix, ["a", "b"], expand_grid(grid))
+    assert [m.fit_status == "ok" for m in models] == [True, False, False, False]
+    assert score_baselines(models, matrix).select("model_id").distinct().count() == 1
+
+
 def test_saved_models_score_the_same(matrix, fitted, tmp_path):
     chosen = [m for m in fitted if m.fitted is not None][:4]
     save_models(chosen, str(tmp_path))
