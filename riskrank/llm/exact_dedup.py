@@ -19,11 +19,11 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskrank.llm.frames import located, rows_at
 from riskrank.llm.text import LOWER, column
 from riskrank.session import cut_lineage, scratch_path
 
@@ -47,15 +47,6 @@ def _settings(spark: SparkSession, values: dict[str, str]):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """`docs` as a scan of files, whose rows have a lasting place; anything else is written once first."""
-    try:
-        docs.select("_metadata.file_path", "_metadata.row_index")
-        return docs
-    except AnalysisException:
-        return cut_lineage(docs)
-
-
 def _contents(texts) -> Iterator[bytes]:
     data, offsets = column(texts)
     raw, ends = LOWER[data].tobytes(), offsets.tolist()
@@ -149,7 +140,4 @@ def dedup_exact(docs: DataFrame, digest: Callable[[bytes], bytes] = sha256, doc_
 def drop_exact_copies(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that stay, with their columns."""
     docs = located(docs)
-    stay = dedup_exact(docs, **options).filter("kept").select(F.col("file").alias("_f"), F.col("row").alias("_r"))
-    place = docs.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_place"))
-    return (place.join(stay, (F.col("_place.file_path") == F.col("_f")) & (F.col("_place.row_index") == F.col("_r")),
-                       "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return rows_at(docs, dedup_exact(docs, **options).filter("kept"))

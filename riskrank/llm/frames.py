@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskrank.session import cut_lineage
+
 #: What the contracts call a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -45,3 +48,21 @@ def record(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     """A batch of plain numpy or Python columns in the given schema."""
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type, from_pandas=False)
                                        for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """`docs` as a scan of files, whose rows have a lasting place; anything else is written once first."""
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+        return docs
+    except AnalysisException:
+        return cut_lineage(docs)
+
+
+def rows_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of located `docs` at the given places (`file`, `row`), with all their columns."""
+    placed = docs.select(*[F.col(f"`{c}`") for c in docs.columns],
+                         F.struct("_metadata.file_path", "_metadata.row_index").alias(place := free_name(docs, "at")))
+    wanted = places.select(F.col("file").alias("_file"), F.col("row").alias("_row"))
+    return placed.join(wanted, (placed[place]["file_path"] == wanted["_file"])
+                       & (placed[place]["row_index"] == wanted["_row"]), "left_semi").drop(place)

@@ -9,10 +9,12 @@ from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
+import public_tokenizers as TOKENIZER
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrank.llm import exact_dedup, quality, url_filter
+from riskrank.llm import exact_dedup, mixing, packing, quality, simhash, url_filter
+from riskrank.session import cut_lineage
 
 _ROOT = Path(__file__).resolve().parents[2]
 
@@ -53,12 +55,36 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     return judged.select("doc_id", "quality.*")
 
 
+@_table("documents")
+def near(docs: DataFrame) -> DataFrame:
+    found = simhash.near_duplicates(docs, width=3, bits=3)
+    return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
 @_table("documents")
 def exact(docs: DataFrame) -> DataFrame:
     return exact_dedup.dedup_exact(docs).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    pieces = cut_lineage(packing.token_pieces(docs, TOKENIZER.path("word_bpe_49k.json"), end=1, capacity=4096))
+    return packing.pack(pieces).select(
+        F.col("id").alias("doc_id"), F.col("piece").cast("int").alias("piece"), "start", "length",
+        F.col("crc").alias("ids_crc32"), F.col("sequence").alias("sequence_id"), "offset")
+
+
+@_table("documents")
+def packed(docs: DataFrame) -> DataFrame:
+    return _packed(docs)
+
+
+@_table("documents")
+def mixed(docs: DataFrame) -> DataFrame:
+    return mixing.taken_words(mixing.mix_sources(docs)).withColumnRenamed("id", "doc_id")
+
+
 @_table("pages")
 def url_rules(pages: DataFrame) -> DataFrame:
     return url_filter.filter_urls(pages.select("page_id", "url"), URL_RULES).select("page_id", "url_verdict.*")
@@ -66,6 +92,9 @@ def url_rules(pages: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_divergence": quality_rules,
+    "op3_simhash_pivots": near,
     "op5_streaming_exact_dedup": exact,
+    "op6_genetic_packing": packed,
+    "op7_source_mixing": mixed,
     "op10_url_trie": url_rules,
 }
