@@ -9,11 +9,11 @@ from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
-import public_tokenizers as TOKENIZER
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrank.llm import exact_dedup, mixing, packing, quality, simhash, url_filter
+from riskrank.llm import exact_dedup, mixing, packing, quality, simhash, substrings, url_filter
 from riskrank.session import cut_lineage
 
 _ROOT = Path(__file__).resolve().parents[2]
@@ -55,6 +55,12 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     return judged.select("doc_id", "quality.*")
 
 
+@_table("documents")
+def repeats(docs: DataFrame) -> DataFrame:
+    return (substrings.remove_repeats(docs, width=20).withColumnRenamed("id", "doc_id")
+            .select("doc_id", "n_words", "n_removed", "kept_sha256"))
+
+
 @_table("documents")
 def near(docs: DataFrame) -> DataFrame:
     found = simhash.near_duplicates(docs, width=3, bits=3)
@@ -69,7 +75,7 @@ def exact(docs: DataFrame) -> DataFrame:
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    pieces = cut_lineage(packing.token_pieces(docs, TOKENIZER.path("word_bpe_49k.json"), end=1, capacity=4096))
+    pieces = cut_lineage(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end=1, capacity=4096))
     return packing.pack(pieces).select(
         F.col("id").alias("doc_id"), F.col("piece").cast("int").alias("piece"), "start", "length",
         F.col("crc").alias("ids_crc32"), F.col("sequence").alias("sequence_id"), "offset")
@@ -92,6 +98,7 @@ def url_rules(pages: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_divergence": quality_rules,
+    "op2_window_dedup": repeats,
     "op3_simhash_pivots": near,
     "op5_streaming_exact_dedup": exact,
     "op6_genetic_packing": packed,
