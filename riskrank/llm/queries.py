@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrank.llm import exact_dedup, mixing, packing, quality, simhash, substrings, url_filter
+from riskrank.llm import exact_dedup, mixing, packing, quality, simhash, substrings, suffixes, url_filter
 from riskrank.session import cut_lineage
 
 _ROOT = Path(__file__).resolve().parents[2]
@@ -91,6 +91,12 @@ def mixed(docs: DataFrame) -> DataFrame:
     return mixing.taken_words(mixing.mix_sources(docs)).withColumnRenamed("id", "doc_id")
 
 
+@_table("documents")
+def repeated_bytes(docs: DataFrame) -> DataFrame:
+    return (suffixes.remove_repeated_bytes(docs, width=200).withColumnRenamed("id", "doc_id")
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 @_table("pages")
 def url_rules(pages: DataFrame) -> DataFrame:
     return url_filter.filter_urls(pages.select("page_id", "url"), URL_RULES).select("page_id", "url_verdict.*")
@@ -103,5 +109,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_streaming_exact_dedup": exact,
     "op6_genetic_packing": packed,
     "op7_source_mixing": mixed,
+    "op8_bucket_pointer_dedup": repeated_bytes,
     "op10_url_trie": url_rules,
 }
