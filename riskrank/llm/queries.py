@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrank.llm import exact_dedup, mixing, packing, quality, simhash, substrings, suffixes, url_filter
+from riskrank.llm import exact_dedup, langid, mixing, packing, quality, simhash, substrings, suffixes, url_filter
+from riskrank.llm.frames import remainder
 from riskrank.session import cut_lineage
 
 _ROOT = Path(__file__).resolve().parents[2]
@@ -97,6 +98,16 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
             .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
 
+@_table("documents")
+def language(docs: DataFrame) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    training = langid.Training()
+    model = langid.train(*langid.labelled_sample(docs.filter(~held_out).select("doc_id", "text", "lang"), training),
+                         training)
+    return langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).select(
+        "doc_id", "held_out", F.col("language.lang").alias("lang_pred"), "language.score", "language.rejected")
+
+
 @_table("pages")
 def url_rules(pages: DataFrame) -> DataFrame:
     return url_filter.filter_urls(pages.select("page_id", "url"), URL_RULES).select("page_id", "url_verdict.*")
@@ -110,5 +121,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_genetic_packing": packed,
     "op7_source_mixing": mixed,
     "op8_bucket_pointer_dedup": repeated_bytes,
+    "op9_language_id": language,
     "op10_url_trie": url_rules,
 }
