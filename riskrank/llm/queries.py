@@ -2,46 +2,29 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
+import zlib
 from collections.abc import Callable
 from functools import wraps
-from pathlib import Path
 
-import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrank.llm import exact_dedup, langid, mixing, packing, quality, simhash, substrings, suffixes, url_filter
+from riskrank.llm import (exact_dedup, langid, mixing, quality, simhash, substrings, suffix_tree, suffixes,
+                          url_filter)
 from riskrank.llm.frames import remainder
-from riskrank.session import cut_lineage
-
-_ROOT = Path(__file__).resolve().parents[2]
+from riskrank.llm.shipping import ship
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
              ("allow", "org", "/fr/")]
 
 
-def _ship(spark: SparkSession) -> None:
-    """Send the package to the executors, unless their Python path has it already."""
-    sc = spark.sparkContext
-    if str(_ROOT) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_riskrank_sent", False):
-        return
-    archive = Path(tempfile.mkdtemp(prefix="riskrank-"), "riskrank.zip")  # the driver serves it to the executors
-    with zipfile.ZipFile(archive, "w") as out:
-        for source in sorted((_ROOT / "riskrank").rglob("*.py")):
-            out.write(source, source.relative_to(_ROOT))
-    sc.addPyFile(str(archive))
-    sc._riskrank_sent = True
-
-
 def _table(name: str) -> Callable:
     """Make a query of (spark, sf_dir) from a function of one table."""
     def wrap(query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         @wraps(query)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            _ship(spark)
+            ship(spark)
             return query(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
         return run
@@ -69,22 +52,23 @@ def near(docs: DataFrame) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+@_table("documents")
+def tree_scores(docs: DataFrame) -> DataFrame:
+    def learns(doc_id: int | None) -> bool:
+        return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 5 != 1
+
+    return suffix_tree.score_documents(docs, learns).withColumnRenamed("id", "doc_id")
+
+
 @_table("documents")
 def exact(docs: DataFrame) -> DataFrame:
     return exact_dedup.dedup_exact(docs).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    pieces = cut_lineage(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end=1, capacity=4096))
-    return packing.pack(pieces).select(
-        F.col("id").alias("doc_id"), F.col("piece").cast("int").alias("piece"), "start", "length",
-        F.col("crc").alias("ids_crc32"), F.col("sequence").alias("sequence_id"), "offset")
-
-
 @_table("documents")
 def packed(docs: DataFrame) -> DataFrame:
-    return _packed(docs)
+    return corpus_pipeline.pack(docs.sparkSession, docs, "")
 
 
 @_table("documents")
@@ -117,10 +101,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_divergence": quality_rules,
     "op2_window_dedup": repeats,
     "op3_simhash_pivots": near,
+    "op4_suffix_tree": tree_scores,
     "op5_streaming_exact_dedup": exact,
     "op6_genetic_packing": packed,
     "op7_source_mixing": mixed,
     "op8_bucket_pointer_dedup": repeated_bytes,
     "op9_language_id": language,
     "op10_url_trie": url_rules,
+    "pipeline": corpus_pipeline.run,
 }
