@@ -27,7 +27,12 @@ from riskrank.llm.frames import located, rows_at
 from riskrank.llm.text import LOWER, column
 from riskrank.session import cut_lineage, scratch_path
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk.  Without preallocation a store takes the space of its rows, not 4 MB per partition at least.
+_STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(content: bytes) -> bytes:
@@ -71,13 +76,13 @@ def _drain(spark: SparkSession, feed: str, schema: T.StructType, files_per_batch
     state = scratch_path(spark, "state")
     kept = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(feed)
             .groupBy("digest").agg(F.max(F.struct("id", "file", "row")), F.count(F.lit(1))))
-    with _settings(spark, {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB}):
+    with _settings(spark, _STATE_STORE):
         query = (kept.writeStream.outputMode("update").format("noop").trigger(availableNow=True)
                  .option("checkpointLocation", state).start())
-    query.awaitTermination()
-    final = spark.read.format("statestore").load(state)
-    keeper, seen = [f"value.`{f.name}`" for f in final.schema["value"].dataType.fields][-2:]
-    return final.select(F.col("key.digest"), F.col(keeper).alias("keeper"), F.col(seen).alias("seen"))
+        query.awaitTermination()
+        final = spark.read.format("statestore").load(state)
+        keeper, seen = [f"value.`{f.name}`" for f in final.schema["value"].dataType.fields][-2:]
+        return cut_lineage(final.select(F.col("key.digest"), F.col(keeper).alias("keeper"), F.col(seen).alias("seen")))
 
 
 def _ambiguous(rows: DataFrame, digest: Callable[[bytes], bytes]) -> DataFrame:
@@ -126,7 +131,7 @@ def dedup_exact(docs: DataFrame, digest: Callable[[bytes], bytes] = sha256, doc_
     if entries.isEmpty():
         final = entries.select("digest", F.struct("id", "file", "row").alias("keeper"), F.lit(0).alias("seen"))
     else:
-        final = cut_lineage(_drain(spark, feed, schema, files_per_batch))
+        final = _drain(spark, feed, schema, files_per_batch)
     judged = entries.join(final, "digest").select("id", "file", "row", "digest", "keeper", "seen")
     ambiguous = cut_lineage(_ambiguous(rows, digest))
     if not ambiguous.isEmpty():
