@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskrank.llm.frames import located, rows_at
+from riskrank.llm.frames import keyed, located, rows_at
 from riskrank.llm.text import LOWER, column
 from riskrank.session import cut_lineage, scratch_path
 
@@ -63,7 +63,7 @@ def _entries(rows: DataFrame, digest: Callable[[bytes], bytes]) -> DataFrame:
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = pa.array([digest(c) for c in _contents(batch.column("text"))], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), keys],
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("id", "file", "row")), keys],
                                              names=["id", "file", "row", "digest"])
 
     schema = T.StructType([rows.schema["id"], T.StructField("file", T.StringType()),
@@ -122,8 +122,7 @@ def dedup_exact(docs: DataFrame, digest: Callable[[bytes], bytes] = sha256, doc_
     """
     docs = located(docs)
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).alias("id"), F.col("_metadata.file_path").alias("file"),
-                       F.col("_metadata.row_index").alias("row"), F.col(text).cast("string").alias("text"))
+    rows = keyed(docs, id=F.col(doc_id), text=F.col(text).cast("string"))
     feed = scratch_path(spark, "feed")
     _entries(rows, digest).write.parquet(feed)
     schema = _entries(rows, digest).schema

@@ -50,19 +50,32 @@ def record(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
                                        for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def place(docs: DataFrame) -> tuple[Column, Column]:
+    """Where a row of scanned files lies: the file, and its number in it (whatever the columns are called)."""
+    meta = docs.metadataColumn("_metadata")
+    return meta["file_path"], meta["row_index"]
+
+
 def located(docs: DataFrame) -> DataFrame:
     """`docs` as a scan of files, whose rows have a lasting place; anything else is written once first."""
     try:
-        docs.select("_metadata.file_path", "_metadata.row_index")
+        docs.select(*place(docs))
         return docs
     except AnalysisException:
         return cut_lineage(docs)
 
 
+def keyed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The given columns of located `docs`, and the place of each row as `file` and `row`."""
+    file, row = place(docs)
+    return docs.select(*[c.alias(n) for n, c in columns.items()], file.alias("file"), row.alias("row"))
+
+
 def rows_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     """The rows of located `docs` at the given places (`file`, `row`), with all their columns."""
-    placed = docs.select(*[F.col(f"`{c}`") for c in docs.columns],
-                         F.struct("_metadata.file_path", "_metadata.row_index").alias(place := free_name(docs, "at")))
-    wanted = places.select(F.col("file").alias("_file"), F.col("row").alias("_row"))
-    return placed.join(wanted, (placed[place]["file_path"] == wanted["_file"])
-                       & (placed[place]["row_index"] == wanted["_row"]), "left_semi").drop(place)
+    names = docs.columns
+    file, row = place(docs)
+    placed = docs.select(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(names)], file.alias("file"),
+                         row.alias("row"))
+    kept = placed.join(places.select("file", "row"), ["file", "row"], "left_semi")
+    return kept.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)

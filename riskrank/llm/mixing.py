@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskrank.llm.frames import WORD, located, shuffle_width
+from riskrank.llm.frames import WORD, keyed, located, shuffle_width
 from riskrank.llm.text import blocks, mix
 from riskrank.session import cut_lineage
 
@@ -178,10 +178,9 @@ def mix_sources(docs: DataFrame, recipe: Recipe = Recipe(), doc_id: str = "doc_i
                 source: str = "source") -> Mix:
     """Decide, to the word, what the mix takes from which document."""
     spark, docs = docs.sparkSession, located(docs)
-    rows = cut_lineage(docs.select(
-        F.col(doc_id).alias("id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
-        F.col(source).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    rows = cut_lineage(keyed(
+        docs, id=F.col(doc_id), source=F.col(source).cast("string"),
+        size=F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")))
     totals = sorted(((r["source"], r["size"]) for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()),
                     key=lambda x: (x[0] is None, x[0] or ""))
     sources = [plan_source(i, name, size, target, recipe) for i, ((name, size), target) in
@@ -246,8 +245,7 @@ def mixed_documents(docs: DataFrame, recipe: Recipe = Recipe(), text: str = "tex
     spans = (mixture.pieces.groupBy("file", "row", "turn")
              .agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("spans")))
     names = list(docs.columns)
-    placed = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
-                         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    placed = keyed(docs, **{f"c{i}": docs[f"`{c}`"] for i, c in enumerate(names)})
     whole = placed.join(spans, ["file", "row"]).select(*[f"c{i}" for i in range(len(names))], "spans")
     at = names.index(text)
     chars = names.index(n_chars) if n_chars in names else None

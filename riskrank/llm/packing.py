@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskrank.llm.frames import located
+from riskrank.llm.frames import keyed, located
 from riskrank.llm.text import blocks
 from riskrank.llm.tokens import block_ids
 from riskrank.session import cut_lineage
@@ -47,9 +47,7 @@ class Evolution:
 def token_pieces(docs: DataFrame, tokenizer: str, end: int = 1, capacity: int = 4096, keep_ids: bool = False,
                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, file, row, piece, start, length, crc) of every piece; with `keep_ids` also its `ids`."""
-    docs = located(docs)
-    rows = docs.select(F.col(doc_id).alias("id"), F.col("_metadata.file_path").alias("file"),
-                       F.col("_metadata.row_index").alias("row"), F.col(text).cast("string").alias("text"))
+    rows = keyed(located(docs), id=F.col(doc_id), text=F.col(text).cast("string"))
     names = ["id", "file", "row", "piece", "start", "length", "crc", "ids"][: 7 + keep_ids]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +63,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end: int = 1, capacity: int =
                 crc = np.fromiter((zlib.crc32(raw[a:b]) for a, b in zip(begin.tolist(), stop.tolist(), strict=True)),
                                   np.int64, len(doc))
                 key = batch.slice(block.first, block.n_docs).take(pa.array(doc))
-                columns = [*key.columns[:3], *map(pa.array, (piece, piece * capacity, stop - begin, crc))]
+                columns = [*map(key.column, names[:3]), *map(pa.array, (piece, piece * capacity, stop - begin, crc))]
                 if keep_ids:
                     bounds32 = np.append(0, np.cumsum(stop - begin)).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(bounds32, pa.array(ids.astype(np.int64))))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskrank.llm.components import Forest, connected
-from riskrank.llm.frames import located, rows_at, shuffle_width
+from riskrank.llm.frames import keyed, located, rows_at, shuffle_width
 from riskrank.llm.text import Block, blocks, mix
 from riskrank.session import cut_lineage
 
@@ -236,8 +236,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, n_pivots: in
     """One row per input row: `id`, its place (`file`, `row`), `fp`, `component` (smallest id reachable), and `root`,
     a fingerprint that names the group."""
     docs = located(docs)
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col("_metadata.file_path").alias("file"),
-                       F.col("_metadata.row_index").alias("row"), F.col(text).alias("text"))
+    rows = keyed(docs, id=F.col(doc_id).cast("long"), text=F.col(text))
     marked = cut_lineage(fingerprints(rows, width))
     prints = cut_lineage(marked.groupBy("fp").agg(F.min("id").alias("rep")))
     stars = connected(link_forest(prints, bits, n_pivots))
