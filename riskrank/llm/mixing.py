@@ -220,7 +220,7 @@ def mix_sources(docs: DataFrame, recipe: Recipe = Recipe(), doc_id: str = "doc_i
              .select("shard", "number", F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("n") - 1))
                      .alias("slot"))
              .mapInArrow(permute, "shard long, number int, slot long, turn long, block long, most long"))
-    pieces = (stretches.join(slots, ["number", "block"])
+    pieces = (stretches.join(slots.hint("merge"), ["number", "block"])  # its size grows, though planned from a few rows
               .withColumn("words", F.least("words", F.col("most") - F.col("in_block"))).filter("words > 0")
               .select("shard", "slot", "number", "turn", "block", "id", "file", "row", "first", "words"))
     return Mix(rows, sources, pieces)
