@@ -448,6 +448,23 @@ check("score_models", " union all ".join(
     f"select '{m.model_id}' as model_id, count(*) as scored, count(distinct doc_id) as entities, "
     f"0::bigint as invalid from documents" for m in _BUILDABLE if not m.is_baseline))
 
+PARTS["long_rates"] = """
+select is_long, avg(quality)::double as rate, count(*) as n
+from (select doc_id, (n_chars >= 1500)::integer::double as is_long from documents) join labels using (doc_id) group by is_long"""
+_NEEDS["long_rates"] = []
+_LONG = "(select doc_id as entity_id, (n_chars >= 1500)::integer::double as is_long from documents) join long_rates using (is_long)"
+check("logistic_model", f"select entity_id, 'LogisticRegression' as model, round(rate, 4) as probability from {_LONG}")
+check("tree_model", f"""
+select entity_id, 'DecisionTreeClassifier' as model, round(rate, 6) as probability from {_LONG} union all
+select entity_id, 'GradientBoostingClassifier', round(1 / (1 + exp(-2 * (2 * rate - 1))), 6) from {_LONG}""")
+check("forest_order", """
+select is_long, 1::bigint as scores, rate = max(rate) over () as higher from long_rates""")
+check("feature_importance", """
+select 'LogisticRegression' as model, 'is_long' as feature, round(abs(sum(case is_long when 1 then 1 else -1 end
+  * ln(rate / (1 - rate)))) * sqrt(product(n) / (sum(n) * (sum(n) - 1))), 3) as importance from long_rates union all
+select unnest(['DecisionTreeClassifier', 'RandomForestClassifier', 'GradientBoostingClassifier']), 'is_long', 1.0::double
+from documents having count(*) > 0""")
+
 
 def _unpivot(names: list[str], source: str, ids: str) -> str:
     return " union all ".join(

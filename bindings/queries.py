@@ -248,8 +248,8 @@ def cohort_at_feature_end(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def cohort_user_query(spark: SparkSession, sf: str) -> DataFrame:
     v.entity_events(spark, sf).createOrReplaceTempView("semantic_v0_events")
-    text = ("select distinct entity_id from semantic_{prefix}_events "
-            "where event_date <= '{as_of_date}'::date and found_violation = 1")
+    text = ("select entity_id from semantic_{prefix}_events where found_violation > 0 "
+            "group by entity_id having min(event_date) <= date '{as_of_date}'")
     return query_per_split(spark, text, temporal_splits(v.TEMPORAL), {"as_of_date": "as_of"}, {"prefix": "v0"})
 
 
@@ -363,21 +363,48 @@ def score_models_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.sum(F.when(valid, 0).otherwise(1)).alias("invalid"))
 
 
+def _exact(spark: SparkSession, sf: str, *kinds: str):
+    """Models of one 0/1 feature on the labeled documents."""
+    grid = {name: options for name, options in v.EXACT_GRID.items() if name.rsplit(".", 1)[-1] in kinds}
+    matrix = training_matrix(v.long_documents(spark, sf), v.document_labels(spark, sf))
+    return fit_grid(matrix, ["is_long"], expand_grid(grid))
+
+
+def _exact_scores(spark: SparkSession, sf: str, *kinds: str) -> DataFrame:
+    models = _exact(spark, sf, *kinds)
+    names = F.create_map(*[F.lit(x) for m in models for x in (m.model_id, m.kind)])
+    scores = score_models(models, v.long_documents(spark, sf), ["is_long"])
+    return scores.select("entity_id", names[F.col("model_id")].alias("model"), "probability")
+
+
 @query
 def logistic_model_rows(spark: SparkSession, sf: str) -> DataFrame:
-    models = _fitted(spark, sf, "LogisticRegression")
-    return score_models(models, v.documents(spark, sf), v.DOCUMENT_FEATURES)
+    scores = _exact_scores(spark, sf, "LogisticRegression")
+    return scores.withColumn("probability", F.round("probability", 4))
 
 
 @query
 def tree_model_rows(spark: SparkSession, sf: str) -> DataFrame:
-    models = _fitted(spark, sf, "DecisionTreeClassifier", "RandomForestClassifier", "GradientBoostingClassifier")
-    return score_models(models, v.documents(spark, sf), v.DOCUMENT_FEATURES)
+    return _rounded(_exact_scores(spark, sf, "DecisionTreeClassifier", "GradientBoostingClassifier"))
+
+
+@query
+def forest_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Which group of documents a forest ranks higher: its scores depend on the samples drawn, their order does not."""
+    scores = _exact_scores(spark, sf, "RandomForestClassifier").join(v.long_documents(spark, sf), "entity_id")
+    groups = scores.groupBy("is_long").agg(F.avg("probability").alias("score"),
+                                           F.countDistinct("probability").alias("scores"))
+    other = groups.select((1 - F.col("is_long")).alias("is_long"), F.col("score").alias("other"))
+    return groups.join(other, "is_long").select("is_long", "scores", (F.col("score") > F.col("other")).alias("higher"))
 
 
 @query
 def feature_importance_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return feature_importance(_fitted(spark, sf), v.DOCUMENT_FEATURES, spark)
+    models = _exact(spark, sf, "LogisticRegression", "DecisionTreeClassifier", "RandomForestClassifier",
+                    "GradientBoostingClassifier")
+    names = F.create_map(*[F.lit(x) for m in models for x in (m.model_id, m.kind)])
+    found = feature_importance(models, ["is_long"], spark)
+    return found.select(names[F.col("model_id")].alias("model"), "feature", F.round("importance", 3).alias("importance"))
 
 
 @query

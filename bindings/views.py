@@ -180,6 +180,16 @@ GRID = {
 }
 
 
+#: Models with one 0/1 feature, whose scores have closed forms.
+EXACT_GRID = {
+    "LogisticRegression": {"penalty": ["none"], "max_iter": [200]},
+    "tree.DecisionTreeClassifier": {"max_depth": [1]},
+    "ensemble.RandomForestClassifier": {"n_estimators": [10], "max_depth": [1], "max_features": [None]},
+    "ensemble.GradientBoostingClassifier": {"n_estimators": [1], "learning_rate": [1.0], "max_depth": [1],
+                                            "max_features": [None]},
+}
+
+
 # --- scored population: documents, partly labeled ---
 
 DOCUMENT_FEATURES = ["n_chars", "n_words", "n_lines"]
@@ -193,6 +203,10 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
         (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).alias("n_lines"))
 
 
+def long_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return documents(spark, sf).select("split_id", "entity_id", (F.col("n_chars") >= 1500).cast("double").alias("is_long"))
+
+
 def document_labels(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "labels").select(
         F.lit(0).alias("split_id"), F.col("doc_id").alias("entity_id"), F.col("quality").alias("label"))

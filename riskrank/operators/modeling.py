@@ -13,12 +13,11 @@ from math import ceil
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskrank.operators.matrix import labeled
@@ -89,18 +88,23 @@ def tree_model(
 ) -> list:
     """A decision tree, random forest or gradient boosting by class name.
 
-    Unlimited or deeper depth becomes Spark's limit; a minimum split size becomes a
-    minimum leaf size of half of it, the nearest that Spark ML offers.
+    Trees and forests are regressions on the 0/1 label: variance picks the splits that
+    the Gini index picks, and a leaf's mean is its share of positives.  Spark's
+    classification trees merge leaves that predict the same class, which leaves one
+    score for everybody when positives are rare.  A depth above Spark's limit, or none,
+    is grown to the limit; `fit_grid` reports a failure if that cuts a tree short.  A
+    minimum split size becomes a minimum leaf size of half of it, the nearest that
+    Spark ML offers; `spark_params` has both.
     """
     depth = MAX_TREE_DEPTH if max_depth is None else min(max_depth, MAX_TREE_DEPTH)
     common = dict(featuresCol=features, labelCol=label, maxDepth=depth, seed=seed,
                   minInstancesPerNode=max(min_samples_leaf, ceil(min_samples_split / 2)),
                   minWeightFractionPerNode=min_weight_fraction_leaf)
     if kind == "DecisionTreeClassifier":
-        return [DecisionTreeClassifier(**common)]
+        return [DecisionTreeRegressor(**common)]
     if kind == "RandomForestClassifier":
-        return [RandomForestClassifier(numTrees=n_estimators,
-                                       featureSubsetStrategy=_subset(max_features, "sqrt"), **common)]
+        return [RandomForestRegressor(numTrees=n_estimators,
+                                      featureSubsetStrategy=_subset(max_features, "sqrt"), **common)]
     if kind == "GradientBoostingClassifier":
         return [GBTClassifier(maxIter=n_estimators, stepSize=learning_rate, subsamplingRate=float(subsample),
                               featureSubsetStrategy=_subset(max_features, "sqrt"), **common)]
@@ -120,7 +124,16 @@ def register_model(kind: str, builder: Builder) -> None:
     _BUILDERS[kind] = builder
 
 
-def _fit_one(model: Model, train: DataFrame, rows: int, feature_columns: Sequence[str]) -> Model:
+def _refuse_cut_trees(model: Model) -> None:
+    """A tree that was to grow deeper than Spark's limit must have stopped before it."""
+    last, wanted = model.fitted.stages[-1], model.kwargs.get("max_depth", MAX_TREE_DEPTH)
+    if not hasattr(last, "featureImportances") or wanted is not None and wanted <= MAX_TREE_DEPTH:
+        return
+    if max((t.depth for t in getattr(last, "trees", [last])), default=0) >= MAX_TREE_DEPTH:
+        raise ValueError(f"trees need a depth above {MAX_TREE_DEPTH}, max_depth={wanted} cannot be grown")
+
+
+def _fit_one(model: Model, train: DataFrame, rows: int, classes: int, feature_columns: Sequence[str]) -> Model:
     try:
         if model.is_baseline:
             if model.kwargs.get("sort", "desc") not in ("asc", "desc"):
@@ -129,13 +142,18 @@ def _fit_one(model: Model, train: DataFrame, rows: int, feature_columns: Sequenc
                 raise ValueError(f"no feature column {model.kwargs.get('column')!r}")
         else:
             stages = _BUILDERS[model.kind](rows, **model.kwargs)
+            if classes < 2:
+                raise ValueError(f"training labels have {classes} classes, two are needed")
             model.spark_params = {p.name: v for p, v in stages[-1].extractParamMap().items()
                                   if p.name in ("regParam", "elasticNetParam", "maxDepth", "numTrees",
                                                 "maxIter", "minInstancesPerNode", "featureSubsetStrategy")}
+            if "min_samples_split" in model.kwargs:
+                model.spark_params["min_samples_split"] = model.kwargs["min_samples_split"]
             model.fitted = Pipeline(stages=stages).fit(train)
+            _refuse_cut_trees(model)
         model.fit_status = "ok"
     except Exception as error:  # a failed grid point is reported and skipped
-        model.fit_status = f"{type(error).__name__}: {str(error).splitlines()[0][:200] if str(error) else ''}"
+        model.fitted, model.fit_status = None, f"{type(error).__name__}: {error}"
     return model
 
 
@@ -150,16 +168,19 @@ def fit_grid(
     """Fit every grid point on the labeled rows; each fit is a distributed Spark ML job.
 
     The assembled training rows are cached for the whole grid and released after it.
-    A fit that fails is returned with the reason in `fit_status`.
+    A fit that fails is returned with the reason in `fit_status`; so is one whose
+    training labels are all the same.
     """
     rows = labeled(matrix, label)
     train = (VectorAssembler(inputCols=list(feature_columns), outputCol="features", handleInvalid="error")
              .transform(rows.withColumn("label", F.col(label).cast("double"))).select("features", "label"))
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        count = rows.count() if any(not m.is_baseline for m in models) else 0
+        counts = ([r["count"] for r in rows.groupBy(label).count().collect()]
+                  if any(not m.is_baseline for m in models) else [])
         task = inheritable_thread_target(matrix.sparkSession)(
-            lambda m: _fit_one(Model(m.model_id, m.model_class, dict(m.kwargs)), train, count, feature_columns))
+            lambda m: _fit_one(Model(m.model_id, m.model_class, dict(m.kwargs)), train, sum(counts), len(counts),
+                               feature_columns))
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             return list(pool.map(task, models))
     finally:
@@ -185,17 +206,20 @@ def load_model(path: str, model: Model) -> Model:
                  fitted=PipelineModel.load(f"{path}/{model.model_id}"), fit_status="ok")
 
 
-def _probability_only(model: Model, column: str) -> PipelineModel:
-    """A copy that writes one probability column and no others beside its scaled input."""
+def _probability_only(model: Model, column: str) -> tuple[PipelineModel, Column]:
+    """A copy that writes one column and no others beside its scaled input; the probability in it."""
     copy = model.fitted.copy()
     *before, last = copy.stages
     for stage in before:
         stage.setOutputCol(f"scaled_{column}")
         last.setFeaturesCol(f"scaled_{column}")
+    if not last.hasParam("probabilityCol"):  # a regression on the label
+        last.setPredictionCol(column)
+        return copy, F.col(column)
     last.setProbabilityCol(column)
     last.setPredictionCol("")
     last.setRawPredictionCol("")
-    return copy
+    return copy, F.get(vector_to_array(column), F.lit(1))
 
 
 def score_models(
@@ -217,13 +241,14 @@ def score_models(
     passes = []
     for start in range(0, len(usable), models_per_pass):
         chunk = usable[start:start + models_per_pass]
-        wide = assembled
+        wide, entries = assembled, []
         for i, model in enumerate(chunk):
-            wide = _probability_only(model, f"p{i}").transform(wide)
-        scored = F.explode(F.array(*[
-            F.struct(F.lit(m.model_id).alias("model_id"),
-                     F.get(vector_to_array(f"p{i}"), F.lit(1)).alias("probability"))
-            for i, m in enumerate(chunk)]))
+            copy, probability = _probability_only(model, f"p{i}")
+            wide = copy.transform(wide)
+            missing = F.raise_error(F.lit(f"{model.model_id} gave no probability")).cast("double")
+            entries.append(F.struct(F.lit(model.model_id).alias("model_id"),
+                                    F.coalesce(probability, missing).alias("probability")))
+        scored = F.explode(F.array(*entries))
         passes.append(wide.select(*keys, scored.alias("_s")).select(*keys, "_s.*"))
     if not passes:
         return features.select(*keys, F.lit("").alias("model_id"), F.lit(0.0).alias("probability")).limit(0)

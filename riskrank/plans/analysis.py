@@ -25,7 +25,7 @@ def run_analysis(
     metric: str = "precision_score_at_600",
     n_models: int = 5,
     n_features: int = 12,
-    group_feature: str = "mean_county_income",
+    group_feature: str | None = "mean_county_income",
     group_threshold: float = 75000,
     base_rate: str | float = "precision_score_at_1.0",
     include_baselines: bool = True,
@@ -40,8 +40,10 @@ def run_analysis(
     Curves, cross-tabs and disparity are taken from the latest test split; the
     cross-tabs and curves of the best models and, unless told otherwise, of the
     baselines.  Feature importances are of the models of the `first` repeat, or of
-    the `last`.  With `output` every table is also exported as CSV.
+    the `last`.  Groups are told apart by `group_feature`, unless that is None.  With `output` every table is also exported as CSV.
     """
+    if group_feature is not None and group_feature not in experiment.feature_columns:
+        raise ValueError(f"{group_feature!r} is no feature of the experiment; group_feature=None leaves disparity out")
     support = f"num_labeled_samples_at_{metric.rsplit('_', 1)[-1]}"
     results = experiment.results.where(F.col("role") == "test")
     best = select_best_models(results, metric, "min", n_models, min_support=min_support)
@@ -73,7 +75,7 @@ def run_analysis(
         "crosstab": crosstab(features, flags.join(chosen, "model_id", "left_semi"),
                              experiment.feature_columns, flag=flag),
     }
-    if group_feature in experiment.feature_columns:
+    if group_feature is not None:
         rich = F.col(group_feature) >= group_threshold
         for name in ("fdr", "tpr"):
             tables[f"disparity_{name}"] = fairness_disparity(

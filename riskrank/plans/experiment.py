@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -20,12 +21,14 @@ from riskrank.operators.modeling import (
 )
 from riskrank.operators.ranking import rank_scores, top_k_flags
 from riskrank.operators.splits import TimeSplit, splits_frame, temporal_splits
-from riskrank.session import broadcast_if_small, cut_lineage, entity_partitioning
+from riskrank.session import broadcast_if_small, cut_lineage, delete_path, entity_partitioning, scratch_scope
 from riskrank.sources.sinks import write_csv, write_table
 
 # a ranking pools all rows of one role of one repeat
 EVALUATION = ("repeat", "role")
 ROW = ("split_id", "entity_id")
+#: Written by experiment, under the output folder.
+TABLES = ("matrix", "splits", "model_info", "importances", "results", "predictions")
 
 
 @dataclass
@@ -109,10 +112,28 @@ def run_experiment(
     together.  A repeat's training splits are pooled into one ranking, its test split
     is another.  Predictions of the test splits keep unlabeled rows; metrics use
     labeled rows only.  With `output` the tables are written there by experiment and
-    split, replacing the same experiment's partitions; without it they go to the
-    shared folder.
+    split, after whatever the same experiment left there is deleted; without it they go to the
+    shared folder.  A model whose repeat has NULL features in a split to be scored is
+    reported as failed, with the columns; the others and the baselines go on.
     """
     experiment_id = experiment_id or f"{cfg['version']}_{cfg['experiment_name']}"
+    if output is None:
+        return _run(spark, cfg, tables, experiment_id, output, evaluate_on, parallelism, prefix, cohort_as_of)
+    if not re.fullmatch(r"[\w.-]+", experiment_id):
+        raise ValueError(f"{experiment_id!r} cannot name a folder")
+    for name in (*TABLES, "models"):
+        delete_path(spark, f"{output}/{name}/experiment_id={experiment_id}")
+    with scratch_scope(spark):  # everything lasting is under `output`
+        return _run(spark, cfg, tables, experiment_id, output, evaluate_on, parallelism, prefix, cohort_as_of)
+
+
+def _null_features(matrix: DataFrame, columns: Sequence[str]) -> dict[int, set[str]]:
+    """The feature columns of each split that are NULL somewhere: splits x features."""
+    found = matrix.groupBy("split_id").agg(*[F.max(named(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)])
+    return {r["split_id"]: {c for i, c in enumerate(columns) if r[f"c{i}"]} for r in found.collect()}
+
+
+def _run(spark, cfg, tables, experiment_id, output, evaluate_on, parallelism, prefix, cohort_as_of) -> Experiment:
 
     def keep(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
         df = df.withColumn("experiment_id", F.lit(experiment_id))
@@ -130,27 +151,32 @@ def run_experiment(
     names = metric_names(metrics, ks)
 
     grid = expand_grid(cfg["model_config"])
+    nulls = _null_features(matrix, feature_columns) if any(not m.is_baseline for m in grid) else {}
     scored, infos, importances, usable = [], [], [], []
     for repeat in sorted({s.repeat for s in splits}):
         ids = {role: [s.split_id for s in splits if s.repeat == repeat and s.role == role]
                for role in ("train", "test")}
         models = fit_grid(matrix.where(F.col("split_id").isin(ids["train"])), feature_columns, grid,
                           parallelism=parallelism)
+        wanted = [i for role in evaluate_on for i in ids[role]]
+        missing = sorted(set().union(*(nulls.get(i, set()) for i in wanted)))
+        for m in models:
+            if missing and m.fitted is not None:
+                m.fitted, m.fit_status = None, f"ValueError: NULL features in a split to be scored: {missing}"
         if output is not None:
             save_models(models, f"{output}/models/experiment_id={experiment_id}/repeat={repeat}")
         infos.append(model_table(spark, models).withColumn("repeat", F.lit(repeat)))
         importances.append(feature_importance(models, feature_columns, spark).withColumn("repeat", F.lit(repeat)))
         usable.append({m.model_id for m in models if m.fit_status == "ok" and m.is_baseline})
         if any(m.fitted is not None for m in models):
-            wanted = [i for role in evaluate_on for i in ids[role]]
-            scored.append(score_models(models, matrix.where(F.col("split_id").isin(wanted)), feature_columns,
-                                       keys=(*ROW, "label")))
+            # written before ranking, which reads its input twice: once to sample ranges
+            scored.append(cut_lineage(score_models(models, matrix.where(F.col("split_id").isin(wanted)),
+                                                   feature_columns, keys=(*ROW, "label"))))
 
     roles, group = _roles(spark, splits, evaluate_on), [*EVALUATION, "model_id"]
     ranked = []
     if scored:
-        # written before ranking, which reads its input twice: once to sample ranges
-        scores = cut_lineage(reduce(DataFrame.unionByName, scored))
+        scores = reduce(DataFrame.unionByName, scored)
         ranked.append(rank_scores(scores.join(roles, "split_id"), group=group, tiebreak=["split_id"]))
     baselines = [Model(m.model_id, m.model_class, m.kwargs, fit_status="ok")
                  for m in grid if any(m.model_id in u for u in usable)]

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,24 +30,52 @@ def build_session(master: str | None = None, app: str = "riskrank", **settings:
     return builder.getOrCreate()
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("scratch scope", default=None)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names; a local one only in local mode."""
+    """The checkpoint folder the cluster names.
+
+    Only a local master may use a folder of its own machine, and only where none is
+    named (as in tests) is a temporary one made.
+    """
     sc = spark.sparkContext
+    local = sc.master.startswith("local")
     current = sc.getCheckpointDir()
-    if current:
-        return current
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        named = tempfile.mkdtemp(prefix="riskrank-")
-    sc.setCheckpointDir(named)
-    return sc.getCheckpointDir()
+    if not current:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            if not local:
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+            named = tempfile.mkdtemp(prefix="riskrank-")
+        sc.setCheckpointDir(named)
+        current = sc.getCheckpointDir()
+    if current.startswith("file:") and not local:
+        raise RuntimeError(f"spark.checkpoint.dir is {current}, a folder of one machine")
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for a table written and read once."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_SCOPE.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """A folder for the scratch tables made inside, deleted at the end: nothing that outlives it may read them."""
+    folder = f"{shared_dir(spark)}/scope-{uuid.uuid4().hex}"
+    token = _SCOPE.set(folder)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        delete_path(spark, folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a file system that Spark can reach, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -63,8 +92,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def release_scratch(spark: SparkSession) -> None:
     """Delete what this session wrote to the shared folder, once its results are no longer read."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    delete_path(spark, shared_dir(spark))
 
 
 @contextmanager

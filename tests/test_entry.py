@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from bindings.queries import QUERIES
 from check import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +20,7 @@ def con():
     return con
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     note, ok = compare(spark, con, name, SF)
     assert ok, note

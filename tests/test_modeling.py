@@ -69,6 +69,45 @@ def test_scores(matrix, fitted):
     assert all(r["p"] > r["n"] for r in means if by_class[r["model_id"]] != "GradientBoostingClassifier")
 
 
+def _rare(spark, groups=10, rows=4000):
+    """Groups with few positives each: 0.5 % to 3.2 %."""
+    data = [(0, g * rows + i, float(g), int(i < rows * (5 + 3 * g) // 1000)) for g in range(groups) for i in range(rows)]
+    return spark.createDataFrame(data, "split_id int, entity_id long, g double, label int")
+
+
+def test_trees_rank_rare_labels(spark):
+    rare = _rare(spark).cache()
+    models = fit_grid(rare, ["g"], expand_grid({
+        "DecisionTreeClassifier": {"max_depth": [5]}, "RandomForestClassifier": {"n_estimators": [5], "max_depth": [5]}}))
+    rates = {r["g"]: r["rate"] for r in rare.groupBy("g").agg(F.avg("label").alias("rate")).collect()}
+    scores = score_models(models, rare, ["g"]).join(rare, ["split_id", "entity_id"])
+    found = {(r["model_id"].split("_")[0], r["g"]): r["p"] for r in
+             scores.groupBy("model_id", "g").agg(F.max("probability").alias("p")).collect()}
+    assert all(found["DecisionTreeClassifier", g] == pytest.approx(rate) for g, rate in rates.items())
+    assert len({found["RandomForestClassifier", g] for g in rates}) >= 8
+    assert feature_importance(models, ["g"], spark).where("importance < 0.99").isEmpty()
+
+
+def test_one_class_is_a_reported_failure(spark):
+    rows = [(0, i, float(i), 0) for i in range(50)]
+    data = spark.createDataFrame(rows, "split_id int, entity_id long, g double, label int")
+    models = fit_grid(data, ["g"], expand_grid({"DecisionTreeClassifier": {"max_depth": [2]}, "LogisticRegression": {},
+                                                "RankBaseline": {"column": ["g"]}}))
+    assert [m.fit_status == "ok" for m in models] == [False, False, True] and "classes" in models[0].fit_status
+
+
+def test_depths_beyond_the_limit(spark):
+    """A tree that needs 40 levels: every level splits one more power of two off."""
+    rows = [(0, i, float(2.0 ** i), i % 2) for i in range(42)]
+    data = spark.createDataFrame(rows, "split_id int, entity_id long, x double, label int")
+    shallow = spark.createDataFrame(rows[:8], data.schema)
+    grid = expand_grid({"DecisionTreeClassifier": {"max_depth": [None, 100, 3]}})
+    assert [m.fit_status == "ok" for m in fit_grid(shallow, ["x"], grid)] == [True, True, True]
+    for m in fit_grid(data, ["x"], grid):
+        deep = m.fitted is None
+        assert deep == ("cannot be grown" in m.fit_status) and not (deep and m.kwargs["max_depth"] == 3)
+
+
 def test_baseline_scores(matrix, fitted):
     scores = score_baselines(fitted, matrix)
     assert scores.count() == 600

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as contract
+from bindings.queries import QUERIES
 from riskrank.session import entity_partitioning
 from tests.helpers import plan_of
 
@@ -16,14 +16,14 @@ GATHERED = {"entity_ids", "event_ids", "rollup_events", "rollup_labels", "report
 
 
 # these fit models or run whole experiments; their parts are covered by the other queries
-HEAVY = {"fit_grid", "score_models", "logistic_model", "tree_model", "feature_importance", "results_over_time",
+HEAVY = {"fit_grid", "score_models", "logistic_model", "tree_model", "forest_order", "feature_importance", "results_over_time",
          "select_best_models", "select_best_models_multi", "baseline_models", "base_rate_series", "top_features",
          "importance_matrix", "run_experiment", "run_experiment_predictions", "run_experiment_models", "run_analysis"}
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if n not in HEAVY])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in HEAVY])
 def test_plan(spark, name):
-    plan = plan_of(contract.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "EvalPython" not in plan and "InPandas" not in plan and "InArrow" not in plan
     if "SinglePartition" in plan:
@@ -36,17 +36,17 @@ def test_plan(spark, name):
     ("pivot_wide", "struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string,l_shipdate:timestamp_ntz>"),
 ])
 def test_scans_read_only_needed_columns(spark, name, columns):
-    plan = plan_of(contract.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert columns in plan.replace("...", "")
 
 
 def test_split_dates_filter_the_scan(spark):
-    plan = plan_of(contract.queries()["window_features"](spark, SF))
+    plan = plan_of(QUERIES["window_features"](spark, SF))
     assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in plan and "LessThan(ts,2024-01-27T00:00)" in plan
 
 
 def test_matrix_joins_reuse_the_partitioning_by_entity(spark):
-    matrix = contract.queries()["training_matrix"]
+    matrix = QUERIES["training_matrix"]
     with entity_partitioning(spark):
         kept = plan_of(matrix(spark, SF)).count("Exchange hashpartitioning(split_id")
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
