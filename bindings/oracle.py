@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 import re
 
-from bindings.views import CATEGORIES, CODE_PREFIXES, CODES, EXPERIMENT, GRID
+from bindings.views import CATEGORIES, CODE_PREFIXES, CODES, EXPERIMENT, GRID, ORDER_TEMPORAL
 from riskrank.operators.modeling import expand_grid
+from riskrank.operators.splits import temporal_splits
 
 ORACLE: dict[str, str] = {}
 
@@ -115,6 +116,12 @@ select * from (values
   (8, 2, 'test',  date '2024-01-16', date '2024-01-26', date '2024-01-26', date '2024-01-31', date '2024-01-31')
 ) as s(split_id, repeat, role, feature_start, feature_end, label_start, label_end, as_of)"""
 
+PARTS["order_splits"] = "select * from (values " + ", ".join(
+    f"({s.split_id}, date '{s.feature_end}', date '{s.as_of}')" for s in temporal_splits(ORDER_TEMPORAL)
+) + ") as s(split_id, feature_end, as_of)"
+PARTS["order_events"] = """
+select o_custkey as entity_id, cast(o_orderdate as date) as event_date, o_orderstatus = 'F' as found from orders"""
+
 PARTS["entity_events"] = """
 select user_id as entity_id, event_id, cast(ts as date) as event_date,
        cast(ts as date) + case event_type when 'signup' then 0 when 'view' then 1 when 'click' then 2
@@ -367,12 +374,11 @@ select s.split_id, repeat, role, cast(case when role = 'test' then 0 else (split
      and knowledge_date <= label_end) as label_events
 from splits s""")
 check("fan_out", "select split_id, entity_id, event_id, event_date from visible")
-check("build_cohort", "select * from cohort")
+check("build_cohort", "select distinct split_id, entity_id from order_events join order_splits on event_date <= as_of")
 check("cohort_at_feature_end", """
-select distinct split_id, entity_id from entity_events join splits on event_date <= feature_end""")
+select distinct split_id, entity_id from order_events join order_splits on event_date <= feature_end""")
 check("cohort_user_query", """
-select distinct split_id, entity_id from entity_events join splits on event_date <= as_of
-where found_violation = 1""")
+select distinct split_id, entity_id from order_events join order_splits on event_date <= as_of where found""")
 check("select_labels", "select * from label_rows")
 check("select_labels_half_open", """
 select split_id, entity_id, cast(max(label) as integer) as label from entity_labels join splits
@@ -573,6 +579,7 @@ from {_COLUMNS_SQL} where exists (select 1 from experiment_results)""")
 
 check("run_preprocessing", _rollup("_f", "found_violation, citizen_complaint, penalty_amount"))
 check("run_preprocessing_labels", _rollup("_f", "label"))
+check("run_preprocessing_persisted", _rollup("_f", "label"))
 check("run_preprocessing_reporting", _panel(_CUSTOMER_REPORTS, "entity_ids_f"))
 check("run_steps_user_sql", """
 select o_custkey, round(sum(o_totalprice), 2) as total from orders where o_orderstatus = 'O'

@@ -237,20 +237,20 @@ def fan_out_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def build_cohort_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return build_cohort(v.entity_events(spark, sf), temporal_splits(v.TEMPORAL))
+    return build_cohort(v.order_events(spark, sf), temporal_splits(v.ORDER_TEMPORAL))
 
 
 @query
 def cohort_at_feature_end(spark: SparkSession, sf: str) -> DataFrame:
-    return build_cohort(v.entity_events(spark, sf), temporal_splits(v.TEMPORAL, "feature_end"))
+    return build_cohort(v.order_events(spark, sf), temporal_splits(v.ORDER_TEMPORAL, "feature_end"))
 
 
 @query
 def cohort_user_query(spark: SparkSession, sf: str) -> DataFrame:
-    v.entity_events(spark, sf).createOrReplaceTempView("semantic_v0_events")
+    v.order_events(spark, sf).createOrReplaceTempView("semantic_v0_events")
     text = ("select entity_id from semantic_{prefix}_events where found_violation > 0 "
             "group by entity_id having min(event_date) <= date '{as_of_date}'")
-    return query_per_split(spark, text, temporal_splits(v.TEMPORAL), {"as_of_date": "as_of"}, {"prefix": "v0"})
+    return query_per_split(spark, text, temporal_splits(v.ORDER_TEMPORAL), {"as_of_date": "as_of"}, {"prefix": "v0"})
 
 
 @query
@@ -536,17 +536,24 @@ def importance_matrix_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def run_preprocessing_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return run_preprocessing(v.raw_tables(spark, sf), v.DOMAIN)["events"]
+    return run_preprocessing(v.raw_tables(spark, sf), v.DOMAIN, outputs=["events"])["events"]
 
 
 @query
 def run_preprocessing_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return run_preprocessing(v.raw_tables(spark, sf), v.DOMAIN)["labels"]
+    return run_preprocessing(v.raw_tables(spark, sf), v.DOMAIN, outputs=["labels"])["labels"]
 
 
 @query
 def run_preprocessing_reporting(spark: SparkSession, sf: str) -> DataFrame:
-    return run_preprocessing(v.raw_tables(spark, sf), v.DOMAIN)["reporting"]
+    return run_preprocessing(v.raw_tables(spark, sf), v.DOMAIN, outputs=["reporting"])["reporting"]
+
+
+@query
+def run_preprocessing_persisted(spark: SparkSession, sf: str) -> DataFrame:
+    """The labels of the layer in the catalog, read back by name."""
+    run_preprocessing(v.raw_tables(spark, sf), v.DOMAIN, outputs=["labels"], persist=True, prefix="kept")
+    return spark.table("semantic.kept_labels")
 
 
 @query

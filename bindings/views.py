@@ -123,6 +123,17 @@ def entity_labels(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("penalty_amount") > 50).cast("int").alias("label"))
 
 
+def order_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers' orders: first dates lie years apart, so cohorts differ by split."""
+    return table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("entity_id"), F.to_date("o_orderdate").alias("event_date"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("found_violation"))
+
+
+ORDER_TEMPORAL = {"feature_start_time": "1995-01-01", "feature_duration": "6 months", "label_duration": "3 months",
+                  "feature_aod_interval": "3 months", "train_repeat_interval": "3 months", "num_train_repeat": 3}
+
+
 def daily_panel(spark: SparkSession, sf: str) -> DataFrame:
     """One dated record per user and day with purchases."""
     events = table(spark, sf, "events").where("event_type = 'purchase'")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from riskrank.operators.ranking import place_rows
 
@@ -31,7 +32,7 @@ def asof_latest_version(
     version_ts: str,
     event_order: Sequence[Column],
     version_order: Sequence[Column],
-    spread: bool = False,
+    spread: bool | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Per (key, event time): one event row with the latest version at or before it.
@@ -39,9 +40,9 @@ def asof_latest_version(
     Both sides are first reduced to one row per (key, time), then merged into one
     timeline per key on which the last version is carried forward, so no key ever
     pairs all its events with all its versions.  With dates a timeline is bounded
-    by the calendar and stays in one task.  With fine timestamps it is not: pass
-    `spread=True` to cut timelines into ranges of bounded size, carry inside each,
-    and hand the last version of a key from one range to the next.
+    by the calendar and stays in one task.  With anything finer it is not: timelines
+    are cut into ranges of bounded size, the version is carried inside each, and the
+    last one of a key handed from one range to the next.  `spread` overrides the choice.
 
     `event_order` / `version_order` decide among rows that share a key and a time.
     Events before the first version, and NULL keys or times, have no match.  A column
@@ -53,6 +54,9 @@ def asof_latest_version(
     versions = first_per_group(versions, [version_key, version_ts], version_order)
 
     timeline = _merged(events, event_key, event_ts, versions, version_key, version_ts)
+    if spread is None:
+        kinds = {events.schema[event_ts].dataType, versions.schema[version_ts].dataType}
+        spread = kinds != {DateType()}
     if spread:
         matched = _carry_over_ranges(timeline, partitions)
     else:

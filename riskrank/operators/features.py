@@ -19,8 +19,11 @@ from riskrank.operators.splits import (
 )
 from riskrank.session import broadcast_if_small, cut_lineage, join_large
 
+# spread metrics: combined from the counts, means and squared deviations of cells
+_SPREAD = {"stddev": (F.sqrt, 1), "stddev_samp": (F.sqrt, 1), "variance": (lambda x: x, 1), "var_samp": (lambda x: x, 1),
+           "stddev_pop": (F.sqrt, 0), "var_pop": (lambda x: x, 0)}
 # metrics that combine from per-cell sums, counts and extremes
-_COMBINED = ("sum", "count", "avg", "mean", "min", "max", "datediff")
+_COMBINED = ("sum", "count", "avg", "mean", "min", "max", "datediff", *_SPREAD)
 
 
 @dataclass(frozen=True)
@@ -121,9 +124,11 @@ def _inside(feature: Feature, spans: Sequence[Span], event: str, value: Column)
 def _combined_features(seen, spans, features, entity, event_date, knowledge_date):
     needs: dict[str, tuple[str, str]] = {}
     for f in features:
-        for kind in {"avg": ("sum", "count"), "mean": ("sum", "count"), "datediff": ("max",)}.get(f.metric, (f.metric,)):
+        for kind in {"avg": ("sum", "count"), "mean": ("sum", "count"), "datediff": ("max",),
+                     **dict.fromkeys(_SPREAD, ("count", "avg", "var_pop"))}.get(f.metric, (f.metric,)):
             needs[f"_{kind}_{f.column}"] = (kind, f.column)
-    partials = [getattr(F, kind)(column).alias(name) for name, (kind, column) in needs.items()]
+    partials = [getattr(F, kind)(F.col(column).cast("double") if kind in ("avg", "var_pop") else column).alias(name)
+                for name, (kind, column) in needs.items()]
     openings = [next_day(shift(s.end, -parse_interval(f.window)))
                 for s in spans for f in features if f.window != "all"]
     cells = seen.groupBy(
@@ -136,7 +141,17 @@ def _combined_features(seen, spans, features, entity, event_date, knowledge_date
     def total(f: Feature, kind: str, how) -> Column:
         return how(_inside(f, spans, "_day", F.col(f"_{kind}_{f.column}")))
 
+    def spread(f: Feature) -> Column:
+        """Squared deviations inside the cells, and of the cells' means from the mean of all."""
+        n, mean, inner = (_inside(f, spans, "_day", F.col(f"_{k}_{f.column}")) for k in ("count", "avg", "var_pop"))
+        rows, centre = F.sum(n), F.sum(n * mean) / F.sum(n)
+        outer = F.greatest(F.sum(n * mean * mean) - rows * centre * centre, F.lit(0.0))
+        root, freedom = _SPREAD[f.metric]
+        return F.when(rows > freedom, root((F.sum(n * inner) + outer) / (rows - freedom)))
+
     def final(f: Feature) -> Column:
+        if f.metric in _SPREAD:
+            return spread(f)
         if f.metric in ("avg", "mean"):
             return ratio(total(f, "sum", F.sum), total(f, "count", F.sum))
         if f.metric == "count":

@@ -29,17 +29,24 @@ def positive_or_zero(column: Column) -> Column:
     return F.when(column > 0, column).otherwise(F.lit(0.0))
 
 
+#: Values of a dimension that may be read from the data and unfolded next to every base value.
+MAX_VALUES = 10_000
+
+
 def complete_grid(df: DataFrame, base: str, dims: Mapping[str, Sequence | None]) -> DataFrame:
     """Distinct values of `base` combined with every value of each dimension.
 
     `base` stays distributed; each other dimension is a bounded list (years,
     categories): given by the caller, or read from the data as one scalar
     subquery, and unfolded next to every base value, so nothing is cross joined.
+    More than `MAX_VALUES` values found in the data are refused.
     """
     grid = df.select(base).where(F.col(base).isNotNull()).distinct()
     for dim, values in dims.items():
         if values is None:
-            listed = df.agg(F.sort_array(F.collect_set(dim)).alias("v")).scalar()
+            found = df.select(dim).where(F.col(dim).isNotNull()).distinct().limit(MAX_VALUES + 1)
+            listed = found.agg(F.when(F.count(dim) > MAX_VALUES, F.raise_error(F.lit(f"too many values of {dim}")))
+                               .otherwise(F.sort_array(F.collect_list(dim))).alias("v")).scalar()
         else:
             listed = F.array(*[F.lit(v) for v in values])
         grid = grid.withColumn(dim, F.explode(listed))

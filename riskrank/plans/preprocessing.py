@@ -1,4 +1,8 @@
-"""From raw tables to the semantic layer, as one lazy plan."""
+"""From raw tables to the semantic layer.
+
+Only what the wanted outputs need is planned.  Tables that several outputs read, and
+ranks whose ranges are sampled, are written to the shared folder while planning.
+"""
 
 from __future__ import annotations
 
@@ -15,8 +19,9 @@ from riskrank.operators.geography import geo_demographics
 from riskrank.operators.panel import reporting_panel
 from riskrank.operators.ranking import assign_surrogate_ids
 from riskrank.operators.rollups import rollup_events, rollup_labels
-from riskrank.session import cut_lineage
+from riskrank.session import cut_lineage, scratch_scope
 from riskrank.sources.readers import load_zip_density, read_query
+from riskrank.sources.sinks import ensure_layers, write_table
 
 Tables = dict[str, DataFrame]
 Step = Callable[[SparkSession, Tables], Tables] | tuple[str, str]
@@ -71,15 +76,29 @@ def load_sources(
     }
 
 
-def clean_layer(raw: Mapping[str, DataFrame], domain: Domain = Domain()) -> Tables:
+#: Outputs of the semantic layer.
+OUTPUTS = ("events", "labels", "reporting", "acs")
+
+
+def clean_layer(raw: Mapping[str, DataFrame], domain: Domain = Domain(), outputs: Sequence[str] = OUTPUTS) -> Tables:
     """Entity versions, inspections matched to versions, reports, ids and linked census blocks.
 
     `inspections` has all columns and stays lazy; `inspected` is its written core.
     `raw` has entities, evaluations, reports, and optionally demographics and link.
+    Parts that none of `outputs` needs are left out.
     """
     d = domain
     versions = clean_entities(raw["entities"], region_column=d.region_column, region=d.region,
                               columns=d.entity_columns, rename=d.entity_renames)
+    out = {"versions": versions, "entity_ids": assign_surrogate_ids(
+        versions.withColumnRenamed(d.entity_key, "id_number"), ["id_number"])}
+    if "reporting" in outputs:
+        out["reports"] = clean_reports(raw["reports"], versions, report_key=d.report_key,
+                                       entity_key=d.entity_key, columns=d.report_columns, lower=d.report_lower)
+    if "acs" in outputs and "demographics" in raw:
+        out["acs"] = link_geography(raw["demographics"], raw["link"])
+    if not {"events", "labels"} & set(outputs):
+        return out
     evaluations = raw["evaluations"].select(d.evaluation_key, *d.evaluation_columns)
     inspections = asof_latest_version(
         evaluations, versions,
@@ -95,33 +114,29 @@ def clean_layer(raw: Mapping[str, DataFrame], domain: Domain = Domain()) -> Tabl
     inspected = cut_lineage(inspections.select(*dict.fromkeys([
         d.entity_key, d.version_date, d.evaluation_date, *d.known_dates, d.violation_flag,
         d.complaint_flag, d.amount])))
-    reports = clean_reports(raw["reports"], versions, report_key=d.report_key,
-                            entity_key=d.entity_key, columns=d.report_columns, lower=d.report_lower)
-    entity_ids = assign_surrogate_ids(versions.withColumnRenamed(d.entity_key, "id_number"), ["id_number"])
-    event_ids = assign_surrogate_ids(inspected, [d.entity_key, d.version_date])
-    out = {"versions": versions, "inspections": inspections, "inspected": inspected, "reports": reports,
-           "entity_ids": entity_ids, "event_ids": event_ids}
-    if "demographics" in raw:
-        out["acs"] = link_geography(raw["demographics"], raw["link"])
-    return out
+    return out | {"inspections": inspections, "inspected": inspected,
+                  "event_ids": assign_surrogate_ids(inspected, [d.entity_key, d.version_date])}
 
 
-def semantic_layer(cleaned: Tables, raw: Mapping[str, DataFrame], domain: Domain = Domain()) -> Tables:
-    """Events, labels, the reporting panel and, where its sources are given, demographics."""
-    d = domain
+def semantic_layer(
+    cleaned: Tables, raw: Mapping[str, DataFrame], domain: Domain = Domain(), outputs: Sequence[str] = OUTPUTS,
+) -> Tables:
+    """The wanted of events, labels, the reporting panel and, where its sources are given, demographics."""
+    d, out = domain, {}
     shared = dict(key=d.entity_key, version=d.version_date, event_date=d.evaluation_date,
                   known_dates=list(d.known_dates), amount=d.amount)
-    ids = (cleaned["inspected"], cleaned["entity_ids"], cleaned["event_ids"])
-    out = {
-        "events": rollup_events(*ids, **shared, violation=F.col(d.violation_flag) == d.yes,
-                                complaint=F.col(d.complaint_flag) == d.yes),
-        "labels": rollup_labels(*ids, **shared),
-        "reporting": reporting_panel(
+    ids = [cleaned.get(n) for n in ("inspected", "entity_ids", "event_ids")]
+    if "events" in outputs:
+        out["events"] = rollup_events(*ids, **shared, violation=F.col(d.violation_flag) == d.yes,
+                                      complaint=F.col(d.complaint_flag) == d.yes)
+    if "labels" in outputs:
+        out["labels"] = rollup_labels(*ids, **shared)
+    if "reporting" in outputs:
+        out["reporting"] = reporting_panel(
             cleaned["reports"], cleaned["entity_ids"], key=d.report_key, cycle=d.report_cycle,
             code=d.report_code, tons=d.report_tons, exact=d.code_categories,
-            prefixes=d.code_prefixes, default=d.code_default, categories=d.panel_categories),
-    }
-    if "acs" in cleaned:
+            prefixes=d.code_prefixes, default=d.code_default, categories=d.panel_categories)
+    if "acs" in outputs and "acs" in cleaned:
         blocks = raw["census"].withColumnRenamed(d.population, "population")
         out["acs"] = geo_demographics(raw["facilities"], blocks, raw["link"], raw["density"],
                                       cleaned["acs"], cleaned["entity_ids"])
@@ -156,12 +171,34 @@ def run_steps(
 
 def run_preprocessing(
     raw: Mapping[str, DataFrame], domain: Domain = Domain(), *,
+    outputs: Sequence[str] = OUTPUTS, persist: bool = False,
     extra_steps: Sequence[Step] = (), prefix: str = "", spark: SparkSession | None = None,
 ) -> Tables:
-    """The semantic layer: events, labels, reporting, acs, then the user's own steps."""
-    cleaned = clean_layer(raw, domain)
-    out = semantic_layer(cleaned, raw, domain)
+    """The semantic layer: the wanted of events, labels, reporting, acs, then the user's own steps.
+
+    With `persist` the layer is written once to the catalog, as `semantic.{prefix}_{name}`,
+    where any number of experiments read it under the same prefix; scratch tables made
+    on the way are deleted.
+    """
+    if unknown := set(outputs) - set(OUTPUTS):
+        raise ValueError(f"no such outputs: {sorted(unknown)}")
+    spark = spark or next(iter(raw.values())).sparkSession
+    if persist:
+        ensure_layers(spark, ["semantic"])
+        with scratch_scope(spark):
+            made = _layers(raw, domain, outputs, extra_steps, prefix, spark)
+            return {name: write_table(df, f"semantic.{prefix}_{name}" if name in OUTPUTS else f"semantic.{name}")
+                    for name, df in made.items() if name not in CLEANED}
+    return _layers(raw, domain, outputs, extra_steps, prefix, spark)
+
+
+#: Tables of the cleaned layer; they serve the semantic one and the user's steps.
+CLEANED = ("versions", "inspections", "inspected", "reports", "entity_ids", "event_ids")
+
+
+def _layers(raw, domain, outputs, extra_steps, prefix, spark) -> Tables:
+    cleaned = clean_layer(raw, domain, outputs)
+    out = semantic_layer(cleaned, raw, domain, outputs)
     if extra_steps:
-        spark = spark or next(iter(raw.values())).sparkSession
         out = run_steps(spark, extra_steps, {**cleaned, **out}, prefix=prefix)
     return out
