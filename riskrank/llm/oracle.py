@@ -6,6 +6,25 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
 
 ORACLE = {
+    "op2_window_dedup": r"""
+        with w as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
+        ), windows as (
+            select doc_id, i, row_number() over (partition by array_to_string(ws[i : i + 19], ' ')
+                                                 order by doc_id, i) as nth
+            from (select doc_id, ws, unnest(range(1, len(ws) - 18)) as i from w)
+        ), gone as (
+            select distinct doc_id, unnest(range(i, i + 20)) as p from windows where nth > 1
+        ), words as (
+            select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as p from w
+        ), left_over as (
+            select doc_id, string_agg(word, ' ' order by p) as kept, count(*) as n
+            from words anti join gone using (doc_id, p) group by doc_id
+        )
+        select doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed,
+               sha256(coalesce(kept, '')) as kept_sha256
+        from w left join left_over using (doc_id)
+    """,
     "op5_streaming_exact_dedup": f"""
         with t as (select doc_id, sha256({_LOWERED}) as text_sha256, {_LOWERED} as body from documents)
         select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
@@ -14,9 +33,9 @@ ORACLE = {
     """,
     "op10_url_trie": f"""
         with u as (
-            select page_id, coalesce(url, '') as url, strpos(coalesce(url, ''), '://') as at from pages
+            select page_id, coalesce(url, '') as url, strpos(coalesce(url, ''), '://') as sign from pages
         ), r as (
-            select page_id, case when at > 0 then substr(url, at + 3) else '' end as rest from u
+            select page_id, case when sign > 0 then substr(url, sign + 3) else '' end as rest from u
         ), h as (
             select page_id, rest, regexp_extract(rest, '^[^/?#]*') as raw from r
         ), p as (
