@@ -8,6 +8,7 @@ import re
 from bindings.views import CATEGORIES, CODE_PREFIXES, CODES, EXPERIMENT, GRID, ORDER_TEMPORAL
 from riskrank.operators.modeling import expand_grid
 from riskrank.operators.splits import temporal_splits
+from riskrank.presets import FEATURE_NAMES
 
 ORACLE: dict[str, str] = {}
 
@@ -547,22 +548,21 @@ from (select split_id, model_id, {_rate(_m, 1, 'prediction_at_0.1')} as r1, {_ra
 check("pr_curve", " union all ".join(
     f"select split_id, model_id, {k}::double as k, round(\"precision_score_at_{k}\", 6) as precision, "
     f"round(\"recall_score_at_{k}\", 6) as recall from doc_metrics" for k in ("0.01", "0.1", "1.0")))
+check("pr_curve_int", """
+select split_id, model_id, 50.0::double as k, round("precision_score_at_50", 6) as precision,
+       round("recall_score_at_50", 6) as recall from doc_metrics""")
 _FIRST = min(MODEL_IDS.values())
 check("base_rate_series", f"""
 select split_date, round("precision_score_at_1.0", 6) as base_rate,
        round(50.0::double / num_labeled_rows * "precision_score_at_1.0", 6) as scaled_rate
 from test_results where model_id = '{_FIRST}'""")
 
-_DISPLAY = {
-    "events_sum_penalty_amount": "Fine Amount (Aggregated Since 2000)",
-    "events_sum_found_violation": "# Violations (Aggregated Since 2000)",
-    "events_days_since_event_date": "Days Since Last Inspection",
-}
 _ALL_FEATURES = [c for n in ("day_events", "day_value") for c in (n, f"{n}_impute_flag")]
 _ALL_FEATURES = (["c_acctbal", "c_nationkey", *_ALL_FEATURES] + [c for n in _SUMS for c in (n, f"{n}_impute_flag")]
                  + _AVGS + ["events_days_since_event_date", "events_days_since_event_date_impute_flag"])
+_DISPLAY = {f: FEATURE_NAMES[f] for f in _ALL_FEATURES if f in FEATURE_NAMES}
 _COLUMNS_SQL = "(select unnest([" + ", ".join(f"'{f}'" for f in _ALL_FEATURES) + "]) as feature)"
-check("top_features", f"""
+_TOP = f"""
 select model_id, cast(position as integer) as position, feature,
   case feature {' '.join(f"when '{f}' then '{d}'" for f, d in _DISPLAY.items())} else feature end as display_name,
   importance
@@ -570,7 +570,8 @@ from (select *, row_number() over (partition by model_id order by importance des
   select model_id, feature, case when feature = ranked then 1.0::double else 0.0::double end as importance
   from {_COLUMNS_SQL}, (select distinct model_id, json_extract_string(model_kwargs, '$.column') as ranked
                         from experiment_results)))
-where position <= 2""")
+where position <= """
+check("top_features", _TOP + "2")
 check("importance_matrix", f"""
 select feature, {', '.join(f"case when feature = '{c}' then 1.0::double else 0.0::double end as {c}" for c in MODEL_IDS)}
 from {_COLUMNS_SQL} where exists (select 1 from experiment_results)""")
@@ -598,3 +599,33 @@ from (select split_id, model_id, {_rate('tpr', 1, 'prediction_at_50')} as r1, {_
   from (select *, case when c_acctbal >= 5000 then 1 else 0 end as member from baseline_predictions
         join matrix using (split_id, entity_id) join label_rows using (split_id, entity_id) where {_LAST})
   group by split_id, model_id)"""]))
+
+# every table of the analysis
+_OVER_TIME = " union all ".join(
+    f"select model_id, model_class, split_date, '{m}' as metric, round({m}, 6) as value from test_results"
+    for m in ("precision_score_at_50", "num_labeled_samples_at_50"))
+check("run_analysis_results_over_time", _OVER_TIME)
+check("run_analysis_best_models", _best("precision_score_at_50", "min", 2, 20))
+check("run_analysis_best_results_over_time", f"""
+select * from ({_OVER_TIME}) where model_id in (
+  select model_id from ({_best("precision_score_at_50", "min", 2, 20)}))""")
+check("run_analysis_base_rate", f"""
+select split_date, round("precision_score_at_1.0", 6) as base_rate from test_results where model_id = '{_FIRST}'""")
+check("run_analysis_pr_curve", " union all ".join(f"""
+select 8 as split_id, model_id, {k}::double as k, round("precision_score_at_{k}", 6) as precision,
+       round("recall_score_at_{k}", 6) as recall from test_results where repeat = 2""" for k in ("0.1", "1.0")))
+check("run_analysis_top_features", _TOP + "12")
+check("run_analysis_crosstab", """
+select split_id, model_id, feature, round(positive_mean, 4) as positive_mean, round(negative_mean, 4) as negative_mean,
+       round(normalized_difference, 4) as normalized_difference from (""" + " union all ".join(
+    _crosstab(f, "baseline_predictions join matrix using (split_id, entity_id)", "prediction_at_50", _LAST)
+    for f in _ALL_FEATURES) + ")")
+for _m in ("fdr", "tpr"):
+    check(f"run_analysis_disparity_{_m}", f"""
+select d.*, model_class, round("precision_score_at_50", 6) as precision_score_at_50 from (
+  select split_id, model_id, round(r1, 6) as {_m}_group1, round(r0, 6) as {_m}_group0, round(r1 / nullif(r0, 0), 6) as {_m}
+  from (select split_id, model_id, {_rate(_m, 1, 'prediction_at_50')} as r1, {_rate(_m, 0, 'prediction_at_50')} as r0
+    from (select *, case when c_acctbal >= 5000 then 1 else 0 end as member from baseline_predictions
+          join matrix using (split_id, entity_id) join label_rows using (split_id, entity_id) where {_LAST})
+    group by split_id, model_id)) d
+join test_results using (model_id) where repeat = 2""")

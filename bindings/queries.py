@@ -511,6 +511,12 @@ def pr_curve_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(pr_curve(metrics_long(_metrics(spark, sf), ["split_id", "model_id"], names), "float"))
 
 
+@query
+def pr_curve_int(spark: SparkSession, sf: str) -> DataFrame:
+    names = metric_names(METRICS[:2], KS)
+    return _rounded(pr_curve(metrics_long(_metrics(spark, sf), ["split_id", "model_id"], names), "int"))
+
+
 @query
 def base_rate_series_rows(spark: SparkSession, sf: str) -> DataFrame:
     results = _experiment(spark, sf).results.where("role = 'test'")
@@ -608,3 +614,18 @@ def run_analysis_rows(spark: SparkSession, sf: str) -> DataFrame:
                                                F.col("tpr_group0").alias("negative_mean"),
                                                F.col("tpr").alias("normalized_difference"))
     return _rounded(crosstabs.unionByName(disparity))
+
+
+def _analysis_query(name: str):
+    """A query of one table of the analysis of the baseline experiment."""
+    def rows(spark: SparkSession, sf: str) -> DataFrame:
+        tables = run_analysis(_experiment(spark, sf), metric="precision_score_at_50", n_models=2,
+                              group_feature="c_acctbal", group_threshold=5000, min_support=20)
+        return _rounded(tables[name], 4 if name == "crosstab" else 6)
+
+    return rows
+
+
+for _name in ("results_over_time", "best_models", "best_results_over_time", "base_rate", "pr_curve", "top_features",
+              "crosstab", "disparity_fdr", "disparity_tpr"):
+    QUERIES[f"run_analysis_{_name}"] = _analysis_query(_name)

@@ -18,7 +18,7 @@ GATHERED = {"entity_ids", "event_ids", "rollup_events", "rollup_labels", "report
 # these fit models or run whole experiments; their parts are covered by the other queries
 HEAVY = {"fit_grid", "score_models", "logistic_model", "tree_model", "forest_order", "feature_importance", "results_over_time",
          "select_best_models", "select_best_models_multi", "baseline_models", "base_rate_series", "top_features",
-         "importance_matrix", "run_experiment", "run_experiment_predictions", "run_experiment_models", "run_analysis"}
+         "importance_matrix", "run_experiment", "run_experiment_predictions", "run_experiment_models"} | {n for n in QUERIES if n.startswith("run_analysis")}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in HEAVY])
