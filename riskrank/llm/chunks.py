@@ -72,11 +72,9 @@ def chunked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     n, total = text_bytes(docs, text)
     chunks = max(1, min(n, max(shuffle_width(docs), -(-total // chunk_bytes))))
-    key = F.coalesce(F.xxhash64(F.col(doc_id).cast("long")) if n == 0 else
-                     F.when(F.col(doc_id).isNotNull(), F.xxhash64(F.col(doc_id).cast("long"))),
-                     F.xxhash64(F.col(text).cast("string")))
-    rows = docs.select(F.pmod(key, F.lit(chunks)).alias("chunk"), F.col(doc_id).cast("long").alias("id"),
-                       F.col(text).cast("string").alias("text"))
+    number, body = F.col(doc_id).cast("long"), F.col(text).cast("string")
+    key = F.when(number.isNotNull(), F.xxhash64(number)).otherwise(F.xxhash64(body))
+    rows = docs.select(F.pmod(key, F.lit(chunks)).alias("chunk"), number.alias("id"), body.alias("text"))
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,8 +89,8 @@ def chunked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 body = b"".join(data[offsets[r] : offsets[r + 1]].tobytes() for r in rows.tolist())
                 head = np.concatenate([[len(rows)], ids[rows], sizes]).astype(np.int64).tobytes()
                 blobs.append(zstandard.ZstdCompressor(level=3).compress(head + body))
-            yield pa.RecordBatch.from_arrays([pa.array(chunk[order][first], pa.int64()), pa.array(blobs, pa.binary())],
-                                             names=["chunk", "docs"])
+            owner = pa.array(chunk[order][first], pa.int64())
+            yield pa.RecordBatch.from_arrays([owner, pa.array(blobs, pa.binary())], names=["chunk", "docs"])
 
     bits = max(LEAST_BITS, (max(total, 1) // BUCKET_BYTES).bit_length())
     return rows.mapInArrow(bundle, "chunk long, docs binary"), bits
@@ -118,9 +116,10 @@ class Chunk:
                 ids[i], data[starts[i] : starts[i] + sizes[i]].tobytes())), np.int64)
         self.ids, sizes = ids[order], sizes[order]
         self.offsets = np.append(0, np.cumsum(sizes))
-        self.data = np.concatenate([data[a : a + n] for a, n in zip(starts[order].tolist(), sizes.tolist(), strict=True)])
+        places = zip(starts[order].tolist(), sizes.tolist(), strict=True)
+        self.data = np.concatenate([data[a : a + n] for a, n in places])
 
-    def blocks(self, lower: bool = False, limit: int = 2 << 20) -> Iterator[Block]:
+    def blocks(self, lower: bool = False, limit: int = 1 << 20) -> Iterator[Block]:
         """Blocks of whole documents, in order."""
         first, n = 0, len(self.ids)
         while first < n:

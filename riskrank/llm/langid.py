@@ -114,7 +114,8 @@ def labelled_sample(docs: DataFrame, how: Training) -> tuple[list[str], list[str
     parts = picked.select("lang", "h", F.explode(F.array(*[
         F.struct(F.lit(i).alias("i"), F.substring(F.col("text"), F.lit(1) + stretch * i, F.lit(how.segment_bytes))
                  .alias("part")) for i in range(how.segments)])).alias("s")).select("lang", "h", "s.i", "s.part")
-    found = sorted(parts.filter(F.col("part").rlike(r"\p{L}")).distinct().collect(), key=lambda r: (r["h"], r["i"], r["lang"]))
+    found = parts.filter(F.col("part").rlike(r"\p{L}")).distinct().collect()
+    found.sort(key=lambda r: (r["h"], r["i"], r["lang"]))
     return [r["lang"] for r in found], [r["part"] for r in found]
 
 

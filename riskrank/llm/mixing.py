@@ -181,8 +181,8 @@ def mix_sources(docs: DataFrame, recipe: Recipe = Recipe(), doc_id: str = "doc_i
     rows = cut_lineage(keyed(
         docs, id=F.col(doc_id), source=F.col(source).cast("string"),
         size=F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")))
-    totals = sorted(((r["source"], r["size"]) for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()),
-                    key=lambda x: (x[0] is None, x[0] or ""))
+    sums = rows.groupBy("source").agg(F.sum("size").alias("size")).collect()
+    totals = sorted(((r["source"], r["size"]) for r in sums), key=lambda x: (x[0] is None, x[0] or ""))
     sources = [plan_source(i, name, size, target, recipe) for i, ((name, size), target) in
                enumerate(zip(totals, share_targets([s for _, s in totals], recipe), strict=True))]
     names = spark.createDataFrame([(s.number, s.name) for s in sources], "number int, name string")
@@ -220,7 +220,8 @@ def mix_sources(docs: DataFrame, recipe: Recipe = Recipe(), doc_id: str = "doc_i
              .select("shard", "number", F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("n") - 1))
                      .alias("slot"))
              .mapInArrow(permute, "shard long, number int, slot long, turn long, block long, most long"))
-    pieces = (stretches.join(slots.hint("merge"), ["number", "block"])  # its size grows, though planned from a few rows
+    # without the hint slots would be broadcast: the planner sees the few rows they are unfolded from
+    pieces = (stretches.join(slots.hint("merge"), ["number", "block"])
               .withColumn("words", F.least("words", F.col("most") - F.col("in_block"))).filter("words > 0")
               .select("shard", "slot", "number", "turn", "block", "id", "file", "row", "first", "words"))
     return Mix(rows, sources, pieces)

@@ -254,8 +254,8 @@ def _cut(width: int, with_bytes: bool):
         body = chunk.data[~gone].tobytes()
         at = (chunk.offsets - total).tolist()
         kept = [body[a:b] for a, b in zip(at, at[1:], strict=False)]
-        columns = [chunk.id_array(), pa.array(np.diff(chunk.offsets)), pa.array(np.diff(total)), pa.array(np.diff(bounds)),
-                   spans, pa.array([hashlib.sha256(k).hexdigest() for k in kept])]
+        numbers = [pa.array(np.diff(x)) for x in (chunk.offsets, total, bounds)]
+        columns = [chunk.id_array(), *numbers, spans, pa.array([hashlib.sha256(k).hexdigest() for k in kept])]
         return pa.table(columns + [pa.array(kept, pa.binary())] * with_bytes, names=_names(with_bytes))
 
     return cut

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are handled at once; a longer document is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
