@@ -75,3 +75,13 @@ def test_first_per_group_limits_before_the_shuffle(spark):
     picked = first_per_group(df, ["g"], [F.col("id").desc()])
     assert rows(picked) == [(0, 999), (1, 997), (2, 998)]
     assert "Partial" in plan_of(picked)
+
+
+def test_timelines_are_spread_by_column_type(spark):
+    fine = spark.createDataFrame([("a", datetime(2024, 1, 1, 5), 1)], "key string, received timestamp, seq int")
+    events = spark.createDataFrame([("a", datetime(2024, 1, 1, 7), "x")], "handler string, started timestamp, note string")
+    by_day = _run(events.withColumn("started", F.to_date("started")), fine.withColumn("received", F.to_date("received")))
+    assert plan_of(by_day).count("rangepartitioning") == 0
+    got = _run(events, fine)
+    assert plan_of(got) != plan_of(_run(events, fine, spread=False))
+    assert rows(got, "note", "seq") == rows(by_day, "note", "seq") == [("x", 1)]

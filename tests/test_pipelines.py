@@ -298,3 +298,21 @@ def test_standard_configs(spark, semantic):
         f"events_{n}{flag}" for n in ("sum_found_violation", "sum_citizen_complaint", "sum_penalty_amount", "days_since_event_date")
         for flag in ("", "_impute_flag")]
     assert matrix.count() > 0
+
+
+def test_persisted_layer_serves_experiments(spark, semantic):
+    made = run_preprocessing(_raw(spark), persist=True, prefix="kept")
+    assert set(made) == set(semantic)
+    for name, df in made.items():
+        assert df.count() == spark.table(f"semantic.kept_{name}").count() == semantic[name].count()
+    cfg = copy.deepcopy(CFG)
+    cfg["model_config"] = {"RankBaseline": {"column": ["events_sum_penalty_amount"]}}
+    assert rows(run_experiment(spark, cfg, {}, prefix="kept").results) == rows(run_experiment(spark, cfg, semantic).results)
+
+
+def test_only_wanted_outputs_are_planned(spark):
+    raw = _raw(spark)
+    del raw["evaluations"], raw["demographics"]  # a panel needs neither
+    assert set(run_preprocessing(raw, outputs=["reporting"])) == {"reporting"}
+    with pytest.raises(ValueError):
+        run_preprocessing(raw, outputs=["event"])

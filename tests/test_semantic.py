@@ -155,3 +155,11 @@ def test_catalog(spark):
     assert rows(read_table(spark, "results.m_v1_test_results", ["p"])) == [("a",)]
     assert rows(read_query(spark, "select x from results.{prefix}_test_results where p = :p",
                            replace={"prefix": "m_v1"}, p="a")) == [(1,)]
+
+
+def test_unbounded_dimensions_are_refused(spark, monkeypatch):
+    monkeypatch.setattr("riskrank.operators.panel.MAX_VALUES", 5)
+    df = spark.range(6).selectExpr("'a' as k", "id as year")
+    assert complete_grid(df.where("year < 5"), "k", {"year": None}).count() == 5
+    with pytest.raises(Exception, match="too many values"):
+        complete_grid(df, "k", {"year": None}).count()
