@@ -33,7 +33,7 @@ def test_plan(spark, name):
 
 @pytest.mark.parametrize("name, columns", [
     ("window_features", "struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>"),
-    ("build_cohort", "struct<ts:timestamp_ntz,user_id:bigint>"),
+    ("build_cohort", "struct<o_custkey:bigint,o_orderdate:timestamp_ntz>"),
     ("pivot_wide", "struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string,l_shipdate:timestamp_ntz>"),
 ])
 def test_scans_read_only_needed_columns(spark, name, columns):
