@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskrank.llm import exact_dedup, mixing, packing, quality, simhash
 from riskrank.llm.frames import free_name
 from riskrank.llm.shipping import ship
-from riskrank.session import cut_lineage
+from riskrank.session import cut_lineage, delete_path, scratch_path, scratch_scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -63,8 +63,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each stage's result is written to the shared folder before the next begins."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = cut_lineage(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over `documents`; each stage's result is written to the shared folder before the next begins.
+
+    A stage's own scratch tables go when its result is written, and its result when the next one's is.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES:
+        path = scratch_path(spark, "stage")
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before is not None:
+            delete_path(spark, before)
+        before = path
+    return docs
