@@ -358,6 +358,18 @@ def test_packing_edge(edge, nothing):
     assert packing.pack(packing.token_pieces(nothing, TOKENIZER)).count() == 0
 
 
+def test_packing_stops_at_a_level_that_settles_little(spark):
+    """Full pieces settle at the first level, of the large ones left over hardly any finds a partner at the second."""
+    random = np.random.default_rng(3)
+    lengths = [4096] * 60 + random.integers(2100, 4080, 230).tolist() + random.integers(100, 1900, 10).tolist()
+    pieces = spark.createDataFrame([("f", i, 0, n) for i, n in enumerate(lengths)],
+                                   "file string, row long, piece long, length long")
+    packed = packing.pack(pieces, packing.Evolution(deme=50)).collect()
+    levels = {r["sequence"] >> 56 for r in packed}
+    assert sorted(r["row"] for r in packed) == list(range(len(lengths))) and len(levels) > 1
+    check_packing(packed, 4096)
+
+
 # 7 mixing
 
 @pytest.mark.parametrize("recipe", [mixing.Recipe(), mixing.Recipe(block_words=50, shard_slots=20)])
