@@ -1,16 +1,17 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-The root of the tree holds the distribution of single tokens; a node for a context of one or two words holds that of
-the token that follows.  A context is a candidate if it occurs at least once per `context_bytes` bytes of text, so
-there are at most text / context_bytes of them per length, however large the corpus.  It is retained if its
-divergence from its suffix (the context without its first word), estimated with every occurrence left out of its own
+The root of the tree holds the distribution of single tokens; a node for a context of up to `depth` words holds that of
+the token that follows.  A context is a candidate if it occurs at least `least_count` times, however large the corpus.
+It is retained if its divergence from its longest retained suffix, estimated with every occurrence left out of its own
 prediction, exceeds `divergence` nats per token.  Distributions are smoothed by absolute discounting: what is taken
 off the counts goes to the distribution of the longest retained suffix, and at the root to the unknown token.  A token
 is scored in the longest retained state that its preceding words allow.
 
-Counts are taken over all learning documents and looked up for all documents: chunks of documents ask hash buckets
-for the counts of their distinct tokens, then of their distinct continuations of candidate contexts.  Only the
-contexts (bounded as above) and four totals pass through the driver.
+Counts are taken over all learning documents and looked up for all documents, level by level: chunks of documents ask
+hash buckets for the counts of their distinct tokens, then of their distinct continuations of candidate contexts of
+one word, of two and so on.  Contexts are 64-bit hashes.  A context's continuations meet in one bucket, which tests the
+context and answers whether it is retained.  Only contexts that occur more often than a bucket has tokens on average
+are dealt over all buckets; their sums, fewer than there are buckets, and four totals pass through the driver.
 
 Nulls and empty texts are the end token alone.  A missing id counts as an empty one.  Without learning documents
 every token is unknown and scores 0.  Repeated rows score alike, extra columns do not matter.
@@ -18,6 +19,7 @@ every token is unknown and scores 0.  Repeated rows score alike, extra columns d
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -37,6 +39,8 @@ END = np.uint64(0xE0D0F0E0D0F0E0D1)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 #: Assumed backing-off weight of a context that has not been counted yet, in the test of a longer one.
 _WEIGHT = 0.3
+#: Gains are summed as whole numbers of this fraction of a nat, in any order alike.
+_UNIT = 1e6
 
 _SENT = "bucket long, chunk long, body binary"
 _ANSWER = "chunk long, part long, kind int, body binary"
@@ -44,24 +48,30 @@ _ANSWER = "chunk long, part long, kind int, body binary"
 
 @dataclass(frozen=True)
 class Tree:
-    """Parameters of the model."""
+    """Parameters of the model.  A finite `context_bytes` asks for one more occurrence per so many bytes of text."""
 
-    context_bytes: int = 16_000
+    context_bytes: float = math.inf
     least_count: int = 8
     discount: float = 0.75
     divergence: float = 0.01
+    depth: int = 2
+
+    def retained(self, n: np.ndarray, kinds: np.ndarray, once: np.ndarray, gain: np.ndarray) -> np.ndarray:
+        """The divergence test of contexts: occurrences, distinct continuations, those seen once, sum of `_gains`."""
+        n = np.maximum(n, 1)
+        # every occurrence of a continuation seen once is left to the suffix, the others gain or lose by their counts
+        left = np.log(self.discount * np.maximum(kinds, 1) / n)
+        return gain / _UNIT - (n - once) * np.log(n) + once * left > self.divergence * n
 
 
 @dataclass(frozen=True)
 class Totals:
-    """Learning tokens, distinct ones, those seen once and twice; candidate contexts (sorted hashes) and counts."""
+    """Learning tokens, distinct ones, those seen once and twice."""
 
     tokens: int
     distinct: int
     once: int
     twice: int
-    words: np.ndarray
-    counts: np.ndarray
 
     @property
     def discount(self) -> float:
@@ -76,19 +86,18 @@ class Totals:
 
 
 @dataclass(frozen=True)
-class States:
-    """Retained contexts: numbers (sorted), occurrences and backing-off weights."""
+class Frequent:
+    """Contexts of one length whose continuations are dealt over all buckets: hashes (sorted), continuations of the
+    retained ones, 0 for the others."""
 
-    numbers: np.ndarray
-    counts: np.ndarray
-    weights: np.ndarray
+    names: np.ndarray
+    kinds: np.ndarray
 
-    def find(self, numbers: np.ndarray) -> np.ndarray:
-        """Index of each number, or -1."""
-        if not len(self.numbers):
-            return np.full(len(numbers), -1)
-        at = np.minimum(np.searchsorted(self.numbers, numbers), len(self.numbers) - 1)
-        return np.where(self.numbers[at] == numbers, at, -1)
+    def find(self, names: np.ndarray) -> np.ndarray:
+        if not len(self.names):
+            return np.zeros(len(names), np.int64)
+        at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        return np.where(self.names[at] == names, self.kinds[at], 0)
 
 
 class Tokens:
@@ -108,39 +117,76 @@ class Tokens:
         self.keys, self.of = np.unique(np.concatenate(parts), return_inverse=True)
         self.own = np.bincount(self.of[self.learning], minlength=len(self.keys)).astype(np.uint32)
 
-    def continuations(self, totals: Totals) -> Continuations:
-        return Continuations(self, totals)
 
+class Walk:
+    """The tokens of a chunk on their way down the tree, a level at a time.
 
-class Continuations:
-    """Distinct (context word, token) pairs of a chunk in the order of their keys, and (first word, pair) triples.
-
-    `pair` and `triple` give the entry of each token of the chunk, -1 where the words before are no candidates.
+    `gram` and `seen` are, for each token, the hash and the count of the words up to and with it, as many as the level
+    (count 0 where there are fewer); `p` is its probability so far and `guess` that by assumed backing-off weights.
     """
 
-    def __init__(self, tokens: Tokens, totals: Totals):
-        n = len(tokens.of)
-        word = States(totals.words, totals.counts, totals.counts).find(tokens.keys)[tokens.of]
-        before, second = np.full(n, -1), np.full(n, -1)
-        before[1:], second[2:] = word[:-1], word[:-2]
-        begin = tokens.at[:-1]
-        before[begin] = -1
-        second[begin] = -1
-        second[begin[np.diff(tokens.at) > 1] + 1] = -1
-        self.before, self.second = before, np.where(before >= 0, second, -1)
-        at = np.flatnonzero(before >= 0)
-        key = mix(tokens.keys[tokens.of[at]] + (before[at] + 1).astype(np.uint64) * _PAIR)
-        self.keys, first, of = np.unique(key, return_index=True, return_inverse=True)
-        self.context, self.token = before[at][first], tokens.of[at][first]
-        self.own = np.bincount(of[tokens.learning[at]], minlength=len(self.keys)).astype(np.uint32)
-        self.pair = np.full(n, -1)
-        self.pair[at] = of
-        deep = np.flatnonzero(self.second >= 0)
-        code, of = np.unique(self.pair[deep] * max(1, len(totals.words)) + self.second[deep], return_inverse=True)
-        self.triple_pair, self.triple_word = np.divmod(code, max(1, len(totals.words)))
-        self.triple_own = np.bincount(of[tokens.learning[deep]], minlength=len(code)).astype(np.uint32)
-        self.triple = np.full(n, -1)
-        self.triple[deep] = of
+    def __init__(self, tokens: Tokens, counts: np.ndarray, totals: Totals, tree: Tree, least: int, bits: int):
+        self.tokens, self.tree, self.least, self.bits = tokens, tree, least, bits
+        self.limit = totals.tokens >> bits
+        self.p = totals.root(counts)[tokens.of]
+        self.guess = self.p.copy()
+        self.gram = tokens.keys[tokens.of]
+        self.seen = np.where(self.gram == END, 0, counts[tokens.of])
+        self.inside = np.zeros(len(self.p), bool)
+        self.ask()
+
+    def ask(self) -> None:
+        """The distinct continuations of candidate contexts, in the order of buckets, contexts and keys."""
+        ready = np.zeros(len(self.gram), bool)
+        ready[1:] = self.seen[:-1] >= self.least
+        ready[self.tokens.at[:-1]] = False
+        self.at = np.flatnonzero(ready)
+        context = self.gram[self.at - 1]
+        keys, first, of = np.unique(mix(self.tokens.keys[self.tokens.of[self.at]] + context * _PAIR),
+                                    return_index=True, return_inverse=True)
+        context, often = context[first], self.seen[self.at - 1][first] > self.limit
+        bucket = np.where(often, keys, context) >> np.uint64(64 - self.bits)
+        order = np.lexsort((context, bucket))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.entry, self.first = place[of], first[order]
+        self.keys, self.context, self.often = keys[order], context[order], often[order]
+        own = np.bincount(of[self.tokens.learning[self.at]], minlength=len(keys)).astype(np.uint32)
+        self.own, bucket = own[order], bucket[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (self.context[1:] != self.context[:-1]) | (bucket[1:] != bucket[:-1])
+        self.group = np.cumsum(new) - 1
+        self.begin = np.flatnonzero(new)
+        self.bucket = bucket
+
+    def questions(self) -> list[tuple[int, bytes]]:
+        guess = np.log(self.guess[self.at[self.first]]).astype(np.float32)
+        edge = np.flatnonzero(np.r_[True, self.bucket[1:] != self.bucket[:-1]]) if len(self.bucket) else []
+        rows = []
+        for a, b in zip(edge, np.append(edge[1:], len(self.bucket)), strict=True) if len(edge) else []:
+            group = slice(self.group[a], self.group[b - 1] + 1)
+            begin = self.begin[group]
+            rows.append((int(self.bucket[a]), squeeze(
+                short(self.keys[a:b]), self.own[a:b], guess[a:b], self.context[begin],
+                np.diff(np.append(begin, b)).astype(np.uint32), self.often[begin].astype(np.uint8))))
+        return rows
+
+    def down(self, counts: np.ndarray, kinds: np.ndarray, frequent: Frequent) -> None:
+        """Take the counts of the continuations and the states of the contexts, and go on to longer contexts."""
+        kinds = kinds[self.group] if len(self.group) else np.zeros(0, np.int64)
+        kinds = np.where(self.often, frequent.find(self.context), kinds)[self.entry]
+        n, again, discount = self.seen[self.at - 1], counts[self.entry], self.tree.discount
+        grams, seen = self.keys[self.entry], np.zeros(len(self.seen), np.int64)
+        seen[self.at] = np.where(self.tokens.keys[self.tokens.of[self.at]] == END, 0, again)
+        held = kinds > 0
+        at, n, kinds = self.at[held], n[held], kinds[held]
+        part = np.maximum(again[held] - discount, 0) / n
+        self.p[at] = part + discount * kinds / n * self.p[at]
+        self.guess[at] = part + _WEIGHT * self.guess[at]
+        self.inside[at] = True
+        self.gram = np.zeros(len(self.seen), np.uint64)
+        self.gram[self.at], self.seen = grams, seen
+        self.at = None
 
 
 def _sent(chunk: int, rows: list[tuple[int, bytes]]) -> pa.Table:
@@ -164,60 +210,51 @@ def _ask_tokens(learns, bits: int):
     return ask
 
 
-def _count_tokens(least: int):
-    """Counts for every chunk (kind 0); the bucket's totals and its frequent words (kind 1)."""
-    def count(key, table):
-        part, chunks = key[0].as_py(), table.column("chunk").to_pylist()
-        parts = [expand(b, "V7", "u4") for b in table.column("body").to_pylist()]
-        names, of = np.unique(long(np.concatenate([p[0] for p in parts])), return_inverse=True)
-        counts = np.bincount(of, np.concatenate([p[1] for p in parts]).astype(float)).astype(np.int64)
-        rows = [(c, part, 0, squeeze(x)) for c, x in
-                zip(chunks, np.split(counts[of], np.cumsum([len(p[0]) for p in parts])[:-1]), strict=True)]
-        often = np.flatnonzero(counts >= least)
-        totals = np.array([counts.sum(), (counts > 0).sum(), (counts == 1).sum(), (counts == 2).sum()], np.int64)
-        return _answers(rows + [(-1, part, 1, squeeze(totals, names[often], counts[often]))])
+def _count_tokens(key, table):
+    """Counts for every chunk (kind 0); the bucket's totals (kind -1)."""
+    part, chunks = key[0].as_py(), table.column("chunk").to_pylist()
+    parts = [expand(b, "V7", "u4") for b in table.column("body").to_pylist()]
+    names, of = np.unique(long(np.concatenate([p[0] for p in parts])), return_inverse=True)
+    counts = np.bincount(of, np.concatenate([p[1] for p in parts]).astype(float)).astype(np.int64)
+    rows = [(c, part, 0, squeeze(x)) for c, x in
+            zip(chunks, np.split(counts[of], np.cumsum([len(p[0]) for p in parts])[:-1]), strict=True)]
+    totals = np.array([counts.sum(), (counts > 0).sum(), (counts == 1).sum(), (counts == 2).sum()], np.int64)
+    return _answers(rows + [(-1, part, -1, squeeze(totals))])
 
-    return count
 
+def _totals(answers: DataFrame) -> Totals:
+    sums = np.zeros(4, np.int64)
+    for row in answers.filter("kind = -1").select("body").collect():
+        sums += expand(bytes(row["body"]), "i8")[0]
+    return Totals(*sums.tolist())
 
-def _totals(answers: DataFrame, bits: int) -> Totals:
-    sums, words, counts = np.zeros(4, np.int64), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for row in answers.filter("kind = 1").select("part", "body").collect():
-        totals, names, n = expand(bytes(row["body"]), "i8", "u8", "i8")
-        names = names | np.uint64(row["part"] << (64 - bits))
-        sums += totals
-        words.append(names[names != END])
-        counts.append(n[names != END])
-    words, counts = np.concatenate(words), np.concatenate(counts)
-    order = np.argsort(words)
-    return Totals(*sums.tolist(), words[order], counts[order])
 
+def _walk(docs, answers, learns, bits: int, totals: Totals, tree: Tree, least: int,
+          frequent: list[Frequent]) -> tuple[Chunk, np.ndarray, Walk]:
+    """A chunk's tokens, their counts, and their walk as far as there are answers."""
+    chunk = Chunk(docs.column("docs"))
+    tokens = Tokens(chunk, learns)
+    kind = answers.column("kind")
 
-def _counts(answers, kind: str = "i8") -> list[np.ndarray]:
-    """The arrays of a chunk's answers, in the order of buckets."""
-    return [expand(b, kind)[0] for b in answers.sort_by("part").column("body").to_pylist()]
+    def told(level: int, *kinds: str) -> list[np.ndarray]:
+        bodies = answers.filter(pa.compute.equal(kind, level)).sort_by("part").column("body").to_pylist()
+        parts = [expand(b, *kinds) for b in bodies]
+        return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(len(kinds))]
 
+    counts = told(0, "i8")[0]
+    walk = Walk(tokens, counts, totals, tree, least, bits)
+    for level, states in enumerate(frequent, 1):
+        walk.down(*told(level, "i8", "i8"), states)
+        if level < tree.depth:
+            walk.ask()
+    return chunk, counts, walk
 
-def _known(answers) -> np.ndarray:
-    """Counts of a chunk's distinct tokens."""
-    return np.concatenate(_counts(answers)) if answers.num_rows else np.zeros(0, np.int64)
 
-
-def _ask_continuations(learns, bits: int, totals: Totals):
+def _ask_continuations(*model):
     def ask(key, docs, answers):
         if not docs.num_rows:
             return _sent(0, [])
-        tokens = Tokens(Chunk(docs.column("docs")), learns)
-        counts = _known(answers)
-        found = tokens.continuations(totals)
-        rows, width = [], np.searchsorted(found.triple_pair, np.arange(len(found.keys) + 1))
-        for bucket, at in by_bucket(bits, found.keys):
-            deep = slice(width[at[0]], width[at[-1] + 1])
-            rows.append((bucket, squeeze(
-                short(found.keys[at]), found.context[at].astype(np.uint16), found.own[at],
-                counts[found.token[at]], (found.triple_pair[deep] - at[0]).astype(np.uint32),
-                found.triple_word[deep].astype(np.uint16), found.triple_own[deep])))
-        return _sent(key[0].as_py(), rows)
+        return _sent(key[0].as_py(), _walk(docs, answers, *model)[2].questions())
 
     return ask
 
@@ -225,120 +262,67 @@ def _ask_continuations(learns, bits: int, totals: Totals):
 def _gains(counts: np.ndarray, suffix: np.ndarray, discount: float) -> np.ndarray:
     """What a continuation adds to its context's left-out log-likelihood ratio, save for the context's totals."""
     again = np.maximum(counts - 1, 1)
-    return np.where(counts >= 2, counts * (np.log(again - discount) - np.log(suffix)), 0.0)
-
-
-def _sums(numbers: np.ndarray, counts: np.ndarray, *gains: np.ndarray) -> list[np.ndarray]:
-    """By context: its number, occurrences, distinct continuations, those seen once, and sums of gains."""
-    names, of = np.unique(numbers, return_inverse=True)
-    add = lambda x: np.bincount(of, x, minlength=len(names))
-    return [names.astype(np.int64), add(counts).astype(np.int64), add(counts > 0).astype(np.int64),
-            add(counts == 1).astype(np.int64), *(add(g) for g in gains)]
+    return np.where(counts >= 2, np.rint(counts * (np.log(again - discount) - suffix) * _UNIT), 0.0)
 
 
-def _count_continuations(totals: Totals, tree: Tree):
-    """Counts of pairs and triples for every chunk (kind 0); sums for the divergence tests (kind 1)."""
+def _count_continuations(tree: Tree, level: int):
+    """Counts of continuations, and of those of retained contexts how many there are, for every chunk (the level as
+    kind); sums for the divergence tests of the contexts dealt over all buckets (kind -1)."""
     def count(key, table):
         part, chunks = key[0].as_py(), table.column("chunk").to_pylist()
-        parts = [expand(b, "V7", "u2", "u4", "i8", "u4", "u2", "u4") for b in table.column("body").to_pylist()]
-        names, first, of = np.unique(long(np.concatenate([p[0] for p in parts])), return_index=True,
-                                     return_inverse=True)
-        context = np.concatenate([p[1] for p in parts])[first].astype(np.int64)
-        root = totals.root(np.concatenate([p[3] for p in parts])[first])
-        n = np.bincount(of, np.concatenate([p[2] for p in parts]).astype(float)).astype(np.int64)
-        sizes, deep = [len(p[0]) for p in parts], [len(p[4]) for p in parts]
-        ahead = np.repeat(np.cumsum(sizes) - sizes, deep)
-        pair = of[np.concatenate([p[4] for p in parts]).astype(np.int64) + ahead]
-        word = np.concatenate([p[5] for p in parts]).astype(np.int64)
-        codes, which = np.unique(pair * len(totals.words) + word, return_inverse=True)
-        m = np.bincount(which, np.concatenate([p[6] for p in parts]).astype(float),
-                        minlength=len(codes)).astype(np.int64)
-        rows = [(c, part, 0, squeeze(x, y)) for c, x, y in
-                zip(chunks, np.split(n[of], np.cumsum(sizes)[:-1]), np.split(m[which], np.cumsum(deep)[:-1]),
+        parts = [expand(b, "V7", "u4", "f4", "u8", "u4", "u1") for b in table.column("body").to_pylist()]
+        sizes, groups = [len(p[0]) for p in parts], [len(p[3]) for p in parts]
+        names, first, which = np.unique(np.concatenate([p[3] for p in parts]), return_index=True, return_inverse=True)
+        often = np.concatenate([p[5] for p in parts])[first] > 0
+        context = np.repeat(which, np.concatenate([p[4] for p in parts]))
+        _, first, of = np.unique(long(np.concatenate([p[0] for p in parts])) + names[context] * _PAIR,
+                                 return_index=True, return_inverse=True)
+        n = np.bincount(of, np.concatenate([p[1] for p in parts]).astype(float)).astype(np.int64)
+        gain = _gains(n, np.concatenate([p[2] for p in parts])[first].astype(float), tree.discount)
+        add = lambda x: np.bincount(context[first], x, minlength=len(names)).astype(np.int64)
+        sums = [add(n), add(n > 0), add(n == 1), add(gain)]
+        kinds = np.where(~often & tree.retained(*sums), sums[1], 0)
+        rows = [(c, part, level, squeeze(x, y)) for c, x, y in
+                zip(chunks, np.split(n[of], np.cumsum(sizes)[:-1]), np.split(kinds[which], np.cumsum(groups)[:-1]),
                     strict=True)]
-        one = _sums(context, n, _gains(n, root, tree.discount))
-        pair, word = np.divmod(codes, len(totals.words))
-        own = np.maximum(n[pair] - tree.discount, 0) / totals.counts[context[pair]] + _WEIGHT * root[pair]
-        two = _sums(word * len(totals.words) + context[pair], m, _gains(m, root[pair], tree.discount),
-                    _gains(m, own, tree.discount))
-        return _answers(rows + [(-1, part, 1, squeeze(*one, *two))])
+        return _answers(rows + [(-1, part, -1, squeeze(names[often], *(x[often] for x in sums)))])
 
     return count
 
 
-def _add_up(batches):
-    """Sums of several buckets as rows."""
-    kinds = ["i8"] * 4 + ["f8"] + ["i8"] * 4 + ["f8"] * 2
-    for batch in batches:
-        parts = [expand(b, *kinds) for b in batch.column("body").to_pylist()]
-        for depth, columns in ((1, slice(0, 5)), (2, slice(5, 11))):
-            arrays = [np.concatenate(c) for c in zip(*(p[columns] for p in parts), strict=True)] if parts else []
-            if not arrays or not len(arrays[0]):
-                continue
-            names, of = np.unique(arrays[0], return_inverse=True)
-            sums = [np.bincount(of, a.astype(float)) for a in arrays[1:]]
-            sums += [sums[-1]] * (2 - depth)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(names), depth, np.int32)), pa.array(names),
-                 *(pa.array(s.astype(np.int64)) for s in sums[:3]), pa.array(sums[3]), pa.array(sums[4])],
-                names=["depth", "number", "n", "kinds", "once", "gain", "gain_own"])
-
-
-def _retained(answers: DataFrame, totals: Totals, least: int, tree: Tree) -> tuple[States, States]:
-    """The contexts that pass the tests."""
-    sums = (answers.filter("kind = 1").select("body")
-            .mapInArrow(_add_up, "depth int, number long, n long, kinds long, once long, gain double, gain_own double")
-            .groupBy("depth", "number").agg(*[F.sum(c).alias(c) for c in ("n", "kinds", "once")],
-                                            F.sum(F.round("gain", 6)).alias("gain"),
-                                            F.sum(F.round("gain_own", 6)).alias("gain_own")))
-    rows = sums.filter(F.col("n") >= least).orderBy("depth", "number").collect()
-    kept: dict[int, list] = {1: [], 2: []}
-    shallow: set[int] = set()
-    for r in rows:
-        suffix_kept = r["depth"] == 2 and r["number"] % len(totals.words) in shallow
-        weight = tree.discount * r["kinds"] / r["n"]
-        # every occurrence of a continuation seen once is left to the suffix, the others gain or lose by their counts
-        gain = r["gain_own" if suffix_kept else "gain"] - (r["n"] - r["once"]) * np.log(r["n"]) \
-            + r["once"] * np.log(weight)
-        if gain > tree.divergence * r["n"]:
-            kept[r["depth"]].append((r["number"], r["n"], weight))
-            if r["depth"] == 1:
-                shallow.add(r["number"])
-    return tuple(States(np.array([k[0] for k in kept[d]], np.int64), np.array([k[1] for k in kept[d]], np.int64),
-                        np.array([k[2] for k in kept[d]], float)) for d in (1, 2))
+def _frequent(answers: DataFrame, tree: Tree) -> Frequent:
+    """The test of the contexts that are dealt over all buckets."""
+    columns = ["name", "n", "kinds", "once", "gain"]
+
+    def rows(batches):
+        for batch in batches:
+            for body in batch.column("body").to_pylist():
+                arrays = [a.view(np.int64) for a in expand(body, "u8", *["i8"] * 4)]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=columns)
+
+    sums = (answers.filter("kind = -1").select("body").mapInArrow(rows, ", ".join(f"{c} long" for c in columns))
+            .groupBy("name").agg(*[F.sum(c).alias(c) for c in columns[1:]]))
+    table = np.array([tuple(r) for r in sums.collect()], np.int64).reshape(-1, 5)
+    names = table[:, 0].copy().view(np.uint64)
+    order = np.argsort(names)
+    kinds = np.where(tree.retained(*table[:, 1:].T), table[:, 2], 0)
+    return Frequent(names[order], kinds[order])
 
 
 _OUT = ("id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
         "n_in_context long")
 
 
-def _score(learns, bits: int, totals: Totals, tree: Tree, one: States, two: States):
+def _score(learns, bits: int, totals: Totals, *model):
     def score(key, docs, answers):
         if not docs.num_rows:
             return pa.table({n: pa.array([], k) for n, k in (
                 ("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                 ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
                 ("n_in_context", pa.int64()))})
-        chunk = Chunk(docs.column("docs"))
-        tokens = Tokens(chunk, learns)
-        kind = answers.column("kind")
-        counts = _known(answers.filter(pa.compute.equal(kind, 0)))
-        found = tokens.continuations(totals)
-        later = [expand(b, "i8", "i8") for b in
-                 answers.filter(pa.compute.equal(kind, 2)).sort_by("part").column("body").to_pylist()]
-        pairs, triples = ((np.concatenate([x[i] for x in later]) if later else np.zeros(0, np.int64)) for i in (0, 1))
+        chunk, counts, walk = _walk(docs, answers, learns, bits, totals, *model)
+        tokens = walk.tokens
         c = counts[tokens.of]
-        p = totals.root(counts)[tokens.of]
-        state = np.zeros(len(p), bool)
-        words = max(1, len(totals.words))
-        for states, number, seen, entry in ((one, found.before, pairs, found.pair),
-                                            (two, found.second * words + found.before, triples, found.triple)):
-            at = np.flatnonzero(entry >= 0)
-            which = states.find(number[at])
-            at, which = at[which >= 0], which[which >= 0]
-            p[at] = (np.maximum(seen[entry[at]] - tree.discount, 0) / states.counts[which]
-                     + states.weights[which] * p[at])
-            state[at] = True
         base = np.log10((c + 0.5) / (totals.tokens + 0.5 * (totals.distinct + 1)))
         begin = tokens.at[:-1]
         add = lambda x: np.add.reduceat(x, begin)
@@ -346,8 +330,8 @@ def _score(learns, bits: int, totals: Totals, tree: Tree, one: States, two: Stat
             "id": chunk.id_array(), "held_out": pa.array(~tokens.learns), "n_tokens": pa.array(np.diff(tokens.at)),
             "n_known": pa.array(add((c > 0).astype(np.int64))),
             "train_tokens": pa.array(np.full(len(begin), totals.tokens)),
-            "base_score": pa.array(add(base)), "score": pa.array(add(np.log10(p))),
-            "n_in_context": pa.array(add(state.astype(np.int64)))})
+            "base_score": pa.array(add(base)), "score": pa.array(add(np.log10(walk.p))),
+            "n_in_context": pa.array(add(walk.inside.astype(np.int64)))})
 
     return score
 
@@ -360,15 +344,18 @@ def score_documents(docs: DataFrame, learns: Callable[[int | None], bool], tree:
     `learns` tells from an id whether the tree learns from that document.
     """
     chunks, bits = chunked(docs, doc_id, text)
-    least = max(tree.least_count, text_bytes(docs, text)[1] // tree.context_bytes)
+    least = tree.least_count
+    if math.isfinite(tree.context_bytes):
+        least = max(least, int(text_bytes(docs, text)[1] // tree.context_bytes))
     own = chunks.groupBy("chunk")
     known = cut_lineage(own.applyInArrow(_ask_tokens(learns, bits), _SENT).groupBy("bucket")
-                        .applyInArrow(_count_tokens(least), _ANSWER))
-    totals = _totals(known, bits)
-    told = known.filter("kind = 0")
-    later = cut_lineage(own.cogroup(told.groupBy("chunk"))
-                        .applyInArrow(_ask_continuations(learns, bits, totals), _SENT).groupBy("bucket")
-                        .applyInArrow(_count_continuations(totals, tree), _ANSWER))
-    one, two = _retained(later, totals, least, tree)
-    both = told.unionByName(later.filter("kind = 0").withColumn("kind", F.lit(2)))
-    return own.cogroup(both.groupBy("chunk")).applyInArrow(_score(learns, bits, totals, tree, one, two), _OUT)
+                        .applyInArrow(_count_tokens, _ANSWER))
+    totals, told, frequent = _totals(known), known.filter("kind >= 0"), []
+    for level in range(1, tree.depth + 1):
+        model = learns, bits, totals, tree, least, list(frequent)
+        later = cut_lineage(own.cogroup(told.groupBy("chunk")).applyInArrow(_ask_continuations(*model), _SENT)
+                            .groupBy("bucket").applyInArrow(_count_continuations(tree, level), _ANSWER))
+        frequent.append(_frequent(later, tree))
+        told = told.unionByName(later.filter("kind >= 0"))
+    model = learns, bits, totals, tree, least, frequent
+    return own.cogroup(told.groupBy("chunk")).applyInArrow(_score(*model), _OUT)

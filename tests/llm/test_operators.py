@@ -251,6 +251,15 @@ def test_suffix_tree_edge(edge, nothing):
     assert suffix_tree.score_documents(nothing, learns).count() == 0
 
 
+def test_contexts_do_not_depend_on_the_size_of_the_table(spark):
+    random = np.random.default_rng(5)
+    small = [(i, "alpha beta gamma delta " * 2) for i in range(30)]
+    other = [(100 + i, " ".join(f"w{k}" for k in random.integers(0, 5000, 4000))) for i in range(50)]  # 1.1 MB
+    few, many = (by_id(suffix_tree.score_documents(spark.createDataFrame(t, "doc_id long, text string"), learns),
+                       "n_in_context") for t in (small, small + other))
+    assert few[0] == [(8,)] and all(many[i] == few[i] for i, _ in small)
+
+
 # 5 exact copies
 
 @pytest.mark.parametrize("digest", [exact_dedup.sha256, lambda c: bytes([zlib.crc32(c) % 7])])
