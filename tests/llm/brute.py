@@ -181,3 +181,37 @@ def suffix_tree(rows, learns, tree):
         base = sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)
         out[i] = (not learns(i), len(t), sum(c[w] > 0 for w in t), n, base, score, inside)
     return out
+
+
+def deep_suffix_tree(rows, learns, tree):
+    """Contexts of up to `tree.depth` words; rows as above; {id: (score, in context)}"""
+    tokens = {i: [*words((t or "").translate(FOLD)), None] for i, t in rows}
+    after, d = defaultdict(Counter), tree.discount
+    for i, t in tokens.items():
+        for j, w in enumerate(t if learns(i) else ()):
+            for length in range(min(j, tree.depth) + 1):
+                after[tuple(t[j - length : j])][w] += 1
+    total = {s: sum(x.values()) for s, x in after.items()}
+    c, n = after[()], total[()]
+    once, twice = (sum(x == k for x in c.values()) for k in (1, 2))
+    d0, kept = once / (once + 2 * twice), set()
+
+    def p(s, w, weight):
+        q = (c[w] - d0) / n if c[w] else d0 * len(c) / n
+        for u in (s[k:] for k in range(len(s) - 1, -1, -1)):
+            if u in kept:
+                q = max(after[u][w] - d, 0) / total[u] + (weight or d * len(after[u]) / total[u]) * q
+        return q
+
+    for s in sorted((s for s in after if s and total[s] >= tree.least_count), key=len):
+        ones = sum(x == 1 for x in after[s].values())
+        gain = sum(x * (math.log(x - 1 - d) - math.log(p(s[1:], w, 0.3))) for w, x in after[s].items() if x > 1)
+        gain += ones * math.log(d * len(after[s]) / total[s]) - (total[s] - ones) * math.log(total[s])
+        if gain > tree.divergence * total[s]:
+            kept.add(s)
+    out = {}
+    for i, t in tokens.items():
+        states = [tuple(t[max(0, j - tree.depth) : j]) for j in range(len(t))]
+        out[i] = (sum(math.log10(p(s, w, None)) for s, w in zip(states, t, strict=True)),
+                  sum(any(s[k:] in kept for k in range(len(s))) for s in states))
+    return out

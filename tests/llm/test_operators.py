@@ -251,6 +251,16 @@ def test_suffix_tree_edge(edge, nothing):
     assert suffix_tree.score_documents(nothing, learns).count() == 0
 
 
+@pytest.mark.parametrize("depth", [1, 4])
+def test_suffix_tree_of_any_depth(docs, rows, depth):
+    tree = suffix_tree.Tree(depth=depth)
+    got = {r["id"]: r for r in suffix_tree.score_documents(docs, learns, tree).collect()}
+    want = brute.deep_suffix_tree(rows, learns, tree)
+    assert got.keys() == want.keys()
+    for i, (score, inside) in want.items():
+        assert got[i]["n_in_context"] == inside and np.isclose(got[i]["score"], score, atol=1e-8)
+
+
 def test_contexts_do_not_depend_on_the_size_of_the_table(spark):
     random = np.random.default_rng(5)
     small = [(i, "alpha beta gamma delta " * 2) for i in range(30)]
