@@ -3,8 +3,8 @@
 A document is described by two histograms: its code points by character class, and its words by common function
 word (one more cell for all other words).  A language's reference is the mean histogram over the distinct texts of
 that language, computed by Spark over the whole table.  A document passes if some language has both Jensen-Shannon
-distances within their limits.  Texts below the minimum lengths are too short for a histogram to mean anything;
-only the base counts judge them.
+distances within their limits.  Each histogram has its own minimum length, characters or words, below which it means
+nothing and its distance is null; a document below both is judged by the base counts only.
 
 Nulls and empty texts have no words, so the base rule fails them.  A null language gives no reference; without any
 reference the divergence rule passes everything.  Repeated rows are judged alike, extra columns are kept.
@@ -239,13 +239,14 @@ def judge_quality(docs: DataFrame, references: dict | None = None, limits: Limit
         hashes = block.split().word_hashes()
         base = _base(block, hashes, limits)
         chars, words = _histograms(block, hashes, vocab)
-        judged = (chars.sum(1) >= limits.min_chars) & (words.sum(1) >= limits.min_words)
+        by_char, by_word = chars.sum(1) >= limits.min_chars, words.sum(1) >= limits.min_words
         nearest = np.full(block.n_docs, None, object)
         cd, wd = np.full(block.n_docs, np.nan), np.full(block.n_docs, np.nan)
-        at = np.flatnonzero(judged)
+        at = np.flatnonzero(by_char | by_word)
         if len(at) and names:
-            a, b = js_distance(_shares(chars[at]), char_ref), js_distance(_shares(words[at]), word_ref)
-            best = np.argmin(np.maximum(a / limits.char_distance, b / limits.word_distance), 1)
+            a = np.where(by_char[at, None], js_distance(_shares(chars[at]), char_ref), np.nan)
+            b = np.where(by_word[at, None], js_distance(_shares(words[at]), word_ref), np.nan)
+            best = np.argmin(np.fmax(a / limits.char_distance, b / limits.word_distance), 1)
             row = np.arange(len(at))
             cd[at], wd[at] = a[row, best], b[row, best]
             nearest[at] = np.array(names, object)[best]

@@ -121,6 +121,20 @@ def test_divergence(spark):
     assert not any(got[i]["kept"] or got[i]["base_failed"] for i, *_ in junk)
 
 
+def test_each_histogram_has_its_own_least_length(spark):
+    clean = [(i, " ".join(np.random.default_rng(i).permutation(
+        brute.PROSE.split() * 3 + [f"noun{j}" for j in range(i, i + 60)])), "en") for i in range(30)]
+    few = [(100, " ".join("Z#%X|" * 8 + str(j) for j in range(50)), "en")]  # 50 words, 2000 characters
+    brief = [(200, " ".join(f"q{j:02}" for j in range(70)), "en")]  # 70 words, 279 characters
+    short = [(300, " ".join(f"Z#{j}" for j in range(25)), "en")]
+    table = spark.createDataFrame(clean + few + brief + short, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["quality"] for r in quality.judge_quality(table).collect()}
+    assert all(got[i]["kept"] for i, *_ in clean) and not any(got[i]["base_failed"] for i in (100, 200, 300))
+    assert not got[100]["kept"] and got[100]["char_distance"] > 0.2 and got[100]["word_distance"] is None
+    assert not got[200]["kept"] and got[200]["word_distance"] > 0.45 and got[200]["char_distance"] is None
+    assert got[300]["kept"] and got[300]["nearest"] is None
+
+
 def test_js_distance():
     p = np.array([[1.0, 0.0], [0.5, 0.5]])
     d = quality.js_distance(p, p)
