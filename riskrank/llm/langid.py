@@ -42,7 +42,7 @@ class Training:
 
     docs_per_language: int = 600
     segments: int = 3
-    segment_bytes: int = 300
+    segment_chars: int = 300
     log_buckets: int = 16
     dimensions: int = 16
     epochs: int = 3
@@ -110,9 +110,9 @@ def labelled_sample(docs: DataFrame, how: Training) -> tuple[list[str], list[str
         share = F.when(F.col("lang") == lang, F.lit(min(scale, how.docs_per_language * scale // n))).otherwise(share)
     picked = (labelled.withColumn("h", F.xxhash64("doc_id", "text", F.lit(how.seed)))
               .filter(F.pmod("h", F.lit(scale)) < share))
-    stretch = (F.octet_length("text") / how.segments).cast("int")
+    stretch = (F.length("text") / how.segments).cast("int")
     parts = picked.select("lang", "h", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.substring(F.col("text"), F.lit(1) + stretch * i, F.lit(how.segment_bytes))
+        F.struct(F.lit(i).alias("i"), F.substring(F.col("text"), F.lit(1) + stretch * i, F.lit(how.segment_chars))
                  .alias("part")) for i in range(how.segments)])).alias("s")).select("lang", "h", "s.i", "s.part")
     found = parts.filter(F.col("part").rlike(r"\p{L}")).distinct().collect()
     found.sort(key=lambda r: (r["h"], r["i"], r["lang"]))

@@ -534,6 +534,14 @@ def test_language(docs, spark):
     assert langid.identify(brute.empty(spark), model).count() == 0
 
 
+@pytest.mark.parametrize("letter", ["a", "é", "あ"])
+def test_language_samples_lie_all_over_the_text(spark, letter):
+    table = spark.createDataFrame([(1, "".join(f"{letter}{part}" * 200 for part in "xyz"), "l")],
+                                  "doc_id long, text string, lang string")
+    _, parts = langid.labelled_sample(table, langid.Training())
+    assert parts == [(letter + part) * 150 for part in "xyz"]
+
+
 def test_language_without_labels(nothing, edge):
     model = langid.train(*langid.labelled_sample(nothing, langid.Training()))
     assert {r["_language"]["lang"] for r in langid.identify(edge, model).collect()} == {"und"}
