@@ -7,11 +7,12 @@ from collections.abc import Callable
 from functools import wraps
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskrank.llm import (exact_dedup, langid, mixing, quality, simhash, substrings, suffix_tree, suffixes,
-                          url_filter)
+                          token_counts, url_filter)
 from riskrank.llm.frames import remainder
 from riskrank.llm.shipping import ship
 
@@ -97,6 +98,12 @@ def url_rules(pages: DataFrame) -> DataFrame:
     return url_filter.filter_urls(pages.select("page_id", "url"), URL_RULES).select("page_id", "url_verdict.*")
 
 
+@_table("documents")
+def token_numbers(docs: DataFrame) -> DataFrame:
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+    return counted.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_divergence": quality_rules,
     "op2_window_dedup": repeats,
@@ -108,5 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bucket_pointer_dedup": repeated_bytes,
     "op9_language_id": language,
     "op10_url_trie": url_rules,
+    "op11_token_counts": token_numbers,
     "pipeline": corpus_pipeline.run,
 }
