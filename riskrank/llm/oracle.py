@@ -52,4 +52,44 @@ ORACLE = {
         )
         select page_id, host, path, rule, coalesce(r_verdict, 'allow') as verdict from fits where n = 1
     """,
+    "op13_phrase_collocations": rf"""
+        with pieces as (
+            select coalesce(lang, 'und') as lang,
+                   unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) as piece
+            from documents
+        ), ws as (
+            select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+        ), grams as (
+            select lang, 1 as size, unnest(w) as phrase from ws
+            union all
+            select lang, 2, unnest(list_transform(range(1, len(w)), lambda i: array_to_string(w[i : i + 1], ' '))) from ws
+            union all
+            select lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' ')))
+            from ws
+        ), f as (
+            select lang, size, phrase, count(*) as f from grams group by all
+        ), sums as (
+            select lang, sum(f)::bigint as n from f where size = 1 group by lang
+        ), candidates as (
+            select lang, size, phrase, f as a, string_split(phrase, ' ') as w from f where size > 1 and f >= 10
+        ), inside as (
+            select lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase, a as longer
+            from candidates where size = 3
+        ), gone as (
+            select distinct lang, phrase from candidates join inside using (lang, phrase) where 100 * longer >= 50 * a
+        ), cuts as (
+            select lang, phrase, a, k, array_to_string(w[1:k], ' ') as head, array_to_string(w[k + 1:], ' ') as tail
+            from candidates join (values (1), (2)) as cut(k) on k < size anti join gone using (lang, phrase)
+        ), scored as (
+            select c.lang, c.phrase, a, h.f as l, t.f as r, k,
+                   (1000000::hugeint * a * a) // (h.f::hugeint * t.f) as score
+            from cuts c join f h on h.lang = c.lang and h.phrase = head
+            join f t on t.lang = c.lang and t.phrase = tail
+        ), lowest as (
+            select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+        )
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r,
+               n, score::bigint as score
+        from lowest join sums using (lang) qualify rank <= 2000
+    """,
 }
