@@ -52,6 +52,41 @@ ORACLE = {
         )
         select page_id, host, path, rule, coalesce(r_verdict, 'allow') as verdict from fits where n = 1
     """,
+    "op12_conversation_trie": """
+        with crc as (
+            select list(list_reduce(list_prepend(i, range(8)), lambda a, b:
+                case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) order by i) as tab
+            from range(256) as t(i)
+        ), turns as (
+            select conv_id as c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                                      order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as w
+            from conversations where conv_id is not null group by conv_id
+        ), taken as (
+            select c, w, c - c % 5 as base, xor(4294967295, list_reduce(
+                list_prepend(4294967295, list_transform(range(1, len(c::varchar) + 1), lambda k: ord((c::varchar)[k]))),
+                lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]))) % 9 as h
+            from turns, crc
+        ), rebuilt as (
+            select t.c, list_concat(coalesce(b.w, [])[1 : h], t.w[h + 1 :]) as r from taken t left join turns b on b.c = base
+        ), members as (
+            select c, unnest(range(len(r) + 1)) as d, r from rebuilt
+        ), nodes as (
+            select d, r[1 : d] as prefix, min(c) as conv_id, count(*) as n_convs,
+                   coalesce(strlen(any_value(r[d].text)), 0) as bytes,
+                   coalesce(string_agg(c::varchar, ',' order by c) filter (d = len(r)), '') as ends
+            from members group by d, r[1 : d]
+        ), children as (
+            select d - 1 as d, prefix[1 : d - 1] as prefix, count(*) as n_children from nodes where d > 0 group by all
+        ), sized as (
+            select n.*, coalesce(n_children, 0) as n_children from nodes n left join children using (d, prefix)
+        ), below as (
+            select n.d, n.prefix, count(*) filter (x.n_children = 0) as n_leaves, sum((x.n_convs - 1) * x.bytes) as saved
+            from sized n join sized x on x.d >= n.d and x.prefix[1 : n.d] = n.prefix group by n.d, n.prefix
+        )
+        select n.conv_id, n.d as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, n_leaves,
+               saved::bigint as saved_tokens, sha256(n.ends) as ends_sha256
+        from sized n join below using (d, prefix) left join nodes p on p.d = n.d - 1 and p.prefix = n.prefix[1 : n.d - 1]
+    """,
     "op13_phrase_collocations": rf"""
         with pieces as (
             select coalesce(lang, 'und') as lang,

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrank.llm import (exact_dedup, langid, mixing, phrases, quality, simhash, substrings, suffix_tree, suffixes,
+from riskrank.llm import (exact_dedup, langid, mixing, phrases, prefix_trie, quality, simhash, substrings, suffix_tree, suffixes,
                           token_counts, url_filter)
 from riskrank.llm.frames import remainder
 from riskrank.llm.shipping import ship
@@ -104,6 +104,11 @@ def token_numbers(docs: DataFrame) -> DataFrame:
     return counted.withColumnRenamed("id", "doc_id")
 
 
+@_table("conversations")
+def conversation_nodes(conversations: DataFrame) -> DataFrame:
+    return prefix_trie.prefix_trie(conversations)
+
+
 @_table("documents")
 def collocations(docs: DataFrame) -> DataFrame:
     return phrases.mine_phrases(docs)
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": language,
     "op10_url_trie": url_rules,
     "op11_token_counts": token_numbers,
+    "op12_conversation_trie": conversation_nodes,
     "op13_phrase_collocations": collocations,
     "pipeline": corpus_pipeline.run,
 }

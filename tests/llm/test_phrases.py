@@ -109,7 +109,7 @@ def test_hot_words_bound_every_prefix(spark, monkeypatch):
     """With two hot words, no prefix holds more than the phrases of one cold word."""
     monkeypatch.setattr(phrases, "HOT", 10)
     rows = [(" ".join(f"hot very w{i * 7 + j}" for j in range(7)), "en") for i in range(60)]
-    docs = spark.createDataFrame(rows, "text string, lang string")
+    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
     hot = frozenset({("en", "hot"), ("en", "very")})
     runs = phrases.count_runs(phrases._texts(docs, "text", "lang"), phrases.Mining(), hot).collect()
     entries = Counter()
