@@ -1,7 +1,9 @@
 """Phrase collocations by language: phrases that occur more often than their parts suggest.
 
-Words are counted first, by language.  Then every task counts the phrases of its documents in a HAT-trie (`hat_trie`).
-Where the trie holds too much, its largest subtrees leave as sorted runs: one row per subtree, with the words that lead
+Words are counted first, by language.  A phrase is frequent only if its words are, so the frequent words are marked in a
+bitmap of fixed size, which is broadcast, and words that it rules out end a phrase: a sieve that changes no result, and
+that lets more through as its bits fill up.  Then every task counts the phrases of its documents in a HAT-trie
+(`hat_trie`).  Where the trie holds too much, its largest subtrees leave as sorted runs: one row per subtree, with the words that lead
 to it as prefix, and the rest of its phrases and their counts in order.  Rows of a prefix meet in one partition, sorted,
 where the runs of a subtree are merged and phrases below the least count go.
 
@@ -15,12 +17,14 @@ time.  Ties in the score go by count, then by phrase.  Columns other than the tw
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +39,9 @@ HOT = 1 << 16
 #: Bytes of text whose phrases are merged in one partition, on average.
 PARTITION_BYTES = 16 << 20
 #: Bytes of text that are cut into words at once.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
+#: Bits of the sieve of frequent words, as a power of two: 16 MB at most.
+SIEVE_BITS = 27
 
 # fixed values: bytes that end a piece, and bytes between words
 _CUT = np.zeros(256, bool)
@@ -51,9 +57,9 @@ class Mining:
     least: int = 10
     share: int = 50
     top: int = 2000
-    entries: int = 1_000_000  # phrases in a task's trie
+    entries: int = 600_000  # phrases in a task's trie
     container: int = 1 << 15  # phrases in a container before it bursts
-    words: int = 1 << 19  # distinct words that a task numbers
+    words: int = 1 << 18  # distinct words that a task remembers
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -65,7 +71,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarra
     before[offsets[full]] = True
     after[offsets[full + 1] - 1] = True
     starts, ends = np.flatnonzero(~gap & before), np.flatnonzero(~gap & after) + 1
-    cuts = np.cumsum(_CUT[data])
+    cuts = np.cumsum(_CUT[data], dtype=np.int32 if n < 1 << 31 else np.int64)
     document = np.searchsorted(offsets, starts, "right")
     joined = np.zeros(len(starts), bool)
     if len(starts):
@@ -102,66 +108,90 @@ def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
 def count_words(texts: DataFrame, memory: int) -> DataFrame:
     """(lang, phrase, f) of every word."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[str, bytes], int] = {}
+        counts: dict[str, dict[bytes, int]] = {}
 
-        def out() -> pa.RecordBatch:
-            keys = list(counts)
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1].decode() for k in keys], pa.string()),
-                 pa.array(counts.values(), pa.int64())], names=["lang", "phrase", "f"])
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, found in counts.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(found), pa.string()), pa.array(found.keys(), pa.binary()).cast(pa.string()),
+                     pa.array(found.values(), pa.int64())], names=["lang", "phrase", "f"])
             counts.clear()
-            return batch
 
         for batch in batches:
             for lang, data, offsets in _by_language(batch):
-                found = words_of(data, offsets)[0].value_counts()
+                found, known = words_of(data, offsets)[0].value_counts(), counts.setdefault(lang, {})
                 for word, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
-                    counts[lang, word] = counts.get((lang, word), 0) + n
-                if len(counts) > memory:
-                    yield out()
-        yield out()
+                    known[word] = known.get(word, 0) + n
+                if sum(map(len, counts.values())) > memory:
+                    yield from out()
+        yield from out()
 
     rows = texts.mapInArrow(count, "lang string, phrase string, f long")
     return rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
+def sieve(words: DataFrame, least: int) -> np.ndarray:
+    """Bits (as bytes) at the hashes of all words that occur often enough: up to 2**SIEVE_BITS of them."""
+    place = F.xxhash64("lang", "phrase").bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))
+    found = words.filter(F.col("f") >= least).select(place.alias("place")).groupBy(
+        F.shiftright("place", 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bits = np.zeros(1 << SIEVE_BITS >> 6, np.int64)
+    bits[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+    return bits.view(np.uint8)
+
+
 class Runs:
     """One task's numbered words and trie; turns what leaves the trie into sorted runs by subtree."""
 
-    def __init__(self, mining: Mining, hot: frozenset[tuple[str, str]]):
-        self.mining, self.hot = mining, hot
+    def __init__(self, mining: Mining, hot: frozenset[tuple[str, str]], frequent: np.ndarray):
+        self.mining, self.hot, self.frequent = mining, hot, frequent
         self.trie = HatTrie(mining.entries, mining.container)
         self.forget()
 
     def forget(self) -> None:
         self.numbers: dict[str, dict[bytes, int]] = {}
+        self.rare: dict[str, set[bytes]] = {}
         self.words: list[bytes] = []
         self.langs: list[str] = []
         self.is_hot: list[bool] = []
 
-    def _number(self, lang: str, word: bytes, known: dict[bytes, int]) -> int:
-        number = known.get(word)
-        if number is None:
-            number = known[word] = len(self.words)
-            self.words.append(word)
-            self.langs.append(lang)
-            self.is_hot.append((lang, word.decode()) in self.hot)
-        return number
+    def _number_all(self, lang: str, words: list[bytes]) -> Iterator[int]:
+        """Numbers of the words, -1 where the sieve rules a word out."""
+        known, rare = self.numbers.setdefault(lang, {}), self.rare.setdefault(lang, set())
+        seed, mask, frequent = xxhash.xxh64_intdigest(lang, 42), (1 << SIEVE_BITS) - 1, self.frequent
+        for word in words:
+            number = known.get(word)
+            if number is None:
+                number = -1
+                if word not in rare:
+                    place = xxhash.xxh64_intdigest(word, seed) & mask
+                    if frequent[place >> 3] >> (place & 7) & 1:
+                        number = known[word] = len(self.words)
+                        self.words.append(word)
+                        self.langs.append(lang)
+                        self.is_hot.append((lang, word.decode()) in self.hot)
+                    else:
+                        rare.add(word)
+            yield number
 
     def add(self, lang: str, data: np.ndarray, offsets: np.ndarray) -> Iterator[pa.RecordBatch]:
         words, joined = words_of(data, offsets)
         coded = words.dictionary_encode()
+        if sum(map(len, self.rare.values())) > self.mining.words:
+            self.rare.clear()
         if len(self.words) + len(coded.dictionary) > min(self.mining.words, MAX_WORDS) and self.words:
             yield from self.spill(everything=True)
             self.forget()
         if len(coded.dictionary) > MAX_WORDS:
             raise ValueError(f"{len(coded.dictionary)} distinct words in one block")
-        known = self.numbers.setdefault(lang, {})
-        ids = np.array([self._number(lang, w, known) for w in coded.dictionary.to_pylist()], np.int64)
+        ids = np.fromiter(self._number_all(lang, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
         ids = ids[coded.indices.to_numpy()]
-        at = np.flatnonzero(joined)
+        at = np.flatnonzero(joined & (ids >= 0))
+        at = at[ids[at + 1] >= 0]
         self.trie.add(pack(ids[at], ids[at + 1]))
         at = at[joined[at + 1]]
+        at = at[ids[at + 2] >= 0]
         self.trie.add(pack(ids[at], ids[at + 1], ids[at + 2]))
         yield from self.spill()
 
@@ -215,10 +245,12 @@ class Runs:
             names=["lang", "prefix", "tails", "counts"])
 
 
-def count_runs(texts: DataFrame, mining: Mining, hot: frozenset[tuple[str, str]]) -> DataFrame:
+def count_runs(texts: DataFrame, mining: Mining, hot: frozenset[tuple[str, str]], frequent: np.ndarray) -> DataFrame:
     """(lang, prefix, tails, counts): the sorted runs of all tasks, a row per subtree."""
+    sent = texts.sparkSession.sparkContext.broadcast((hot, zlib.compress(frequent.tobytes(), 1)))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = Runs(mining, hot)
+        runs = Runs(mining, sent.value[0], np.frombuffer(zlib.decompress(sent.value[1]), np.uint8))
         for batch in batches:
             for lang, data, offsets in _by_language(batch):
                 yield from runs.add(lang, data, offsets)
@@ -291,7 +323,7 @@ def merge_runs(runs: DataFrame, partitions: int, least: int) -> DataFrame:
         if held:
             yield merge(pa.Table.from_batches(held), least)
 
-    met = runs.repartition(partitions, "lang", "prefix").sortWithinPartitions("lang", "prefix")
+    met = runs.repartition(partitions, "lang", "prefix").sortWithinPartitions("prefix", "lang")
     return met.mapInArrow(work, "lang string, phrase string, f long")
 
 
@@ -323,7 +355,7 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", mining
     hot_rows = words.filter(F.col("f") > total // HOT).collect()  # fewer than HOT rows
     hot = frozenset((r["lang"], r["phrase"]) for r in hot_rows)
     partitions = max(shuffle_width(docs), -(-total_bytes // PARTITION_BYTES))
-    phrases = cut_lineage(merge_runs(count_runs(texts, mining, hot), partitions, mining.least))
+    phrases = cut_lineage(merge_runs(count_runs(texts, mining, hot, sieve(words, mining.least)), partitions, mining.least))
 
     size = F.size(F.split("phrase", " "))
     three = phrases.filter(size == 3)

@@ -111,7 +111,8 @@ def test_hot_words_bound_every_prefix(spark, monkeypatch):
     rows = [(" ".join(f"hot very w{i * 7 + j}" for j in range(7)), "en") for i in range(60)]
     docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
     hot = frozenset({("en", "hot"), ("en", "very")})
-    runs = phrases.count_runs(phrases._texts(docs, "text", "lang"), phrases.Mining(), hot).collect()
+    everything = np.full(1 << phrases.SIEVE_BITS >> 3, 255, np.uint8)
+    runs = phrases.count_runs(phrases._texts(docs, "text", "lang"), phrases.Mining(), hot, everything).collect()
     entries = Counter()
     for r in runs:
         entries[r["prefix"]] += len(r["counts"]) // 4
@@ -119,6 +120,18 @@ def test_hot_words_bound_every_prefix(spark, monkeypatch):
     assert max(entries.values()) <= 2
 
 
+@pytest.mark.parametrize("bits", [6, 9, 27])
+def test_a_full_sieve_changes_nothing(spark, monkeypatch, bits):
+    monkeypatch.setattr(phrases, "SIEVE_BITS", bits)
+    rows = texts(8) + [(f"the rare{i} of rarer{i}", "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    words = phrases.count_words(phrases._texts(docs, "text", "lang"), 50)
+    bitmap = phrases.sieve(words, 10)
+    share = np.unpackbits(bitmap).mean()
+    assert share > 0.2 if bits == 6 else 0 < share < 0.5
+    assert found(docs) == sorted(plain(rows))
+
+
 def test_exact_scores(spark):
     from pyspark.sql import functions as F
     rows = [(10**15, 10**15 + 7, 10**15 + 9), (3 * 10**9, 4 * 10**9 + 1, 5 * 10**9 + 3), (1, 1, 1), (999_999_999_999,) * 3]
