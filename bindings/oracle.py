@@ -464,6 +464,35 @@ check("logistic_model", f"select entity_id, 'LogisticRegression' as model, round
 check("tree_model", f"""
 select entity_id, 'DecisionTreeClassifier' as model, round(rate, 6) as probability from {_LONG} union all
 select entity_id, 'GradientBoostingClassifier', round(1 / (1 + exp(-2 * (2 * rate - 1))), 6) from {_LONG}""")
+check("deep_tree_chain", """
+with c as (select c_custkey, c_custkey % 2 as label, row_number() over (order by c_custkey) as place from customer)
+select c_custkey as entity_id, c_custkey::double as x, max_depth::bigint as max_depth,
+       round(case when place <= max_depth then label
+                  else avg(label) over (partition by max_depth, place <= max_depth) end::double, 6) as probability
+from c, (select unnest([3, 35, 50, 100]) as max_depth)""")
+check("tree_best_threshold", """
+with o as (
+  select o_orderkey, o_totalprice::double as x, (o_orderpriority < '3')::integer as label from orders
+), g as (
+  select x, count(*) as n, sum(label) as p from o group by x
+), sides as (
+  select x, lead(x) over w as next, sum(n) over w as n, sum(p)::double over w as p, (select count(*) from o) as total,
+         (select sum(label)::double from o) as positive from g window w as (order by x)
+), best as (
+  select x as highest, p / n as lower, (positive - p) / (total - n) as upper from sides where next is not null
+  order by p * p / n + (positive - p) * (positive - p) / (total - n) desc, x limit 1
+)
+select o_orderkey as entity_id, x, 1::bigint as max_depth, round(case when x <= highest then lower else upper end, 6)
+       as probability from o, best""".replace("sum(p)::double over w", "(sum(p) over w)::double"))
+check("tree_full_depth", """
+select l_quantity::double as x, 1::bigint as scores, round(avg((l_returnflag = 'R')::integer), 6) as probability
+from lineitem group by l_quantity""")
+check("tree_min_samples_split", """
+with s as (select s_suppkey, (s_suppkey = 1)::integer::double as x, (s_suppkey % 3 = 1)::integer as label from supplier)
+select s_suppkey as entity_id, x, null::bigint as max_depth, least_rows::bigint as min_samples_split,
+       round(case when least_rows < 1000 then avg(label) over (partition by least_rows, x)
+                  else avg(label) over (partition by least_rows) end, 6) as probability
+from s, (select unnest([2, 10, 1000000000]) as least_rows)""")
 check("forest_order", """
 select is_long, 1::bigint as scores, rate = max(rate) over () as higher from long_rates""")
 check("feature_importance", """

@@ -388,6 +388,52 @@ def tree_model_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_exact_scores(spark, sf, "DecisionTreeClassifier", "GradientBoostingClassifier"))
 
 
+def _tree_scores(spark: SparkSession, rows: DataFrame, options: dict[str, list]) -> DataFrame:
+    """(entity_id, x, the options, probability) of decision trees on one feature, as fitted on the rows they score."""
+    models = fit_grid(rows.withColumn("split_id", F.lit(0)), ["x"], expand_grid({"DecisionTreeClassifier": options}))
+    values = spark.createDataFrame([(m.model_id, *m.kwargs.values()) for m in models],
+                                   ", ".join(["model_id string", *[f"{k} long" for k in options]]))
+    scores = score_models(models, rows, ["x"], keys=["entity_id", "x"])
+    return _rounded(scores.join(F.broadcast(values), "model_id").drop("model_id"))
+
+
+@query
+def deep_tree_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels that alternate along the feature: each level of the tree takes one more customer off its lower end."""
+    customers = v.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("entity_id"), F.col("c_custkey").cast("double").alias("x"),
+        (F.col("c_custkey") % 2).cast("int").alias("label"))
+    return _tree_scores(spark, customers, {"max_depth": [3, 35, 50, 100]})
+
+
+@query
+def tree_best_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    """The one split of a stump on order prices: thousands of values, and every gap between two of them is a candidate."""
+    orders = v.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("entity_id"), F.col("o_totalprice").cast("double").alias("x"),
+        (F.col("o_orderpriority") < "3").cast("int").alias("label"))
+    return _tree_scores(spark, orders, {"max_depth": [1]})
+
+
+@query
+def tree_full_depth(spark: SparkSession, sf: str) -> DataFrame:
+    """A tree without limits gives every value of the feature its own share of positives."""
+    lines = v.table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("entity_id"), F.col("l_quantity").cast("double").alias("x"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    found = _tree_scores(spark, lines, {"max_depth": [None]})
+    return found.groupBy("x").agg(F.countDistinct("probability").alias("scores"), F.max("probability").alias("probability"))
+
+
+@query
+def tree_min_samples_split(spark: SparkSession, sf: str) -> DataFrame:
+    """One supplier against all others: a leaf of one row is allowed as long as the node that is split is large enough."""
+    suppliers = v.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("entity_id"), (F.col("s_suppkey") == 1).cast("double").alias("x"),
+        (F.col("s_suppkey") % 3 == 1).cast("int").alias("label"))
+    return _tree_scores(spark, suppliers, {"max_depth": [None], "min_samples_split": [2, 10, 1_000_000_000]})
+
+
 @query
 def forest_order(spark: SparkSession, sf: str) -> DataFrame:
     """Which group of documents a forest ranks higher: its scores depend on the samples drawn, their order does not."""

@@ -1,13 +1,14 @@
-"""Model grids on Spark ML: fitting, scoring and importances."""
+"""Model grids: fitting, scoring and importances.  Trees and forests are exact (`trees`), other models are Spark ML's."""
 
 from __future__ import annotations
 
 import hashlib
 import itertools
 import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from math import ceil
 
@@ -22,9 +23,15 @@ from pyspark.sql import functions as F
 
 from riskrank.operators.matrix import labeled
 from riskrank.operators.ranking import rank_baseline
+from riskrank.operators.trees import (
+    Family, TreeView, feature_count, grow, load_view, save_view, score_views, view_importances,
+)
+from riskrank.session import cut_lineage
 
 MAX_TREE_DEPTH = 30  # the deepest tree Spark ML grows
 _SEED = 17
+#: Classes whose trees are grown exactly, all of a grid at once.
+EXACT_TREES = ("DecisionTreeClassifier", "RandomForestClassifier")
 
 
 @dataclass
@@ -35,7 +42,7 @@ class Model:
     model_class: str
     kwargs: dict
     spark_params: dict = field(default_factory=dict)
-    fitted: PipelineModel | None = None
+    fitted: PipelineModel | TreeView | None = None
     fit_status: str = "unfitted"
 
     @property
@@ -86,7 +93,7 @@ def tree_model(
     max_features: str | float | None = "sqrt", learning_rate: float = 0.1, subsample: float = 1.0,
     seed: int = _SEED, features: str = "features", label: str = "label",
 ) -> list:
-    """A decision tree, random forest or gradient boosting by class name.
+    """Spark ML's decision tree, random forest or gradient boosting by class name, for `register_model`.
 
     Trees and forests are regressions on the 0/1 label: variance picks the splits that
     the Gini index picks, and a leaf's mean is its share of positives.  Spark's
@@ -114,8 +121,7 @@ def tree_model(
 Builder = Callable[..., list]
 _BUILDERS: dict[str, Builder] = {
     "LogisticRegression": lambda rows, **kw: logistic_model(rows, **kw),
-    **{name: (lambda rows, _kind=name, **kw: tree_model(_kind, **kw)) for name in
-       ("DecisionTreeClassifier", "RandomForestClassifier", "GradientBoostingClassifier")},
+    "GradientBoostingClassifier": lambda rows, **kw: tree_model("GradientBoostingClassifier", **kw),
 }
 
 
@@ -157,6 +163,62 @@ def _fit_one(model: Model, train: DataFrame, rows: int, classes: int, feature_co
     return model
 
 
+def _tree_setting(model: Model, features: int) -> tuple[Family, int]:
+    """The family a tree or forest belongs to, as it alone would need it, and its number of trees."""
+    def setting(*, max_depth=None, min_samples_split=2, min_samples_leaf=1, min_weight_fraction_leaf=0.0, seed=_SEED,
+                n_estimators=100, max_features="auto", bootstrap=True):
+        forest = model.kind == "RandomForestClassifier"
+        used = feature_count(max_features if forest or max_features != "auto" else None, features)
+        name = f"{model.kind} {used} {min_samples_leaf} {min_weight_fraction_leaf} {seed} {forest and bootstrap}"
+        trees = n_estimators if forest else 1
+        if trees < 1 or min_samples_split < 2 or min_samples_leaf < 1 or max_depth is not None and max_depth < 0:
+            raise ValueError(f"no tree can be grown with {model.kwargs}")
+        return Family(name, trees, forest and bootstrap, used, min_samples_leaf, min_weight_fraction_leaf, max_depth,
+                      min_samples_split, seed)
+
+    return setting(**model.kwargs)
+
+
+def fit_trees(matrix: DataFrame, feature_columns: Sequence[str], models: Sequence[Model], *, label: str = "label",
+              **sizes: int) -> None:
+    """Fit all trees and forests of a grid in one go, as views of the few families they belong to.
+
+    The number of Spark jobs follows the depth down to which nodes are too large for a task, not the number of models.
+    """
+    settings = {}
+    for m in models:
+        try:
+            settings[m.model_id] = _tree_setting(m, len(feature_columns))
+        except Exception as error:  # a grid point that means nothing is reported and skipped
+            m.fit_status = f"{type(error).__name__}: {error}"
+    families: dict[str, Family] = {}
+    for f in settings.values():
+        known = families.get(f.name, f)
+        depth = None if None in (f.max_depth, known.max_depth) else max(f.max_depth, known.max_depth)
+        families[f.name] = replace(f, trees=max(f.trees, known.trees), max_depth=depth,
+                                   min_split=min(f.min_split, known.min_split))
+    if not families:
+        return
+    keys = [c for c in ("split_id", "entity_id") if c in matrix.columns]
+    row = F.xxhash64(*keys) if keys else F.monotonically_increasing_id()
+    train = cut_lineage(matrix.select(
+        row.alias("rid"), F.col(label).cast("double").alias("y"),
+        *[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(feature_columns)]))
+    try:
+        nodes = grow(train, list(families.values()), len(feature_columns), **sizes)
+    except Exception as error:
+        for m in models:
+            if m.model_id in settings:
+                m.fit_status = f"{type(error).__name__}: {error}"
+        return
+    for m in models:
+        if m.model_id in settings:
+            f = settings[m.model_id]
+            m.fitted, m.fit_status = TreeView(nodes, f.name, f.trees, f.max_depth, f.min_split), "ok"
+            m.spark_params = {"numTrees": f.trees, "maxDepth": f.max_depth, "min_samples_split": f.min_split,
+                              "minInstancesPerNode": f.min_leaf, "featuresPerNode": f.max_features}
+
+
 def fit_grid(
     matrix: DataFrame,
     feature_columns: Sequence[str],
@@ -165,24 +227,36 @@ def fit_grid(
     label: str = "label",
     parallelism: int = 4,
 ) -> list[Model]:
-    """Fit every grid point on the labeled rows; each fit is a distributed Spark ML job.
+    """Fit every grid point on the labeled rows.
 
-    The assembled training rows are cached for the whole grid and released after it.
-    A fit that fails is returned with the reason in `fit_status`; so is one whose
-    training labels are all the same.
+    Trees and forests are grown together (`fit_trees`); each other fit is a distributed Spark ML job of its own.  The
+    assembled training rows of these are cached for the whole grid and released after it.  A fit that fails is returned
+    with the reason in `fit_status`; so is one whose training labels are all the same.
     """
     rows = labeled(matrix, label)
+    models = [Model(m.model_id, m.model_class, dict(m.kwargs)) for m in models]
+    counts = ([r["count"] for r in rows.groupBy(label).count().collect()]
+              if any(not m.is_baseline for m in models) else [])
+    exact = [m for m in models if m.kind in EXACT_TREES and m.kind not in _BUILDERS]
+    if len(counts) >= 2 and exact:
+        fit_trees(rows, feature_columns, exact, label=label)
+    else:
+        for m in exact:
+            m.fit_status = f"ValueError: training labels have {len(counts)} classes, two are needed"
+    others = [m for m in models if m not in exact]
+    if not any(not m.is_baseline for m in others):
+        for m in others:
+            _fit_one(m, rows, 0, 0, feature_columns)
+        return models
     train = (VectorAssembler(inputCols=list(feature_columns), outputCol="features", handleInvalid="error")
              .transform(rows.withColumn("label", F.col(label).cast("double"))).select("features", "label"))
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = ([r["count"] for r in rows.groupBy(label).count().collect()]
-                  if any(not m.is_baseline for m in models) else [])
         task = inheritable_thread_target(matrix.sparkSession)(
-            lambda m: _fit_one(Model(m.model_id, m.model_class, dict(m.kwargs)), train, sum(counts), len(counts),
-                               feature_columns))
+            lambda m: _fit_one(m, train, sum(counts), len(counts), feature_columns))
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            return list(pool.map(task, models))
+            list(pool.map(task, others))
+        return models
     finally:
         train.unpersist()
 
@@ -196,14 +270,23 @@ def model_table(spark: SparkSession, models: Sequence[Model]) -> DataFrame:
 
 
 def save_models(models: Sequence[Model], path: str) -> None:
+    """Every usable model under `path`; trees that several models are views of are written once."""
+    tables: dict[int, str] = {}
     for m in models:
-        if m.fitted is not None:
+        if isinstance(m.fitted, TreeView):
+            nodes = m.fitted.nodes
+            if id(nodes) not in tables:
+                tables[id(nodes)] = f"{path}/trees-{uuid.uuid4().hex}"
+                nodes.write.parquet(tables[id(nodes)])
+            save_view(m.fitted, f"{path}/{m.model_id}", tables[id(nodes)])
+        elif m.fitted is not None:
             m.fitted.write().overwrite().save(f"{path}/{m.model_id}")
 
 
 def load_model(path: str, model: Model) -> Model:
-    return Model(model.model_id, model.model_class, model.kwargs,
-                 fitted=PipelineModel.load(f"{path}/{model.model_id}"), fit_status="ok")
+    place = f"{path}/{model.model_id}"
+    fitted = load_view(SparkSession.active(), place) or PipelineModel.load(place)
+    return Model(model.model_id, model.model_class, model.kwargs, fitted=fitted, fit_status="ok")
 
 
 def _probability_only(model: Model, column: str) -> tuple[PipelineModel, Column]:
@@ -232,13 +315,15 @@ def score_models(
 ) -> DataFrame:
     """(keys, model_id, probability) for every row, labeled or not.
 
-    Up to `models_per_pass` models read the features in one pass: each adds its
-    probability as a column, and the columns are unfolded to rows.
+    Up to `models_per_pass` Spark ML models read the features in one pass: each adds its
+    probability as a column, and the columns are unfolded to rows.  Trees and forests
+    share passes of their own.
     """
-    usable = [m for m in models if m.fitted is not None]
+    views = {m.model_id: m.fitted for m in models if isinstance(m.fitted, TreeView)}
+    usable = [m for m in models if m.fitted is not None and m.model_id not in views]
     assembled = (VectorAssembler(inputCols=list(feature_columns), outputCol="features", handleInvalid="error")
                  .transform(features).select(*keys, "features"))
-    passes = []
+    passes = [score_views(views, features, feature_columns, keys)] if views else []
     for start in range(0, len(usable), models_per_pass):
         chunk = usable[start:start + models_per_pass]
         wide, entries = assembled, []
@@ -286,11 +371,14 @@ def feature_importance(models: Sequence[Model], feature_columns: Sequence[str],
     importances for trees, one for a baseline's own column, NULL when there is none.
     The values are model parameters: features x models rows, whatever the data size.
     """
-    rows = []
+    rows, views = [], {m.model_id: m.fitted for m in models if isinstance(m.fitted, TreeView)}
+    of_trees = view_importances(views, len(feature_columns))
     for m in models:
         if m.fit_status != "ok":
             continue
-        if m.is_baseline:
+        if m.model_id in views:
+            values = of_trees[m.model_id]
+        elif m.is_baseline:
             values = [1.0 if c == m.kwargs["column"] else 0.0 for c in feature_columns]
         else:
             last = m.fitted.stages[-1]

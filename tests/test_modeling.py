@@ -51,7 +51,7 @@ def test_every_grid_point_has_a_status(spark, fitted):
     failed = table.where("fit_status <> 'ok'").collect()
     assert [r["model_class"] for r in failed] == ["z.Unknown"] and "KeyError" in failed[0]["fit_status"]
     deep = table.where("model_kwargs like '%\"max_depth\": null%'").first()
-    assert '"maxDepth": 30' in deep["spark_params"]
+    assert '"maxDepth": null' in deep["spark_params"]
 
 
 def test_scores(matrix, fitted):
@@ -96,12 +96,26 @@ def test_one_class_is_a_reported_failure(spark):
     assert [m.fit_status == "ok" for m in models] == [False, False, True] and "classes" in models[0].fit_status
 
 
-def test_depths_beyond_the_limit(spark):
+def test_depths_beyond_spark_ml(spark):
     """A tree that needs 40 levels: every level splits one more power of two off."""
     rows = [(0, i, float(2.0 ** i), i % 2) for i in range(42)]
     data = spark.createDataFrame(rows, "split_id int, entity_id long, x double, label int")
+    grid = expand_grid({"DecisionTreeClassifier": {"max_depth": [None, 100, 35, 3]}})
+    models = fit_grid(data, ["x"], grid)
+    assert [m.fit_status for m in models] == ["ok"] * 4
+    found = {(r["model_id"], r["entity_id"]): r["probability"] for r in score_models(models, data, ["x"]).collect()}
+    for m in models:
+        kept = min(m.kwargs["max_depth"] or 42, 41)
+        left = [i % 2 for i in range(kept, 42)]
+        assert [found[m.model_id, i] for i in range(42)] == [i % 2 if i < kept else sum(left) / len(left) for i in range(42)]
+
+
+def test_registered_spark_trees_beyond_the_limit_are_refused(spark):
+    register_model("SparkTree", lambda rows, **kw: tree_model("DecisionTreeClassifier", **kw))
+    rows = [(0, i, float(2.0 ** i), i % 2) for i in range(42)]
+    data = spark.createDataFrame(rows, "split_id int, entity_id long, x double, label int")
     shallow = spark.createDataFrame(rows[:8], data.schema)
-    grid = expand_grid({"DecisionTreeClassifier": {"max_depth": [None, 100, 3]}})
+    grid = expand_grid({"SparkTree": {"max_depth": [None, 100, 3]}})
     assert [m.fit_status == "ok" for m in fit_grid(shallow, ["x"], grid)] == [True, True, True]
     for m in fit_grid(data, ["x"], grid):
         deep = m.fitted is None
