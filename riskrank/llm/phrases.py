@@ -159,7 +159,7 @@ class Runs:
     def _number_all(self, lang: str, words: list[bytes]) -> Iterator[int]:
         """Numbers of the words, -1 where the sieve rules a word out."""
         known, rare = self.numbers.setdefault(lang, {}), self.rare.setdefault(lang, set())
-        seed, mask, frequent = xxhash.xxh64_intdigest(lang, 42), (1 << SIEVE_BITS) - 1, self.frequent
+        seed, mask, frequent = xxhash.xxh64_intdigest(lang, 42), 8 * len(self.frequent) - 1, self.frequent
         for word in words:
             number = known.get(word)
             if number is None:
