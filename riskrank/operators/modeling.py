@@ -1,4 +1,8 @@
-"""Model grids: fitting, scoring and importances.  Trees and forests are exact (`trees`), other models are Spark ML's."""
+"""Model grids: fitting, scoring and importances.
+
+Trees and forests (`trees`) and logistic regressions (`logistic`) of a grid are fitted together; other models are Spark
+ML's, one by one.
+"""
 
 from __future__ import annotations
 
@@ -21,6 +25,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskrank.operators.logistic import LogisticView, fit_points, load_point, save_point, score_points
 from riskrank.operators.matrix import labeled
 from riskrank.operators.ranking import rank_baseline
 from riskrank.operators.trees import (
@@ -32,6 +37,7 @@ MAX_TREE_DEPTH = 30  # the deepest tree Spark ML grows
 _SEED = 17
 #: Classes whose trees are grown exactly, all of a grid at once.
 EXACT_TREES = ("DecisionTreeClassifier", "RandomForestClassifier")
+LOGISTIC = "LogisticRegression"
 
 
 @dataclass
@@ -42,7 +48,7 @@ class Model:
     model_class: str
     kwargs: dict
     spark_params: dict = field(default_factory=dict)
-    fitted: PipelineModel | TreeView | None = None
+    fitted: PipelineModel | TreeView | LogisticView | None = None
     fit_status: str = "unfitted"
 
     @property
@@ -66,17 +72,21 @@ def expand_grid(model_config: Mapping[str, Mapping[str, Sequence]]) -> list[Mode
     return models
 
 
+def penalty_point(rows: int, penalty: str | None, C: float, l1_ratio: float | None) -> tuple[float, float]:
+    """Strength against the mean loss, and the absolute penalty's share of it.
+
+    The inverse strength C weighs the summed loss, so the strength is 1 / (C * rows).
+    """
+    mix = {"l1": 1.0, "l2": 0.0, "elasticnet": l1_ratio or 0.0, "none": 0.0, None: 0.0}[penalty]
+    return (0.0, 0.0) if penalty in ("none", None) else (1.0 / (C * max(rows, 1)), mix)
+
+
 def logistic_model(
     rows: int, penalty: str | None = "l2", C: float = 1.0, l1_ratio: float | None = None,
     max_iter: int = 100, features: str = "features", label: str = "label",
 ) -> list:
-    """Standardised inputs, then logistic regression.
-
-    The inverse strength C weighs the summed loss, Spark's `regParam` the mean loss,
-    so `regParam = 1 / (C * rows)`.
-    """
-    mix = {"l1": 1.0, "l2": 0.0, "elasticnet": l1_ratio or 0.0, "none": 0.0, None: 0.0}[penalty]
-    strength = 0.0 if penalty in ("none", None) else 1.0 / (C * max(rows, 1))
+    """Standardised inputs, then Spark ML's logistic regression, for `register_model`."""
+    strength, mix = penalty_point(rows, penalty, C, l1_ratio)
     scaler = StandardScaler(inputCol=features, outputCol="scaled", withMean=True, withStd=True)
     model = LogisticRegression(featuresCol="scaled", labelCol=label, regParam=strength,
                                elasticNetParam=mix, maxIter=max_iter, standardization=False)
@@ -120,7 +130,6 @@ def tree_model(
 
 Builder = Callable[..., list]
 _BUILDERS: dict[str, Builder] = {
-    "LogisticRegression": lambda rows, **kw: logistic_model(rows, **kw),
     "GradientBoostingClassifier": lambda rows, **kw: tree_model("GradientBoostingClassifier", **kw),
 }
 
@@ -179,6 +188,45 @@ def _tree_setting(model: Model, features: int) -> tuple[Family, int]:
     return setting(**model.kwargs)
 
 
+def plain_rows(matrix: DataFrame, feature_columns: Sequence[str], label: str = "label") -> DataFrame:
+    """(rid, y, x0, x1, ...): row, label and features as plain columns, written once."""
+    keys = [c for c in ("split_id", "entity_id") if c in matrix.columns]
+    row = F.xxhash64(*keys) if keys else F.monotonically_increasing_id()
+    return cut_lineage(matrix.select(
+        row.alias("rid"), F.col(label).cast("double").alias("y"),
+        *[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(feature_columns)]))
+
+
+def fit_logistic(matrix: DataFrame, feature_columns: Sequence[str], models: Sequence[Model], rows: int, *,
+                 label: str = "label") -> None:
+    """Fit all logistic regressions of a grid in one go: as many passes over the rows as the slowest alone needs."""
+    def setting(*, penalty="l2", C=1.0, l1_ratio=None, max_iter=100):
+        if C <= 0 or max_iter < 1:
+            raise ValueError(f"no regression can be fitted with C={C}, max_iter={max_iter}")
+        return (*penalty_point(rows, penalty, C, l1_ratio), max_iter)
+
+    settings = {}
+    for m in models:
+        try:
+            settings[m.model_id] = setting(**m.kwargs)
+        except Exception as error:  # a grid point that means nothing is reported and skipped
+            m.fit_status = f"{type(error).__name__}: {error}"
+    train = plain_rows(matrix, feature_columns, label) if settings else None
+    for most in sorted({s[2] for s in settings.values()}):
+        mine = [m for m in models if settings.get(m.model_id, (0, 0, 0))[2] == most]
+        points = sorted({settings[m.model_id][:2] for m in mine})
+        try:
+            fitted = dict(zip(points, fit_points(train, len(feature_columns), points, most)))
+        except Exception as error:
+            for m in mine:
+                m.fit_status = f"{type(error).__name__}: {error}"
+            continue
+        for m in mine:
+            strength, mix, _ = settings[m.model_id]
+            m.fitted, m.fit_status = fitted[strength, mix], "ok"
+            m.spark_params = {"regParam": strength, "elasticNetParam": mix, "maxIter": most}
+
+
 def fit_trees(matrix: DataFrame, feature_columns: Sequence[str], models: Sequence[Model], *, label: str = "label",
               **sizes: int) -> None:
     """Fit all trees and forests of a grid in one go, as views of the few families they belong to.
@@ -199,11 +247,7 @@ def fit_trees(matrix: DataFrame, feature_columns: Sequence[str], models: Sequenc
                                    min_split=min(f.min_split, known.min_split))
     if not families:
         return
-    keys = [c for c in ("split_id", "entity_id") if c in matrix.columns]
-    row = F.xxhash64(*keys) if keys else F.monotonically_increasing_id()
-    train = cut_lineage(matrix.select(
-        row.alias("rid"), F.col(label).cast("double").alias("y"),
-        *[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(feature_columns)]))
+    train = plain_rows(matrix, feature_columns, label)
     try:
         nodes = grow(train, list(families.values()), len(feature_columns), **sizes)
     except Exception as error:
@@ -229,21 +273,24 @@ def fit_grid(
 ) -> list[Model]:
     """Fit every grid point on the labeled rows.
 
-    Trees and forests are grown together (`fit_trees`); each other fit is a distributed Spark ML job of its own.  The
-    assembled training rows of these are cached for the whole grid and released after it.  A fit that fails is returned
+    Trees and forests are grown together (`fit_trees`), and so are logistic regressions fitted (`fit_logistic`); each
+    other fit is a distributed Spark ML job of its own.  The assembled training rows of these are cached for the whole grid and released after it.  A fit that fails is returned
     with the reason in `fit_status`; so is one whose training labels are all the same.
     """
     rows = labeled(matrix, label)
     models = [Model(m.model_id, m.model_class, dict(m.kwargs)) for m in models]
     counts = ([r["count"] for r in rows.groupBy(label).count().collect()]
               if any(not m.is_baseline for m in models) else [])
-    exact = [m for m in models if m.kind in EXACT_TREES and m.kind not in _BUILDERS]
-    if len(counts) >= 2 and exact:
-        fit_trees(rows, feature_columns, exact, label=label)
-    else:
-        for m in exact:
+    together = [m for m in models if m.kind in (*EXACT_TREES, LOGISTIC) and m.kind not in _BUILDERS]
+    if len(counts) < 2:
+        for m in together:
             m.fit_status = f"ValueError: training labels have {len(counts)} classes, two are needed"
-    others = [m for m in models if m not in exact]
+    else:
+        if trees := [m for m in together if m.kind != LOGISTIC]:
+            fit_trees(rows, feature_columns, trees, label=label)
+        if regressions := [m for m in together if m.kind == LOGISTIC]:
+            fit_logistic(rows, feature_columns, regressions, sum(counts), label=label)
+    others = [m for m in models if not any(m is t for t in together)]
     if not any(not m.is_baseline for m in others):
         for m in others:
             _fit_one(m, rows, 0, 0, feature_columns)
@@ -279,13 +326,15 @@ def save_models(models: Sequence[Model], path: str) -> None:
                 tables[id(nodes)] = f"{path}/trees-{uuid.uuid4().hex}"
                 nodes.write.parquet(tables[id(nodes)])
             save_view(m.fitted, f"{path}/{m.model_id}", tables[id(nodes)])
+        elif isinstance(m.fitted, LogisticView):
+            save_point(m.fitted, SparkSession.active(), f"{path}/{m.model_id}")
         elif m.fitted is not None:
             m.fitted.write().overwrite().save(f"{path}/{m.model_id}")
 
 
 def load_model(path: str, model: Model) -> Model:
-    place = f"{path}/{model.model_id}"
-    fitted = load_view(SparkSession.active(), place) or PipelineModel.load(place)
+    place, spark = f"{path}/{model.model_id}", SparkSession.active()
+    fitted = load_view(spark, place) or load_point(spark, place) or PipelineModel.load(place)
     return Model(model.model_id, model.model_class, model.kwargs, fitted=fitted, fit_status="ok")
 
 
@@ -317,13 +366,15 @@ def score_models(
 
     Up to `models_per_pass` Spark ML models read the features in one pass: each adds its
     probability as a column, and the columns are unfolded to rows.  Trees and forests
-    share passes of their own.
+    share passes of their own, and so do logistic regressions.
     """
     views = {m.model_id: m.fitted for m in models if isinstance(m.fitted, TreeView)}
-    usable = [m for m in models if m.fitted is not None and m.model_id not in views]
+    points = {m.model_id: m.fitted for m in models if isinstance(m.fitted, LogisticView)}
+    usable = [m for m in models if m.fitted is not None and m.model_id not in views and m.model_id not in points]
     assembled = (VectorAssembler(inputCols=list(feature_columns), outputCol="features", handleInvalid="error")
                  .transform(features).select(*keys, "features"))
-    passes = [score_views(views, features, feature_columns, keys)] if views else []
+    passes = [score(found, features, feature_columns, keys) for score, found in
+              ((score_views, views), (score_points, points)) if found]
     for start in range(0, len(usable), models_per_pass):
         chunk = usable[start:start + models_per_pass]
         wide, entries = assembled, []
@@ -378,6 +429,8 @@ def feature_importance(models: Sequence[Model], feature_columns: Sequence[str],
             continue
         if m.model_id in views:
             values = of_trees[m.model_id]
+        elif isinstance(m.fitted, LogisticView):
+            values = [abs(c) for c in m.fitted.coefficients]
         elif m.is_baseline:
             values = [1.0 if c == m.kwargs["column"] else 0.0 for c in feature_columns]
         else:
