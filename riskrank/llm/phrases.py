@@ -7,8 +7,8 @@ that lets more through as its bits fill up.  Then every task counts the phrases
 to it as prefix, and the rest of its phrases and their counts in order.  Rows of a prefix meet in one partition, sorted,
 where the runs of a subtree are merged and phrases below the least count go.
 
-A prefix is one word.  Where that word is hot, which is to hold more than one in `HOT` of all words, it is two words, and
-three where both are hot: so no prefix has more than one in `HOT` of all phrases, and the list of hot words is bounded.
+A prefix is one word.  Where that word is hot it is two words, and three where both are hot: so no prefix has more than
+the phrases of a word that is not hot, and the list of hot words is bounded.
 
 A null text counts as empty and a null language as `und`.  Texts without words and empty tables give no phrases.  Every
 row counts, also where rows repeat or share an id.  Very long texts are worked as a whole, some megabytes of words at a
@@ -34,8 +34,9 @@ from riskrank.llm.text import LOWER, column
 from riskrank.llm.tokens import _ragged
 from riskrank.session import cut_lineage
 
-#: One in this many words makes a word hot; at most this many words are collected.
-HOT = 1 << 16
+#: A word is hot that is more than one in `HOT` of all words, so at most this many are collected, and occurs more often
+#: than `HOT_LEAST`: the phrases of any other fit a few megabytes.
+HOT, HOT_LEAST = 1 << 16, 1 << 17
 #: Bytes of text whose phrases are merged in one partition, on average.
 PARTITION_BYTES = 16 << 20
 #: Bytes of text that are cut into words at once.
@@ -57,7 +58,7 @@ class Mining:
     least: int = 10
     share: int = 50
     top: int = 2000
-    entries: int = 600_000  # phrases in a task's trie
+    entries: int = 500_000  # phrases in a task's trie
     container: int = 1 << 15  # phrases in a container before it bursts
     words: int = 1 << 18  # distinct words that a task remembers
 
@@ -352,7 +353,7 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", mining
     words = cut_lineage(count_words(texts, mining.entries))
     sums = words.groupBy("lang").agg(F.sum("f").alias("n"))
     total = words.agg(F.sum("f").alias("n")).first()["n"] or 0
-    hot_rows = words.filter(F.col("f") > total // HOT).collect()  # fewer than HOT rows
+    hot_rows = words.filter(F.col("f") > max(total // HOT, HOT_LEAST)).collect()  # fewer than HOT rows
     hot = frozenset((r["lang"], r["phrase"]) for r in hot_rows)
     partitions = max(shuffle_width(docs), -(-total_bytes // PARTITION_BYTES))
     phrases = cut_lineage(merge_runs(count_runs(texts, mining, hot, sieve(words, mining.least)), partitions, mining.least))

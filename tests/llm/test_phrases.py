@@ -69,6 +69,7 @@ def texts(seed, rows=300):
 @pytest.mark.parametrize("hot", [1 << 16, 12])
 def test_against_the_plain_version(spark, monkeypatch, options, hot):
     monkeypatch.setattr(phrases, "HOT", hot)
+    monkeypatch.setattr(phrases, "HOT_LEAST", 0)
     monkeypatch.setattr(phrases, "BLOCK_BYTES", 500)
     rows = texts(len(options))
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(5)
