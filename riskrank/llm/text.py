@@ -1,12 +1,18 @@
-"""Vectorised text kernels for Arrow batches: words, lines and Rabin-Karp hashes of whole texts.
+"""Vectorised text kernels for Arrow batches: words, lines and hashes of stretches and windows.
 
 A word is a maximal run of bytes outside `\\x20` and `\\x09-\\x0D`.  These bytes never occur inside a UTF-8
 sequence, so all work is on the bytes of an Arrow column, many documents at a time and without a Python loop per
 word.  A null text counts as empty here.
+
+Words, lines and texts are hashed eight bytes at a time, each step mixing all that came before; beyond `LANES` steps by
+keyed BLAKE2.  Windows of a fixed number of words or bytes have Rabin-Karp hashes modulo 2**64.  These take one sum for
+all windows, but texts can be made that collide under any base (Thue-Morse words): of 1024 values at least, so windows
+have to be shorter than `MAX_WINDOW`.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +26,14 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_MASK = (1 << 64) - 1
+#: Steps of eight bytes that are hashed for many stretches at once; longer ones go to BLAKE2, one by one.
+LANES = 16
+#: Values in a window of a Rabin-Karp hash, at most.
+MAX_WINDOW = 512
+
+_KEY = b"riskrank stretches, version 3"
+_SEED, _STEP = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
+_TAIL_MASK = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd, hence invertible modulo 2**64
 _LOW = 1 << 12
 
@@ -94,6 +107,27 @@ def column(array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets.astype(np.int64) - int(offsets[0])
 
 
+def stretch_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the stretches [start, end) of some bytes, wherever they lie."""
+    size = (ends - starts).astype(np.int64)
+    out = mix(size.astype(np.uint64) * _STEP ^ _SEED)
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from every position
+    live = np.flatnonzero((size > 0) & (size <= 8 * LANES))
+    for step in range(LANES):
+        if not len(live):
+            break
+        left = size[live] - 8 * step
+        lane = eight[starts[live] + 8 * step] & _TAIL_MASK[np.minimum(left, 8)]
+        out[live] = mix(out[live] * _STEP ^ lane)
+        live = live[left > 8]
+    for i in np.flatnonzero(size > 8 * LANES).tolist():
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8, key=_KEY).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
 class Block:
     """Some whole documents: their bytes, document offsets, and the words in them."""
 
@@ -119,14 +153,9 @@ class Block:
         self.word_at = np.searchsorted(self.starts, self.offsets)
         return self
 
-    def byte_sums(self) -> np.ndarray:
-        if not hasattr(self, "_sums"):
-            self._sums = prefix(_BYTE[self.data], _BYTE_BASE)
-        return self._sums
-
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """64-bit hashes of byte stretches."""
-        return between(self.byte_sums(), starts, ends, _BYTE_BASE)
+        return stretch_hashes(self.data, starts, ends)
 
     def word_hashes(self) -> np.ndarray:
         return self.hashes(self.starts, self.ends)
@@ -138,6 +167,8 @@ class Block:
 
 def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
     """Rabin-Karp hash of every window of `width` consecutive values."""
+    if width > MAX_WINDOW:
+        raise ValueError(f"windows of {width} values, at most {MAX_WINDOW} can be told apart")
     if len(values) < width:
         return np.zeros(0, np.uint64)
     sums = prefix(values, _WORD_BASE)
@@ -155,6 +186,43 @@ def windows_inside(word_at: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(ok)
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `np.unique` with first places and inverse, for 64-bit hashes: sorts their high bits with the places below.
+
+    Where high bits are shared by different hashes, which happens to few arrays, `np.unique` does it.
+    """
+    n = len(hashes)
+    low = np.uint64(max(1, n.bit_length()))
+    mask = (np.uint64(1) << low) - np.uint64(1)
+    packed = np.sort((hashes & ~mask) | np.arange(n, dtype=np.uint64))
+    place = (packed & mask).astype(np.int64)
+    found, high = hashes[place], packed & ~mask
+    new = np.ones(n, bool)
+    new[1:] = found[1:] != found[:-1]
+    if (new[1:] & (high[1:] == high[:-1])).any():
+        return np.unique(hashes, return_index=True, return_inverse=True)
+    of = np.empty(n, np.int64)
+    of[place] = np.cumsum(new) - 1
+    return found[new], place[new], of
+
+
+def sort_pairs(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of pairs of numbers from 0 on, and which of them in this order differ from the one before."""
+    n = len(first)
+    new = np.ones(n, bool)
+    if not n:
+        return np.zeros(0, np.int64), new
+    low, width = np.uint64(n.bit_length()), np.uint64(max(1, int(second.max()).bit_length()))
+    if int(first.max()).bit_length() + int(width) + int(low) > 64:
+        order = np.lexsort((second, first))
+        new[1:] = (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)
+        return order, new
+    packed = (first.astype(np.uint64) << width) | second.astype(np.uint64)
+    packed = np.sort((packed << low) | np.arange(n, dtype=np.uint64))
+    new[1:] = (packed[1:] >> low) != (packed[:-1] >> low)
+    return (packed & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64), new
+
+
 def blocks(texts, lower: bool = False, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """Cut a text column into blocks of about `limit` bytes."""
     data, offsets = column(texts)
