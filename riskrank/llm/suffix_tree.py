@@ -19,19 +19,18 @@ every token is unknown and scores 0.  Repeated rows score alike, extra columns d
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskrank.llm.chunks import NO_ID, Chunk, by_bucket, chunked, expand, long, short, squeeze
-from riskrank.llm.frames import text_bytes
-from riskrank.llm.text import mix
+from riskrank.llm.text import distinct, mix, sort_pairs
 from riskrank.session import cut_lineage
 
 #: The end token's hash (any number that no word is likely to have).
@@ -48,9 +47,8 @@ _ANSWER = "chunk long, part long, kind int, body binary"
 
 @dataclass(frozen=True)
 class Tree:
-    """Parameters of the model.  A finite `context_bytes` asks for one more occurrence per so many bytes of text."""
+    """Parameters of the model."""
 
-    context_bytes: float = math.inf
     least_count: int = 8
     discount: float = 0.75
     divergence: float = 0.01
@@ -114,50 +112,54 @@ class Tokens:
         self.at = np.append(0, np.cumsum(np.concatenate(sizes)))
         self.learns = np.array([learns(None if i == NO_ID else i) for i in chunk.ids.tolist()], bool)
         self.learning = np.repeat(self.learns, np.diff(self.at))
-        self.keys, self.of = np.unique(np.concatenate(parts), return_inverse=True)
+        self.keys, _, self.of = distinct(np.concatenate(parts))
         self.own = np.bincount(self.of[self.learning], minlength=len(self.keys)).astype(np.uint32)
 
 
 class Walk:
     """The tokens of a chunk on their way down the tree, a level at a time.
 
-    `gram` and `seen` are, for each token, the hash and the count of the words up to and with it, as many as the level
-    (count 0 where there are fewer); `p` is its probability so far and `guess` that by assumed backing-off weights.
+    `number` and `seen` are, for each token, the number and the count of the words up to and with it, as many as the
+    level (count 0 where there are fewer); `names` has the hash of each number.  `p` is the token's probability so far and
+    `guess` that by assumed backing-off weights.
     """
 
-    def __init__(self, tokens: Tokens, counts: np.ndarray, totals: Totals, tree: Tree, least: int, bits: int):
-        self.tokens, self.tree, self.least, self.bits = tokens, tree, least, bits
+    def __init__(self, tokens: Tokens, counts: np.ndarray, totals: Totals, tree: Tree, bits: int):
+        self.tokens, self.tree, self.bits = tokens, tree, bits
         self.limit = totals.tokens >> bits
         self.p = totals.root(counts)[tokens.of]
         self.guess = self.p.copy()
-        self.gram = tokens.keys[tokens.of]
-        self.seen = np.where(self.gram == END, 0, counts[tokens.of])
+        self.number, self.names = tokens.of, tokens.keys
+        self.seen = np.where(tokens.keys == END, 0, counts)[tokens.of]
         self.inside = np.zeros(len(self.p), bool)
         self.ask()
 
     def ask(self) -> None:
-        """The distinct continuations of candidate contexts, in the order of buckets, contexts and keys."""
-        ready = np.zeros(len(self.gram), bool)
-        ready[1:] = self.seen[:-1] >= self.least
+        """The distinct continuations of candidate contexts, in the order of buckets and contexts."""
+        ready = np.zeros(len(self.seen), bool)
+        ready[1:] = self.seen[:-1] >= self.tree.least_count
         ready[self.tokens.at[:-1]] = False
         self.at = np.flatnonzero(ready)
-        context = self.gram[self.at - 1]
-        keys, first, of = np.unique(mix(self.tokens.keys[self.tokens.of[self.at]] + context * _PAIR),
-                                    return_index=True, return_inverse=True)
-        context, often = context[first], self.seen[self.at - 1][first] > self.limit
-        bucket = np.where(often, keys, context) >> np.uint64(64 - self.bits)
-        order = np.lexsort((context, bucket))
+        before, after = self.number[self.at - 1], self.tokens.of[self.at]
+        order, new = sort_pairs(before, after)
+        first, of = order[new], np.empty(len(order), np.int64)
+        of[order] = np.cumsum(new) - 1
+        before = before[first]  # rises, so each context is one stretch
+        stretch = np.flatnonzero(np.diff(before, prepend=-1))
+        rank = np.empty(len(stretch), np.int64)
+        rank[np.argsort(self.names[before[stretch]])] = np.arange(len(stretch))
+        rank = np.repeat(rank, np.diff(np.append(stretch, len(before))))
+        context, often = self.names[before], self.seen[self.at - 1][first] > self.limit
+        keys = mix(self.tokens.keys[after[first]] + context * _PAIR)
+        bucket = (np.where(often, keys, context) >> np.uint64(64 - self.bits)).astype(np.int64)
+        order, new = sort_pairs(bucket, rank)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.entry, self.first = place[of], first[order]
         self.keys, self.context, self.often = keys[order], context[order], often[order]
         own = np.bincount(of[self.tokens.learning[self.at]], minlength=len(keys)).astype(np.uint32)
-        self.own, bucket = own[order], bucket[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (self.context[1:] != self.context[:-1]) | (bucket[1:] != bucket[:-1])
-        self.group = np.cumsum(new) - 1
-        self.begin = np.flatnonzero(new)
-        self.bucket = bucket
+        self.own, self.bucket = own[order], bucket[order]
+        self.group, self.begin = np.cumsum(new) - 1, np.flatnonzero(new)
 
     def questions(self) -> list[tuple[int, bytes]]:
         guess = np.log(self.guess[self.at[self.first]]).astype(np.float32)
@@ -176,7 +178,8 @@ class Walk:
         kinds = kinds[self.group] if len(self.group) else np.zeros(0, np.int64)
         kinds = np.where(self.often, frequent.find(self.context), kinds)[self.entry]
         n, again, discount = self.seen[self.at - 1], counts[self.entry], self.tree.discount
-        grams, seen = self.keys[self.entry], np.zeros(len(self.seen), np.int64)
+        number, seen = np.zeros(len(self.seen), np.int64), np.zeros(len(self.seen), np.int64)
+        number[self.at] = self.entry
         seen[self.at] = np.where(self.tokens.keys[self.tokens.of[self.at]] == END, 0, again)
         held = kinds > 0
         at, n, kinds = self.at[held], n[held], kinds[held]
@@ -184,9 +187,7 @@ class Walk:
         self.p[at] = part + discount * kinds / n * self.p[at]
         self.guess[at] = part + _WEIGHT * self.guess[at]
         self.inside[at] = True
-        self.gram = np.zeros(len(self.seen), np.uint64)
-        self.gram[self.at], self.seen = grams, seen
-        self.at = None
+        self.number, self.names, self.seen = number, self.keys, seen
 
 
 def _sent(chunk: int, rows: list[tuple[int, bytes]]) -> pa.Table:
@@ -223,14 +224,19 @@ def _count_tokens(key, table):
 
 
 def _totals(answers: DataFrame) -> Totals:
-    sums = np.zeros(4, np.int64)
-    for row in answers.filter("kind = -1").select("body").collect():
-        sums += expand(bytes(row["body"]), "i8")[0]
-    return Totals(*sums.tolist())
+    """The sums over all buckets: one row."""
+    def rows(batches):
+        for batch in batches:
+            for body in batch.column("body").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in expand(body, "i8")[0].tolist()], names=names)
+
+    names = list(Totals.__dataclass_fields__)
+    sums = answers.filter("kind = -1").select("body").mapInArrow(rows, ", ".join(f"{c} long" for c in names))
+    return Totals(*sums.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in names]).first())
 
 
-def _walk(docs, answers, learns, bits: int, totals: Totals, tree: Tree, least: int,
-          frequent: list[Frequent]) -> tuple[Chunk, np.ndarray, Walk]:
+def _walk(docs, answers, learns, bits: int, totals: Totals, tree: Tree,
+          frequent: list[Broadcast]) -> tuple[Chunk, np.ndarray, Walk]:
     """A chunk's tokens, their counts, and their walk as far as there are answers."""
     chunk = Chunk(docs.column("docs"))
     tokens = Tokens(chunk, learns)
@@ -242,9 +248,9 @@ def _walk(docs, answers, learns, bits: int, totals: Totals, tree: Tree, least: i
         return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(len(kinds))]
 
     counts = told(0, "i8")[0]
-    walk = Walk(tokens, counts, totals, tree, least, bits)
+    walk = Walk(tokens, counts, totals, tree, bits)
     for level, states in enumerate(frequent, 1):
-        walk.down(*told(level, "i8", "i8"), states)
+        walk.down(*told(level, "i8", "i8"), states.value)
         if level < tree.depth:
             walk.ask()
     return chunk, counts, walk
@@ -344,18 +350,15 @@ def score_documents(docs: DataFrame, learns: Callable[[int | None], bool], tree:
     `learns` tells from an id whether the tree learns from that document.
     """
     chunks, bits = chunked(docs, doc_id, text)
-    least = tree.least_count
-    if math.isfinite(tree.context_bytes):
-        least = max(least, int(text_bytes(docs, text)[1] // tree.context_bytes))
     own = chunks.groupBy("chunk")
     known = cut_lineage(own.applyInArrow(_ask_tokens(learns, bits), _SENT).groupBy("bucket")
                         .applyInArrow(_count_tokens, _ANSWER))
     totals, told, frequent = _totals(known), known.filter("kind >= 0"), []
     for level in range(1, tree.depth + 1):
-        model = learns, bits, totals, tree, least, list(frequent)
+        model = learns, bits, totals, tree, list(frequent)
         later = cut_lineage(own.cogroup(told.groupBy("chunk")).applyInArrow(_ask_continuations(*model), _SENT)
                             .groupBy("bucket").applyInArrow(_count_continuations(tree, level), _ANSWER))
-        frequent.append(_frequent(later, tree))
+        frequent.append(docs.sparkSession.sparkContext.broadcast(_frequent(later, tree)))
         told = told.unionByName(later.filter("kind >= 0"))
-    model = learns, bits, totals, tree, least, frequent
+    model = learns, bits, totals, tree, frequent
     return own.cogroup(told.groupBy("chunk")).applyInArrow(_score(*model), _OUT)
