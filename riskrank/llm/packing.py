@@ -228,16 +228,15 @@ def pack(pieces: DataFrame, how: Evolution = Evolution()) -> DataFrame:
             state = _epoch(state, how, number, level)
         placed = cut_lineage(_place(dealt, state, how, level, demes == 1))
         done = placed.filter("sequence is not null")
-        earlier, out = out, done if out is None else out.unionByName(done)
+        out = done if out is None else out.unionByName(done)
         if demes == 1:
             return out
         items = placed.filter("sequence is null").drop("sequence", "offset")
         before, left, level = left, items.count(), level + 1
         if not left:
             return out
-        if left > 0.9 * before:  # hardly a full bin: another level would not help, the demes stand as they are
-            last = cut_lineage(_place(dealt, state, how, level, True))  # all pieces of this level, settled ones too
-            return last if earlier is None else earlier.unionByName(last)
+        if left == before:  # no bin was closed: the demes stand as they are
+            return out.unionByName(cut_lineage(_place(dealt, state, how, level, True)))
 
 
 def packed_sequences(pieces: DataFrame, packed: DataFrame) -> DataFrame:
