@@ -56,6 +56,66 @@ def by_id(found, *columns):
     return {k: sorted(v, key=str) for k, v in out.items()}
 
 
+# texts made to collide under polynomial hashes
+
+def thue_morse(letters: int) -> tuple[str, str]:
+    """Two different words of a and b whose sums of powers of any odd base agree modulo 2**64."""
+    ones = "".join("ab"[bin(i).count("1") % 2] for i in range(letters))
+    return ones, ones.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("letters", [512, 1024, 2048, 4096])
+def test_made_words_are_told_apart(spark, letters):
+    one, other = thue_morse(letters)
+    filler = " ".join(f"w{i}" for i in range(19))
+    texts = [(0, f"{one}\n{other}"), (1, f"{one}\n{one}"), (2, f"{filler} {one}"), (3, f"{filler} {other}"),
+             (4, f"{filler} {one}")]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+
+    block = next(text.blocks(pa.array([one, other]))).split()
+    assert len(set(block.word_hashes().tolist())) == 2
+    judged = {r["doc_id"]: r["quality"] for r in quality.judge_quality(table, {}).collect()}
+    assert [judged[i]["n_dup_lines"] for i in (0, 1)] == [0, 1]
+    removed = {r["id"]: r["n_removed"] for r in substrings.remove_repeats(table, width=20).collect()}
+    assert [removed[i] for i in (2, 3, 4)] == [0, 0, 20]
+    scored = {r["id"]: (r["n_tokens"], r["n_known"]) for r in suffix_tree.score_documents(table, lambda i: i != 3).collect()}
+    assert scored[2] == (21, 21) and scored[3] == (21, 21)
+    scored = {r["id"]: r["n_known"] for r in suffix_tree.score_documents(table, lambda i: i not in (0, 3)).collect()}
+    assert scored[3] == 20
+    block = next(text.blocks(pa.array([f"{one} {other}"])))
+    ids, _ = tokens.block_ids(block, TOKENIZER, 1)
+    assert ids.tolist() == [*Tokenizer.from_file(TOKENIZER).encode(f"{one} {other}", add_special_tokens=False).ids, 1]
+    want = brute.byte_dedup(texts, 200)
+    found = {r["id"]: r["n_removed"] for r in suffixes.remove_repeated_bytes(table, width=200).collect()}
+    assert found == {i: w[0][1] for i, w in want.items()}
+
+
+@given(st.lists(st.binary(max_size=300), max_size=20))
+@settings(max_examples=60, deadline=None)
+def test_stretch_hashes_tell_stretches_apart(values):
+    data = np.frombuffer(b"".join(values), np.uint8)
+    ends = np.cumsum([len(v) for v in values]).astype(np.int64)
+    starts = ends - [len(v) for v in values]
+    found = text.stretch_hashes(data, starts.astype(np.int64), ends)
+    assert {(a == b) == (x == y) for a, x in zip(values, found) for b, y in zip(values, found)} <= {True}
+    assert text.stretch_hashes(np.frombuffer(b"x" + data.tobytes(), np.uint8), starts + 1, ends + 1).tolist() == found.tolist()
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=50), st.booleans())
+def test_distinct_hashes(values, near):
+    hashes = np.array(values + values[:7] + ([v ^ 1 for v in values[:5]] if near else []), np.uint64)
+    for found, want in zip(text.distinct(hashes), np.unique(hashes, return_index=True, return_inverse=True)):
+        assert found.tolist() == want.tolist()
+
+
+@given(st.lists(st.tuples(st.integers(0, 2**40), st.integers(0, 9)), max_size=40), st.sampled_from([1, 2**22]))
+def test_sorted_pairs(pairs, factor):
+    first, second = (np.array([p[i] * (factor if i == 0 else 1) for p in pairs], np.int64) for i in (0, 1))
+    order, new = text.sort_pairs(first, second)
+    assert order.tolist() == np.lexsort((second, first)).tolist()
+    assert new.sum() == len(set(zip(first.tolist(), second.tolist())))
+
+
 # text kernels
 
 @settings(max_examples=60, deadline=None)
@@ -245,7 +305,7 @@ def learner():
 learns = learner()
 
 
-@pytest.mark.parametrize("tree", [suffix_tree.Tree(), suffix_tree.Tree(context_bytes=100_000, divergence=0.1)])
+@pytest.mark.parametrize("tree", [suffix_tree.Tree(), suffix_tree.Tree(least_count=30, divergence=0.1)])
 def test_suffix_tree(docs, rows, tree):
     got = {r["id"]: tuple(r)[1:] for r in suffix_tree.score_documents(docs, learns, tree).collect()}
     want = brute.suffix_tree(rows, learns, tree)
