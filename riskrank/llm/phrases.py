@@ -3,9 +3,9 @@
 Words are counted first, by language.  A phrase is frequent only if its words are, so the frequent words are marked in a
 bitmap of fixed size, which is broadcast, and words that it rules out end a phrase: a sieve that changes no result, and
 that lets more through as its bits fill up.  Then every task counts the phrases of its documents in a HAT-trie
-(`hat_trie`).  Where the trie holds too much, its largest subtrees leave as sorted runs: one row per subtree, with the words that lead
-to it as prefix, and the rest of its phrases and their counts in order.  Rows of a prefix meet in one partition, sorted,
-where the runs of a subtree are merged and phrases below the least count go.
+(`hat_trie`).  Where the trie holds too much, its largest subtrees leave as sorted runs, cut by prefix, the words that
+lead to a subtree, into prefix partitions: one compressed row per run and partition.  The runs of a partition meet in one
+task, which merges them and drops the phrases below the least count.
 
 A prefix is one word.  Where that word is hot it is two words, and three where both are hot: so no prefix has more than
 the phrases of a word that is not hot, and the list of hot words is bounded.
@@ -23,22 +23,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskrank.llm.chunks import expand, squeeze
 from riskrank.llm.frames import shuffle_width, text_bytes
 from riskrank.llm.hat_trie import MAX_WORDS, HatTrie, pack, unpack
-from riskrank.llm.text import LOWER, column
+from riskrank.llm.text import LOWER, column, mix, stretch_hashes
 from riskrank.llm.tokens import _ragged
 from riskrank.session import cut_lineage
 
 #: A word is hot that is more than one in `HOT` of all words, so at most this many are collected, and occurs more often
 #: than `HOT_LEAST`: the phrases of any other fit a few megabytes.
 HOT, HOT_LEAST = 1 << 16, 1 << 17
-#: Bytes of text whose phrases are merged in one partition, on average.
-PARTITION_BYTES = 16 << 20
+#: Bytes of text whose phrases one prefix partition holds, on average.
+PARTITION_BYTES = 2 << 20
+#: Prefix partitions that a shuffle partition holds, on average.
+TOGETHER = 8
 #: Bytes of text that are cut into words at once.
 BLOCK_BYTES = 4 << 20
 #: Bits of the sieve of frequent words, as a power of two: 16 MB at most.
@@ -145,8 +147,8 @@ def sieve(words: DataFrame, least: int) -> np.ndarray:
 class Runs:
     """One task's numbered words and trie; turns what leaves the trie into sorted runs by subtree."""
 
-    def __init__(self, mining: Mining, hot: frozenset[tuple[str, str]], frequent: np.ndarray):
-        self.mining, self.hot, self.frequent = mining, hot, frequent
+    def __init__(self, mining: Mining, hot: frozenset[tuple[str, str]], frequent: np.ndarray, buckets: int):
+        self.mining, self.hot, self.frequent, self.buckets = mining, hot, frequent, buckets
         self.trie = HatTrie(mining.entries, mining.container)
         self.forget()
 
@@ -202,7 +204,7 @@ class Runs:
             yield self.run(*left)
 
     def run(self, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        """Subtrees in the order of their words: prefix, rest of each phrase, counts."""
+        """One row per language and prefix partition: its subtrees in the order of their words (see `merge`)."""
         parts = unpack(keys)
         used = np.flatnonzero(np.bincount(np.concatenate([parts[0], parts[1], parts[2][parts[2] >= 0]])))
         words = [self.words[i] for i in used.tolist()]
@@ -210,121 +212,143 @@ class Runs:
         rank = np.full(len(self.words) + 1, -1, np.int64)  # the last entry stands for no third word
         rank[used[order]] = np.arange(len(order))
         words = [words[i] for i in order.tolist()]
-        langs = np.array([self.langs[i] for i in used[order].tolist()], object)
+        langs, lang = np.unique([self.langs[i] for i in used[order].tolist()], return_inverse=True)
         hot = np.append(np.array([self.is_hot[i] for i in used[order].tolist()], bool), False)
+        size = np.array([len(w) for w in words], np.int64)
+        ends = np.cumsum(size)
+        hashes = stretch_hashes(np.frombuffer(b"".join(words), np.uint8), ends - size, ends)
 
         w1, w2, w3 = (rank[p] for p in parts)
         sort = np.argsort((w1 << 42) | (w2 << 21) | (w3 + 1))
         w1, w2, w3, counts = w1[sort], w2[sort], w3[sort], counts[sort]
         deep = np.where(hot[w1], np.where(hot[w2] & (w3 >= 0), 3, 2), 1)
+        prefix = hashes[w1]
+        for level, w in ((2, w2), (3, w3)):
+            below = deep >= level
+            prefix[below] = mix(prefix[below] * np.uint64(3) + hashes[w[below]])
+        bucket = lang[w1] * self.buckets + (prefix % np.uint64(self.buckets)).astype(np.int64)
+        sort = np.argsort(bucket, kind="stable")
+        w1, w2, w3, deep, counts, bucket = (x[sort] for x in (w1, w2, w3, deep, counts, bucket))
+
         new = np.ones(len(w1), bool)
-        new[1:] = ((w1[1:] != w1[:-1]) | ((deep[1:] > 1) & ((deep[1:] != deep[:-1]) | (w2[1:] != w2[:-1])))
+        new[1:] = ((bucket[1:] != bucket[:-1]) | (w1[1:] != w1[:-1])
+                   | ((deep[1:] > 1) & ((deep[1:] != deep[:-1]) | (w2[1:] != w2[:-1])))
                    | ((deep[1:] > 2) & (w3[1:] != w3[:-1])))
-        at = np.flatnonzero(new)
-        names = pa.array([w.decode() for w in words], pa.string())
-        one, two, three = (names.take(pa.array(np.maximum(w[at], 0))) for w in (w1, w2, w3))
-        pair = pc.binary_join_element_wise(one, two, " ")
-        prefixes = pc.choose(pa.array(deep[at] - 1), one, pair, pc.binary_join_element_wise(pair, three, " "))
-
+        n, at = len(w1), np.flatnonzero(new)
         # every word twice, before a space and before the end of an entry; then the end of an empty entry
-        size = np.array([len(w) + 1 for w in words], np.int64)
         pool = np.frombuffer(b"".join(w + b" " for w in words) + b"".join(w + b"\n" for w in words) + b"\n", np.uint8)
-        begin = np.append(np.cumsum(size) - size, size.sum())
-        total, n = int(size.sum()), len(w1)
-        size = np.append(size, 1)
-        starts, sizes = np.zeros((n, 2), np.int64), np.zeros((n, 2), np.int64)
-        both = (deep == 1) & (w3 >= 0)
-        starts[both, 0], sizes[both, 0] = begin[w2[both]], size[w2[both]]
-        last = np.where(deep == 1, np.where(w3 >= 0, w3, w2), np.where((deep == 2) & (w3 >= 0), w3, len(words)))
-        starts[:, 1], sizes[:, 1] = total + begin[last], size[last]
-        tails = pool[_ragged(starts.ravel(), sizes.ravel())]
-        ends = np.append(0, np.cumsum(sizes.sum(axis=1)))[np.append(at, n)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs[w1[at]], pa.string()), prefixes,
-             _binary(tails, np.diff(ends)).cast(pa.binary()),
-             _binary(counts.astype("<u4").view(np.uint8), 4 * np.diff(np.append(at, n))).cast(pa.binary())],
-            names=["lang", "prefix", "tails", "counts"])
-
-
-def count_runs(texts: DataFrame, mining: Mining, hot: frozenset[tuple[str, str]], frequent: np.ndarray) -> DataFrame:
-    """(lang, prefix, tails, counts): the sorted runs of all tasks, a row per subtree."""
+        size = np.append(size + 1, 1)
+        begin, total = np.cumsum(size) - size, int(size[:-1].sum())
+        none = len(words)
+
+        def text(*units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Entries of some words, all but the last before a space (-1: none); bytes, and where entries end."""
+            place = np.stack(units, axis=1)
+            last = np.zeros(place.shape, bool)
+            last[:, -1] = True
+            lengths = np.where(place < 0, 0, size[place])
+            starts = np.where(last, total, 0) + begin[place]
+            return pool[_ragged(starts.ravel(), lengths.ravel())], np.cumsum(lengths.sum(axis=1))
+
+        d, a1, a2, a3 = deep[at], w1[at], w2[at], w3[at]
+        heads, head_ends = text(np.where(d == 3, a1, -1), np.where(d == 3, a2, np.where(d == 2, a1, -1)),
+                                np.where(d == 3, a3, np.where(d == 2, a2, a1)))
+        tails, tail_ends = text(np.where((deep == 1) & (w3 >= 0), w2, -1),
+                                np.where(deep == 1, np.where(w3 >= 0, w3, w2), np.where((deep == 2) & (w3 >= 0), w3, none)))
+        entries = np.diff(np.append(at, n)).astype(np.uint32)
+        counts, rows = counts.astype(np.uint32), []
+        first = np.flatnonzero(np.diff(bucket[at], prepend=-1))
+        for i, j in zip(first.tolist(), [*first[1:].tolist(), len(at)]):
+            a, b = int(at[i]), int(at[j]) if j < len(at) else n
+            rows.append(squeeze(
+                heads[head_ends[i - 1] if i else 0:head_ends[j - 1]], tails[tail_ends[a - 1] if a else 0:tail_ends[b - 1]],
+                entries[i:j], counts[a:b]))
+        owner, number = np.divmod(bucket[at][first], self.buckets)
+        return pa.RecordBatch.from_arrays([pa.array(langs[owner].tolist(), pa.string()), pa.array(number), pa.array(rows)],
+                                          names=["lang", "bucket", "run"])
+
+
+def count_runs(texts: DataFrame, mining: Mining, hot: frozenset[tuple[str, str]], frequent: np.ndarray,
+               buckets: int) -> DataFrame:
+    """(lang, bucket, run): the sorted runs of all tasks by language and prefix partition."""
     sent = texts.sparkSession.sparkContext.broadcast((hot, zlib.compress(frequent.tobytes(), 1)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = Runs(mining, sent.value[0], np.frombuffer(zlib.decompress(sent.value[1]), np.uint8))
+        runs = Runs(mining, sent.value[0], np.frombuffer(zlib.decompress(sent.value[1]), np.uint8), buckets)
         for batch in batches:
             for lang, data, offsets in _by_language(batch):
                 yield from runs.add(lang, data, offsets)
         yield from runs.spill(everything=True)
 
-    return texts.mapInArrow(count, "lang string, prefix string, tails binary, counts binary")
+    return texts.mapInArrow(count, "lang string, bucket long, run binary")
 
 
-def merge(table: pa.Table, least: int) -> pa.RecordBatch:
-    """Phrases with their counts over all runs, from the runs of whole prefixes, side by side."""
-    table = table.combine_chunks()
-    lang, prefix = (table.column(c).chunk(0) if table.num_rows else pa.array([], pa.string()) for c in ("lang", "prefix"))
-    tails, offsets = column(table.column("tails"))
-    counts = np.frombuffer(column(table.column("counts"))[0].tobytes(), "<u4").astype(np.int64)
-    new = np.ones(table.num_rows, bool)
-    new[1:] = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(prefix[1:], prefix[:-1])).to_numpy(False)
-    group = np.cumsum(new) - 1
+def _split(data: np.ndarray, *marks: int) -> tuple[pa.Array, np.ndarray]:
+    """Stretches of bytes that end at one of the marks, without it, and which mark ended each."""
+    stop = np.flatnonzero(np.isin(data, marks))
+    return _binary(np.delete(data, stop), np.diff(stop, prepend=-1) - 1), data[stop]
 
-    stop = np.flatnonzero((tails == 0x20) | (tails == 0x0A))
-    ends = tails[stop] == 0x0A
-    coded = _binary(np.delete(tails, stop), np.diff(stop, prepend=-1) - 1).dictionary_encode()
+
+def _ranked(values: pa.Array) -> tuple[np.ndarray, list[bytes]]:
+    """Places of values among the distinct ones in order, and these."""
+    coded = values.dictionary_encode()
     names = coded.dictionary.to_pylist()
     order = sorted(range(len(names)), key=names.__getitem__)
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    words = rank[coded.indices.to_numpy()]
-    last = np.flatnonzero(ends)
+    return rank[coded.indices.to_numpy()], [names[i] for i in order]
+
+
+def merge(runs: list[bytes], least: int) -> tuple[list[str], np.ndarray]:
+    """Phrases of one prefix partition that occur often enough over all its runs, and their counts.
+
+    A run has its prefixes, the rest of each phrase (empty, one or two words), the number of phrases of each prefix,
+    and their counts; all in order, so that sorting them together merges the runs.
+    """
+    heads, tails, entries, counts = (np.concatenate(x) for x in zip(*(expand(r, "u1", "u1", "u4", "u4") for r in runs)))
+    prefix, prefixes = _ranked(_split(heads, 0x0A)[0])
+    words, stop = _split(tails, 0x20, 0x0A)
+    words, names = _ranked(words)
+    last = np.flatnonzero(stop == 0x0A)
     lone = np.diff(last, prepend=-1) == 1
     first, second = words[np.where(lone, last, last - 1)], np.where(lone, 0, words[last] + 1)
-    owner = group[np.searchsorted(offsets, stop[last], "right") - 1] if len(last) else last
-    if len(names) >= 1 << 21 or len(lang) and group[-1] >= 1 << 21:
+    owner = np.repeat(prefix, entries)
+    if len(names) >= 1 << 21 or len(prefixes) >= 1 << 21:
         sort = np.lexsort((second, first, owner))
     else:
-        sort = np.argsort((owner << 42) | (first << 21) | second, kind="stable")  # merges runs that are in order
-    owner, first, second, counts = owner[sort], first[sort], second[sort], counts[sort]
+        sort = np.argsort((owner << 42) | (first << 21) | second, kind="stable")
+    owner, first, second, counts = owner[sort], first[sort], second[sort], counts[sort].astype(np.int64)
     change = np.ones(len(owner), bool)
     change[1:] = (owner[1:] != owner[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1])
     at = np.flatnonzero(change)
-    sums = np.add.reduceat(counts, at) if len(at) else counts
+    sums = np.add.reduceat(counts, at)
     kept = np.flatnonzero(sums >= least)
-    at, row = at[kept], np.flatnonzero(new)[owner[at[kept]]]
-    names = [names[i].decode() for i in order]
-    heads = prefix.take(pa.array(row)).to_pylist()
-    phrases = [" ".join(filter(None, (h, names[a], names[b - 1] if b else "")))
-               for h, a, b in zip(heads, first[at].tolist(), second[at].tolist())]
-    return pa.RecordBatch.from_arrays([lang.take(pa.array(row)), pa.array(phrases, pa.string()), pa.array(sums[kept])],
-                                      names=["lang", "phrase", "f"])
+    at = at[kept]
+    phrases = [b" ".join(filter(None, (prefixes[o], names[a], names[b - 1] if b else b""))).decode()
+               for o, a, b in zip(owner[at].tolist(), first[at].tolist(), second[at].tolist())]
+    return phrases, sums[kept]
 
 
-def merge_runs(runs: DataFrame, partitions: int, least: int) -> DataFrame:
-    """(lang, phrase, f) of phrases that occur often enough: the runs of a prefix meet in one partition, sorted."""
+def merge_runs(runs: DataFrame, buckets: int, least: int) -> DataFrame:
+    """(lang, phrase, f) of phrases that occur often enough: the runs of a prefix partition meet in one task."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last = None
+        key, held = None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = (batch.column("lang")[batch.num_rows - 1].as_py(), batch.column("prefix")[batch.num_rows - 1].as_py())
-            held.append(batch)
-            first = (batch.column("lang")[0].as_py(), batch.column("prefix")[0].as_py())
-            if key == first == last:  # nothing is complete yet
-                continue
-            last = key
-            table = pa.Table.from_batches(held)
-            open_rows = pc.and_(pc.equal(table.column("lang"), key[0]), pc.equal(table.column("prefix"), key[1]))
-            n = table.num_rows - (pc.sum(open_rows).as_py() or 0)
-            if n:
-                yield merge(table.slice(0, n), least)
-            held = table.slice(n).combine_chunks().to_batches()
+            for *row, run in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if row != key and held:
+                    yield out(key[0], *merge(held, least))
+                    held = []
+                key = row
+                held.append(run)
         if held:
-            yield merge(pa.Table.from_batches(held), least)
+            yield out(key[0], *merge(held, least))
+
+    def out(lang: str, phrases: list[str], sums: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()),
+                                           pa.array(sums)], names=["lang", "phrase", "f"])
 
-    met = runs.repartition(partitions, "lang", "prefix").sortWithinPartitions("prefix", "lang")
+    partitions = max(shuffle_width(runs), -(-buckets // TOGETHER))
+    met = runs.repartition(partitions, "lang", "bucket").sortWithinPartitions("lang", "bucket")
     return met.mapInArrow(work, "lang string, phrase string, f long")
 
 
@@ -355,8 +379,9 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", mining
     total = words.agg(F.sum("f").alias("n")).first()["n"] or 0
     hot_rows = words.filter(F.col("f") > max(total // HOT, HOT_LEAST)).collect()  # fewer than HOT rows
     hot = frozenset((r["lang"], r["phrase"]) for r in hot_rows)
-    partitions = max(shuffle_width(docs), -(-total_bytes // PARTITION_BYTES))
-    phrases = cut_lineage(merge_runs(count_runs(texts, mining, hot, sieve(words, mining.least)), partitions, mining.least))
+    buckets = max(1, -(-total_bytes // PARTITION_BYTES))
+    runs = count_runs(texts, mining, hot, sieve(words, mining.least), buckets)
+    phrases = cut_lineage(merge_runs(runs, buckets, mining.least))
 
     size = F.size(F.split("phrase", " "))
     three = phrases.filter(size == 3)

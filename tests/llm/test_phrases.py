@@ -70,6 +70,7 @@ def texts(seed, rows=300):
 def test_against_the_plain_version(spark, monkeypatch, options, hot):
     monkeypatch.setattr(phrases, "HOT", hot)
     monkeypatch.setattr(phrases, "HOT_LEAST", 0)
+    monkeypatch.setattr(phrases, "PARTITION_BYTES", 3000)
     monkeypatch.setattr(phrases, "BLOCK_BYTES", 500)
     rows = texts(len(options))
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(5)
@@ -113,12 +114,24 @@ def test_hot_words_bound_every_prefix(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
     hot = frozenset({("en", "hot"), ("en", "very")})
     everything = np.full(1 << phrases.SIEVE_BITS >> 3, 255, np.uint8)
-    runs = phrases.count_runs(phrases._texts(docs, "text", "lang"), phrases.Mining(), hot, everything).collect()
-    entries = Counter()
-    for r in runs:
-        entries[r["prefix"]] += len(r["counts"]) // 4
-    assert {"hot very", "hot very w3", "very w0", "w1"} <= set(entries) and "hot" not in entries and "very" not in entries
-    assert max(entries.values()) <= 2
+    runs = phrases.count_runs(phrases._texts(docs, "text", "lang"), phrases.Mining(), hot, everything, 1).collect()
+    heads, _, sizes, _ = phrases.expand(bytes(runs[0]["run"]), "u1", "u1", "u4", "u4")
+    entries = dict(zip(heads.tobytes().decode().split("\n"), sizes.tolist()))
+    assert len(runs) == 1 and {"hot very", "hot very w3", "very w0", "w1"} <= set(entries)
+    assert not {"hot", "very"} & set(entries) and max(entries.values()) <= 2
+
+
+def test_runs_fall_into_prefix_partitions(spark):
+    """A phrase's partition depends on its prefix alone, and partitions share the work."""
+    docs = spark.createDataFrame(texts(2), "text string, lang string").repartition(4)
+    everything = np.full(1 << phrases.SIEVE_BITS >> 3, 255, np.uint8)
+    where = {}
+    for r in phrases.count_runs(phrases._texts(docs, "text", "lang"), phrases.Mining(), frozenset(), everything, 5).collect():
+        heads = phrases.expand(bytes(r["run"]), "u1", "u1", "u4", "u4")[0].tobytes().decode().split("\n")[:-1]
+        assert heads == sorted(heads, key=str.encode)
+        for head in heads:
+            assert where.setdefault((r["lang"], head), r["bucket"]) == r["bucket"]
+    assert set(where.values()) == set(range(5))
 
 
 @pytest.mark.parametrize("bits", [6, 9, 27])
