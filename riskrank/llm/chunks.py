@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from riskrank.llm.frames import shuffle_width, text_bytes
@@ -21,6 +21,8 @@ from riskrank.llm.text import Block, column
 
 #: Bytes of text in a chunk, and of text whose positions go to one bucket, on average.
 CHUNK_BYTES = BUCKET_BYTES = 8 << 20
+#: Bytes of text whose chunks or buckets lie in one shuffle partition, at most on average.
+PARTITION_BYTES = 64 << 20
 #: Buckets are the top bits of a hash: this many bits at least, which then need not be sent.
 LEAST_BITS = 8
 
@@ -64,9 +66,20 @@ def long(kept: np.ndarray) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+class Dealt:
+    """How many shuffle partitions chunks and buckets are dealt to: as many as the input asks for, not the session."""
+
+    def __init__(self, partitions: int):
+        self.partitions = partitions
+
+    def by(self, df: DataFrame, key: str) -> GroupedData:
+        return df.repartition(self.partitions, key).groupBy(key)
+
+
 def chunked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-            chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
-    """(chunk, docs): compressed documents by chunk, to be grouped by `chunk`; and the bits of a bucket number.
+            chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int, Dealt]:
+    """(chunk, docs): compressed documents by chunk, to be grouped by `chunk`; the bits of a bucket number; and how
+    both are grouped.
 
     Rows of one id share a chunk; those without an id are dealt by text.
     """
@@ -93,7 +106,8 @@ def chunked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([owner, pa.array(blobs, pa.binary())], names=["chunk", "docs"])
 
     bits = max(LEAST_BITS, (max(total, 1) // BUCKET_BYTES).bit_length())
-    return rows.mapInArrow(bundle, "chunk long, docs binary"), bits
+    dealt = Dealt(max(shuffle_width(docs), -(-total // PARTITION_BYTES)))
+    return rows.mapInArrow(bundle, "chunk long, docs binary"), bits, dealt
 
 
 class Chunk:

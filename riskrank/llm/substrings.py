@@ -156,10 +156,10 @@ def remove_repeats(docs: DataFrame, width: int = 20, with_text: bool = False, do
                    text: str = "text") -> DataFrame:
     """One row per document: `id`, `n_words`, `n_removed`, `spans` (removed words, [start, end)), `kept_sha256` (of
     the kept words joined by one space) and, if asked for, `kept_text`."""
-    chunks, bits = chunked(docs, doc_id, text)
-    own = chunks.groupBy("chunk")
-    answers = (own.applyInArrow(_ask(width, bits), _SENT).groupBy("bucket")
-               .applyInArrow(_count, "chunk long, body binary"))
+    chunks, bits, dealt = chunked(docs, doc_id, text)
+    own = dealt.by(chunks, "chunk")
+    answers = dealt.by(own.applyInArrow(_ask(width, bits), _SENT), "bucket").applyInArrow(
+        _count, "chunk long, body binary")
     out = "id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string"
-    return own.cogroup(answers.groupBy("chunk")).applyInArrow(
+    return own.cogroup(dealt.by(answers, "chunk")).applyInArrow(
         _remove(width, with_text), out + ", kept_text string" * with_text)

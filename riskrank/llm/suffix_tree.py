@@ -349,16 +349,16 @@ def score_documents(docs: DataFrame, learns: Callable[[int | None], bool], tree:
 
     `learns` tells from an id whether the tree learns from that document.
     """
-    chunks, bits = chunked(docs, doc_id, text)
-    own = chunks.groupBy("chunk")
-    known = cut_lineage(own.applyInArrow(_ask_tokens(learns, bits), _SENT).groupBy("bucket")
-                        .applyInArrow(_count_tokens, _ANSWER))
+    chunks, bits, dealt = chunked(docs, doc_id, text)
+    own = dealt.by(chunks, "chunk")
+    known = cut_lineage(dealt.by(own.applyInArrow(_ask_tokens(learns, bits), _SENT), "bucket").applyInArrow(
+        _count_tokens, _ANSWER))
     totals, told, frequent = _totals(known), known.filter("kind >= 0"), []
     for level in range(1, tree.depth + 1):
         model = learns, bits, totals, tree, list(frequent)
-        later = cut_lineage(own.cogroup(told.groupBy("chunk")).applyInArrow(_ask_continuations(*model), _SENT)
-                            .groupBy("bucket").applyInArrow(_count_continuations(tree, level), _ANSWER))
+        asked = own.cogroup(dealt.by(told, "chunk")).applyInArrow(_ask_continuations(*model), _SENT)
+        later = cut_lineage(dealt.by(asked, "bucket").applyInArrow(_count_continuations(tree, level), _ANSWER))
         frequent.append(docs.sparkSession.sparkContext.broadcast(_frequent(later, tree)))
         told = told.unionByName(later.filter("kind >= 0"))
     model = learns, bits, totals, tree, frequent
-    return own.cogroup(told.groupBy("chunk")).applyInArrow(_score(*model), _OUT)
+    return own.cogroup(dealt.by(told, "chunk")).applyInArrow(_score(*model), _OUT)

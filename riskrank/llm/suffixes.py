@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from riskrank.llm.chunks import Chunk, by_bucket, chunked, expand, long, runs, short, squeeze, steps
-from riskrank.llm.text import _BYTE, _BYTE_BASE, _POW, between, mix, prefix
+from riskrank.llm.text import _BYTE, _BYTE_BASE, _POW, MAX_WINDOW, between, mix, prefix
 
 #: Different runs of one anchor that a chunk names one by one.
 MANY = 8
@@ -277,12 +277,14 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 200, gram: int = 96, wit
     `kept_sha256` and, if asked for, the `kept` bytes."""
     if not 0 < gram <= width <= 3 * gram:
         raise ValueError("a string must be covered by three of its q-grams")
-    chunks, bits = chunked(docs, doc_id, text)
-    own = chunks.groupBy("chunk")
-    codes = (own.applyInArrow(_name(width, gram, bits), _SENT).groupBy("bucket")
-             .applyInArrow(_refine, "chunk long, part long, body binary"))
-    marks = (own.cogroup(codes.groupBy("chunk")).applyInArrow(_tell_apart(width, gram, bits), _SENT).groupBy("bucket")
-             .applyInArrow(_pairs, "chunk long, kind int, body binary"))
+    if 2 * width - gram > MAX_WINDOW:
+        raise ValueError(f"strings of {width} bytes, whose runs may be longer than {MAX_WINDOW}")
+    chunks, bits, dealt = chunked(docs, doc_id, text)
+    own = dealt.by(chunks, "chunk")
+    codes = dealt.by(own.applyInArrow(_name(width, gram, bits), _SENT), "bucket").applyInArrow(
+        _refine, "chunk long, part long, body binary")
+    marks = dealt.by(own.cogroup(dealt.by(codes, "chunk")).applyInArrow(_tell_apart(width, gram, bits), _SENT),
+                     "bucket").applyInArrow(_pairs, "chunk long, kind int, body binary")
     out = ("id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, "
            "kept_sha256 string")
-    return own.cogroup(marks.groupBy("chunk")).applyInArrow(_cut(width, with_bytes), out + ", kept binary" * with_bytes)
+    return own.cogroup(dealt.by(marks, "chunk")).applyInArrow(_cut(width, with_bytes), out + ", kept binary" * with_bytes)
