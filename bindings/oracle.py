@@ -402,6 +402,25 @@ select split_id, entity_id,
   round(stddev_samp(penalty_amount::double), 6) as ev_stddev_penalty_amount,
   cast(min(feature_end - event_date) as integer) as ev_days_since_event_date
 from visible group by split_id, entity_id""")
+PARTS["value_counts"] = f"""
+select split_id, entity_id, penalty_amount::double as v, count(*) as n, count({_within(7, '1')}) as near
+from visible where penalty_amount is not null group by split_id, entity_id, penalty_amount"""
+PARTS["value_modes"] = """
+select split_id, entity_id, first(v order by n desc, v) as of_all,
+       first(v order by near desc, v) filter (near > 0) as of_week
+from value_counts group by split_id, entity_id"""
+_NEEDS |= {"value_counts": ["visible"], "value_modes": ["value_counts"]}
+_QUANTILES = ", ".join(f"round(quantile_cont({x}, {q}), 6) as ev_{name}_penalty_amount{w}"
+                       for name, q in (("median", 0.5), ("percentile_90", 0.9))
+                       for w, x in (("", "penalty_amount::double"), ("_1_week", _within(7, "penalty_amount::double"))))
+check("window_features_median", f"""
+select split_id, entity_id, {_QUANTILES},
+  round(any_value(of_all), 6) as ev_mode_penalty_amount, round(any_value(of_week), 6) as ev_mode_penalty_amount_1_week,
+  count(distinct penalty_amount) as ev_count_distinct_penalty_amount,
+  count(distinct {_within(7, 'penalty_amount')}) as ev_count_distinct_penalty_amount_1_week,
+  round(quantile_cont(found_violation::double, 0.5), 6) as ev_median_found_violation,
+  cast(sum(found_violation) as bigint) as ev_sum_found_violation
+from visible left join value_modes using (split_id, entity_id) group by split_id, entity_id""")
 check("days_since_features", """
 select split_id, entity_id, cast(min(feature_end - event_date) as integer) as ev_days_since_event_date,
   cast(min(feature_end - knowledge_date) as integer) as ev_days_since_knowledge_date

@@ -291,6 +291,24 @@ def window_features_rows(spark: SparkSession, sf: str) -> DataFrame:
                                     compile_features(WINDOW_BLOCK)))
 
 
+VALUE_BLOCK = {
+    "prefix": "ev",
+    "aggregates": [
+        {"column_name": "penalty_amount", "metrics": ["median", "percentile_90", "mode", "count_distinct"],
+         "time_windows": ["all", "1 week"]},
+        {"column_name": "found_violation", "metrics": ["median", "sum"], "time_windows": ["all"]},
+    ],
+}
+
+
+@query
+def window_features_median(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics of the distribution of values, from counts of values per date cell."""
+    found = window_features(v.entity_events(spark, sf), temporal_splits(v.TEMPORAL), compile_features(VALUE_BLOCK))
+    modes = [c for c in found.columns if "_mode_" in c]
+    return _rounded(found.withColumns({c: F.col(c).cast("double") for c in modes}))
+
+
 @query
 def days_since_features_rows(spark: SparkSession, sf: str) -> DataFrame:
     return days_since_features(v.entity_events(spark, sf), temporal_splits(v.TEMPORAL),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from riskrank.operators.splits import (
     Span, TimeSplit, distinct_spans, known_cuts, require_dates, span_cuts, spread_over_spans, to_split_rows,
     visible_rows,
 )
+from riskrank.operators.value_metrics import counted_features, is_counted, is_sketched, sketched_features
 from riskrank.session import broadcast_if_small, cut_lineage, join_large
 
 # spread metrics: combined from the counts, means and squared deviations of cells
@@ -91,8 +93,10 @@ def window_features(
     All date tests compare with a short list of days, so events are first summed
     per (entity, date cell, knowledge cell) with partial sums before the shuffle.
     That leaves a few rows per entity, whatever its size; only these are spread
-    over the splits, inside one partition per entity.  Metrics that do not combine
-    from sums, counts and extremes are evaluated on the rows themselves.
+    over the splits, inside one partition per entity.  `median`, `percentile_<0..100>`,
+    `mode` (of several, the smallest) and `count_distinct` follow from counts of values
+    per cell, `approx_count_distinct` from a sketch per cell.  Any other metric Spark
+    knows is evaluated on the rows themselves.
     """
     spans = distinct_spans(splits, "feature")
     return to_split_rows(_window_rows(events, spans, features, entity, event_date, knowledge_date), spans)
@@ -102,7 +106,9 @@ def _window_rows(events, spans, features, entity, event_date, knowledge_date) ->
     """(entity, _span, features): as above, before spans are unfolded to splits."""
     require_dates(events, event_date, knowledge_date)
     combined = [f for f in features if f.metric in _COMBINED]
-    direct = [f for f in features if f.metric not in _COMBINED]
+    counted = [f for f in features if is_counted(f.metric)]
+    sketched = [f for f in features if is_sketched(f.metric)]
+    direct = [f for f in features if f not in combined and f not in counted and f not in sketched]
     seen = visible_rows(events, spans, event_date, knowledge_date)
 
     parts = []
@@ -110,7 +116,13 @@ def _window_rows(events, spans, features, entity, event_date, knowledge_date) ->
         parts.append(_combined_features(seen, spans, combined, entity, event_date, knowledge_date))
     if direct:
         parts.append(_direct_features(seen, spans, direct, entity, event_date, knowledge_date))
-    result = parts[0] if len(parts) == 1 else join_large(parts[0], parts[1], [entity, "_span"], "inner")
+    for some, build in ((counted, counted_features), (sketched, sketched_features)):
+        if some:
+            days, known = span_cuts(spans, _openings(spans, some)), known_cuts(spans)
+            cells = seen.withColumns({"_day": date_cell(F.col(event_date), days), "_known": date_cell(F.col(knowledge_date), known)})
+            parts.append(build(cells, lambda df: spread_over_spans(df, spans, "_day", "_known"), some, entity,
+                               lambda f, value: _inside(f, spans, "_day", value)))
+    result = reduce(lambda a, b: join_large(a, b, [entity, "_span"], "inner"), parts)
     return result.select(entity, "_span", *[f.name for f in features])
 
 
@@ -121,6 +133,11 @@ def _inside(feature: Feature, spans: Sequence[Span], event: str, value: Column)
     return F.when(F.col(event) > opening, value)
 
 
+def _openings(spans: Sequence[Span], features: Sequence[Feature]) -> list[date]:
+    """The first days of all trailing windows."""
+    return [next_day(shift(s.end, -parse_interval(f.window))) for s in spans for f in features if f.window != "all"]
+
+
 def _combined_features(seen, spans, features, entity, event_date, knowledge_date):
     needs: dict[str, tuple[str, str]] = {}
     for f in features:
@@ -129,11 +146,9 @@ def _combined_features(seen, spans, features, entity, event_date, knowledge_date
             needs[f"_{kind}_{f.column}"] = (kind, f.column)
     partials = [getattr(F, kind)(F.col(column).cast("double") if kind in ("avg", "var_pop") else column).alias(name)
                 for name, (kind, column) in needs.items()]
-    openings = [next_day(shift(s.end, -parse_interval(f.window)))
-                for s in spans for f in features if f.window != "all"]
     cells = seen.groupBy(
         entity,
-        date_cell(F.col(event_date), span_cuts(spans, openings)).alias("_day"),
+        date_cell(F.col(event_date), span_cuts(spans, _openings(spans, features))).alias("_day"),
         date_cell(F.col(knowledge_date), known_cuts(spans)).alias("_known"),
     ).agg(*partials)
 

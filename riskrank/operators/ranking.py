@@ -62,6 +62,33 @@ def rank_rows(
     return result.select(*df.columns, rank, *([count] if count else []))
 
 
+def running_sums(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], values: Sequence[str], partitions: int | None = None,
+) -> DataFrame:
+    """Rows with `<value>_upto`, the sum over their group up to and with them, and `<value>_all`, that of the group.
+
+    Exact for any group size, as `rank_rows`: a sum is that within the row's range plus those of lower ranges.
+    `order` must be total within a group.
+    """
+    placed = place_rows(df, [F.col(c).asc() for c in (*group, *order)], partitions)
+    names = {g: f"_g{i}" for i, g in enumerate(group)}
+    parts = placed.groupBy(F.col("_part").alias("_run_part"), *[F.col(g).alias(n) for g, n in names.items()]).agg(
+        *[F.sum(v).alias(f"_sum_{v}") for v in values])
+    whole = Window.partitionBy(*names.values())
+    before = whole.orderBy("_run_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        "_run_part", *names.values(),
+        *[F.coalesce(F.sum(f"_sum_{v}").over(before), F.lit(0)).alias(f"_before_{v}") for v in values],
+        *[F.sum(f"_sum_{v}").over(whole).alias(f"{v}_all") for v in values])
+    inside = Window.partitionBy("_part", *group).orderBy("_row")
+    rows = placed.select("*", *[F.sum(v).over(inside).alias(f"_inside_{v}") for v in values])
+    same = all_of([F.col("_part") == F.col("_run_part"),
+                   *[F.col(g).eqNullSafe(F.col(n)) for g, n in names.items()]])
+    return rows.join(parts, same).select(
+        *df.columns, *[(F.col(f"_inside_{v}") + F.col(f"_before_{v}")).alias(f"{v}_upto") for v in values],
+        *[f"{v}_all" for v in values])
+
+
 def assign_surrogate_ids(
     df: DataFrame, key_cols: Sequence[str], id_col: str = "id", partitions: int | None = None
 ) -> DataFrame:
