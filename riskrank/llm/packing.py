@@ -239,6 +239,14 @@ def pack(pieces: DataFrame, how: Evolution = Evolution()) -> DataFrame:
             return out.unionByName(cut_lineage(_place(dealt, state, how, level, True)))
 
 
+def pack_documents(docs: DataFrame, tokenizer: str, end: int, how: Evolution = Evolution()) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): the pieces of all documents, packed."""
+    pieces = cut_lineage(token_pieces(docs, tokenizer, end=end, capacity=how.capacity))
+    return pack(pieces, how).select(
+        F.col("id").alias("doc_id"), F.col("piece").cast("int").alias("piece"), "start", "length",
+        F.col("crc").alias("ids_crc32"), F.col("sequence").alias("sequence_id"), "offset")
+
+
 def packed_sequences(pieces: DataFrame, packed: DataFrame) -> DataFrame:
     """(sequence, ids): the token ids of every sequence, from pieces with their ids and a packing of them."""
     keys = ["file", "row", "piece"]

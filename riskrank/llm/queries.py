@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrank.llm import (exact_dedup, langid, mixing, phrases, prefix_trie, quality, simhash, substrings, suffix_tree, suffixes,
+from riskrank.llm import (exact_dedup, langid, mixing, packing, phrases, prefix_trie, quality, simhash, substrings, suffix_tree, suffixes,
                           token_counts, url_filter)
 from riskrank.llm.frames import remainder
 from riskrank.llm.shipping import ship
@@ -69,7 +69,7 @@ def exact(docs: DataFrame) -> DataFrame:
 
 @_table("documents")
 def packed(docs: DataFrame) -> DataFrame:
-    return corpus_pipeline.pack(docs.sparkSession, docs, "")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end=1)
 
 
 @_table("documents")
