@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskrank.llm import exact_dedup, mixing, packing, quality, simhash
 from riskrank.llm.frames import free_name
 from riskrank.llm.shipping import ship
-from riskrank.session import cut_lineage, delete_path, scratch_path, scratch_scope
+from riskrank.session import delete_path, scratch_path, scratch_scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -44,10 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the rows with their places in sequences of 4096 tokens."""
     ship(spark)
-    pieces = cut_lineage(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end=1, capacity=4096))
-    return packing.pack(pieces).select(
-        F.col("id").alias("doc_id"), F.col("piece").cast("int").alias("piece"), "start", "length",
-        F.col("crc").alias("ids_crc32"), F.col("sequence").alias("sequence_id"), "offset")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end=1)
 
 
 STAGES: list[tuple[str, Stage]] = [
