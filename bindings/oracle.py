@@ -342,6 +342,10 @@ select o_custkey, cycle, l_returnflag, case when tons > 0 then tons else 0.0 end
 from (select * from (select distinct o_custkey from customer_year_flags),
        (select distinct cycle from customer_year_flags), (select unnest(['A', 'N', 'R']) as l_returnflag))
 left join customer_year_flags using (o_custkey, cycle, l_returnflag)""")
+check("densify_many_values", """
+select s.o_orderstatus, o.o_orderkey,
+       case when s.o_orderstatus = o.o_orderstatus and o_totalprice > 0 then o_totalprice::double else 0.0::double end as price
+from orders o, (select distinct o_orderstatus from orders) s""")
 check("pivot_wide", """
 select o_custkey, cycle, sum(tons) filter (l_returnflag = 'A') as A, sum(tons) filter (l_returnflag = 'N') as N,
        sum(tons) filter (l_returnflag = 'R') as R from customer_year_flags group by all""")

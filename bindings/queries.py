@@ -190,6 +190,13 @@ def densify_rows(spark: SparkSession, sf: str) -> DataFrame:
                    "tons")
 
 
+@query
+def densify_many_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order next to every status: a dimension of more values than one task holds."""
+    orders = v.table(spark, sf, "orders").select("o_orderstatus", "o_orderkey", F.col("o_totalprice").cast("double").alias("price"))
+    return densify(orders, "o_orderstatus", {"o_orderkey": None}, "price")
+
+
 @query
 def pivot_wide_rows(spark: SparkSession, sf: str) -> DataFrame:
     return pivot_wide(_customer_year_flags(spark, sf), ["o_custkey", "cycle"], "l_returnflag", "tons",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,19 +76,57 @@ def query_per_split(
     placeholders: Mapping[str, str],
     constants: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A user's own cohort or label query, once per distinct set of dates.
+    """A user's own cohort or label query for every distinct set of dates.
 
     `placeholders` maps a `{name}` in the query to a split attribute, for example
     `{"as_of_date": "as_of"}`; `constants` replaces further names such as `prefix`.
+    All sets of dates are served by one plan, in which the query is the inner side of
+    a lateral join with the table of dates and reads its own tables once.  Where
+    dates stand in places a column cannot, or Spark cannot take the query out of
+    the join, the query runs once per set of dates.
     """
     runs: dict[tuple, list[int]] = {}
     for s in splits:
         runs.setdefault(tuple(getattr(s, a) for a in placeholders.values()), []).append(s.split_id)
+    for name, value in (constants or {}).items():
+        query = query.replace("{" + name + "}", str(value))
+    frame = _lateral(spark, query, runs, list(placeholders))
+    if frame is not None:
+        return frame
     frames = []
     for days, ids in runs.items():
         text = query
-        for name, value in [*zip(placeholders, days), *(constants or {}).items()]:
+        for name, value in zip(placeholders, days):
             text = text.replace("{" + name + "}", str(value))
         frame = spark.sql(text)
         frames.append(frame.select(F.explode(F.array(*[F.lit(i) for i in ids])).alias("split_id"), "*"))
     return reduce(DataFrame.unionByName, frames)
+
+
+def _lateral(spark: SparkSession, query: str, runs: Mapping[tuple, list[int]], names: Sequence[str]) -> DataFrame | None:
+    """The query joined laterally to its dates, or nothing where that is not possible.
+
+    A quoted date, with or without `date` before it, becomes a column of the table of dates.
+    """
+    for i, name in enumerate(names):
+        query = re.sub(rf"(?i)(\bdate\s*)?'\{{{name}\}}'", f"_dates._d{i}", query)
+    if not names or any("{" + name + "}" in query for name in names):
+        return None
+    rows = ", ".join("({}, {})".format(", ".join(f"date '{d}'" for d in days), f"array({', '.join(map(str, ids))})")
+                     for days, ids in runs.items())
+    columns = ", ".join(f"_d{i}" for i in range(len(names)))
+    text = (f"select _dates._ids, _found.* from values {rows} as _dates({columns}, _ids), "
+            f"lateral ({query.strip().rstrip(';')}) as _found")
+    try:
+        frame = spark.sql(text)
+        frame._jdf.queryExecution().optimizedPlan()  # the query leaves the join here, or not at all
+    except Exception as error:  # noqa: BLE001
+        if not _is_refused(error):
+            raise
+        return None
+    return frame.select(F.explode("_ids").alias("split_id"), *[f"`{c}`" for c in frame.columns if c != "_ids"])
+
+
+def _is_refused(error: Exception) -> bool:
+    """Whether Spark refused a lateral query, and not a query that would fail by itself as well."""
+    return isinstance(error, (AnalysisException, ParseException)) or "correlated" in str(error).lower()

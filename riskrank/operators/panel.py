@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskrank.functions.expressions import code_category
+from riskrank.operators.ranking import rank_rows
 from riskrank.session import cut_lineage, join_large
 
 
@@ -29,30 +31,41 @@ def positive_or_zero(column: Column) -> Column:
     return F.when(column > 0, column).otherwise(F.lit(0.0))
 
 
-#: Values of a dimension that may be read from the data and unfolded next to every base value.
-MAX_VALUES = 10_000
+#: Values of a dimension that one task holds at once and unfolds next to a base value.
+BLOCK_VALUES = 10_000
 
 
 def complete_grid(df: DataFrame, base: str, dims: Mapping[str, Sequence | None]) -> DataFrame:
     """Distinct values of `base` combined with every value of each dimension.
 
-    `base` stays distributed; each other dimension is a bounded list (years,
-    categories): given by the caller, or read from the data as one scalar
-    subquery, and unfolded next to every base value, so nothing is cross joined.
-    More than `MAX_VALUES` values found in the data are refused.
+    `base` stays distributed.  A dimension's values (years, categories) are given by the
+    caller or read from the data, and unfolded next to every base value, so nothing is
+    cross joined.  Values read from the data are numbered in order and cut into blocks,
+    each of them a scalar subquery of its own: however many there are, no task holds
+    more than a block.  `df` is read once per block, so it should be a written table.
     """
     grid = df.select(base).where(F.col(base).isNotNull()).distinct()
     for dim, values in dims.items():
         if values is None:
-            found = df.select(dim).where(F.col(dim).isNotNull()).distinct().limit(MAX_VALUES + 1)
-            listed = found.agg(F.when(F.count(dim) > MAX_VALUES, F.raise_error(F.lit(f"too many values of {dim}")))
-                               .otherwise(F.sort_array(F.collect_list(dim))).alias("v")).scalar()
+            blocks = _value_blocks(df, dim)
         else:
-            listed = F.array(*[F.lit(v) for v in values])
-        grid = grid.withColumn(dim, F.explode(listed))
+            blocks = [F.array(*[F.lit(v) for v in values])]
+        grid = reduce(DataFrame.unionByName, [grid.withColumn(dim, F.explode(b)) for b in blocks])
     return grid
 
 
+def _value_blocks(df: DataFrame, dim: str) -> list[Column]:
+    """The distinct values of a column, as arrays of a bounded number each."""
+    found = df.select(dim).where(F.col(dim).isNotNull()).distinct()
+    number = found.count()
+    if number <= BLOCK_VALUES:
+        return [found.agg(F.sort_array(F.collect_list(dim)).alias("v")).scalar()]
+    ranked = cut_lineage(rank_rows(found, [F.col(dim).asc()], rank="_place"))
+    block = F.floor((F.col("_place") - 1) / BLOCK_VALUES)
+    return [ranked.where(block == i).agg(F.sort_array(F.collect_list(dim)).alias("v")).scalar()
+            for i in range(-(-number // BLOCK_VALUES))]
+
+
 def densify(
     df: DataFrame, base: str, dims: Mapping[str, Sequence | None], value: str
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from riskrank.operators.ranking import running_sums
 from riskrank.session import join_large
 
-_PERCENTILE = re.compile(r"percentile_(\d{1,2}(?:\.\d+)?|100)")
+_PERCENTILE = re.compile(r"percentile_(\d{1,2}|100)")
 _DISTINCT = ("count_distinct", "nunique")
 #: Sketched metrics, by their state of a cell, the state of several, and the estimate: errors are those of the sketches.
 _SKETCHED: dict[str, tuple[str, str, str]] = {

@@ -157,9 +157,14 @@ def test_catalog(spark):
                            replace={"prefix": "m_v1"}, p="a")) == [(1,)]
 
 
-def test_unbounded_dimensions_are_refused(spark, monkeypatch):
-    monkeypatch.setattr("riskrank.operators.panel.MAX_VALUES", 5)
-    df = spark.range(6).selectExpr("'a' as k", "id as year")
-    assert complete_grid(df.where("year < 5"), "k", {"year": None}).count() == 5
-    with pytest.raises(Exception, match="too many values"):
-        complete_grid(df, "k", {"year": None}).count()
+def test_dimensions_of_any_size(spark, monkeypatch):
+    """Values beyond a block's number are unfolded block by block."""
+    df = spark.createDataFrame([("a", i) for i in range(20_000)] + [("b", None), (None, 5)], "k string, code int")
+    grid = complete_grid(df, "k", {"code": None})
+    assert plan_of(grid).count("Generate") == 2 and "CartesianProduct" not in plan_of(grid)
+    assert grid.count() == 40_000 == grid.distinct().count()
+    monkeypatch.setattr("riskrank.operators.panel.BLOCK_VALUES", 3)
+    small = spark.range(7).selectExpr("'a' as k", "id as year", "id % 2 as flag")
+    both = complete_grid(small, "k", {"year": None, "flag": [0, 1, 2]})
+    assert rows(both) == sorted(("a", y, f) for y in range(7) for f in range(3))
+    assert complete_grid(small.limit(0), "k", {"year": None}).count() == 0
