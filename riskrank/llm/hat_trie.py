@@ -80,8 +80,9 @@ class Node:
             self.children[word].burst()
 
     def take(self) -> list[Counter]:
-        """The containers of the whole subtree."""
-        return [self.container, *(c for child in self.children.values() for c in child.take())]
+        """The containers of the whole subtree, which starts anew with empty ones."""
+        taken, self.container = self.container, Counter()
+        return [taken, *(c for child in self.children.values() for c in child.take())]
 
 
 class HatTrie:
@@ -96,7 +97,10 @@ class HatTrie:
             self.root.add(keys)
 
     def spill(self, everything: bool = False) -> tuple[np.ndarray, np.ndarray] | None:
-        """Keys and counts of the largest subtrees, which leave the trie, if it holds more than its memory allows."""
+        """Keys and counts of the largest subtrees, which leave the trie, if it holds more than its memory allows.
+
+        The nodes stay: words that filled a container once are likely to do so again.
+        """
         total = self.root.size()
         if not total or not everything and total <= self.memory:
             return None
@@ -110,10 +114,9 @@ class HatTrie:
         for word in largest:
             if total <= keep:
                 break
-            subtree = self.root.children.pop(word)
+            subtree = self.root.children[word]
             total -= subtree.size()
             out += subtree.take()
-        self.root._ids = np.array(sorted(self.root.children), np.uint64)
         n = sum(map(len, out))
         keys = np.fromiter(chain.from_iterable(out), np.uint64, n)
         return keys, np.fromiter(chain.from_iterable(c.values() for c in out), np.int64, n)

@@ -60,7 +60,7 @@ class Mining:
     least: int = 10
     share: int = 50
     top: int = 2000
-    entries: int = 500_000  # phrases in a task's trie
+    entries: int = 350_000  # phrases in a task's trie
     container: int = 1 << 15  # phrases in a container before it bursts
     words: int = 1 << 18  # distinct words that a task remembers
 
