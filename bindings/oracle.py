@@ -145,7 +145,7 @@ on event_date between label_start and label_end and knowledge_date <= label_end
 PARTS["daily_panel"] = """
 select user_id as entity_id, cast(ts as date) as event_date, count(*) as day_events,
        round(sum(value), 2) as day_value
-from events where event_type = 'purchase' group by all"""
+from events group by all"""
 PARTS["latest"] = """
 select split_id, entity_id, event_date, day_events, day_value from (
   select s.split_id, p.*, row_number() over (partition by split_id, entity_id order by event_date desc) as rn
@@ -320,7 +320,7 @@ select viewer, seen_at, view_id, user_id, ts, event_id, event_type from (
   select a.user_id, a.ts, a.event_id, a.event_type, b.user_id as viewer, b.ts as seen_at, b.event_id as view_id,
     row_number() over (partition by a.user_id, a.ts order by a.event_id, b.ts desc, b.event_id desc) as rn
   from events a join events b on a.user_id = b.user_id and b.ts <= a.ts
-  where a.event_type in ('purchase', 'error') and b.event_type = 'view')
+  where a.event_type <> 'view' and b.event_type = 'view')
 where rn = 1""")
 check("clean_reports", """
 select l_orderkey, l_linenumber, l_quantity, lower(l_returnflag) as l_returnflag from lineitem
@@ -352,10 +352,12 @@ select o_custkey, cycle, sum(tons) filter (l_returnflag = 'A') as A, sum(tons) f
 check("reporting_panel", _panel(
     _SUPPLIER_REPORTS,
     "(select s_suppkey as id_number, row_number() over (order by s_suppkey) as id from supplier)"))
-check("geo_demographics", """
+def _geography(ids: str) -> str:
+    """Measures of the nation and segment of customers with an id."""
+    return f"""
 select id as entity_id, z.zip, zip_population, county, county_population, zip_area_sq_miles, zip_density_sq_miles,
        mean_county_income
-from (select c_custkey, c_nationkey, row_number() over (order by c_custkey) as id from customer) f
+from ({ids}) f
 left join (
   select zip, cast(sum(population) as bigint) as zip_population, min(mean_county_income) as mean_county_income
   from blocks left join (
@@ -366,7 +368,13 @@ left join (select s_nationkey, count(*)::double as zip_area_sq_miles, max(s_acct
            from supplier group by s_nationkey) d on s_nationkey = c_nationkey
 left join (select distinct zip as county_zip, county from blocks) on county_zip = c_nationkey
 left join (select county, cast(sum(population) as bigint) as county_population from blocks group by county)
-  using (county)""")
+  using (county)"""
+
+
+check("geo_demographics", _geography("select c_custkey, c_nationkey, row_number() over (order by c_custkey) as id from customer"))
+check("run_preprocessing_acs", _geography("""
+select c_custkey, c_nationkey, row_number() over (order by c_custkey) as id
+from customer where c_custkey in (select o_custkey from orders where o_orderstatus = 'F')"""))
 
 # ---------------------------------------------------------------- splits, cohorts, features, labels
 

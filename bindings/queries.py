@@ -107,11 +107,11 @@ def asof_latest_version_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def asof_timestamps(spark: SparkSession, sf: str) -> DataFrame:
-    """Each purchase or error with the user's latest view before it, on microseconds."""
+    """Each other event with the user's latest view before it, on microseconds."""
     events = v.table(spark, sf, "events")
     views = events.where("event_type = 'view'").select(
         F.col("user_id").alias("viewer"), F.col("ts").alias("seen_at"), F.col("event_id").alias("view_id"))
-    acts = events.where("event_type in ('purchase', 'error')").select("user_id", "ts", "event_id", "event_type")
+    acts = events.where("event_type <> 'view'").select("user_id", "ts", "event_id", "event_type")
     return asof_latest_version(
         acts, views, event_key="user_id", event_ts="ts", version_key="viewer", version_ts="seen_at",
         event_order=[F.col("event_id").asc()], version_order=[F.col("view_id").desc()], spread=True)
@@ -626,6 +626,11 @@ def run_preprocessing_reporting(spark: SparkSession, sf: str) -> DataFrame:
     return run_preprocessing(v.raw_tables(spark, sf), v.DOMAIN, outputs=["reporting"])["reporting"]
 
 
+@query
+def run_preprocessing_acs(spark: SparkSession, sf: str) -> DataFrame:
+    return run_preprocessing(v.raw_tables(spark, sf), v.DOMAIN, outputs=["acs"])["acs"]
+
+
 @query
 def run_preprocessing_persisted(spark: SparkSession, sf: str) -> DataFrame:
     """The labels of the layer in the catalog, read back by name."""

@@ -62,19 +62,24 @@ DOMAIN = Domain(
     amount="amount", report_key="reporter",
     report_columns=("reporter", "cycle", "code", "tons"), report_lower=(), report_cycle="cycle",
     report_code="code", report_tons="tons", code_categories=CODES, code_prefixes=CODE_PREFIXES,
-    code_default="others", panel_categories=CATEGORIES,
+    code_default="others", panel_categories=CATEGORIES, population="people",
 )
 
 
 def raw_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Inputs of the preprocessing pipeline: reports are of customers here."""
+    """Inputs of the preprocessing pipeline: reports are of customers here, who are facilities and block groups too."""
     lines, orders, parts = (table(spark, sf, n) for n in ("lineitem", "orders", "part"))
     of_customers = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
                     .join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("o_custkey").alias("reporter"), F.year("l_shipdate").alias("cycle"),
         F.col("p_brand").alias("code"), F.col("l_quantity").alias("tons")))
-    return {"entities": versions(spark, sf), "evaluations": evaluations(spark, sf),
-            "reports": of_customers}
+    placed = blocks(spark, sf)
+    income = county_income(spark, sf)
+    return {"entities": versions(spark, sf), "evaluations": evaluations(spark, sf), "reports": of_customers,
+            "demographics": placed.select("state", "county", "tract").join(income, ["state", "county"], "left"),
+            "link": placed.drop("population"), "census": placed.drop("zip").withColumnRenamed("population", "people"),
+            "density": density(spark, sf), "facilities": table(spark, sf, "customer").select(
+                F.col("c_custkey").alias("id_number"), F.col("c_nationkey").alias("zip_code"))}
 
 
 # --- geography: customers as block groups, their region and segment as state and county ---
@@ -135,8 +140,8 @@ ORDER_TEMPORAL = {"feature_start_time": "1995-01-01", "feature_duration": "6 mon
 
 
 def daily_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """One dated record per user and day with purchases."""
-    events = table(spark, sf, "events").where("event_type = 'purchase'")
+    """One dated record per user and day with events."""
+    events = table(spark, sf, "events")
     return events.groupBy(F.col("user_id").alias("entity_id"), F.to_date("ts").alias("event_date")).agg(
         F.count(F.lit(1)).alias("day_events"), F.round(F.sum("value"), 2).alias("day_value"))
 
