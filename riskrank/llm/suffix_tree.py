@@ -215,7 +215,7 @@ def _count_tokens(key, table):
     """Counts for every chunk (kind 0); the bucket's totals (kind -1)."""
     part, chunks = key[0].as_py(), table.column("chunk").to_pylist()
     parts = [expand(b, "V7", "u4") for b in table.column("body").to_pylist()]
-    names, of = np.unique(long(np.concatenate([p[0] for p in parts])), return_inverse=True)
+    _, _, of = distinct(long(np.concatenate([p[0] for p in parts])))
     counts = np.bincount(of, np.concatenate([p[1] for p in parts]).astype(float)).astype(np.int64)
     rows = [(c, part, 0, squeeze(x)) for c, x in
             zip(chunks, np.split(counts[of], np.cumsum([len(p[0]) for p in parts])[:-1]), strict=True)]
@@ -278,11 +278,10 @@ def _count_continuations(tree: Tree, level: int):
         part, chunks = key[0].as_py(), table.column("chunk").to_pylist()
         parts = [expand(b, "V7", "u4", "f4", "u8", "u4", "u1") for b in table.column("body").to_pylist()]
         sizes, groups = [len(p[0]) for p in parts], [len(p[3]) for p in parts]
-        names, first, which = np.unique(np.concatenate([p[3] for p in parts]), return_index=True, return_inverse=True)
+        names, first, which = distinct(np.concatenate([p[3] for p in parts]))
         often = np.concatenate([p[5] for p in parts])[first] > 0
         context = np.repeat(which, np.concatenate([p[4] for p in parts]))
-        _, first, of = np.unique(long(np.concatenate([p[0] for p in parts])) + names[context] * _PAIR,
-                                 return_index=True, return_inverse=True)
+        _, first, of = distinct(long(np.concatenate([p[0] for p in parts])) + names[context] * _PAIR)
         n = np.bincount(of, np.concatenate([p[1] for p in parts]).astype(float)).astype(np.int64)
         gain = _gains(n, np.concatenate([p[2] for p in parts])[first].astype(float), tree.discount)
         add = lambda x: np.bincount(context[first], x, minlength=len(names)).astype(np.int64)
