@@ -9,12 +9,15 @@ strings mostly share their anchor and form one run.
    settled: nothing in it repeats.
 2. Buckets are refined by what lies at earlier and later offsets: the bytes of the whole run.  Runs that agree are
    settled: all their strings repeat.
-3. What is left - runs that share an anchor but not all their bytes - is refined string by string: a string's bucket
-   is given by the identifiers of the q-gram buckets at its offsets 0, q and width - q, which the first step has
-   computed already.  Buckets with two strings repeat.
+3. What is left - runs that share an anchor but not all their bytes - is refined string by string and pass by pass.  A
+   position's bucket pointer for `gram` bytes is the identifier of its q-gram; a pass makes the pointer for twice the bytes
+   (at most `width`) out of two pointers that the pass before made, at the position and as far behind it as those reach.
+   Buckets are counted over the corpus after each pass.  Positions alone in their bucket are settled and never
+   looked at again, so a pass reads and moves only what the one before left open.  What shares a bucket after the last
+   pass, for all `width` bytes, repeats.
 
 A chunk that holds more than `MANY` different runs of one anchor sends that fact alone and leaves those runs to step
-3, where strings are spread by hash, so a common line does not gather its surroundings anywhere.  Identifiers are
+3, where strings are spread by hash, so a common line does not gather its surroundings anywhere.  Pointers are
 64-bit hashes (48 bits more within a bucket in step 2); see `substrings` for the chance of a wrong pair.
 
 Null and empty texts have no bytes.  Matches never cross documents.  Repeated rows repeat each other.  An empty
@@ -27,10 +30,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from riskrank.llm.chunks import Chunk, by_bucket, chunked, expand, long, runs, short, squeeze, steps
-from riskrank.llm.text import _BYTE, _BYTE_BASE, _POW, MAX_WINDOW, between, mix, prefix
+from riskrank.llm.text import _BYTE, _BYTE_BASE, _POW, MAX_WINDOW, between, distinct, mix, prefix
 
 #: Different runs of one anchor that a chunk names one by one.
 MANY = 8
@@ -39,12 +43,13 @@ PIECE = 1 << 20
 
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _SENT = "bucket long, chunk long, kind int, body binary"
+_ANSWER = "chunk long, part long, kind int, body binary"
 
 
 class Runs:
     """The runs of a chunk: strings from `first` to `last` (byte positions), their anchor's hash and own hash."""
 
-    def __init__(self, chunk: Chunk, width: int, gram: int, ask=None):
+    def __init__(self, chunk: Chunk, width: int, gram: int, ask=None, level: int = 0):
         valid = np.zeros(max(0, len(chunk.data) - width + 1), bool)
         for a, b in zip(chunk.offsets[:-1].tolist(), chunk.offsets[1:].tolist(), strict=True):
             valid[a : max(a, b - width + 1)] = True
@@ -63,21 +68,36 @@ class Runs:
             at = anchor[new]
             own = between(sums, first, last + width, _BYTE_BASE)
             own = mix(own + (at - first).astype(np.uint64) * _C[0])
-            parts.append((first + a, last + a, ids[at], own, self._strings(ids, first, last, width, gram, a, ask)))
+            parts.append((first + a, last + a, ids[at], own, _pointers(ids, first, last, width, gram, a, ask, level)))
         columns = list(zip(*parts, strict=True)) if parts else [[np.zeros(0, k)] for k in "qqQQ"] + [[None]]
         self.first, self.last, self.anchor, self.own = (np.concatenate(c) for c in columns[:4])
         self.strings = [s for s in columns[4] if s is not None]
 
-    @staticmethod
-    def _strings(ids, first, last, width, gram, base, ask):
-        """Identifier and start of the strings of the runs that `ask` picks (by their first and last start)."""
-        if ask is None:
-            return None
-        picked = ask(first + base)
-        n = (last - first + 1)[picked]
-        at = np.repeat(first[picked] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        names = mix(ids[at] * _C[0] + ids[at + min(gram, width - gram)] * _C[1] + ids[at + width - gram] * _C[2])
-        return names, at + base
+
+def passes(width: int, gram: int) -> list[tuple[int, int]]:
+    """Bytes behind the pointers of each pass, and how far apart the two are of which it makes them."""
+    out, have = [], gram
+    while have < width:
+        apart = min(have, width - have)
+        have += apart
+        out.append((have, apart))
+    return out
+
+
+def _pointers(ids, first, last, width, gram, base, ask, level):
+    """Pointers after a pass and starts of the strings that `ask` picks, from the pieces' q-gram identifiers.
+
+    `ask` gets the starts of all strings of the piece.
+    """
+    if ask is None:
+        return None
+    n = last - first + 1
+    at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    at = at[ask(at + base)]
+    if len(at):
+        for _, apart in passes(width, gram)[:level]:
+            ids = mix(ids[:-apart] * _C[0] + ids[apart:] * _C[1])
+    return ids[at] if len(at) else np.zeros(0, np.uint64), at + base
 
 
 def _least(ids: np.ndarray, span: int) -> np.ndarray:
@@ -152,97 +172,105 @@ def _refine(key, table):
     code = again.astype(np.uint8) | ((mixed & (open_ | first)).astype(np.uint8) << 1)
     out = np.empty(len(order), np.uint8)
     out[order] = code
-    codes = np.split(out, np.cumsum(sizes)[:-1])
-    return pa.table({"chunk": pa.array(chunk), "part": pa.array([key[0].as_py()] * len(codes), pa.int64()),
-                     "body": pa.array([squeeze(c) for c in codes], pa.binary())})
+    codes = [squeeze(c) for c in np.split(out, np.cumsum(sizes)[:-1])]
+    return _answers(chunk.tolist(), key[0].as_py(), [0] * len(codes), codes)
 
 
-def _tell_apart(width: int, gram: int, bits: int):
-    """A chunk marks settled runs (kind 1) and sends the strings of the open ones to buckets."""
-    def tell(key, docs, answers):
-        if not docs.num_rows:
-            return _sent(0, [])
-        number, chunk = key[0].as_py(), Chunk(docs.column("docs"))
-        answers = answers.sort_by("part")
-        code = [expand(b, "u1")[0] for b in answers.column("body").to_pylist()]
-        code = np.concatenate(code) if code else np.zeros(0, np.uint8)
+class Open:
+    """A chunk between passes: settled runs (first and last starts), and the strings still open.
+
+    Strings are numbered by their pointer; a pointer's number is its place among the chunk's distinct ones in order, so
+    the answers of all buckets, one after another, say of each whether it is alone.
+    """
+
+    def __init__(self, first: np.ndarray, last: np.ndarray, live: np.ndarray):
+        self.first, self.last, self.live = first, last, live
+
+    @classmethod
+    def start(cls, chunk: Chunk, answers: pa.Table, width: int, gram: int) -> Open:
+        """From the answers about runs."""
+        code = _told(answers)
         found = Runs(chunk, width, gram)
         entries = Entries(found)
-        settled = (entries.flag == 1) | (code & 1 > 0)
+        settled = ((entries.flag == 1) | (code & 1 > 0))[entries.of]
         # a run that the chunk holds twice is looked into once
         spoken = np.zeros(len(found.first), bool)
         spoken[entries.first] = True
         spoken |= (entries.flag == 2)[entries.of]
         spoken &= (code & 2 > 0)[entries.of]
-        whole = np.sort(np.flatnonzero(settled[entries.of]))
-        wanted = np.sort(found.first[spoken])
-        known = np.sort(found.first[spoken & settled[entries.of]])
-        rows = []
-        names, at, sure = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
-        if len(wanted):
-            strings = Runs(chunk, width, gram, ask=lambda first: np.isin(first, wanted)).strings
-            names, at = (np.concatenate(c) for c in zip(*strings, strict=True))
-            run = np.searchsorted(found.first, at, "right") - 1
-            sure = np.isin(found.first[run], known)
-        order = np.argsort(names, kind="stable")
-        new = np.r_[True, names[order][1:] != names[order][:-1]][: len(order)]
-        group = np.cumsum(new) - 1
-        twice = (np.bincount(group) > 1)[group] if len(order) else new
-        local = np.sort(at[order][twice])
-        rows.append((number % (1 << bits), 1, squeeze(steps(found.first[whole]), (found.last - found.first)[whole]
-                                                      .astype(np.uint32), steps(local))))
-        settled_here = np.bincount(group, twice | sure[order]) > 0 if len(order) else np.zeros(0, bool)
-        pick = order[new]
-        keep = np.argsort(at[pick], kind="stable")
-        pick, settled_here = pick[keep], settled_here[keep]
-        rows += [(b, 0, squeeze(short(names[pick[i]]), steps(at[pick[i]]), settled_here[i].astype(np.uint8)))
-                 for b, i in by_bucket(bits, names[pick])]
-        return _sent(number, rows)
-
-    return tell
-
-
-def _pairs(key, table):
-    """Strings that several chunks hold; what a chunk has settled itself comes through as it is."""
-    kind, chunk = table.column("kind").to_numpy(), table.column("chunk").to_numpy()
-    body = table.column("body").to_pylist()
-    answers = [(int(chunk[i]), 1, body[i]) for i in np.flatnonzero(kind == 1).tolist()]
-    asked = np.flatnonzero(kind == 0).tolist()
+        n = (found.last - found.first + 1)[spoken]
+        live = np.repeat(found.first[spoken] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return cls(found.first[settled], found.last[settled], np.sort(live))
+
+    @classmethod
+    def after(cls, answers: pa.Table) -> Open:
+        """What a pass left open, from the chunk's own message to itself and the answers about its pointers."""
+        own = answers.filter(pc.equal(answers.column("kind"), 1)).column("body").to_pylist()
+        first, more, live, of = expand(own[0], *["u4"] * 4)
+        first = np.cumsum(first, dtype=np.int64)
+        return cls(first, first + more, np.cumsum(live, dtype=np.int64)[_told(answers)[of] > 0])
+
+    def ask(self, chunk: Chunk, number: int, width: int, gram: int, level: int, bits: int) -> pa.Table:
+        """The pointers of a pass for the buckets, with those the chunk has twice marked, and the state for the chunk."""
+        open_ = np.zeros(len(chunk.data) + 1, bool)
+        open_[self.live] = True
+        found = Runs(chunk, width, gram, ask=open_.__getitem__, level=level).strings if len(self.live) else []
+        pointers, _, of = distinct(np.concatenate([p for p, _ in found]) if found else np.zeros(0, np.uint64))
+        twice = (np.bincount(of, minlength=len(pointers)) > 1).astype(np.uint8)
+        order = np.argsort(self.first, kind="stable")
+        own = squeeze(steps(self.first[order]), (self.last - self.first)[order].astype(np.uint32), steps(self.live),
+                      of.astype(np.uint32))
+        return _sent(number, [(number % (1 << bits), 1, own)] + [
+            (b, 0, squeeze(short(pointers[at]), twice[at])) for b, at in by_bucket(bits, pointers)])
+
+
+def _told(answers: pa.Table) -> np.ndarray:
+    """The answers of all buckets, in the order of the questions."""
+    bodies = answers.filter(pc.equal(answers.column("kind"), 0)).sort_by("part").column("body").to_pylist()
+    return np.concatenate([expand(b, "u1")[0] for b in bodies]) if bodies else np.zeros(0, np.uint8)
+
+
+def _ask_pointers(width: int, gram: int, bits: int, level: int):
+    def ask(key, docs, answers):
+        if not docs.num_rows:
+            return _sent(0, [])
+        chunk = Chunk(docs.column("docs"))
+        now = Open.start(chunk, answers, width, gram) if level == 1 else Open.after(answers)
+        return now.ask(chunk, key[0].as_py(), width, gram, level, bits)
+
+    return ask
+
+
+def _count_pointers(key, table):
+    """Tell each chunk which of its pointers are not alone; what a chunk tells itself comes through as it is."""
+    kind, chunk, body = (table.column(c).to_pylist() for c in ("kind", "chunk", "body"))
+    asked = [i for i, k in enumerate(kind) if k == 0]
+    codes = []
     if asked:
-        parts = [expand(body[i], "V7", "u4", "u1") for i in asked]
-        name = long(np.concatenate([p[0] for p in parts]))
-        home = np.repeat(chunk[asked], [len(p[0]) for p in parts])
-        at = np.concatenate([np.cumsum(p[1], dtype=np.int64) for p in parts])
-        known = np.concatenate([p[2] for p in parts]) > 0
-        order = np.argsort(name, kind="stable")
-        same = name[order][1:] == name[order][:-1]
-        hit = order[np.r_[False, same] | np.r_[same, False]]
-        hit = hit[~known[hit]]
-        hit = hit[np.lexsort((at[hit], home[hit]))]
-        cut = np.flatnonzero(home[hit][1:] != home[hit][:-1]) + 1
-        answers += [(int(home[r[0]]), 0, squeeze(steps(at[r]))) for r in np.split(hit, cut) if len(r)]
-    return pa.table({"chunk": pa.array([a[0] for a in answers], pa.int64()),
-                     "kind": pa.array([a[1] for a in answers], pa.int32()),
-                     "body": pa.array([a[2] for a in answers], pa.binary())})
-
-
-def _cut(width: int, with_bytes: bool):
+        parts = [expand(body[i], "V7", "u1") for i in asked]
+        _, _, of = distinct(long(np.concatenate([p[0] for p in parts])))
+        shared = np.bincount(of, 1 + np.concatenate([p[1] for p in parts]).astype(float)) > 1
+        codes = np.split(shared[of].astype(np.uint8), np.cumsum([len(p[0]) for p in parts])[:-1])
+    own = [i for i, k in enumerate(kind) if k == 1]
+    return _answers([chunk[i] for i in [*asked, *own]], key[0].as_py(), [0] * len(asked) + [1] * len(own),
+                    [squeeze(c) for c in codes] + [body[i] for i in own])
+
+
+def _answers(chunks: list[int], part: int, kinds: list[int], bodies: list[bytes]) -> pa.Table:
+    return pa.table({"chunk": pa.array(chunks, pa.int64()), "part": pa.array([part] * len(bodies), pa.int64()),
+                     "kind": pa.array(kinds, pa.int32()), "body": pa.array(bodies, pa.binary())})
+
+
+def _cut(width: int, gram: int, with_bytes: bool):
     def cut(key, docs, answers):
         if not docs.num_rows:
             return _empty(with_bytes)
         chunk = Chunk(docs.column("docs"))
+        now = Open.after(answers) if width > gram else Open.start(chunk, answers, width, gram)
         change = np.zeros(len(chunk.data) + width + 1, np.int32)
-        for kind, body in zip(answers.column("kind").to_pylist(), answers.column("body").to_pylist(), strict=True):
-            if kind:
-                first, more, starts = expand(body, "u4", "u4", "u4")
-                first = np.cumsum(first, dtype=np.int64)
-                np.add.at(change, first, 1)
-                np.subtract.at(change, first + more + width, 1)
-            else:
-                starts = expand(body, "u4")[0]
-            starts = np.cumsum(starts, dtype=np.int64)
-            np.add.at(change, starts, 1)
-            np.subtract.at(change, starts + width, 1)
+        for first, last in ((now.first, now.last), (now.live, now.live)):
+            np.add.at(change, first, 1)
+            np.subtract.at(change, last + width, 1)
         gone = np.cumsum(change)[: len(chunk.data)] > 0
         start, end = runs(gone, chunk.offsets)
         doc = np.searchsorted(chunk.offsets, start, "right") - 1
@@ -275,16 +303,16 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 200, gram: int = 96, wit
                           doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: `id`, `n_bytes`, `n_removed`, `n_spans`, `spans` (removed bytes, [start, end)),
     `kept_sha256` and, if asked for, the `kept` bytes."""
-    if not 0 < gram <= width <= 3 * gram:
-        raise ValueError("a string must be covered by three of its q-grams")
+    if not 0 < gram <= width:
+        raise ValueError("a string must hold a q-gram")
     if 2 * width - gram > MAX_WINDOW:
         raise ValueError(f"strings of {width} bytes, whose runs may be longer than {MAX_WINDOW}")
     chunks, bits, dealt = chunked(docs, doc_id, text)
     own = dealt.by(chunks, "chunk")
-    codes = dealt.by(own.applyInArrow(_name(width, gram, bits), _SENT), "bucket").applyInArrow(
-        _refine, "chunk long, part long, body binary")
-    marks = dealt.by(own.cogroup(dealt.by(codes, "chunk")).applyInArrow(_tell_apart(width, gram, bits), _SENT),
-                     "bucket").applyInArrow(_pairs, "chunk long, kind int, body binary")
+    told = dealt.by(own.applyInArrow(_name(width, gram, bits), _SENT), "bucket").applyInArrow(_refine, _ANSWER)
+    for level in range(1, len(passes(width, gram)) + 1):
+        asked = own.cogroup(dealt.by(told, "chunk")).applyInArrow(_ask_pointers(width, gram, bits, level), _SENT)
+        told = dealt.by(asked, "bucket").applyInArrow(_count_pointers, _ANSWER)
     out = ("id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, "
            "kept_sha256 string")
-    return own.cogroup(dealt.by(marks, "chunk")).applyInArrow(_cut(width, with_bytes), out + ", kept binary" * with_bytes)
+    return own.cogroup(dealt.by(told, "chunk")).applyInArrow(_cut(width, gram, with_bytes), out + ", kept binary" * with_bytes)

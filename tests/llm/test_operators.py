@@ -442,6 +442,35 @@ def test_genetic_steps():
     assert child.fill.sum() == sizes.sum()
 
 
+def _triplets(n: int, capacity: int, seed: int) -> list[int]:
+    """Pieces near a third of a sequence that fill `n` sequences in threes, and hardly in any other way."""
+    rng = np.random.default_rng(seed)
+    sizes = []
+    for _ in range(n):
+        a = int(rng.integers(0.38 * capacity, 0.491 * capacity))
+        b = int(rng.integers(0.25 * capacity, (capacity - a) // 2 + 1))
+        sizes += [a, b, capacity - a - b]
+    return rng.permutation(sizes).tolist()
+
+
+def test_the_search_beats_its_seed(spark):
+    """Where best-fit decreasing misses the bound, crossovers and migrated elites need fewer sequences."""
+    capacity, n = 1000, 60
+    sizes = _triplets(n, capacity, 1)
+    seed = packing.best_fit(np.array(sizes), capacity, np.full(len(sizes), -1), np.argsort(-np.array(sizes), kind="stable"))
+    pieces = spark.createDataFrame([("f", i, 0, s) for i, s in enumerate(sizes)], "file string, row long, piece int, length long")
+
+    def needed(**how):
+        found = packing.pack(pieces, packing.Evolution(capacity=capacity, **how)).collect()
+        assert sorted(r["row"] for r in found) == list(range(len(sizes)))
+        return len({r["sequence"] for r in found})
+
+    by_seed = needed(population=1, generations=0, islands=1, epochs=1)
+    alone = needed(population=30, generations=300, islands=1, epochs=1)
+    together = needed(population=30, generations=300, islands=3, epochs=3)
+    assert by_seed == seed.max() + 1 == 70 and n <= together <= alone < by_seed - 3
+
+
 def test_packing_edge(edge, nothing):
     pieces = packing.token_pieces(edge, TOKENIZER).cache()
     empty_texts = [r for r in pieces.collect() if r["id"] in (0, 1, 2)]
@@ -565,6 +594,52 @@ def test_byte_dedup(docs, rows):
         assert bytes(r["kept"]) == left + own[r["id"]][at:]
 
 
+def test_pointers_of_a_pass_come_from_the_pass_before():
+    assert suffixes.passes(200, 96) == [(192, 96), (200, 8)] and suffixes.passes(200, 25) == [(50, 25), (100, 50), (200, 100)]
+    data = np.frombuffer(("abcdefghij" * 9 + "x" + "abcdefghij" * 9).encode(), np.uint8)
+    blob = np.concatenate([[1, 0, len(data)]]).astype(np.int64).tobytes() + data.tobytes()
+    chunk = chunks.Chunk(pa.array([chunks.zstandard.ZstdCompressor().compress(blob)]))
+    seen = []
+    for level in range(4):
+        strings = suffixes.Runs(chunk, 40, 5, ask=lambda at: np.ones(len(at), bool), level=level).strings
+        pointers, at = (np.concatenate(c) for c in zip(*strings))
+        length = [5, 10, 20, 40][level]
+        texts = [data[i:i + length].tobytes() for i in at.tolist()]
+        assert len(set(zip(texts, pointers.tolist()))) == len(set(texts)) == len(set(pointers.tolist()))
+        seen.append(len(set(texts)))
+    assert seen == sorted(seen) and len(set(seen)) > 2
+
+
+def test_positions_alone_in_their_bucket_are_dropped(spark, monkeypatch):
+    """Each pass asks about the strings that the pass before left open, and fewer of them from pass to pass."""
+    random = np.random.default_rng(3)
+    line = "".join(random.choice(list("abcdefgh"), 24))
+    rows = [(i, "".join(random.choice(list("abcdefgh"), 40)) + line + "".join(random.choice(list("abcdefgh"), 40)))
+            for i in range(40)]
+    rows += [(50 + i, rows[i][1][10:90]) for i in range(5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    asked, refine = [], suffixes._ask_pointers
+
+    def counted(width, gram, bits, level):
+        inner, total = refine(width, gram, bits, level), spark.sparkContext.accumulator(0)
+        asked.append(total)
+
+        def ask(key, docs, answers):
+            out = inner(key, docs, answers)
+            for kind, body in zip(out.column("kind").to_pylist(), out.column("body").to_pylist()):
+                if kind == 1:
+                    total.add(len(chunks.expand(body, *["u4"] * 4)[2]))
+            return out
+
+        return ask
+
+    monkeypatch.setattr(suffixes, "_ask_pointers", counted)
+    got = by_id(suffixes.remove_repeated_bytes(table, 60, 8), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute.byte_dedup(rows, 60)
+    numbers = [a.value for a in asked]
+    assert len(numbers) == 3 and numbers[0] > numbers[1] > numbers[2] > 0
+
+
 def test_byte_dedup_edge(edge, nothing):
     got = by_id(suffixes.remove_repeated_bytes(edge), "n_bytes", "n_removed", "n_spans", "kept_sha256")
     want = brute.byte_dedup([(i, t) for i, t, *_ in brute.EDGE], 200)
