@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 
-from bindings.views import CATEGORIES, CODE_PREFIXES, CODES, EXPERIMENT, GRID, ORDER_TEMPORAL
+from bindings.views import CATEGORIES, CODE_PREFIXES, CODES, EXPERIMENT, GRID, MANY_GRID, ORDER_TEMPORAL
 from riskrank.operators.modeling import expand_grid
 from riskrank.operators.splits import temporal_splits
 from riskrank.presets import FEATURE_NAMES
@@ -486,6 +486,10 @@ check("score_models", " union all ".join(
     f"select '{m.model_id}' as model_id, count(*) as scored, count(distinct doc_id) as entities, "
     f"0::bigint as invalid from documents" for m in _BUILDABLE if not m.is_baseline))
 
+check("fit_grid_many", " union all ".join(
+    f"select '{m.model_id}' as model_id, count(*) as scored, 0::bigint as invalid from documents"
+    for m in expand_grid(MANY_GRID)))
+
 PARTS["long_rates"] = """
 select is_long, avg(quality)::double as rate, count(*) as n
 from (select doc_id, (n_chars >= 1500)::integer::double as is_long from documents) join labels using (doc_id) group by is_long"""
@@ -494,7 +498,20 @@ _LONG = "(select doc_id as entity_id, (n_chars >= 1500)::integer::double as is_l
 check("logistic_model", f"select entity_id, 'LogisticRegression' as model, round(rate, 4) as probability from {_LONG}")
 check("tree_model", f"""
 select entity_id, 'DecisionTreeClassifier' as model, round(rate, 6) as probability from {_LONG} union all
-select entity_id, 'GradientBoostingClassifier', round(1 / (1 + exp(-2 * (2 * rate - 1))), 6) from {_LONG}""")
+select entity_id, 'GradientBoostingClassifier',
+       round(1 / (1 + exp(-(ln(p / (1 - p)) + (rate - p) / (p * (1 - p))))), 6)
+from {_LONG}, (select sum(rate * n) / sum(n) as p from long_rates)""")
+def _boosted(score: str) -> str:
+    """The score after a Newton step of rate 0.5 in the row's group."""
+    return f"({score} + 0.5 * (rate - 1 / (1 + exp(-{score}))) * (1 + exp(-{score})) * (1 + exp({score})))"
+
+
+check("boosting_rounds", f"""
+select entity_id, n_estimators::bigint as n_estimators,
+       round(1 / (1 + exp(-case when n_estimators = 2 then two else {_boosted("two")} end)), 6) as probability
+from (select *, {_boosted("one")} as two from (select *, {_boosted("start")} as one from (
+        select entity_id, rate, (select ln(sum(rate * n) / sum(n - rate * n)) from long_rates) as start from {_LONG}))),
+     (select unnest([2, 3]) as n_estimators)""")
 check("deep_tree_chain", """
 with c as (select c_custkey, c_custkey % 2 as label, row_number() over (order by c_custkey) as place from customer)
 select c_custkey as entity_id, c_custkey::double as x, max_depth::bigint as max_depth,

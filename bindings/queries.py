@@ -388,6 +388,15 @@ def score_models_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.sum(F.when(valid, 0).otherwise(1)).alias("invalid"))
 
 
+@query
+def fit_grid_many(spark: SparkSession, sf: str) -> DataFrame:
+    """A grid of 52 trees and regressions fitted together: per model, rows scored and scores that are no probability."""
+    models = fit_grid(_document_matrix(spark, sf), v.DOCUMENT_FEATURES, expand_grid(v.MANY_GRID))
+    scores = score_models(models, v.documents(spark, sf), v.DOCUMENT_FEATURES)
+    return scores.groupBy("model_id").agg(
+        F.count(F.lit(1)).alias("scored"), F.sum((~F.col("probability").between(0, 1)).cast("int")).alias("invalid"))
+
+
 def _exact(spark: SparkSession, sf: str, *kinds: str):
     """Models of one 0/1 feature on the labeled documents."""
     grid = {name: options for name, options in v.EXACT_GRID.items() if name.rsplit(".", 1)[-1] in kinds}
@@ -413,6 +422,17 @@ def tree_model_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_exact_scores(spark, sf, "DecisionTreeClassifier", "GradientBoostingClassifier"))
 
 
+@query
+def boosting_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Two and three rounds of boosting on one 0/1 feature: log-odds start, Newton steps in the leaves."""
+    matrix = training_matrix(v.long_documents(spark, sf), v.document_labels(spark, sf))
+    models = fit_grid(matrix, ["is_long"], expand_grid({"GradientBoostingClassifier": {
+        "n_estimators": [2, 3], "learning_rate": [0.5], "max_depth": [1]}}))
+    rounds = F.create_map(*[F.lit(x) for m in models for x in (m.model_id, m.kwargs["n_estimators"])])
+    scores = score_models(models, v.long_documents(spark, sf), ["is_long"])
+    return _rounded(scores.select("entity_id", rounds[F.col("model_id")].cast("long").alias("n_estimators"), "probability"))
+
+
 def _tree_scores(spark: SparkSession, rows: DataFrame, options: dict[str, list]) -> DataFrame:
     """(entity_id, x, the options, probability) of decision trees on one feature, as fitted on the rows they score."""
     models = fit_grid(rows.withColumn("split_id", F.lit(0)), ["x"], expand_grid({"DecisionTreeClassifier": options}))

@@ -206,6 +206,13 @@ EXACT_GRID = {
 }
 
 
+MANY_GRID = {
+    "LogisticRegression": {"penalty": ["l1", "l2", "elasticnet", "none"], "C": [0.001, 0.01, 0.1, 1, 10, 100],
+                           "l1_ratio": [0.5], "max_iter": [1000]},
+    "tree.DecisionTreeClassifier": {"max_depth": [1, 2, 5, 10, 50, 100, None], "min_samples_split": [2, 5, 10, 20]},
+}
+
+
 # --- scored population: documents, partly labeled ---
 
 DOCUMENT_FEATURES = ["n_chars", "n_words", "n_lines"]

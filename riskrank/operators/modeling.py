@@ -1,7 +1,7 @@
 """Model grids: fitting, scoring and importances.
 
-Trees and forests (`trees`) and logistic regressions (`logistic`) of a grid are fitted together; other models are Spark
-ML's, one by one.
+Trees, forests and boosted trees (`trees`) and logistic regressions (`logistic`) of a grid are fitted together; registered
+models are Spark ML's, one by one.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from riskrank.operators.logistic import LogisticView, fit_points, load_point, sa
 from riskrank.operators.matrix import labeled
 from riskrank.operators.ranking import rank_baseline
 from riskrank.operators.trees import (
-    Family, TreeView, feature_count, grow, load_view, save_view, score_views, view_importances,
+    Family, TreeView, boost, feature_count, grow, load_view, save_view, score_views, view_importances,
 )
 from riskrank.session import cut_lineage
 
@@ -37,6 +37,7 @@ MAX_TREE_DEPTH = 30  # the deepest tree Spark ML grows
 _SEED = 17
 #: Classes whose trees are grown exactly, all of a grid at once.
 EXACT_TREES = ("DecisionTreeClassifier", "RandomForestClassifier")
+BOOSTED = "GradientBoostingClassifier"
 LOGISTIC = "LogisticRegression"
 
 
@@ -129,9 +130,7 @@ def tree_model(
 
 
 Builder = Callable[..., list]
-_BUILDERS: dict[str, Builder] = {
-    "GradientBoostingClassifier": lambda rows, **kw: tree_model("GradientBoostingClassifier", **kw),
-}
+_BUILDERS: dict[str, Builder] = {}
 
 
 def register_model(kind: str, builder: Builder) -> None:
@@ -188,6 +187,44 @@ def _tree_setting(model: Model, features: int) -> tuple[Family, int]:
     return setting(**model.kwargs)
 
 
+def fit_boosted(matrix: DataFrame, feature_columns: Sequence[str], models: Sequence[Model], *, label: str = "label",
+                **sizes: int) -> None:
+    """Fit all boosted models of a grid round by round; those that differ in the number of rounds only are one family."""
+    def setting(*, n_estimators=100, learning_rate=0.1, subsample=1.0, max_depth=3, min_samples_split=2,
+                min_samples_leaf=1, max_features=None, seed=_SEED):
+        used = feature_count(max_features, len(feature_columns))
+        if n_estimators < 1 or learning_rate <= 0 or not 0 < subsample <= 1 or min_samples_leaf < 1:
+            raise ValueError(f"nothing can be boosted with {m.kwargs}")
+        name = f"{BOOSTED} {learning_rate} {subsample} {max_depth} {min_samples_split} {min_samples_leaf} {used} {seed}"
+        return Family(name, n_estimators, False, used, min_samples_leaf, 0.0, max_depth, min_samples_split, seed,
+                      float(learning_rate), float(subsample))
+
+    settings: dict[str, Family] = {}
+    for m in models:
+        try:
+            settings[m.model_id] = setting(**m.kwargs)
+        except Exception as error:  # a grid point that means nothing is reported and skipped
+            m.fit_status = f"{type(error).__name__}: {error}"
+    families: dict[str, Family] = {}
+    for f in settings.values():
+        families[f.name] = replace(f, trees=max(f.trees, families.get(f.name, f).trees))
+    if not families:
+        return
+    try:
+        nodes, start = boost(plain_rows(matrix, feature_columns, label), list(families.values()), len(feature_columns), **sizes)
+    except Exception as error:
+        for m in models:
+            if m.model_id in settings:
+                m.fit_status = f"{type(error).__name__}: {error}"
+        return
+    for m in models:
+        if m.model_id in settings:
+            f = settings[m.model_id]
+            m.fitted, m.fit_status = TreeView(nodes, f.name, f.trees, f.max_depth, f.min_split, f.rate, start), "ok"
+            m.spark_params = {"maxIter": f.trees, "maxDepth": f.max_depth, "minInstancesPerNode": f.min_leaf,
+                              "featuresPerNode": f.max_features}
+
+
 def plain_rows(matrix: DataFrame, feature_columns: Sequence[str], label: str = "label") -> DataFrame:
     """(rid, y, x0, x1, ...): row, label and features as plain columns, written once."""
     keys = [c for c in ("split_id", "entity_id") if c in matrix.columns]
@@ -273,21 +310,23 @@ def fit_grid(
 ) -> list[Model]:
     """Fit every grid point on the labeled rows.
 
-    Trees and forests are grown together (`fit_trees`), and so are logistic regressions fitted (`fit_logistic`); each
-    other fit is a distributed Spark ML job of its own.  The assembled training rows of these are cached for the whole grid and released after it.  A fit that fails is returned
+    Trees and forests are grown together (`fit_trees`), boosted round by round (`fit_boosted`), and logistic regressions
+    fitted step by step (`fit_logistic`); each other fit is a distributed Spark ML job of its own.  The assembled training rows of these are cached for the whole grid and released after it.  A fit that fails is returned
     with the reason in `fit_status`; so is one whose training labels are all the same.
     """
     rows = labeled(matrix, label)
     models = [Model(m.model_id, m.model_class, dict(m.kwargs)) for m in models]
     counts = ([r["count"] for r in rows.groupBy(label).count().collect()]
               if any(not m.is_baseline for m in models) else [])
-    together = [m for m in models if m.kind in (*EXACT_TREES, LOGISTIC) and m.kind not in _BUILDERS]
+    together = [m for m in models if m.kind in (*EXACT_TREES, BOOSTED, LOGISTIC) and m.kind not in _BUILDERS]
     if len(counts) < 2:
         for m in together:
             m.fit_status = f"ValueError: training labels have {len(counts)} classes, two are needed"
     else:
-        if trees := [m for m in together if m.kind != LOGISTIC]:
+        if trees := [m for m in together if m.kind in EXACT_TREES]:
             fit_trees(rows, feature_columns, trees, label=label)
+        if boosted := [m for m in together if m.kind == BOOSTED]:
+            fit_boosted(rows, feature_columns, boosted, label=label)
         if regressions := [m for m in together if m.kind == LOGISTIC]:
             fit_logistic(rows, feature_columns, regressions, sum(counts), label=label)
     others = [m for m in models if not any(m is t for t in together)]

@@ -67,7 +67,7 @@ def test_small_nodes_against_the_plain_version(rules):
         found = {r[0]: r for r in grow_small(family, 1, 0, x, np.ones(len(y)), y, rules.get("least_weight", 0.0))}
 
         def nested(node):
-            _, _, n, _, positive, feature, threshold, _, lower, upper = found[node]
+            _, _, n, _, positive, _, feature, threshold, _, lower, upper = found[node]
             return positive / n if feature < 0 else (feature, threshold, nested(lower), nested(upper))
 
         assert nested(1) == plain_tree(data, **rules)
