@@ -12,25 +12,34 @@ SF = "/root/testdata/sf0.001"
 # a global rank gathers one count per range, a top-n over models gathers models, a grid its bounded dimension values
 GATHERED = {"entity_ids", "event_ids", "rollup_events", "rollup_labels", "reporting_panel", "densify", "geo_demographics",
             "rank_baseline", "rank_baseline_asc", "run_preprocessing", "run_preprocessing_labels",
-            "run_preprocessing_reporting"}
+            "run_preprocessing_reporting", "run_preprocessing_acs", "densify_many_values"}
+#: User SQL meets the table of dates, a row per split, in a join on `<=`: that small table is broadcast.
+LATERAL = {"cohort_user_query"}
 
 
 # these fit models or run whole experiments; their parts are covered by the other queries
 HEAVY = {"fit_grid", "score_models", "logistic_model", "tree_model", "forest_order", "feature_importance", "results_over_time",
          "select_best_models", "select_best_models_multi", "baseline_models", "base_rate_series", "top_features",
-         "importance_matrix", "run_experiment", "run_experiment_predictions", "run_experiment_models"} | {n for n in QUERIES if n.startswith("run_analysis")}
+         "importance_matrix", "deep_tree_chain", "tree_best_threshold", "tree_full_depth", "tree_min_samples_split",
+         "boosting_rounds", "fit_grid_many", "run_experiment", "run_experiment_predictions", "run_experiment_models"} | {n for n in QUERIES if n.startswith("run_analysis")}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in HEAVY])
 def test_plan(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
-    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert "CartesianProduct" not in plan and ("NestedLoopJoin" not in plan or name in LATERAL)
     assert "EvalPython" not in plan and "InPandas" not in plan and "InArrow" not in plan
     assert "collect_set" not in plan
     if "SinglePartition" in plan:
         assert name in GATHERED, plan
 
 
+def test_user_sql_reads_its_table_once(spark):
+    plan = plan_of(QUERIES["cohort_user_query"](spark, SF))
+    assert plan.count("FileScan") == 1 and plan.count("NestedLoopJoin") == 1
+    assert "LocalTableScan" in plan[plan.index("BroadcastExchange IdentityBroadcastMode"):]
+
+
 @pytest.mark.parametrize("name, columns", [
     ("window_features", "struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>"),
     ("build_cohort", "struct<o_custkey:bigint,o_orderdate:timestamp_ntz>"),
