@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrank.llm import (exact_dedup, langid, mixing, packing, phrases, prefix_trie, quality, simhash, substrings, suffix_tree, suffixes,
-                          token_counts, url_filter)
+from riskrank.llm import (exact_dedup, langid, mixing, packing, phrases, prefix_trie, quality, simhash, substrings,
+                          suffix_tree, suffixes, token_counts, url_filter)
 from riskrank.llm.frames import remainder
 from riskrank.llm.shipping import ship
 
@@ -106,7 +106,7 @@ def token_numbers(docs: DataFrame) -> DataFrame:
 
 @_table("conversations")
 def conversation_nodes(conversations: DataFrame) -> DataFrame:
-    return prefix_trie.prefix_trie(conversations)
+    return prefix_trie.prefix_trie(conversations).drop("enter_arc", "exit_arc")
 
 
 @_table("documents")
