@@ -36,7 +36,7 @@ def test_contract():
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality rules", "exact dedup", "near dedup", "mixing", "packing"]
     assert set(ORACLE) <= set(QUERIES) and {n.split("_")[0] for n in QUERIES} == {
-        *(f"op{i}" for i in range(1, 11)), "pipeline"}
+        *(f"op{i}" for i in range(1, 14)), "pipeline"}
 
 
 def stages(spark, docs):
