@@ -15,6 +15,7 @@ from riskrank.session import cut_lineage, shared_dir, try_shared
 #: Each needs the shared folder.
 QUERIES = [
     "asof_timestamps",
+    "base_rate_series",
 ]
 
 
