@@ -16,6 +16,7 @@ from riskrank.session import cut_lineage, shared_dir, try_shared
 QUERIES = [
     "asof_timestamps",
     "base_rate_series",
+    "baseline_models",
 ]
 
 
