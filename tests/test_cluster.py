@@ -17,6 +17,7 @@ QUERIES = [
     "asof_timestamps",
     "base_rate_series",
     "baseline_models",
+    "crosstab",
 ]
 
 
