@@ -18,6 +18,7 @@ QUERIES = [
     "base_rate_series",
     "baseline_models",
     "crosstab",
+    "deep_tree_chain",
 ]
 
 
