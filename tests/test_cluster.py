@@ -19,6 +19,7 @@ QUERIES = [
     "baseline_models",
     "crosstab",
     "deep_tree_chain",
+    "densify",
 ]
 
 
