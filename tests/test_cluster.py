@@ -20,6 +20,7 @@ QUERIES = [
     "crosstab",
     "deep_tree_chain",
     "densify",
+    "densify_many_values",
 ]
 
 
