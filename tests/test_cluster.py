@@ -21,6 +21,7 @@ QUERIES = [
     "deep_tree_chain",
     "densify",
     "densify_many_values",
+    "entity_ids",
 ]
 
 
