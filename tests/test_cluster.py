@@ -22,6 +22,7 @@ QUERIES = [
     "densify",
     "densify_many_values",
     "entity_ids",
+    "event_ids",
 ]
 
 
