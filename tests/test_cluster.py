@@ -23,6 +23,7 @@ QUERIES = [
     "densify_many_values",
     "entity_ids",
     "event_ids",
+    "fairness_disparity_tpr",
 ]
 
 
