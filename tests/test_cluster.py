@@ -24,6 +24,7 @@ QUERIES = [
     "entity_ids",
     "event_ids",
     "fairness_disparity_tpr",
+    "fairness_disparity",
 ]
 
 
