@@ -25,6 +25,7 @@ QUERIES = [
     "event_ids",
     "fairness_disparity_tpr",
     "fairness_disparity",
+    "feature_importance",
 ]
 
 
