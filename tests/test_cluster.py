@@ -26,6 +26,7 @@ QUERIES = [
     "fairness_disparity_tpr",
     "fairness_disparity",
     "feature_importance",
+    "fit_grid",
 ]
 
 
