@@ -27,6 +27,7 @@ QUERIES = [
     "fairness_disparity",
     "feature_importance",
     "fit_grid",
+    "fit_grid_many",
 ]
 
 
