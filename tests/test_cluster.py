@@ -28,6 +28,7 @@ QUERIES = [
     "feature_importance",
     "fit_grid",
     "fit_grid_many",
+    "forest_order",
 ]
 
 
