@@ -29,6 +29,7 @@ QUERIES = [
     "fit_grid",
     "fit_grid_many",
     "forest_order",
+    "geo_demographics",
 ]
 
 
