@@ -30,6 +30,7 @@ QUERIES = [
     "fit_grid_many",
     "forest_order",
     "geo_demographics",
+    "importance_matrix",
 ]
 
 
