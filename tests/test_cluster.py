@@ -31,6 +31,7 @@ QUERIES = [
     "forest_order",
     "geo_demographics",
     "importance_matrix",
+    "load_zip_density",
 ]
 
 
