@@ -32,6 +32,7 @@ QUERIES = [
     "geo_demographics",
     "importance_matrix",
     "load_zip_density",
+    "logistic_model",
 ]
 
 
