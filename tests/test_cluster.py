@@ -33,6 +33,7 @@ QUERIES = [
     "importance_matrix",
     "load_zip_density",
     "logistic_model",
+    "metrics_at_k",
 ]
 
 
