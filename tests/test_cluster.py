@@ -34,6 +34,7 @@ QUERIES = [
     "load_zip_density",
     "logistic_model",
     "metrics_at_k",
+    "pr_curve",
 ]
 
 
