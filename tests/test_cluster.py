@@ -35,6 +35,7 @@ QUERIES = [
     "logistic_model",
     "metrics_at_k",
     "pr_curve",
+    "pr_curve_int",
 ]
 
 
