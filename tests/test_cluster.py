@@ -36,6 +36,7 @@ QUERIES = [
     "metrics_at_k",
     "pr_curve",
     "pr_curve_int",
+    "rank_baseline",
 ]
 
 
