@@ -37,6 +37,7 @@ QUERIES = [
     "pr_curve",
     "pr_curve_int",
     "rank_baseline",
+    "rank_baseline_asc",
 ]
 
 
