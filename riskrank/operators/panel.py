@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskrank.functions.expressions import code_category
-from riskrank.operators.ranking import rank_rows
 from riskrank.session import cut_lineage, join_large
 
 
@@ -31,8 +29,10 @@ def positive_or_zero(column: Column) -> Column:
     return F.when(column > 0, column).otherwise(F.lit(0.0))
 
 
-#: Values of a dimension that one task holds at once and unfolds next to a base value.
+#: Values of a dimension that are gathered and unfolded next to every base value.
 BLOCK_VALUES = 10_000
+#: Values a side of a tile, where a dimension has more than that.
+TILE_VALUES = 1_000
 
 
 def complete_grid(df: DataFrame, base: str, dims: Mapping[str, Sequence | None]) -> DataFrame:
@@ -40,30 +40,41 @@ def complete_grid(df: DataFrame, base: str, dims: Mapping[str, Sequence | None])
 
     `base` stays distributed.  A dimension's values (years, categories) are given by the
     caller or read from the data, and unfolded next to every base value, so nothing is
-    cross joined.  Values read from the data are numbered in order and cut into blocks,
-    each of them a scalar subquery of its own: however many there are, no task holds
-    more than a block.  `df` is read once per block, so it should be a written table.
+    cross joined.  More values than `BLOCK_VALUES` are not gathered but meet the grid in tiles.
+    `df` is read several times, so it should be a written table.
     """
     grid = df.select(base).where(F.col(base).isNotNull()).distinct()
     for dim, values in dims.items():
-        if values is None:
-            blocks = _value_blocks(df, dim)
+        if values is not None:
+            grid = grid.withColumn(dim, F.explode(F.array(*[F.lit(v) for v in values])))
+            continue
+        found = df.select(dim).where(F.col(dim).isNotNull()).distinct()
+        number = found.count()
+        if number <= BLOCK_VALUES:
+            gathered = found.agg(F.sort_array(F.collect_list(dim)).alias("v")).scalar()
+            grid = grid.withColumn(dim, F.explode(gathered))
         else:
-            blocks = [F.array(*[F.lit(v) for v in values])]
-        grid = reduce(DataFrame.unionByName, [grid.withColumn(dim, F.explode(b)) for b in blocks])
+            grid = _tiled(grid, found, grid.count(), number)
     return grid
 
 
-def _value_blocks(df: DataFrame, dim: str) -> list[Column]:
-    """The distinct values of a column, as arrays of a bounded number each."""
-    found = df.select(dim).where(F.col(dim).isNotNull()).distinct()
-    number = found.count()
-    if number <= BLOCK_VALUES:
-        return [found.agg(F.sort_array(F.collect_list(dim)).alias("v")).scalar()]
-    ranked = cut_lineage(rank_rows(found, [F.col(dim).asc()], rank="_place"))
-    block = F.floor((F.col("_place") - 1) / BLOCK_VALUES)
-    return [ranked.where(block == i).agg(F.sort_array(F.collect_list(dim)).alias("v")).scalar()
-            for i in range(-(-number // BLOCK_VALUES))]
+def _tiled(left: DataFrame, right: DataFrame, left_rows: int, right_rows: int) -> DataFrame:
+    """Every row of `left` next to every row of `right`.
+
+    Both are cut by hash into parts of about `TILE_VALUES` rows; a row is copied once for
+    every part of the other side, and a pair meets in the one tile of their two parts.
+    Copies are thus a small share of the result, however large the sides are.
+    """
+    parts = {"_left": -(-left_rows // TILE_VALUES) or 1, "_right": -(-right_rows // TILE_VALUES) or 1}
+
+    def copied(df: DataFrame, own: str, other: str) -> DataFrame:
+        df = df.withColumn(own, F.pmod(F.xxhash64(*df.columns), F.lit(parts[own])))
+        # counted on from the row's own part: a constant list of all parts would be kept in the plan
+        every = F.sequence(F.col(own), F.col(own) + F.lit(parts[other] - 1))
+        return df.withColumn(other, F.explode(every)).withColumn(other, F.pmod(other, F.lit(parts[other])))
+
+    pairs = join_large(copied(left, "_left", "_right"), copied(right, "_right", "_left"), ["_left", "_right"], "inner")
+    return pairs.select(*left.columns, *right.columns)
 
 
 def densify(

@@ -168,3 +168,32 @@ def test_dimensions_of_any_size(spark, monkeypatch):
     both = complete_grid(small, "k", {"year": None, "flag": [0, 1, 2]})
     assert rows(both) == sorted(("a", y, f) for y in range(7) for f in range(3))
     assert complete_grid(small.limit(0), "k", {"year": None}).count() == 0
+
+
+def test_plan_of_a_grid_does_not_grow_with_its_values(spark, monkeypatch):
+    """Neither with the values of a dimension nor with those of the base, and every pair is there once."""
+    monkeypatch.setattr("riskrank.operators.panel.BLOCK_VALUES", 3)
+    monkeypatch.setattr("riskrank.operators.panel.TILE_VALUES", 4, raising=False)
+    for bases, codes in ((1, 60), (30, 60), (60, 4), (30, 5)):
+        df = spark.createDataFrame([(f"b{i}", None) for i in range(bases)] + [(None, c / 2) for c in range(codes)]
+                                   + [("b0", 0.0), ("b0", -0.0)], "k string, code double")
+        grid = complete_grid(df, "k", {"code": None})
+        plan = plan_of(grid)
+        assert plan.count("Generate") == 2 and "ubquery" not in plan
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+        assert rows(grid) == sorted((f"b{i}", c / 2) for i in range(bases) for c in range(codes))
+        assert grid.schema == df.select("k", "code").schema
+
+
+def test_densify_beyond_a_block(spark, monkeypatch):
+    """Two dimensions in tiles and one in a block; repeated rows stay, rows without a key do not."""
+    monkeypatch.setattr("riskrank.operators.panel.BLOCK_VALUES", 3)
+    monkeypatch.setattr("riskrank.operators.panel.TILE_VALUES", 4, raising=False)
+    given = [(f"b{i % 5}", i % 7, f"c{i % 9}", i % 2, float(i - 3)) for i in range(40)]
+    given += [given[20], (None, 1, "c1", 1, 5.0), ("b1", None, "c1", 1, 5.0), ("b1", 1, None, 1, 5.0)]
+    df = spark.createDataFrame(given, "k string, year int, code string, flag int, tons double")
+    dense = densify(df, "k", {"year": None, "code": None, "flag": None}, "tons")
+    full = [g for g in given if None not in g]
+    absent = {(f"b{b}", y, f"c{c}", f) for b in range(5) for y in range(7) for c in range(9) for f in range(2)} - {g[:4] for g in full}
+    assert dense.columns == df.columns
+    assert rows(dense) == sorted([(*g[:4], max(g[4], 0.0)) for g in full] + [(*a, 0.0) for a in absent])
